@@ -62,21 +62,32 @@ def window_summary(
 ) -> DataFrame:
     """Per tumbling window and group: events, mean value, distinct actors.
 
-    The exact distinct count keeps the window's actors in state, which lives until the watermark
-    passes; give ``rsd`` to keep a fixed-size sketch instead when a window may hold very many.
+    Distinct actors are counted exactly by a first aggregate per actor and a second one over those,
+    so the state is spread over actors instead of one growing set per window. With ``rsd`` a
+    fixed-size sketch replaces the first stage.
     """
-    actors = F.size(F.collect_set(actor)) if rsd is None else F.approx_count_distinct(actor, rsd)
-    return (
-        df.groupBy(F.window(time, width), group)
-        .agg(F.count(F.lit(1)).alias("activity_count"), F.avg(value).alias("avg_value"), actors.alias("unique_actors"))
-        .select(
-            F.col("window.start").alias("window_start"),
-            F.col("window.end").alias("window_end"),
-            group,
-            "activity_count",
-            "avg_value",
-            "unique_actors",
+    if rsd is not None:
+        summary = df.groupBy(F.window(time, width).alias("window"), group).agg(
+            F.count(F.lit(1)).alias("activity_count"),
+            F.avg(value).alias("avg_value"),
+            F.approx_count_distinct(actor, rsd).alias("unique_actors"),
         )
+    else:
+        per_actor = df.groupBy(F.window(time, width).alias("window"), group, actor).agg(
+            F.count(F.lit(1)).alias("__n"), F.count(value).alias("__values"), F.sum(value).alias("__sum")
+        )
+        summary = per_actor.groupBy("window", group).agg(
+            F.sum("__n").alias("activity_count"),
+            F.try_divide(F.sum("__sum"), F.sum("__values")).alias("avg_value"),
+            F.count(actor).alias("unique_actors"),
+        )
+    return summary.select(
+        F.col("window.start").alias("window_start"),
+        F.col("window.end").alias("window_end"),
+        group,
+        "activity_count",
+        "avg_value",
+        "unique_actors",
     )
 
 
