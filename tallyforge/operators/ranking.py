@@ -125,6 +125,7 @@ def rank_rows(
     row_number: str | None = None,
     rank: str | None = None,
     percent_rank: str | None = None,
+    ties: str | None = None,
     group_size: str | None = None,
     relative_position: str | None = None,
     ntile: Mapping[str, int] | None = None,
@@ -133,7 +134,7 @@ def rank_rows(
 ) -> DataFrame:
     """Add rank columns of ``value`` within ``group``; ``key`` (unique in its group) breaks ties.
 
-    Each output is produced only if named. ``ntile`` maps output name to number of tiles,
+    Each output is produced only if named. ``ties`` is the number of rows that share the value. ``ntile`` maps output name to number of tiles,
     ``running_sum`` maps output name to the summed column (NULL counts as 0); like Spark's default
     frame, rows with equal ``value`` share the running sum.
     """
@@ -149,6 +150,8 @@ def rank_rows(
     local: dict[str, Column] = {"__rn": F.row_number().over(by_key)}
     if rank or percent_rank:
         local["__rk"] = F.rank().over(by_value)
+    if ties:
+        local["__same"] = F.count(F.lit(1)).over(Window.partitionBy(_CELL, _ORDER))
     for name, column in running_sum.items():
         local[f"__run_{name}"] = F.coalesce(F.sum(column).over(by_value), F.lit(0))
     joined = rows.withColumns(local).join(front, _CELL)
@@ -166,6 +169,8 @@ def rank_rows(
         out[rank] = position
     if percent_rank:
         out[percent_rank] = F.when(size > 1, (position - 1) / (size - 1)).otherwise(0.0)
+    if ties:
+        out[ties] = F.when(single, F.col("__range_n")).otherwise(F.col("__same"))
     if group_size:
         out[group_size] = size
     if relative_position:
@@ -237,4 +242,5 @@ def top_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column],
     larger than ``n`` rows per task.
     """
     w = Window.partitionBy(*group).orderBy(*order)
-    return df.withColumn(rank, F.row_number().over(w)).filter(F.col(rank) <= n)
+    numbered = df.withColumn(rank, F.row_number().over(w)).filter(F.col(rank) <= n)
+    return numbered.withColumn(rank, F.col(rank).cast("long"))

@@ -91,7 +91,7 @@ def effectiveness(df: DataFrame, field: str = "field_of_study", minimum: int = 3
     return summary.withColumns(
         {
             "pct_of_field": pct(F.col("student_count"), F.sum("student_count").over(within), 1),
-            "effectiveness_rank": F.rank().over(within.orderBy(F.desc("avg_effectiveness_score"))),
+            "effectiveness_rank": F.rank().over(within.orderBy(F.desc("avg_effectiveness_score"))).cast("long"),
         }
     ).orderBy(field, F.desc("avg_effectiveness_score"))
 
@@ -188,7 +188,7 @@ def cohort_index(df: DataFrame, field: str = "field_of_study", minimum: int = 5,
     return stats.withColumns(
         {
             "performance_index": settled_round(index, 3),
-            "performance_rank_in_field": F.rank().over(Window.partitionBy(field).orderBy(F.desc("avg_gpa"))),
+            "performance_rank_in_field": F.rank().over(Window.partitionBy(field).orderBy(F.desc("avg_gpa"))).cast("long"),
         }
     ).orderBy(field, F.desc("performance_index"))
 

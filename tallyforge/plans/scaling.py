@@ -207,7 +207,7 @@ def window_bundle(
         "gpa",
         "usage_frequency_score",
         "gpa_rank",
-        "gpa_dense_rank",
+        F.col("gpa_dense_rank").cast("long").alias("gpa_dense_rank"),
         settled_round(percentile, 3).alias("gpa_percentile"),
         settled_round(F.col("__ma"), 3).alias("moving_avg_gpa"),
         "total_students_in_group",

@@ -42,17 +42,21 @@ def rank_schools(profile: DataFrame) -> DataFrame:
             "socioeconomic_impact": settled_round(mean - F.col("median_household_income") / 1000 * 0.1, 2),
         }
     )
-    best_first = rank_rows(scored, ["region"], "avg_school_score", "school_id", ascending=False, row_number="regional_rank", rank="__rank", group_size="__size")
-    # descending rank and the number of ties give the ascending percent rank
-    tied = best_first.groupBy("region", "avg_school_score").agg(_rows().alias("__tied"))
+    ranked = rank_rows(
+        scored,
+        ["region"],
+        "avg_school_score",
+        "school_id",
+        ascending=False,
+        row_number="regional_rank",
+        rank="__rank",
+        ties="__ties",
+        group_size="__size",
+    )
     size = F.col("__size")
-    below = size - F.col("__rank") - F.col("__tied") + 1
+    below = size - F.col("__rank") - F.col("__ties") + 1
     percentile = F.when(size > 1, below / (size - 1)).otherwise(0.0)
-    return (
-        best_first.join(tied, ["region", "avg_school_score"])
-        .withColumn("regional_percentile", percentile)
-        .drop("__rank", "__size", "__tied")
-    )
+    return ranked.withColumn("regional_percentile", percentile).drop("__rank", "__size", "__ties")
 
 
 def region_summary(detailed: DataFrame) -> DataFrame:

@@ -55,7 +55,7 @@ def group_impact(df: DataFrame, group: str = "parental_level_of_education", high
         share_where(F.col(AVERAGE) >= high, 1).alias("high_scorer_pct"),
     )
     return (
-        stats.withColumn("education_rank", F.rank().over(Window.partitionBy().orderBy(F.desc("__mean"))))
+        stats.withColumn("education_rank", F.rank().over(Window.partitionBy().orderBy(F.desc("__mean"))).cast("long"))
         .withColumn("avg_score", settled_round(F.col("__mean"), 2))
         .drop("__mean")
         .orderBy(F.desc("avg_score"))
