@@ -1,6 +1,6 @@
 """The library's operators and analyses applied to the driver tables, with SQL oracles."""
 
-from workload import analyses
+from workload import analyses, measures
 from workload.registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "analyses"]
+__all__ = ["ORACLES", "QUERIES", "analyses", "measures"]
