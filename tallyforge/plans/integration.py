@@ -36,6 +36,7 @@ class Sources:
     integrated: str = "integrated-student-analysis"
     insights: str = "insights"
     outliers: str = "outliers"
+    repeats: bool = True
     limits: dict[str, Any] = field(default_factory=lambda: {"max_duplicate_pct": 10.0})
 
 
@@ -49,7 +50,7 @@ def run(spark: SparkSession, root: str, sources: Sources = Sources()) -> dict[st
     for name, df in inputs.items():
         assert_quality(df, name, **sources.limits)
     paths = {n: f"{root.rstrip('/')}/{getattr(sources, n)}" for n in ("integrated", "insights", "outliers")}
-    write_parquet(integrate(**inputs), paths["integrated"], ["field_of_study", "semester"])
+    write_parquet(integrate(**inputs, repeats=sources.repeats), paths["integrated"], ["field_of_study", "semester"])
     integrated = spark.read.parquet(paths["integrated"])
     write_parquet(insight_summary(integrated), paths["insights"])
     write_parquet(typed_outliers(integrated), paths["outliers"])

@@ -156,7 +156,7 @@ def cast_columns(spark, sf_dir):
 
 @query(
     "parsed_dates",
-    "SELECT o_orderkey, CASE WHEN o_orderkey % 9 = 0 THEN NULL ELSE CAST(o_orderdate AS DATE) END AS d FROM orders",
+    "SELECT o_orderkey, CASE WHEN o_orderkey % 9 = 0 THEN 'unknown' ELSE strftime(o_orderdate, '%Y-%m-%d') END AS d FROM orders",
 )
 def parsed_dates(spark, sf_dir):
     text = (
@@ -165,7 +165,8 @@ def parsed_dates(spark, sf_dir):
         .otherwise(F.date_format("o_orderdate", "dd/MM/yyyy"))
     )
     orders = roles.table(spark, sf_dir, "orders").select("o_orderkey", text.alias("d"))
-    return cleaning.parse_date(orders, "d", ["yyyy-MM-dd", "dd/MM/yyyy"])
+    parsed = cleaning.parse_date(orders, "d", ["yyyy-MM-dd", "dd/MM/yyyy"])
+    return parsed.withColumn("d", F.coalesce(F.col("d").cast("string"), F.lit("unknown")))
 
 
 @query(
