@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyforge.functions import presets as P
 from tallyforge.functions.expr import margin_of_error, pct, safe_corr, score_map, settled_round
+from tallyforge.operators.joins import with_total_stats
 
 
 def share_of_total(df: DataFrame, group: Sequence[str], digits: int = 2, n: str = "n", share: str = "percentage") -> DataFrame:
@@ -21,6 +22,10 @@ def share_within(
 ) -> DataFrame:
     """Rows per group and their percentage of the rows of the ``outer`` group; the window sees groups, not rows."""
     counts = df.groupBy(*group).agg(F.count(F.lit(1)).alias(n))
+    if not outer:
+        # a window over everything would gather all groups in one task
+        whole = with_total_stats(counts, {"__all": F.sum(n)})
+        return whole.withColumn(share, pct(F.col(n), F.col("__all"), digits)).drop("__all")
     return counts.withColumn(share, pct(F.col(n), F.sum(n).over(Window.partitionBy(*outer)), digits))
 
 

@@ -31,9 +31,13 @@ from pyspark.sql import types as T
 _ORDER, _RANGE, _TIE, _CELL = "__order", "__range", "__tie", "__cell"
 
 
+MAX_RANGES = 10_000
+
+
 def _ranges_wanted(df: DataFrame) -> int:
+    """As many ranges as shuffle partitions, the number a job already sizes by its data."""
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(8, min(1000, partitions))
+    return max(8, min(MAX_RANGES, partitions))
 
 
 @dataclass(frozen=True)

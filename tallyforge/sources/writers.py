@@ -8,6 +8,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyforge.operators.joins import measured
+
 MB = 1024 * 1024
 
 
@@ -62,7 +64,7 @@ def cap_categories(df: DataFrame, category: str, max_partitions: int = 50, other
     in name order.
     """
     output = f"{category}_partition"
-    counts = df.groupBy(category).agg(F.count(F.lit(1)).alias("__n"))
+    counts = measured(df.groupBy(category).agg(F.count(F.lit(1)).alias("__n")))
     if counts.limit(max_partitions + 1).count() <= max_partitions:
         return df.withColumn(output, F.col(category))
     largest = counts.orderBy(F.desc("__n"), F.asc_nulls_last(category)).limit(max_partitions - 1)
