@@ -88,6 +88,22 @@ def share_where(condition: Column, digits: int | None = None) -> Column:
     return pct(F.count_if(condition), F.count(F.lit(1)), digits)
 
 
+def varies(value: Column | str) -> Column:
+    """Aggregate: whether a column holds at least two different values.
+
+    The moments of a constant column need not be exactly zero: merging partial results may move
+    the mean by the last digit, and dividing by the resulting "deviation" gives noise.
+    """
+    v = as_col(value)
+    return F.min(v) < F.max(v)
+
+
+def spread(value: Column | str) -> Column:
+    """Aggregate: sample standard deviation, exactly 0 for a constant column, NULL below two values."""
+    v = as_col(value)
+    return F.when(varies(v), F.stddev(v)).when(F.count(v) > 1, F.lit(0.0))
+
+
 def safe_corr(x: Column | str, y: Column | str) -> Column:
     """Aggregate: Pearson correlation over rows where both values are present.
 
@@ -96,13 +112,15 @@ def safe_corr(x: Column | str, y: Column | str) -> Column:
     x, y = as_col(x).cast("double"), as_col(y).cast("double")
     both = x.isNotNull() & y.isNotNull()
     px, py = F.when(both, x), F.when(both, y)
-    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(px) * F.stddev_pop(py))
+    r = F.try_divide(F.covar_pop(x, y), F.stddev_pop(px) * F.stddev_pop(py))
+    return F.when(varies(px) & varies(py), r)
 
 
 def slope(y: Column | str, x: Column | str) -> Column:
     """Aggregate: least-squares slope of ``y`` on ``x``; NULL when ``x`` does not vary."""
     x, y = as_col(x).cast("double"), as_col(y).cast("double")
-    return F.try_divide(F.covar_pop(x, y), F.var_pop(F.when(y.isNotNull(), x)))
+    px = F.when(y.isNotNull(), x)
+    return F.when(varies(px), F.try_divide(F.covar_pop(x, y), F.var_pop(px)))
 
 
 def z_score(value: Column | str, mean: Column | str, sd: Column | str) -> Column:

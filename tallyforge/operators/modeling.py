@@ -12,7 +12,7 @@ from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuil
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyforge.functions.expr import safe_corr
+from tallyforge.functions.expr import safe_corr, spread
 
 
 def rank_features(df: DataFrame, target: str, features: Sequence[str]) -> DataFrame:
@@ -69,7 +69,7 @@ def ab_test(df: DataFrame, arm: str, control: str, treatment: str, value: str) -
     out = {}
     for name, label in (("a", control), ("b", treatment)):
         v = F.when(F.col(arm) == label, F.col(value))
-        out |= {f"n_{name}": F.count(v), f"mean_{name}": F.avg(v), f"var_{name}": F.var_samp(v)}
+        out |= {f"n_{name}": F.count(v), f"mean_{name}": F.avg(v), f"var_{name}": F.pow(spread(v), F.lit(2.0))}
     stats = df.agg(*[c.alias(n) for n, c in out.items()])
     ea, eb = F.try_divide("var_a", "n_a"), F.try_divide("var_b", "n_b")
     df_parts = F.try_divide(ea * ea, F.col("n_a") - 1) + F.try_divide(eb * eb, F.col("n_b") - 1)

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyforge.functions.expr import outside, pct, z_score
+from tallyforge.functions.expr import outside, pct, spread, z_score
 from tallyforge.operators.cleaning import numeric_columns
 from tallyforge.operators.joins import with_total_stats
 
@@ -179,7 +179,7 @@ def outlier_profile(df: DataFrame, columns: Sequence[str] | None = None, z_limit
     stats: dict[str, Column] = {}
     for i, c in enumerate(columns):
         stats[f"__mean_{i}"] = F.avg(c)
-        stats[f"__sd_{i}"] = F.stddev(c)
+        stats[f"__sd_{i}"] = spread(c)
         stats[f"__q_{i}"] = F.percentile_approx(F.col(c).cast("double"), [0.25, 0.75], accuracy)
     rows = with_total_stats(df.select(*columns), stats)
     counts = []

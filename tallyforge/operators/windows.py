@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from tallyforge.functions.expr import classify, outside, z_score
+from tallyforge.functions.expr import classify, outside, spread, z_score
 from tallyforge.operators.joins import with_group_stats
 
 
@@ -65,7 +65,7 @@ def group_outliers(df: DataFrame, group: Sequence[str], value: str, limit: float
 
     No spread in the group, or an unknown value, gives no z-score and no flag.
     """
-    stats = {"__mean": F.avg(value), "__sd": F.stddev(value)}
+    stats = {"__mean": F.avg(value), "__sd": spread(value)}
     scored = with_group_stats(df, group, stats).withColumn(z, z_score(value, "__mean", "__sd"))
     return scored.withColumn(flag, outside(F.col(z), limit)).drop("__mean", "__sd")
 
@@ -82,10 +82,10 @@ def typed_outliers(
     """Rows that stand out by measure within the field, by usage within (field, level), or by both."""
     stats = {
         "field_avg_gpa": F.avg(measure),
-        "field_stddev_gpa": F.stddev(measure),
+        "field_stddev_gpa": spread(measure),
     }
     out = with_group_stats(df, [field], stats)
-    out = with_group_stats(out, [field, level], {"avg_usage_frequency": F.avg(usage), "__sd": F.stddev(usage)})
+    out = with_group_stats(out, [field, level], {"avg_usage_frequency": F.avg(usage), "__sd": spread(usage)})
     out = out.withColumns(
         {
             "gpa_z_score": z_score(measure, "field_avg_gpa", "field_stddev_gpa"),

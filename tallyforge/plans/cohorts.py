@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyforge.functions import presets as P
-from tallyforge.functions.expr import band, classify, pct, safe_corr, settled_round, share_where, weighted_score
+from tallyforge.functions.expr import band, classify, pct, safe_corr, settled_round, share_where, spread, weighted_score
 from tallyforge.operators.joins import with_group_stats
 from tallyforge.operators.scoring import engagement
 from tallyforge.operators.windows import neighbours
@@ -32,7 +32,7 @@ def effectiveness(df: DataFrame, field: str = "field_of_study", minimum: int = 3
     stats: dict[str, Column] = {}
     for name, column, digits in measures:
         stats[f"__mean_{name}"] = settled_round(F.avg(column), digits)
-        stats[f"__sd_{name}"] = settled_round(F.stddev(column), 3)
+        stats[f"__sd_{name}"] = settled_round(spread(column), 3)
     rows = with_group_stats(base, [field], stats)
     relative = {}
     for name, column, _ in measures:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tallyforge.functions import presets as P
 from tallyforge.functions.expr import band, classify, row_stddev, safe_corr, settled_round, slope, weighted_score
 from tallyforge.operators.joins import measured, with_group_stats
-from tallyforge.operators.ranking import percent_rank_of, tile_of, value_distribution
+from tallyforge.operators.ranking import percent_rank_of, ranges_of_values, tile_of, value_distribution
 from tallyforge.operators.windows import against_own_history, by_period, cumulative_average, moving_average, neighbours
 
 
@@ -196,8 +196,9 @@ def multi_criteria_rank(
     scores = scores.withColumn("overall_rank", F.coalesce(F.sum("__n").over(before), F.lit(0)) + 1)
     best = measured(scores.filter(F.col("overall_rank") <= top).select(field, "composite_score", "overall_rank"))
     out = measured(rows.join(best, [field, "composite_score"]))
+    bounds = ranges_of_values(rows, list(criteria.values()))
     for name, column in criteria.items():
-        ranks = value_distribution(rows, [field], column).select(
+        ranks = value_distribution(rows, [field], column, bounds=bounds[column]).select(
             field, column, (F.col("total") - F.col("below") - F.col("n") + 1).alias(name)
         )
         out = out.join(ranks, [field, column])

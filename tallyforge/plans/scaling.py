@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyforge.functions import presets as P
-from tallyforge.functions.expr import band, margin_of_error, safe_corr, settled_round, share_where, weighted_score, z_score
+from tallyforge.functions.expr import band, margin_of_error, safe_corr, settled_round, share_where, spread, weighted_score, z_score
 from tallyforge.operators.cleaning import hash_sample
 from tallyforge.operators.joins import measured, with_group_stats
 from tallyforge.operators.ranking import top_per_group
@@ -228,7 +228,7 @@ def benchmark_grades(
     The inner join with the field statistics is also the restriction to qualifying fields.
     """
     rows = only(df, wanted).filter(F.col("gpa").isNotNull())
-    stats = {"total_students": _rows(), "field_avg_gpa": F.avg("gpa"), "field_stddev_gpa": F.stddev("gpa")}
+    stats = {"total_students": _rows(), "field_avg_gpa": F.avg("gpa"), "field_stddev_gpa": spread("gpa")}
     joined = with_group_stats(rows, [field], stats, having=F.col("total_students") >= minimum)
     gpa, mean, sd = F.col("gpa"), F.col("field_avg_gpa"), F.col("field_stddev_gpa")
     z = F.when(sd > 0, settled_round(z_score("gpa", "field_avg_gpa", "field_stddev_gpa"), 3)).otherwise(0.0)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyforge.functions import presets as P
-from tallyforge.functions.expr import band, classify, safe_corr, score_map, settled_round, share_where, weighted_score, z_score
+from tallyforge.functions.expr import band, classify, safe_corr, score_map, settled_round, share_where, spread, weighted_score, z_score
 from tallyforge.operators.aggregates import school_summary
 from tallyforge.operators.cleaning import keep_in_ranges, train_test_split
 from tallyforge.operators.joins import join_small, with_total_stats
@@ -166,7 +166,7 @@ def model_features(detailed: DataFrame, economics: DataFrame | None = None, digi
     """Feature table of schools: encodings, ratios, interactions, z-scores, class label, split."""
     rows = with_economics(detailed, economics)
     scaled = {"budget": "budget_per_student", "ratio": "student_teacher_ratio", "income": "median_household_income"}
-    stats = {f"__mean_{n}": F.avg(c) for n, c in scaled.items()} | {f"__sd_{n}": F.stddev(c) for n, c in scaled.items()}
+    stats = {f"__mean_{n}": F.avg(c) for n, c in scaled.items()} | {f"__sd_{n}": spread(c) for n, c in scaled.items()}
     rows = with_total_stats(rows, stats)
     budget, income = F.col("budget_per_student"), F.col("median_household_income")
     out = rows.select(

@@ -125,3 +125,11 @@ def test_clip_keeps_null(spark):
 
 def test_percent_of_zero_is_null(spark):
     assert one(spark, expr.pct(F.lit(1), F.lit(0), 1), x=1.0) is None
+
+
+def test_constant_column_has_no_noise_after_merging(spark):
+    """0.1 and 3 merged from many partitions: moments are not exactly zero, the results must be."""
+    df = spark.range(0, 977, 1, 13).select(F.lit(0.1).alias("c"), (F.col("id") % 7).cast("double").alias("y"))
+    row = df.agg(expr.safe_corr("c", "y").alias("r"), expr.spread("c").alias("s"), expr.slope("y", "c").alias("b")).first()
+    assert (row.r, row.s, row.b) == (None, 0.0, None)
+    assert spark.createDataFrame([(1.0,)], "c double").agg(expr.spread("c")).first()[0] is None
