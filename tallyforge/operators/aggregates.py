@@ -32,11 +32,21 @@ def share_within(
 def enrollment_summary(df: DataFrame, key: Sequence[str] = ("student_id", "semester"), repeats: bool = True) -> DataFrame:
     """Per student and term: courses, credits, grade points, the courses and departments, and their diversity.
 
-    Enrolments are first counted per course, so a key with very many rows shrinks to its distinct
-    courses before it meets in one task. The lists are sorted. With ``repeats`` a course taken n
-    times is listed n times; without it once, which bounds the list by the course catalogue.
+    The lists are sorted. With ``repeats`` a course taken n times is listed n times; without it
+    once, which bounds the list by the course catalogue, so that a key with very many rows shrinks
+    in the partial aggregate.
     """
     points = score_map("grade", P.GRADE_POINTS, P.GRADE_POINTS_DEFAULT)
+    if not repeats:
+        return df.groupBy(*key).agg(
+            F.count("course_code").alias("total_courses"),
+            F.sum("credit_hours").alias("total_credits"),
+            F.avg(points).alias("calculated_gpa"),
+            F.sort_array(F.collect_set("course_name")).alias("courses_taken"),
+            F.sort_array(F.collect_set("department")).alias("departments"),
+            F.size(F.collect_set("department")).alias("academic_diversity"),
+        )
+    # counted per course first: the rows of a key meet only as its distinct courses
     courses = df.groupBy(*key, "course_name", "department").agg(
         F.count(F.lit(1)).alias("__rows"),
         F.count("course_code").alias("__courses"),
@@ -45,8 +55,6 @@ def enrollment_summary(df: DataFrame, key: Sequence[str] = ("student_id", "semes
     )
 
     def listed(column: str) -> Column:
-        if not repeats:
-            return F.sort_array(F.collect_set(column))
         pairs = F.collect_list(F.when(F.col(column).isNotNull(), F.struct(F.col(column).alias("v"), F.col("__rows").alias("n"))))
         return F.flatten(F.transform(F.sort_array(pairs), lambda p: F.array_repeat(p["v"], p["n"].cast("int"))))
 

@@ -49,18 +49,9 @@ class Ranges:
 
     @classmethod
     def of(cls, df: DataFrame, column: str, ranges: int) -> "Ranges":
-        return cls.of_all(df, [column], ranges)[0]
-
-    @classmethod
-    def of_all(cls, df: DataFrame, columns: Sequence[str], ranges: int) -> list["Ranges"]:
-        """Split points of several columns, from one pass."""
         probabilities = [i / ranges for i in range(1, ranges)]
-        found = df.approxQuantile(list(columns), probabilities, 1.0 / (4 * ranges))
-        return [cls.from_quantiles(q) for q in found]
-
-    @classmethod
-    def from_quantiles(cls, quantiles: Sequence[float]) -> "Ranges":
-        edges = Counter(e for e in quantiles if math.isfinite(e))
+        found = df.approxQuantile(column, probabilities, 1.0 / (4 * ranges))
+        edges = Counter(e for e in found if math.isfinite(e))
         splits, single = [-math.inf], []
         for edge, times in sorted(edges.items()):
             if splits[-1] != edge:
@@ -210,31 +201,26 @@ def tile_of(number: Column, size: Column, tiles: int) -> Column:
     )
 
 
-def ranges_of_values(df: DataFrame, columns: Sequence[str]) -> dict[str, Ranges]:
-    """Split points for the value distributions of several columns, from one pass."""
-    ordered = df.select(*[_ordering(F.col(c), True).alias(c) for c in columns])
-    return dict(zip(columns, Ranges.of_all(ordered, columns, _ranges_wanted(df))))
-
-
 def value_distribution(
     df: DataFrame,
     group: Sequence[str],
     value: str,
     aggs: Mapping[str, Column] | None = None,
     ranges: int | None = None,
-    bounds: Ranges | None = None,
+    center: str | None = None,
 ) -> DataFrame:
     """One row per distinct (group, value): ``n`` rows hold it, ``below`` rows are smaller, ``total`` in the group.
 
-    Further per-value aggregates come from ``aggs``; ``bounds`` are split points found before
-    (``ranges_of_values``). Analyses that only need totals per rank
+    Further per-value aggregates come from ``aggs``; ``center`` names an output for the mean of the
+    group. Analyses that only need totals per rank
     band read this instead of ranking rows: repeated values collapse before the shuffle.
     """
     rows = df.withColumn(_ORDER, _ordering(F.col(value), True))
-    bounds = bounds or Ranges.of(rows, _ORDER, ranges or _ranges_wanted(df))
+    bounds = Ranges.of(rows, _ORDER, ranges or _ranges_wanted(df))
     rows = bounds.assign(rows, _ORDER, _RANGE)
     cell = F.struct(*[F.col(g) for g in group], F.col(_RANGE), F.lit(0).alias(_TIE)).alias(_CELL)
-    front = _in_front(rows.select(cell), group, {"n": F.count(F.lit(1))})
+    totals = {"n": F.count(F.lit(1))} | ({"sum": F.sum(value)} if center else {})
+    front = _in_front(rows.select(cell, value), group, totals)
     extra = [c.alias(n) for n, c in (aggs or {}).items()]
     values = rows.groupBy(cell, _ORDER, value).agg(F.count(F.lit(1)).alias("n"), *extra)
     earlier = Window.partitionBy(_CELL).orderBy(_ORDER).rowsBetween(Window.unboundedPreceding, -1)
@@ -247,6 +233,7 @@ def value_distribution(
             "n",
             (F.col("__before_n") + F.col("__earlier")).alias("below"),
             F.col("__all_n").alias("total"),
+            *([(F.col("__all_sum") / F.col("__all_n")).alias(center)] if center else []),
             *list(aggs or {}),
         )
     )

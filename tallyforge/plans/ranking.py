@@ -6,9 +6,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyforge.functions import presets as P
-from tallyforge.functions.expr import band, classify, row_stddev, safe_corr, settled_round, slope, weighted_score
-from tallyforge.operators.joins import measured, with_group_stats
-from tallyforge.operators.ranking import percent_rank_of, ranges_of_values, tile_of, value_distribution
+from tallyforge.functions.expr import band, classify, row_stddev, safe_corr, settled_round, slope, varies, weighted_score
+from tallyforge.operators.joins import measured
+from tallyforge.operators.ranking import percent_rank_of, tile_of, value_distribution
 from tallyforge.operators.windows import against_own_history, by_period, cumulative_average, moving_average, neighbours
 
 
@@ -115,7 +115,7 @@ def tile_distribution(df: DataFrame, field: str = "field_of_study", measure: str
     A tile is an interval of positions, and a distinct value covers the positions
     ``below + 1 .. below + n``; the rows of a value are split over the tiles it touches.
     """
-    d = value_distribution(df.filter(F.col(measure).isNotNull()), [field], measure)
+    d = value_distribution(df.filter(F.col(measure).isNotNull()), [field], measure, center="__center")
     first, last = F.col("below") + 1, F.col("below") + F.col("n")
     total = F.col("total")
     d = d.withColumn("tile", F.explode(F.sequence(tile_of(first, total, tiles), tile_of(last, total, tiles))))
@@ -123,22 +123,24 @@ def tile_distribution(df: DataFrame, field: str = "field_of_study", measure: str
     start = (tile - 1) * small + F.least(tile - 1, extra) + 1
     end = tile * small + F.least(tile, extra)
     d = d.withColumn("rows", F.least(end, last) - F.greatest(start, first) + 1)
-    mean = F.sum(F.col("rows") * F.col(measure)) / F.sum("rows")
-    d = with_group_stats(d, [field, "tile"], {"__mean": mean})
-    off = F.col(measure) - F.col("__mean")
+    # deviations from the field's mean keep the squares small
+    off, n = F.col(measure) - F.col("__center"), F.sum("rows")
+    moved, squared = F.sum(F.col("rows") * off), F.sum(F.col("rows") * off * off)
+    variance = F.greatest(F.try_divide(squared - moved * moved / n, n - 1), F.lit(0.0))
     rank = percent_rank_of(F.col("below"), total)
+    output = "gpa_quartile" if tiles == 4 else "tile"
     return (
-        d.groupBy(field, F.col("tile").alias("gpa_quartile" if tiles == 4 else "tile"))
+        d.groupBy(field, F.col("tile").alias(output))
         .agg(
-            F.sum("rows").alias("student_count"),
+            n.alias("student_count"),
             settled_round(F.min(measure), 3).alias("min_gpa"),
             settled_round(F.max(measure), 3).alias("max_gpa"),
-            settled_round(mean, 3).alias("avg_gpa"),
-            settled_round(F.sqrt(F.try_divide(F.sum(F.col("rows") * off * off), F.sum("rows") - 1)), 3).alias("stddev_gpa"),
+            settled_round(F.sum(F.col("rows") * F.col(measure)) / n, 3).alias("avg_gpa"),
+            settled_round(F.when(varies(measure), F.sqrt(variance)).when(n > 1, 0.0), 3).alias("stddev_gpa"),
             settled_round(F.min(rank), 3).alias("min_percentile"),
             settled_round(F.max(rank), 3).alias("max_percentile"),
         )
-        .orderBy(field, "gpa_quartile" if tiles == 4 else "tile")
+        .orderBy(field, output)
     )
 
 
@@ -195,13 +197,24 @@ def multi_criteria_rank(
     before = order.rowsBetween(Window.unboundedPreceding, -1)
     scores = scores.withColumn("overall_rank", F.coalesce(F.sum("__n").over(before), F.lit(0)) + 1)
     best = measured(scores.filter(F.col("overall_rank") <= top).select(field, "composite_score", "overall_rank"))
-    out = measured(rows.join(best, [field, "composite_score"]))
-    bounds = ranges_of_values(rows, list(criteria.values()))
-    for name, column in criteria.items():
-        ranks = value_distribution(rows, [field], column, bounds=bounds[column]).select(
-            field, column, (F.col("total") - F.col("below") - F.col("n") + 1).alias(name)
-        )
-        out = out.join(ranks, [field, column])
+    best_rows = measured(rows.join(best, [field, "composite_score"]))
+
+    # all criteria in long form share one value distribution; an unknown value ranks last
+    pairs = [
+        F.struct(F.lit(name).alias("criterion"), F.coalesce(F.col(c).cast("double"), F.lit(-1.2e308)).alias("value"))
+        for name, c in criteria.items()
+    ]
+    long = F.explode(F.array(*pairs)).alias("p")
+    ranks = value_distribution(rows.select(field, long).select(field, "p.*"), [field, "criterion"], "value")
+    ranks = ranks.select(field, "criterion", "value", (F.col("total") - F.col("below") - F.col("n") + 1).alias("rank"))
+    best_keys = [field, *keys, "overall_rank", "composite_score"]
+    out = (
+        best_rows.select(*best_keys, long)
+        .select(*best_keys, "p.*")
+        .join(ranks, [field, "criterion", "value"])
+        .groupBy(*best_keys)
+        .agg(*[F.max(F.when(F.col("criterion") == name, F.col("rank"))).alias(name) for name in criteria])
+    )
     spread = F.col("rank_volatility")
     kind = classify(
         [
