@@ -70,12 +70,16 @@ def weighted_score(parts: Iterable[tuple[Column | str, float, Any]], digits: int
 
 
 def settled_round(value: Column, digits: int) -> Column:
-    """Round half up after snapping to ten digits.
+    """Round half away from zero; a value within 5e-11 of a rounding boundary counts as on it.
 
-    A distributed floating sum depends on the order in which partitions are merged; snapping
-    first makes a result that lies on a rounding boundary independent of that order.
+    A distributed floating sum depends on the order in which partitions are merged; with the
+    margin, a result that lies on a boundary does not. Plain arithmetic, because ``round`` goes
+    through a decimal object per row.
     """
-    return F.round(F.round(value.cast("double"), 10), digits)
+    x, scale = value.cast("double"), float(10**digits)
+    units = F.floor(F.abs(x) * scale + (0.5 + 5e-11 * scale))
+    # + 0.0 turns a negative zero into zero
+    return F.when(F.abs(x) < 1e12, F.signum(x) * units / scale + 0.0).otherwise(F.round(x, digits))
 
 
 def pct(part: Column, whole: Column, digits: int | None = None) -> Column:

@@ -133,3 +133,14 @@ def test_constant_column_has_no_noise_after_merging(spark):
     row = df.agg(expr.safe_corr("c", "y").alias("r"), expr.spread("c").alias("s"), expr.slope("y", "c").alias("b")).first()
     assert (row.r, row.s, row.b) == (None, 0.0, None)
     assert spark.createDataFrame([(1.0,)], "c double").agg(expr.spread("c")).first()[0] is None
+
+
+@pytest.mark.parametrize("value, digits, want", [(2.5, 0, 3.0), (-2.5, 0, -3.0), (-0.0004, 3, 0.0), (1e15, 2, 1e15), (1.005, 2, 1.01), (2.675, 2, 2.68), (0.1 + 0.2, 1, 0.3), (123456789.985, 2, 123456789.99)])
+def test_settled_round_values(spark, value, digits, want):
+    got = one(spark, expr.settled_round(F.col("x"), digits), x=value)
+    assert got == want and str(got) == str(want)
+
+
+def test_settled_round_keeps_null_and_nan(spark):
+    assert one(spark, expr.settled_round(F.col("x"), 2), x=None) is None
+    assert one(spark, expr.settled_round(F.col("x"), 2), x=float("nan")) != one(spark, expr.settled_round(F.col("x"), 2), x=0.0)
