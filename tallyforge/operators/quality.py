@@ -324,6 +324,25 @@ def recommendations(report: DataFrame) -> DataFrame:
     return report.withColumn("recommendation", advice).filter(F.col("recommendation").isNotNull())
 
 
+def report_document(report: DataFrame, **limits: Any) -> DataFrame:
+    """One nested row per table, ready for JSON: counts by severity, status, and all its checks.
+
+    A report has a row per check and column, so a table's checks are few.
+    """
+    found = issues(report, **limits).select("table_name", "check", "column_name", "severity")
+    marked = report.join(found, ["table_name", "check", "column_name"], "left")
+    detail = F.struct("check", "column_name", "invalid", "total", "percentage", "rule", "status", "severity")
+    critical = F.count_if(F.col("severity") == "critical")
+    return marked.groupBy("table_name").agg(
+        F.struct(
+            F.when(critical > 0, "FAIL").otherwise("PASS").alias("overall_status"),
+            critical.alias("critical_issues_count"),
+            F.count_if(F.col("severity") == "warning").alias("warnings_count"),
+        ).alias("summary"),
+        F.sort_array(F.collect_list(detail)).alias("checks"),
+    )
+
+
 class QualityError(ValueError):
     """Raised by the gate."""
 

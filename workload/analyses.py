@@ -539,6 +539,25 @@ def outliers(spark, sf_dir):
     )
 
 
+@query(
+    "outlier_share",
+    f"""WITH {S}, {OUTLIERS} SELECT {OUTLIER_TYPE} AS outlier_type, COUNT(*) AS n, {R('100.0 * CAST(COUNT(*) AS DOUBLE) / (SELECT COUNT(*) FROM students)', 2)} AS pct
+      FROM o WHERE is_gpa_outlier OR is_usage_outlier GROUP BY 1""",
+)
+def outlier_share(spark, sf_dir):
+    return survey.outlier_share(typed_outliers(spark, sf_dir), roles.students(spark, sf_dir))
+
+
+@query(
+    "period_bundle",
+    f"""WITH {roles.TERMS_SQL} SELECT student_id, semester, CAST(row_number() OVER w AS INT) AS row_number, CAST(rank() OVER w AS INT) AS rank,
+      CAST(SUM(credits_completed) OVER w AS BIGINT) AS running_total FROM terms WINDOW w AS (PARTITION BY student_id ORDER BY semester)""",
+)
+def period_bundle(spark, sf_dir):
+    terms = roles.terms(spark, sf_dir).select("student_id", "semester", "credits_completed")
+    return windows.period_bundle(terms, "student_id", "semester", "credits_completed").drop("credits_completed")
+
+
 @query(
     "top_outliers",
     f"""WITH {S}, {OUTLIERS} SELECT student_id, semester, {R('zg', 5)} AS gpa_z_score FROM o WHERE is_gpa_outlier OR is_usage_outlier

@@ -6,12 +6,15 @@ see the same ones.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tallyforge.functions.expr import list_count, settled_round, title_text
 from tallyforge.operators import cleaning, modeling, quality, scoring
-from tallyforge.operators.joins import orphans
-from tallyforge.session import cut_lineage
+from tallyforge.operators.joins import orphans, semi_join, star_join
+from tallyforge.session import cut_lineage, ensure_checkpoint_dir
+from tallyforge.sources import readers, writers
 from workload import roles
 from workload.analyses import INTEGRATED, integrated_frame, written_students
 from workload.registry import CORR, PCT, R, query
@@ -226,6 +229,43 @@ def orphan_labels(spark, sf_dir):
     return orphans(labels, "doc_id", roles.table(spark, sf_dir, "documents"), "doc_id")
 
 
+@query(
+    "orders_of_large_segments",
+    """SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment IN
+      (SELECT c_mktsegment FROM customer GROUP BY 1 HAVING COUNT(*) > (SELECT COUNT(*) / 5e0 FROM customer)))""",
+)
+def orders_of_large_segments(spark, sf_dir):
+    """Two semi joins: customers of segments above the mean size, and their orders."""
+    customer = roles.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment")
+    sizes = customer.groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("n"))
+    limit = customer.count() / 5
+    wanted = semi_join(customer, sizes.filter(F.col("n") > limit), ["c_mktsegment"])
+    orders = roles.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    return semi_join(orders, wanted, ["o_custkey"])
+
+
+@query(
+    "revenue_by_region",
+    f"""SELECT r_name, l_returnflag, COUNT(*) AS n, {R('SUM(l_extendedprice * (1 - l_discount))', 2)} AS revenue FROM lineitem
+      JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY 1, 2""",
+)
+def revenue_by_region(spark, sf_dir):
+    def dim(name, **renamed):
+        return roles.table(spark, sf_dir, name).select(*[F.col(c).alias(a) for c, a in renamed.items()])
+
+    lines = dim("lineitem", l_suppkey="supp", l_returnflag="l_returnflag", l_extendedprice="price", l_discount="discount")
+    joined = star_join(
+        lines,
+        [
+            (dim("supplier", s_suppkey="supp", s_nationkey="nation"), ["supp"]),
+            (dim("nation", n_nationkey="nation", n_regionkey="region"), ["nation"]),
+            (dim("region", r_regionkey="region", r_name="r_name"), ["region"]),
+        ],
+    )
+    revenue = settled_round(F.sum(F.col("price") * (1 - F.col("discount"))), 2)
+    return joined.groupBy("r_name", "l_returnflag").agg(F.count(F.lit(1)).alias("n"), revenue.alias("revenue"))
+
+
 # --- scores --------------------------------------------------------------------------------------
 
 PROFICIENCY = R("num_ai_tools * 0.3e0 + usage_frequency_score * 0.4e0 + satisfaction_level * 0.3e0", 2)
@@ -501,7 +541,31 @@ def quality_declared_rules(spark, sf_dir):
     return quality.declared_issues(flawed(spark, sf_dir), "lines", declared).select("check", "column_name", "invalid")
 
 
-@query("category_advice")
+@query(
+    "quality_json_report",
+    f"""WITH {FLAWED_TWICE}, {REPORT}, s AS (SELECT *, {SEVERITY.replace('> 5 THEN', '> 20 THEN', 1)} AS severity FROM report)
+    SELECT table_name, CASE WHEN COUNT(*) FILTER (WHERE severity = 'critical') > 0 THEN 'FAIL' ELSE 'PASS' END AS overall_status,
+      COUNT(*) FILTER (WHERE severity = 'warning') AS warnings_count, CAST(SUM(invalid) AS BIGINT) AS invalid, COUNT(*) AS checks FROM s GROUP BY 1""",
+)
+def quality_json_report(spark, sf_dir):
+    """The nested report is written as JSON and read back."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/report-{uuid.uuid4().hex}"
+    document = quality.report_document(cut_lineage(report(spark, sf_dir)))
+    writers.write_json(document, path)
+    return readers.read_json(spark, path, document.schema).select(
+        "table_name",
+        "summary.overall_status",
+        "summary.warnings_count",
+        F.aggregate("checks", F.lit(0).cast("long"), lambda total, c: total + c["invalid"]).alias("invalid"),
+        F.size("checks").cast("long").alias("checks"),
+    )
+
+
+@query(
+    "category_advice",
+    """SELECT 'c_mktsegment' AS column_name, CAST(MAX(length(c_mktsegment)) AS INT) AS max_length, COUNT(DISTINCT c_mktsegment) AS distinct_values
+      FROM customer""",
+)
 def category_advice(spark, sf_dir):
     return quality.category_advice(roles.table(spark, sf_dir, "customer"))
 

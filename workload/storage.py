@@ -46,7 +46,9 @@ def parquet_round_trip(spark, sf_dir):
 @query("partitioned_round_trip", ORDERS)
 def partitioned_round_trip(spark, sf_dir):
     path = scratch(spark, "partitioned")
-    writers.write_parquet(orders(spark, sf_dir), path, ["o_orderstatus", "o_orderpriority"], max_records_per_file=1_000_000)
+    writers.write_parquet(
+        orders(spark, sf_dir), path, ["o_orderstatus", "o_orderpriority"], max_records_per_file=1_000_000, sort_by=["o_custkey"]
+    )
     return readers.read_parquet(spark, path)
 
 
