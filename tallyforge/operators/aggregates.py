@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyforge.functions import presets as P
-from tallyforge.functions.expr import margin_of_error, pct, safe_corr, score_map, settled_round
+from tallyforge.functions.expr import pct, safe_corr, score_map
 from tallyforge.operators.joins import with_total_stats
 
 
@@ -128,16 +128,6 @@ def pivot_counts(df: DataFrame, row: str, column: str, values: Sequence[str]) ->
     return df.groupBy(row).agg(*cells)
 
 
-def mean_interval(mean: Column, sd: Column, n: Column, digits: int = 3) -> Mapping[str, Column]:
-    """95 per cent interval of a mean under the normal approximation."""
-    error = margin_of_error(sd, n)
-    return {
-        "ci_lower": settled_round(mean - error, digits),
-        "ci_upper": settled_round(mean + error, digits),
-        "margin_of_error": settled_round(error, digits),
-    }
-
-
 def activity_rollup(df: DataFrame, time: str, unit: str, group: Sequence[str], value: str) -> DataFrame:
     """Events per hour or day and group: count, mean value and distinct actors."""
     return df.groupBy(F.date_trunc(unit, time).alias("period"), *group).agg(

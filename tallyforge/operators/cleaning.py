@@ -87,13 +87,7 @@ def fill_mode(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     distinct values is fine.
     """
     for c in columns:
-        top = most_common(df, c).select(F.lit(0).alias("__one"), F.col(c).alias("__fill"))
-        df = (
-            df.withColumn("__one", F.lit(0))
-            .join(F.broadcast(top), "__one", "left")
-            .withColumn(c, F.coalesce(c, "__fill"))
-            .drop("__one", "__fill")
-        )
+        df = df.withColumn(c, F.coalesce(F.col(c), most_common(df, c).scalar()))
     return df
 
 

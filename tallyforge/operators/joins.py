@@ -27,9 +27,21 @@ def measured(df: DataFrame) -> DataFrame:
     """
     kept = df.persist()
     kept.count()
+    _measured.append(kept)
     return kept
 
 
+_measured: list[DataFrame] = []
+
+
+def release_measured() -> int:
+    """Drop all summaries kept by ``measured``; call it once the results that use them are written."""
+    n = len(_measured)
+    while _measured:
+        _measured.pop().unpersist()
+    return n
+
+
 def join_small(
     df: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "inner", max_rows: int = BROADCAST_ROWS
 ) -> DataFrame:
@@ -56,9 +68,9 @@ def with_group_stats(
 
 
 def with_total_stats(df: DataFrame, stats: Mapping[str, Column]) -> DataFrame:
-    """Rows extended by aggregates of the whole table, which are exactly one row."""
-    total = df.agg(F.lit(0).alias("__one"), *[c.alias(n) for n, c in stats.items()])
-    return df.withColumn("__one", F.lit(0)).join(F.broadcast(total), "__one").drop("__one")
+    """Rows extended by aggregates of the whole table: one scalar subquery, no join and no shuffle of the rows."""
+    total = df.agg(F.struct(*[c.alias(n) for n, c in stats.items()]).alias("__stats")).scalar()
+    return df.withColumn("__stats", total).withColumns({n: F.col("__stats")[n] for n in stats}).drop("__stats")
 
 
 def semi_join(df: DataFrame, wanted: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -125,6 +137,6 @@ def counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
 
 def join_reconciliation(before: DataFrame, after: DataFrame, name: str) -> DataFrame:
     """Row counts before and after a join, as one row."""
-    left = before.agg(F.count(F.lit(1)).alias("rows_before")).withColumn("join_name", F.lit(name))
-    right = after.agg(F.count(F.lit(1)).alias("rows_after")).withColumn("join_name", F.lit(name))
-    return left.join(right, "join_name").select("join_name", "rows_before", "rows_after")
+    rows_after = after.agg(F.count(F.lit(1))).scalar()
+    counts = before.agg(F.count(F.lit(1)).alias("rows_before"))
+    return counts.select(F.lit(name).alias("join_name"), "rows_before", rows_after.alias("rows_after"))

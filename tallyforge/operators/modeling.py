@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyforge.functions.expr import safe_corr, spread
+from tallyforge.operators.joins import with_total_stats
 
 
 def rank_features(df: DataFrame, target: str, features: Sequence[str]) -> DataFrame:
@@ -43,24 +44,17 @@ def drift(
         )
 
     both = shares(base, "base").join(shares(current, "current"), "bin", "full").fillna(0)
-    totals = both.agg(
-        F.lit(0).alias("__one"),
-        *[F.sum(f"{n}_{m}").alias(f"__{n}_{m}") for n in ("base", "current") for m in ("n", "sum")],
-    )
+    totals = {f"__{n}_{m}": F.sum(f"{n}_{m}") for n in ("base", "current") for m in ("n", "sum")}
     p = F.greatest(F.try_divide("base_n", "__base_n"), F.lit(floor))
     q = F.greatest(F.try_divide("current_n", "__current_n"), F.lit(floor))
-    return (
-        both.withColumn("__one", F.lit(0))
-        .join(F.broadcast(totals), "__one")
-        .select(
-            "bin",
-            "base_n",
-            "current_n",
-            p.alias("base_share"),
-            q.alias("current_share"),
-            ((q - p) * F.ln(q / p)).alias("psi"),
-            (F.try_divide("__current_sum", "__current_n") - F.try_divide("__base_sum", "__base_n")).alias("mean_shift"),
-        )
+    return with_total_stats(both, totals).select(
+        "bin",
+        "base_n",
+        "current_n",
+        p.alias("base_share"),
+        q.alias("current_share"),
+        ((q - p) * F.ln(q / p)).alias("psi"),
+        (F.try_divide("__current_sum", "__current_n") - F.try_divide("__base_sum", "__base_n")).alias("mean_shift"),
     )
 
 

@@ -247,11 +247,9 @@ def full_report(
     report = run_checks(df, table, checks).unionByName(duplicate_profile(df, table))
     if outliers and numeric_columns(df):
         far = outlier_profile(df)
-        rows = df.agg(F.count(F.lit(1)).alias("total"), F.lit(0).alias("__one"))
+        rows = df.agg(F.count(F.lit(1))).scalar()
         report = report.unionByName(
-            far.withColumn("__one", F.lit(0))
-            .join(F.broadcast(rows), "__one")
-            .select(
+            far.withColumn("total", rows).select(
                 F.lit(table).alias("table_name"),
                 F.lit("zscore_outliers").alias("check"),
                 "column_name",

@@ -15,7 +15,6 @@ from tallyforge.functions.expr import (
     hash_normal,
     list_count,
     member_label,
-    safe_corr,
     score_map,
     share_where,
     weighted_score,
@@ -253,8 +252,3 @@ def adjust_for_school(df: DataFrame, key: str, scores: Sequence[str], noise_sd:
             "school_effect": F.round("school_effect", 1),
         }
     )
-
-
-def correlations_with(df: DataFrame, target: str, columns: Sequence[str]) -> Column:
-    """Array of (column, correlation with the target), all in one aggregate."""
-    return F.array(*[F.struct(F.lit(c).alias("feature"), safe_corr(c, target).alias("correlation")) for c in columns])

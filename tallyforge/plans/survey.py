@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyforge.functions import presets as P
 from tallyforge.functions.expr import band, bin_floor, pct, safe_corr, settled_round
-from tallyforge.operators.aggregates import box_plot, grid_counts, share_of_total
+from tallyforge.operators.aggregates import box_plot, grid_counts, share_of_total, share_within
 from tallyforge.operators.joins import with_total_stats
 
 
@@ -89,8 +89,6 @@ def box(df: DataFrame, group: str, value: str) -> DataFrame:
 
 def group_share_grid(df: DataFrame, row: str, column: str) -> DataFrame:
     """Counts of (row, column) with the percentage within the row."""
-    from tallyforge.operators.aggregates import share_within
-
     return share_within(df, [row, column], [row], 2, "n", "pct_of_row")
 
 
@@ -110,6 +108,6 @@ def top_outliers(outliers: DataFrame, z: str, key: Sequence[str], n: int = 10) -
 
 def outlier_share(outliers: DataFrame, total: DataFrame) -> DataFrame:
     """Outliers by type and their percentage of all rows."""
-    rows = total.agg(F.lit(0).alias("__one"), _rows().alias("__rows"))
-    kinds = outliers.groupBy("outlier_type").agg(_rows().alias("n")).withColumn("__one", F.lit(0))
-    return kinds.join(F.broadcast(rows), "__one").select("outlier_type", "n", pct(F.col("n"), F.col("__rows"), 2).alias("pct"))
+    rows = total.agg(_rows()).scalar()
+    kinds = outliers.groupBy("outlier_type").agg(_rows().alias("n")).withColumn("__rows", rows)
+    return kinds.select("outlier_type", "n", pct(F.col("n"), F.col("__rows"), 2).alias("pct"))

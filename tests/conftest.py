@@ -11,7 +11,7 @@ from tallyforge.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session("4", "tests", shuffle_partitions=8)
+    session = local_session("8", "tests", shuffle_partitions=8)
     yield session
     session.stop()
 

@@ -90,3 +90,17 @@ def test_school_pipeline_has_no_nested_loops(spark, sf_dir):
 def test_duplicates_collapse_before_the_shuffle(orders):
     text = plan(quality.duplicate_profile(orders, "orders"))
     assert text.count("partial_count(1)") == 1 and text.index("partial_count(1)") > text.index("Exchange")
+
+
+def test_total_stats_join_is_a_hash_join(orders):
+    text = plan(joins.with_total_stats(orders, {"m": F.avg("o_totalprice")}))
+    assert "BroadcastNestedLoopJoin" not in text and "CartesianProduct" not in text
+
+
+def test_no_registered_query_uses_python_or_cross_joins(spark, sf_dir):
+    import workload
+
+    for key in ["insights", "outliers", "school_ranking", "student_scores", "quality_report", "fill_mean_and_mode", "weighted_assignment", "window_bundle"]:
+        text = plan(workload.QUERIES[key](spark, sf_dir))
+        assert "PythonUDF" not in text and "EvalPython" not in text, key
+        assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text, key

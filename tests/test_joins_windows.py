@@ -152,3 +152,12 @@ def test_benchmark_grades_needs_enough_rows(spark):
     out = benchmark_grades(df).collect()
     assert {r.field_of_study for r in out} == {"big"}
     assert {r.performance_grade for r in out if r.gpa == 3.0} == {"Above Average"}
+
+
+def test_measured_summaries_can_be_released(spark):
+    joins.release_measured()
+    df = spark.createDataFrame([("a", 1.0), ("b", 3.0)], "g string, x double")
+    out = joins.with_group_stats(df, ["g"], {"m": F.avg("x")})
+    assert out.count() == 2
+    assert joins.release_measured() == 1
+    assert out.count() == 2  # computed again where needed

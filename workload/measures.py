@@ -267,19 +267,16 @@ def weighted_assignment(spark, sf_dir):
     supplier = roles.schools(spark, sf_dir).select("school_id", "student_count")
     customer = roles.table(spark, sf_dir, "customer").select("c_custkey")
     assigned = assign_weighted(customer, "c_custkey", supplier, "school_id", "student_count")
-    rows = assigned.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("c_custkey").alias("assigned"), F.lit(0).alias("__one"))
-    big = assigned.join(supplier, "school_id").agg(
-        F.lit(0).alias("__one"), F.sum(F.when(F.col("student_count") >= 1500, 1).otherwise(0)).alias("__got")
-    )
-    weight = supplier.agg(
-        F.lit(0).alias("__one"),
-        F.try_divide(F.sum(F.when(F.col("student_count") >= 1500, F.col("student_count"))), F.sum("student_count")).alias("p"),
+    big = F.col("student_count") >= 1500
+    share = supplier.agg(F.try_divide(F.sum(F.when(big, F.col("student_count"))), F.sum("student_count"))).scalar()
+    counts = assigned.join(supplier, "school_id").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("c_custkey").alias("assigned"), F.count_if(big).alias("got")
     )
     p, n = F.col("p"), F.col("n")
-    bound = F.abs(F.col("__got") - n * p) <= 6 * F.sqrt(n * p * (1 - p)) + 1
+    bound = F.abs(F.col("got") - n * p) <= 6 * F.sqrt(n * p * (1 - p)) + 1
     # without a big supplier there is nothing to bound
-    fair = F.coalesce(bound, F.lit(True))
-    return rows.join(big, "__one").join(weight, "__one").select("n", "assigned", fair.alias("within_bounds"))
+    fair = F.coalesce(bound, F.lit(True)).alias("within_bounds")
+    return counts.withColumn("p", share).select("n", "assigned", fair)
 
 
 @query(
