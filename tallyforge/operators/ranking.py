@@ -76,7 +76,7 @@ def _ordering(value: Column, ascending: bool) -> Column:
 def _key_as_number(df: DataFrame, key: str) -> Column:
     """A number that grows with the key, good enough to cut the key space into ranges."""
     kind = df.schema[key].dataType
-    if isinstance(kind, (T.DateType, T.TimestampType)):
+    if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
         return F.col(key).cast("timestamp").cast("double")
     if not isinstance(kind, T.StringType):
         return F.col(key).cast("double")

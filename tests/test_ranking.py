@@ -162,3 +162,11 @@ def test_multi_criteria_keeps_all_rows_of_the_last_rank(spark):
     )
     want = df.withColumn("c", F.round(F.round(score, 10), 3)).withColumn("r", F.rank().over(w)).filter("r <= 3")
     assert out.count() == want.count() > 6
+
+
+@pytest.mark.parametrize("kind", ["date", "timestamp", "timestamp_ntz"])
+def test_time_keys_break_ties_of_a_hot_value(spark, kind):
+    day = F.date_add(F.lit("2024-01-01").cast("date"), F.col("id").cast("int"))
+    df = spark.range(400).select(F.lit(1.0).alias("v"), day.cast(kind).alias("k"), "id")
+    out = rank_rows(df, [], "v", "k", row_number="rn", ranges=8)
+    assert out.filter(F.col("rn") != F.col("id") + 1).count() == 0

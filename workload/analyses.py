@@ -304,14 +304,15 @@ def pruned_summary(spark, sf_dir):
 
 @query(
     "monthly_trend",
-    f"""SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS month, o_orderpriority, COUNT(*) AS monthly_count,
+    f"""SELECT strftime(o_orderdate, '%Y-%m') AS month, o_orderpriority, COUNT(*) AS monthly_count,
       {R('AVG(o_totalprice)', 4)} AS avg_monthly_gpa, {R('AVG(o_custkey)', 4)} AS avg_monthly_usage FROM orders
       WHERE o_orderdate >= TIMESTAMP '1996-01-01' AND o_orderdate < TIMESTAMP '1998-12-31' GROUP BY 1, 2""",
 )
 def monthly_trend(spark, sf_dir):
     orders = roles.table(spark, sf_dir, "orders")
     since, before = F.lit("1996-01-01").cast("timestamp_ntz"), F.lit("1998-12-31").cast("timestamp_ntz")
-    return scaling.monthly_trend(orders, "o_orderdate", since, before, "o_orderpriority", "o_totalprice", "o_custkey", 4)
+    out = scaling.monthly_trend(orders, "o_orderdate", since, before, "o_orderpriority", "o_totalprice", "o_custkey", 4)
+    return out.withColumn("month", F.date_format("month", "yyyy-MM"))
 
 
 def _per_row(column: str, digits: int, name: str) -> str:
