@@ -20,13 +20,13 @@ def save(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def join_texts(texts: DataFrame, small: DataFrame, on: str, how: str = "inner", row_bytes: int = 40) -> DataFrame:
+def join_texts(texts: DataFrame, small: DataFrame, on: str, how: str = "inner", row_bytes: str = "40") -> DataFrame:
     """Join wide text rows with a saved narrow table.
 
-    Below BROADCAST_BYTES (rows are counted) the narrow side is broadcast and texts stay where they are;
-    beyond, Spark shuffles both sides by the key. The result is the same.
+    Up to BROADCAST_BYTES (summed over its rows first) the narrow side is broadcast and texts stay where
+    they are; beyond, Spark shuffles both sides by the key. The result is the same.
     """
-    if small.count() * row_bytes <= BROADCAST_BYTES:
+    if (small.agg(F.sum(F.expr(row_bytes))).first()[0] or 0) <= BROADCAST_BYTES:
         small = F.broadcast(small)
     return texts.join(small, on, how)
 

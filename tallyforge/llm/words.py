@@ -22,7 +22,7 @@ _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _BYTES = np.random.Generator(np.random.PCG64(20)).integers(1, 2**63, 256, dtype=np.uint64) * U(2) + U(1)
 _LOWER = _BYTES.copy()
 _LOWER[65:91] = _BYTES[97:123]
-_BASES = {"byte": 6364136223846793005, "word": 3935559000370003845}
+_BASES = {"byte": 6364136223846793005, "word": 3935559000370003845, "other": 2862933555777941757}
 _POWERS: dict[str, tuple[np.ndarray, np.ndarray]] = {}
 
 
