@@ -7,9 +7,10 @@ within both prefixes (shingles that occur once need not be indexed, but count as
 Classes with equal prefix and size form a group, groups meet in the prefix index, group pairs pass the
 length and position filters, and the members of the remaining pairs are compared exactly.
 
-Of the pairs within one component only as many are compared as connect it: first every group meets one hub
-for each of its keys and size bands, then all pairs between different components follow. Every pair of
-linked classes ends in one component, but thousands of near copies do not become millions of pairs.
+Of the pairs within one component only as many are compared as connect it: in some rounds every group meets one
+hub for each of its keys and size bands, first the most typical ones, then others by chance; once the pairs left
+between different components are no more than the index has rows, or hardly get fewer, all of them are compared. Every pair of linked
+classes ends in one component, but thousands of near copies do not become millions of pairs.
 """
 
 from __future__ import annotations
@@ -26,7 +27,10 @@ from tallyforge.llm.tables import components, join_texts, save, unique_ids
 
 #: Share of the hash range whose shingles take part in the first count; any share gives the same result.
 FIRST_COUNT = 0.4
-HUB_ROUNDS = 3
+#: At most so many rounds of hubs before all remaining pairs are compared; any number gives the same result.
+HUB_ROUNDS = 8
+#: So many keys before a place are kept with it; with any number the result is the same.
+EARLIER = 64
 
 
 def _sets(size: int, want: str):
@@ -60,7 +64,10 @@ def _few_alone(sets: DataFrame, keys: DataFrame, percent: int) -> DataFrame:
 
 
 def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
-    """(doc_id, n, key, place): the indexed part of each set's prefix; place counts from 1 over the whole order."""
+    """(doc_id, n, lonely, key, place): the indexed part of each set's prefix.
+
+    place counts from 1 over the whole order, in which the ``lonely`` shingles of no other set come first.
+    """
     rows = sets.select("doc_id", "n", F.explode("keys").alias("key"))
     seen = rows.groupBy("key").agg(F.count("*").alias("df")).where("df > 1")
     order = Window.partitionBy("doc_id").orderBy("df", "key")
@@ -70,14 +77,16 @@ def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
     return (
         shared.where(F.col("i") <= F.col("n") - need + 1)
         .join(total, "doc_id")
-        .select("doc_id", "n", "key", (F.col("i") + F.col("n") - F.col("shared")).cast("int").alias("place"))
+        .withColumn("lonely", F.col("n") - F.col("shared"))
+        .select("doc_id", "n", "lonely", "key", (F.col("i") + F.col("lonely")).cast("int").alias("place"))
         .where(F.col("place") <= F.col("n") - need + 1)
     )
 
 
-def _fits(percent: int, n1: str, n2: str, p1: str, p2: str) -> F.Column:
-    """Sizes and places under which a shared key leaves enough overlap possible."""
-    overlap = F.least(p1, p2) + F.least(F.col(n1) - F.col(p1), F.col(n2) - F.col(p2))
+def _fits(percent: int, n1: str, n2: str, p1: str, p2: str, l1: str, l2: str) -> F.Column:
+    """Sizes and places under which a shared key leaves enough overlap possible; lonely shingles never overlap."""
+    before = F.least(F.col(p1) - F.col(l1), F.col(p2) - F.col(l2))
+    overlap = before + F.least(F.col(n1) - F.col(p1), F.col(n2) - F.col(p2))
     return (100 * F.least(n1, n2) >= percent * F.greatest(n1, n2)) & ((100 + percent) * overlap >= percent * (F.col(n1) + F.col(n2)))
 
 
@@ -92,28 +101,57 @@ def _hub_pairs(index: DataFrame, groups: DataFrame, found: DataFrame, percent: i
     """Each group with one hub of its key in its size band and in the band below, if not connected yet."""
     band = F.floor(F.log("n") / F.log(F.lit(100.0 / percent))).cast("int")
     rows = index.withColumn("band", band).join(found.toDF("g", "comp"), "g", "left").withColumn("comp", F.coalesce("comp", "g"))
-    lead = F.struct(F.xxhash64("g", F.lit(turn)).alias("h"), F.col("g").alias("hub"), F.col("n").alias("hub_n"), F.col("place").alias("hub_place"), F.col("comp").alias("hub_comp"))
+    typical = F.col("lonely") if turn == 0 else F.lit(0)
+    lead = F.struct(typical.alias("order"), F.xxhash64("g", "key", F.lit(turn)).alias("h"), F.col("g").alias("hub"), F.col("n").alias("hub_n"), F.col("place").alias("hub_place"), F.col("lonely").alias("hub_lonely"), F.col("comp").alias("hub_comp"))
     hubs = rows.groupBy("key", "band").agg(F.min(lead).alias("lead"), F.count("*").alias("c")).select("key", "band", "lead.*", "c")
-    hubs = hubs.where("c > 1").drop("c", "h").union(hubs.select("key", F.col("band") + 1, "hub", "hub_n", "hub_place", "hub_comp"))
-    pairs = rows.join(hubs, ["key", "band"]).where(F.col("comp") != F.col("hub_comp")).where(_fits(percent, "n", "hub_n", "place", "hub_place"))
+    hubs = hubs.where("c > 1").drop("c", "order", "h").union(hubs.select("key", F.col("band") + 1, "hub", "hub_n", "hub_place", "hub_lonely", "hub_comp"))
+    pairs = rows.join(hubs, ["key", "band"]).where(F.col("comp") != F.col("hub_comp")).where(_fits(percent, "n", "hub_n", "place", "hub_place", "lonely", "hub_lonely"))
     pairs = pairs.select(F.least("g", "hub").alias("a"), F.greatest("g", "hub").alias("b"))
     if turn == 0:
         pairs = pairs.union(groups.where("g <> doc_id").select(F.col("g").alias("a"), F.col("doc_id").alias("b")))
     return pairs.distinct()
 
 
-def _other_pairs(index: DataFrame, groups: DataFrame, found: DataFrame, percent: int) -> DataFrame:
-    """All pairs of members that share a key, pass the filters, and are not in one component yet."""
-    found = found.toDF("doc_id", "comp")
-    members = groups.join(found, "doc_id", "left").select("g", "doc_id", F.coalesce("comp", "doc_id").alias("comp"))
-    sides = index.join(members.groupBy("g", "comp").agg(F.count("*").alias("size")), "g")
+def _members(groups: DataFrame, found: DataFrame) -> DataFrame:
+    return groups.join(found.toDF("doc_id", "comp"), "doc_id", "left").select("g", "doc_id", F.coalesce("comp", "doc_id").alias("comp"))
+
+
+def _sides(index: DataFrame, members: DataFrame) -> DataFrame:
+    """The index by component, where a key has more than one."""
+    sides = index.join(members.select("g", "comp").distinct(), "g")
     split = sides.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
-    sides = save(sides.join(split, "key", "left_semi").select("key", "g", "n", "place", "comp"))
-    present = sides.select("key", "comp").distinct()
-    meet = present.toDF("key", "c1").join(present.toDF("key", "c2"), "key").where("c1 < c2")
-    one = sides.toDF("key", "g1", "n1", "p1", "c1")
-    two = sides.toDF("key", "g2", "n2", "p2", "c2")
-    pairs = meet.join(one, ["key", "c1"]).join(two, ["key", "c2"]).where(_fits(percent, "n1", "n2", "p1", "p2"))
+    at = F.col("place") - F.col("lonely")
+    first = index.where(at <= EARLIER).groupBy("g").agg(F.array_sort(F.collect_list(F.struct("place", "key"))).alias("p")).select("g", F.col("p.key").alias("p"))
+    rows = sides.join(split, "key", "left_semi").join(first, "g")
+    earlier = F.slice("p", F.lit(1), F.least(at - 1, F.lit(EARLIER)))
+    return save(rows.select("key", "g", "n", "place", "lonely", "comp", earlier.alias("earlier")))
+
+
+def _pairs_left(sides: DataFrame) -> int:
+    """Pairs of groups of different components over all keys, before the filters."""
+    own = sides.groupBy("key", "comp").agg(F.count("*").cast("decimal(38,0)").alias("c"))
+    keys = own.groupBy("key").agg((F.sum("c") * F.sum("c") - F.sum(F.col("c") * F.col("c"))).alias("p"))
+    return int(keys.agg(F.sum("p")).first()[0] or 0) // 2
+
+
+def _other_pairs(sides: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """All pairs of members that share a key, pass the filters, and are not in one component yet.
+
+    A pair shows up at its first common key: not where the keys kept of earlier places have one in common. Where
+    all earlier keys are kept, what follows that key bounds the overlap. The largest component of a key is not
+    paired with itself.
+    """
+    size = sides.groupBy("key", "comp").agg(F.count("*").alias("c"))
+    largest = size.groupBy("key").agg(F.max(F.struct("c", "comp")).alias("top")).select("key", (F.col("top.comp")).alias("top"))
+    sides = save(sides.join(largest, "key").withColumn("large", F.col("comp") == F.col("top")).drop("top"))
+    rest, large = sides.where("NOT large").drop("large"), sides.where("large").drop("large")
+    fits = _fits(percent, "n1", "n2", "p1", "p2", "l1", "l2")
+    known = (F.col("p1") - F.col("l1") <= EARLIER + 1) & (F.col("p2") - F.col("l2") <= EARLIER + 1)
+    after = 1 + F.least(F.col("n1") - F.col("p1"), F.col("n2") - F.col("p2"))
+    fits = fits & (~known | ((100 + percent) * after >= percent * (F.col("n1") + F.col("n2")))) & ~F.arrays_overlap("e1", "e2")
+    names = [["key", *(f"{c}{i}" for c in "gnplce")] for i in (1, 2)]
+    one = rest.toDF(*names[0])
+    pairs = one.join(rest.toDF(*names[1]), "key").where("c1 < c2").where(fits).unionByName(one.join(large.toDF(*names[1]), "key").where(fits))
     pairs = pairs.select("g1", "c1", "g2", "c2").distinct()
     m1, m2 = members.toDF("g1", "a", "c1"), members.toDF("g2", "b", "c2")
     return pairs.join(m1, ["g1", "c1"]).join(m2, ["g2", "c2"]).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
@@ -150,10 +188,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     index = save(prefixes.withColumnRenamed("doc_id", "g").join(groups.where("g = doc_id").select("g"), "g", "left_semi"))
 
     found = save(groups.where("false").toDF("node", "component"))
+    rows, before = index.count(), None
     for turn in range(HUB_ROUNDS):
         links = _similar(_hub_pairs(index, groups, found, percent, turn), sets, percent)
         found = components(links.union(found.toDF("a", "b")))
-    links = _similar(_other_pairs(index, groups, found, percent), sets, percent)
+        members_of = save(_members(groups, found))
+        sides = _sides(index, members_of)
+        left = _pairs_left(sides)
+        if left <= rows or (before is not None and 2 * left > before):
+            break
+        before = left
+    links = _similar(_other_pairs(sides, members_of, percent), sets, percent)
     found = components(links.union(found.toDF("a", "b")))
 
     joined = members.join(found.toDF("class_id", "component"), "class_id", "left")
