@@ -25,7 +25,7 @@ from tallyforge.llm import words as W
 from tallyforge.llm.tables import join_texts, save, unique_ids
 
 ITEM_WORDS = 1_000_000
-RADIUS = 20
+RADIUS = 27
 WIDTHS = (10, 9, 9, 9, 9, 9, 9)
 BLOCKS = [(sum(WIDTHS[:i]), width) for i, width in enumerate(WIDTHS)]
 
@@ -83,11 +83,11 @@ def _items(size: int):
 
 def _candidates(known: np.ndarray, sizes: list[int], size: int, percent: int):
     """Windows with enough known shingles: (doc_id, start, size, window, fp, grams); grams once per chunk."""
-    need = {s: -(-2 * percent * max(s - size + 1, 1) // (100 + percent)) for s in sizes}
+    least = {s: -(-percent * max(s - size + 1, 1) // 100) for s in sizes}
 
     def of_length(part: pa.RecordBatch, k: int, own: list[int]) -> Iterator[pa.RecordBatch]:
-        # a document that is shorter than the item is one window; it can share no more shingles than it has
-        lowest = min(need[s] for s in own)
+        # a document that is shorter than the item is one window
+        lowest = min(least[s] for s in own)
         words = W.split_words(part["text"], lower=True)
         grams = _grams(words, k)
         hits = np.isin(grams, known)
@@ -105,7 +105,8 @@ def _candidates(known: np.ndarray, sizes: list[int], size: int, percent: int):
             n = counts[fits] - k + 1 - width + 1
             start = np.repeat(words.first[:-1][fits] - np.concatenate([[0], np.cumsum(n)[:-1]]).astype(np.int64), n) + np.arange(n.sum())
             end = start + np.repeat(width, n)
-            pick = np.flatnonzero(hit[end] - hit[start] >= need[s])
+            need = np.repeat(-(-percent * (width + s - k + 1) // (100 + percent)), n)
+            pick = np.flatnonzero(hit[end] - hit[start] >= need)
             if not len(pick):
                 continue
             start, end, doc = start[pick], end[pick], np.repeat(fits, n)[pick]
@@ -133,8 +134,13 @@ def _block(fp: str, shift: int, width: int) -> F.Column:
 def _within_radius(windows: DataFrame, items: DataFrame) -> DataFrame:
     """(window, item_id) of equal size whose fingerprints differ in at most RADIUS bits."""
     flips = {w: [sum(1 << i for i in c) for r in range(RADIUS // len(BLOCKS) + 1) for c in combinations(range(w), r)] for w in set(WIDTHS)}
-    near = [F.transform(F.array(*map(F.lit, flips[w])), lambda m, i=i, s=s, w=w: F.struct(F.lit(i).alias("block"), _block("fp", s, w).bitwiseXOR(m.cast("long")).alias("value"))) for i, (s, w) in enumerate(BLOCKS)]
-    index = items.select("item_id", "size", F.col("fp").alias("item_fp"), F.explode(F.concat(*near)).alias("at")).select("item_id", "size", "item_fp", "at.*")
+
+    def near(i: int, shift: int, width: int) -> F.Column:
+        flip = F.array(*(F.lit(m).cast("long") for m in flips[width]))
+        return F.transform(flip, lambda m: F.struct(F.lit(i).alias("block"), _block("fp", shift, width).bitwiseXOR(m).alias("value")))
+
+    around = F.concat(*(near(i, shift, width) for i, (shift, width) in enumerate(BLOCKS)))
+    index = items.select("item_id", "size", F.col("fp").alias("item_fp"), F.explode(around).alias("at")).select("item_id", "size", "item_fp", "at.*")
     own = F.array(*[F.struct(F.lit(i).alias("block"), _block("fp", s, w).alias("value")) for i, (s, w) in enumerate(BLOCKS)])
     asked = windows.select("window", "size", "fp", F.explode(own).alias("at")).select("window", "size", "fp", "at.*")
     met = asked.join(index, ["size", "block", "value"])
@@ -148,7 +154,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     shorter) whose weighted shingle similarity is at least ``percent`` / 100; the best one's similarity and
     first place (words from 0) are given, and how many windows pass. Items of fewer than ``size`` words are one shingle.
     Null and word-free texts or items have no windows; rows without id are left out, and of several with one
-    id the smallest text counts. Fingerprints find a pair at the threshold itself with a chance of 0.999.
+    id the smallest text counts. At the threshold two fingerprints differ in 11 bits on average, with a deviation of 3.
     """
     docs = unique_ids(docs, id_col, text_col)
     items = save(unique_ids(benchmark, item_col, "text").mapInArrow(_items(size), "item_id bigint, size bigint, fp bigint, grams array<bigint>").where("size > 0"))

@@ -152,7 +152,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     members = save(numbers.join(classes, ["n", "d1", "d2"]).select("doc_id", "n", "d1", "rep", "c"))
     short = join_texts(docs, members.where("doc_id <> rep").select("doc_id"), "doc_id", "left_anti")
     anchors = save(short.mapInArrow(_anchors(length), "kmer bigint, context bigint, doc_id bigint, i int, place int, low int, high int"))
-    again = anchors.groupBy("kmer").agg(F.count("*").alias("c")).where("c > 1").select("kmer")
+    again = save(anchors.groupBy("kmer").agg(F.count("*").alias("c")).where("c > 1").select("kmer"))  # written, so hot k-mers of the join can be split
     found = save(anchors.join(again, "kmer"))
 
     contexts = found.groupBy("kmer", "context").agg(F.count("*").alias("weight"), F.min(F.struct("doc_id", "place")).alias("at"))
@@ -162,9 +162,12 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     named = join_texts(docs, places, "doc_id", row_bytes="40 + 4 * size(places)")
     seen = save(named.mapInArrow(_windows(length), "kmer bigint, context bigint, off int, window bigint").distinct().join(contexts.select("kmer", "context", "weight"), ["kmer", "context"]))
     twice = seen.groupBy("kmer", "off", "window").agg(F.sum("weight").alias("w")).where("w > 1").drop("w")
-    checked = seen.join(twice, ["kmer", "off", "window"]).select("kmer", "context", "off")
-    windows = found.join(checked, ["kmer", "context"]).select("doc_id", F.lit(None).cast("long").alias("path"), (F.col("place") - F.col("off")).alias("from"))
-    windows = windows.withColumn("to", F.col("from") + length)
+    checked = seen.join(twice, ["kmer", "off", "window"]).groupBy("kmer", "context").agg(F.collect_set("off").alias("offs"))
+    most, least = F.array_max("offs"), F.array_min("offs")  # of one k-mer, so no more than a window has places
+    whole = F.when(most - least + 1 == F.size("offs"), F.array(F.struct(most.alias("most"), least.alias("least"))))
+    runs = F.coalesce(whole, F.transform("offs", lambda o: F.struct(o.alias("most"), o.alias("least"))))
+    windows = found.join(checked.select("kmer", "context", F.explode(runs).alias("run")), ["kmer", "context"])
+    windows = windows.select("doc_id", F.lit(None).cast("long").alias("path"), (F.col("place") - F.col("run.most")).alias("from"), (F.col("place") - F.col("run.least") + length).alias("to"))
 
     plain = found.join(shapes.where("NOT branching"), "kmer")
     run = F.col("i") - F.row_number().over(Window.partitionBy("doc_id").orderBy("i"))
