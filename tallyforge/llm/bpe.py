@@ -1,7 +1,7 @@
 """Byte-level BPE in linear time, and its inverse.
 
-The vocabulary's byte strings, read as Latin-1, form an Aho-Corasick automaton that finds every token at every
-place of a piece in one pass. A sequence of tokens is what the merges would give exactly if each two
+The vocabulary's byte strings, read as Latin-1, form an Aho-Corasick trie that tells how far tokens can reach
+from any place of a piece. A sequence of tokens is what the merges would give exactly if each two
 neighbours are what the merges give for their joined bytes; that is worked out once per pair and kept. Encoding tries
 the longest token first and steps back where no token fits its left neighbour. The tokens before a place are
 the same whichever way it is reached, so a place that failed is never tried again.
@@ -36,19 +36,20 @@ class Codec(dict):
         super().__init__()
         self.ranks, self.pattern = ranks, regex.compile(pattern)
         self.bytes = {i: b for b, i in ranks.items()}
-        self.automaton = ahocorasick.Automaton()
-        for b, i in ranks.items():
-            self.automaton.add_word(b.decode("latin-1"), (i, len(b)))
-        self.automaton.make_automaton()
+        self.tokens = {b.decode("latin-1"): i for b, i in ranks.items()}
+        self.trie = ahocorasick.Automaton()
+        for text, i in self.tokens.items():
+            self.trie.add_word(text, i)
+        self.longest = max(map(len, self.tokens), default=0)
+        self.above = max(self.bytes, default=0) + 1
         self.pairs: dict[tuple[int, int], bool] = {}
 
     def merged(self, raw: bytes) -> list[int]:
         """The merges by definition: lowest rank first, leftmost first. For the few bytes of two tokens."""
         parts = [raw[i : i + 1] for i in range(len(raw))]
-        none = len(self.ranks) + max(self.bytes)
         while len(parts) > 1:
-            rank, i = min((self.ranks.get(parts[i] + parts[i + 1], none), i) for i in range(len(parts) - 1))
-            if rank == none:
+            rank, i = min((self.ranks.get(parts[i] + parts[i + 1], self.above), i) for i in range(len(parts) - 1))
+            if rank == self.above:
                 break
             parts[i : i + 2] = [parts[i] + parts[i + 1]]
         return [self.ranks[p] for p in parts]
@@ -64,31 +65,30 @@ class Codec(dict):
     def ids(self, piece: bytes) -> list[int]:
         if piece in self.ranks:
             return [self.ranks[piece]]
-        n = len(piece)
-        at: list[list[tuple[int, int]]] = [[] for _ in range(n)]
-        for end, token in self.automaton.iter(piece.decode("latin-1")):
-            at[end + 1 - token[1]].append(token)  # shorter ones first
+        text, n = piece.decode("latin-1"), len(piece)
+        reach, known, pairs = self.trie.longest_prefix, self.tokens.get, self.pairs
         failed = bytearray(n + 1)
         out: list[int] = []
-        tried: list[int] = []
-        place, i = 0, len(at[0]) - 1
+        place, size, left = 0, -1, None  # size: the next length to try; below 0 none was tried
         while place < n:
-            while i >= 0:
-                token, size = at[place][i]
-                if not failed[place + size] and (not out or self.fits(out[-1], token)):
-                    break
-                i -= 1
-            if i >= 0:
+            if size < 0:
+                size = reach(text[place : place + self.longest])
+            while size > 0:
+                token = known(text[place : place + size])
+                if token is not None and not failed[place + size]:
+                    fits = left is None or pairs.get((left, token))
+                    if fits or (fits is None and self.fits(left, token)):
+                        break
+                size -= 1
+            if size > 0:
                 out.append(token)
-                tried.append(i)
-                place += size
-                i = len(at[place]) - 1 if place < n else 0
+                place, size, left = place + size, -1, token
             else:
                 failed[place] = 1
                 if not out:
                     raise ValueError(f"the vocabulary has no tokens for {piece[:80]!r}")
-                i = tried.pop() - 1
-                place -= len(self.bytes[out.pop()])
+                size = len(self.bytes[out.pop()])
+                place, size, left = place - size, size - 1, out[-1] if out else None
         return out
 
     def __missing__(self, piece: str) -> bytes:
