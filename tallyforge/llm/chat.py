@@ -59,6 +59,6 @@ chats AS (SELECT conv_id, list({'role': role, 'text': text} ORDER BY turn, role,
 inner_parts AS (SELECT DISTINCT l[1:k] AS l FROM (SELECT l, unnest(range(1, len(l))) AS k FROM chats)),
 kept AS (SELECT min(conv_id) AS conv_id, l FROM chats WHERE NOT EXISTS (SELECT 1 FROM inner_parts p WHERE p.l = chats.l) GROUP BY l)
 SELECT conv_id, CAST(len(l) AS BIGINT) AS n_turns,
-    array_to_string(list_transform(l, t -> '<|im_start|>' || t.role || chr(10) || replace(t.text, '<|', '< |') || '<|im_end|>' || chr(10)), '') AS text
+    array_to_string(list_transform(l, lambda t: '<|im_start|>' || t.role || chr(10) || replace(t.text, '<|', '< |') || '<|im_end|>' || chr(10)), '') AS text
 FROM kept
 """

@@ -118,11 +118,11 @@ def _met(blocks: DataFrame, ordered: DataFrame) -> DataFrame:
 
 def oracle() -> str:
     """DuckDB: phrases by place, and every line against every template."""
-    split = "list_filter(string_split_regex({}, '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), x -> x <> '')"
+    split = "list_filter(string_split_regex({}, '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '')"
     lower = f"translate({{}}, '{UPPER}', '{LOWER}')"
     values = ", ".join("({}, '{}', '{}')".format(k, label, text.replace("'", "''")) for k, (label, text) in enumerate(TEMPLATES))
     places = " UNION ALL ".join(
-        f"SELECT doc_id, unnest(list_filter(range(len(w)), i -> {' AND '.join(f'w[i + {j + 1}] = {chr(39)}{x}{chr(39)}' for j, x in enumerate(_split(p)))})) AS place, '{label}' AS label FROM words"
+        f"SELECT doc_id, unnest(list_filter(range(len(w)), lambda i: {' AND '.join(f'w[i + {j + 1}] = {chr(39)}{x}{chr(39)}' for j, x in enumerate(_split(p)))})) AS place, '{label}' AS label FROM words"
         for p, label in PHRASES.items()
     )
     return f"""

@@ -122,11 +122,18 @@ def features() -> dict[str, Column]:
 
 
 def _thresholds(rows: DataFrame, bins: int) -> dict[str, list[float]]:
-    """Quantiles of each feature over all rows and over the bad ones."""
-    at = [(i + 1) / bins for i in range(bins - 1)]
-    wanted = {f"{k}_{i}": F.percentile_approx(v, at, 10_000) for k, col in features().items() for i, v in enumerate((col, F.when(F.col("bad"), col)))}
+    """Quantiles of each feature over the bad rows, and over the good ones, closer together at their ends."""
+    ends = (0.0, 0.001, 0.005, 0.01, 0.05)
+    at = {True: [i / bins for i in range(bins + 1)], False: [*ends, 0.25, 0.5, 0.75, *(1 - e for e in reversed(ends))]}
+    wanted = {f"{k}_{bad}": F.percentile_approx(F.when(F.col("bad") == bad, col), at[bad], 10_000) for k, col in features().items() for bad in at}
     found = rows.agg(*[v.alias(k) for k, v in wanted.items()]).first().asDict()
-    return {k: sorted({x for i in (0, 1) for x in found[f"{k}_{i}"] or []}) for k in features()}
+    beyond = {k: [math.nextafter(x, math.inf) for x in found[f"{k}_False"] or []] for k in features()}
+    return {k: sorted({*beyond[k], *(found[f"{k}_True"] or []), *(found[f"{k}_False"] or [])}) for k in features()}
+
+
+def _bin(value: Column, cuts: list[float]) -> Column:
+    """How many of the cuts the value reaches."""
+    return _let(value, lambda x: F.size(F.filter(F.array(*map(F.lit, cuts)), lambda t: t <= x)))
 
 
 class _Counts:
@@ -172,8 +179,8 @@ def learn(rows: DataFrame, learner: Learner | None = None) -> list[Rule]:
     names = [k for k in features() if cuts[k]]
     if not names:
         return []
-    bins = F.array(*[F.size(F.filter(F.array(*map(F.lit, cuts[k])), lambda t, k=k: t <= features()[k])) for k in names])
-    left = save(rows.select("*", (F.pmod(F.xxhash64("doc_id"), F.lit(3)) == 0).alias("prune"), bins.alias("bins")))
+    fold = (F.pmod(F.xxhash64("doc_id"), F.lit(3)) == 0).alias("prune")
+    left = save(rows.select("*", fold, F.array(*[_bin(features()[k], cuts[k]) for k in names]).alias("bins")))
     rules: list[Rule] = []
     while len(rules) < learner.max_rules:
         covered, rule, pruned = left, [], []
@@ -192,7 +199,7 @@ def learn(rows: DataFrame, learner: Learner | None = None) -> list[Rule]:
             break
         size = worth.index(max(worth)) + 1
         p, n = pruned[size - 1]
-        if p == 0 or p / (p + n) < learner.min_precision:
+        if p / (p + n + 1) < learner.min_precision:  # one good row more than was seen
             break
         rules.append(tuple(rule[:size]))
         left = left.where(~_holds(rules[-1]))
