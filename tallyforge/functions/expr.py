@@ -6,6 +6,7 @@ failed cast gives NULL, not an error.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 from typing import Any
@@ -78,8 +79,9 @@ def settled_round(value: Column, digits: int) -> Column:
     """
     x, scale = value.cast("double"), float(10**digits)
     units = F.floor(F.abs(x) * scale + (0.5 + 5e-11 * scale))
+    # beyond 2^53 a double has no fraction left at this scale, and floor would leave the range of a long
     # + 0.0 turns a negative zero into zero
-    return F.when(F.abs(x) < 1e12, F.signum(x) * units / scale + 0.0).otherwise(F.round(x, digits))
+    return F.when(F.abs(x) * scale < float(2**53), F.signum(x) * units / scale + 0.0).otherwise(F.round(x, digits))
 
 
 def pct(part: Column, whole: Column, digits: int | None = None) -> Column:
@@ -151,7 +153,12 @@ def row_stddev(values: Sequence[Column | str]) -> Column:
 def list_count(value: Column | str, sep: str = ",") -> Column:
     """Number of entries of a delimited list; NULL counts 0, an empty string counts 1."""
     v = as_col(value)
-    return F.when(v.isNull(), 0).otherwise(F.size(F.split(v, sep)))
+    return F.when(v.isNull(), 0).otherwise(F.size(split_list(v, sep)))
+
+
+def split_list(value: Column | str, sep: str = ",") -> Column:
+    """Entries of a list delimited by ``sep``, taken literally."""
+    return F.split(as_col(value), re.sub(r"(\W)", r"\\\1", sep))
 
 
 def title_text(value: Column | str) -> Column:

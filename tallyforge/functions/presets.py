@@ -4,6 +4,10 @@ These labels, thresholds, weights and word lists define the published results of
 analyses, so they are stated here as they must be; every operator takes them as arguments.
 """
 
+from __future__ import annotations
+
+from dataclasses import dataclass
+
 # --- fixed values: cleaning ------------------------------------------------------------------
 FREQUENCY_SCORES = {"Daily": 5, "Weekly": 4, "Monthly": 3, "Rarely": 2}
 FREQUENCY_DEFAULT = 1
@@ -83,6 +87,7 @@ COMPOSITE_PARTS = [
 ]
 SCORE_TIERS = [(90, "Excellent"), (80, "Good"), (70, "Average"), (60, "Below Average")]
 SCORE_TIER_DEFAULT = "Poor"
+SCORE_TIER_NAMES = [*(name for _, name in SCORE_TIERS), SCORE_TIER_DEFAULT]
 GRADE_RANGES = [(90, "A (90-100)"), (80, "B (80-89)"), (70, "C (70-79)"), (60, "D (60-69)")]
 GRADE_RANGE_DEFAULT = "F (Below 60)"
 
@@ -127,26 +132,6 @@ TARGET_CLASS_DEFAULT = "Low"
 STUDENT_ID_PATTERN = "^STU_[0-9]{4}$"
 FREQUENCY_WORDS = ["Daily", "Weekly", "Monthly", "Rarely", "Never"]
 
-# --- fixed values: generated tables ----------------------------------------------------------
-COURSES = [
-    ("CS101", "Programming_Fundamentals", "Computer Science"),
-    ("CS201", "Data_Structures", "Computer Science"),
-    ("CS301", "Database_Systems", "Computer Science"),
-    ("CS401", "Machine_Learning", "Computer Science"),
-    ("MATH201", "Statistics", "Mathematics"),
-    ("MATH301", "Linear_Algebra", "Mathematics"),
-    ("ENG101", "Technical_Writing", "English"),
-    ("BUS201", "Project_Management", "Business"),
-    ("PHYS101", "Physics_I", "Physics"),
-    ("CHEM101", "General_Chemistry", "Chemistry"),
-]
-GRADE_WEIGHTS = [("A+", 0.15), ("A", 0.25), ("B+", 0.25), ("B", 0.20), ("C+", 0.10), ("C", 0.03), ("D", 0.015), ("F", 0.005)]
-AI_TOOLS = ["ChatGPT", "GitHub_Copilot", "Grammarly", "Notion_AI", "Claude", "Gemini"]
-ACTIVITY_TYPES = ["study_session", "assignment_work", "research", "collaboration", "quiz_practice"]
-HOUR_WEIGHTS = [
-    0.01, 0.01, 0.01, 0.01, 0.01, 0.01, 0.02, 0.03, 0.05, 0.08, 0.12, 0.15,
-    0.12, 0.10, 0.08, 0.06, 0.05, 0.04, 0.06, 0.08, 0.06, 0.04, 0.02, 0.01,
-]
 PARENT_EDUCATION_POINTS = {
     "some high school": 0,
     "high school": 5,
@@ -155,3 +140,36 @@ PARENT_EDUCATION_POINTS = {
     "bachelor's degree": 20,
     "master's degree": 25,
 }
+
+
+# --- fixed values: insights of the student tables ----------------------------------------------
+@dataclass(frozen=True)
+class Insight:
+    """Which columns a group summary counts, averages, correlates, and gives the range of."""
+
+    entity: str
+    count: str
+    means: dict[str, str]
+    correlations: dict[str, tuple[str, str]]
+    spread: str
+
+
+INSIGHT_GROUP = ("field_of_study", "performance_category", "usage_intensity")
+STUDENT_INSIGHT = Insight(
+    entity="student_id",
+    count="student_count",
+    means={
+        "avg_gpa": "gpa",
+        "avg_major_gpa": "major_gpa",
+        "avg_ai_tools_used": "num_ai_tools",
+        "avg_usage_frequency": "usage_frequency_score",
+        "avg_satisfaction": "satisfaction_level",
+        "avg_engagement": "engagement_score",
+        "avg_academic_diversity": "academic_diversity",
+    },
+    correlations={
+        "usage_gpa_correlation": ("usage_frequency_score", "gpa"),
+        "satisfaction_engagement_correlation": ("satisfaction_level", "engagement_score"),
+    },
+    spread="gpa",
+)

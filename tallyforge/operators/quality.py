@@ -200,11 +200,12 @@ def outlier_profile(df: DataFrame, columns: Sequence[str] | None = None, z_limit
             F.round(f"__sd_{i}", 4).alias("stddev"),
             F.round(F.col(f"__q_{i}")[0], 4).alias("q1"),
             F.round(F.col(f"__q_{i}")[1], 4).alias("q3"),
+            (F.col(f"__sd_{i}") > 0).alias("__varies"),
         )
         for i, c in enumerate(columns)
     ]
     wide = rows.agg(*counts)
-    return wide.select(F.explode(F.array(*lines)).alias("r")).select("r.*").filter(F.col("stddev") > 0)
+    return wide.select(F.explode(F.array(*lines)).alias("r")).select("r.*").filter("__varies").drop("__varies")
 
 
 def reference_check(
@@ -271,15 +272,14 @@ DUPLICATE_CRITICAL, DUPLICATE_WARNING = 20.0, 5.0
 RULE_CRITICAL = 10.0
 
 
-def issues(
-    report: DataFrame,
+def severity_of(
     null_limits: tuple[float, float] = (NULL_CRITICAL, NULL_WARNING),
     duplicate_limits: tuple[float, float] = (DUPLICATE_CRITICAL, DUPLICATE_WARNING),
     rule_critical: float = RULE_CRITICAL,
-) -> DataFrame:
-    """Report rows that matter, with a ``severity`` of critical or warning."""
+) -> Column:
+    """Severity of a report row: critical, warning or NULL."""
     check, share = F.col("check"), F.col("percentage")
-    severity = (
+    return (
         F.when((check == "null_values") & (share > null_limits[0]), "critical")
         .when((check == "null_values") & (share > null_limits[1]), "warning")
         .when((check == "duplicates") & (share > duplicate_limits[0]), "critical")
@@ -287,14 +287,16 @@ def issues(
         .when((F.col("status") == "FAIL") & (share > rule_critical), "critical")
         .when(F.col("status").isin("FAIL", "ERROR"), "warning")
     )
-    return report.withColumn("severity", severity).filter(F.col("severity").isNotNull())
+
+
+def issues(report: DataFrame, **limits: Any) -> DataFrame:
+    """Report rows that matter, with a ``severity`` of critical or warning."""
+    return report.withColumn("severity", severity_of(**limits)).filter(F.col("severity").isNotNull())
 
 
 def verdict(report: DataFrame, **limits: Any) -> DataFrame:
     """One row: tables checked, critical and warning counts, overall status."""
-    found = issues(report, **limits).select("table_name", "check", "column_name", "severity")
-    keys = ["table_name", "check", "column_name"]
-    marked = report.select(*keys).join(found, keys, "left")
+    marked = report.withColumn("severity", severity_of(**limits))
     critical = F.count_if(F.col("severity") == "critical")
     return marked.agg(
         F.count_distinct("table_name").alias("total_tables_checked"),
@@ -327,8 +329,7 @@ def report_document(report: DataFrame, **limits: Any) -> DataFrame:
 
     A report has a row per check and column, so a table's checks are few.
     """
-    found = issues(report, **limits).select("table_name", "check", "column_name", "severity")
-    marked = report.join(found, ["table_name", "check", "column_name"], "left")
+    marked = report.withColumn("severity", severity_of(**limits))
     detail = F.struct("check", "column_name", "invalid", "total", "percentage", "rule", "status", "severity")
     critical = F.count_if(F.col("severity") == "critical")
     return marked.groupBy("table_name").agg(

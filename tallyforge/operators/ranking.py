@@ -10,8 +10,9 @@ into value ranges first:
 3. Rows are shuffled once, by (group, range), and ranked inside that cell; the position in the
    group is the local position plus the number of rows in front.
 
-A value so common that it fills whole ranges by itself gets a range of its own, which is split
-further by the key that breaks ties. No cell grows with the size of its group.
+A value so common that it fills whole ranges by itself gets a range of its own, which is split further by the key
+that breaks ties, at quantiles of the keys of the rows that tie. Ranges are cut by a double that grows with the value;
+rows are ordered and compared by the value itself.
 
 Groups that are bounded by nature (the periods of one entity) do not need this; see ``windows``.
 """
@@ -28,16 +29,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_ORDER, _RANGE, _TIE, _CELL = "__order", "__range", "__tie", "__cell"
+_ORDER, _VALUE, _RANGE, _TIE, _CELL = "__order", "__value", "__range", "__tie", "__cell"
 
 
-MAX_RANGES = 10_000
+ROWS_PER_CELL = 2_000_000
+KEYS_PER_RANGE = 50
 
 
 def _ranges_wanted(df: DataFrame) -> int:
-    """As many ranges as shuffle partitions, the number a job already sizes by its data."""
+    """Enough ranges for ROWS_PER_CELL rows in each, and no fewer than shuffle partitions."""
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(8, min(MAX_RANGES, partitions))
+    return max(8, partitions, -(-df.count() // ROWS_PER_CELL))
 
 
 @dataclass(frozen=True)
@@ -66,39 +68,50 @@ class Ranges:
         return bucketizer.transform(df).withColumn(output, F.col(output).cast("int"))
 
 
-def _ordering(value: Column, ascending: bool) -> Column:
-    """Ordering value as a double that always sorts ascending; NULL goes where Spark's default puts it."""
+def _ordering(value: Column, kind: T.DataType, ascending: bool) -> Column:
+    """A double that never falls as the value comes later in the order; NULL goes where Spark's default puts it."""
+    if isinstance(kind, T.StringType):
+        # six bytes; 48 bits are exact in a double
+        number = F.conv(F.rpad(F.substring(F.hex(F.substring(value, 1, 6)), 1, 12), 12, "0"), 16, 10).cast("double")
+    elif isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        number = value.cast("timestamp").cast("double")
+    else:
+        number = value.cast("double")
     sign = 1.0 if ascending else -1.0
-    signed = F.nanvl(value.cast("double"), F.lit(1.1e308)) * F.lit(sign) + F.lit(0.0)
+    signed = F.nanvl(number, F.lit(1.1e308)) * F.lit(sign) + F.lit(0.0)
     return F.coalesce(signed, F.lit(-1.2e308 * sign))
 
 
-def _key_as_number(df: DataFrame, key: str) -> Column:
-    """A number that grows with the key, good enough to cut the key space into ranges."""
-    kind = df.schema[key].dataType
-    if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
-        return F.col(key).cast("timestamp").cast("double")
-    if not isinstance(kind, T.StringType):
-        return F.col(key).cast("double")
-    low, high = df.agg(F.min(key), F.max(key)).first()
-    low, high = low or "", high or ""
-    shared = next((i for i, (a, b) in enumerate(zip(low, high)) if a != b), min(len(low), len(high)))
-    # six bytes after the prefix that every key shares; 48 bits are exact in a double
-    hexed = F.rpad(F.substring(F.hex(F.substring(F.col(key), shared + 1, 6)), 1, 12), 12, "0")
-    return F.conv(hexed, 16, 10).cast("double")
+def _only_value(df: DataFrame, bounds: Ranges) -> list[int]:
+    """Those of the single-double ranges that hold one value; a double may stand for several."""
+    kind = df.schema[_VALUE].dataType
+    if not bounds.single or isinstance(kind, (T.DoubleType, T.FloatType, T.IntegerType, T.ShortType, T.ByteType, T.DateType)):
+        return bounds.single
+    held = df.filter(F.col(_RANGE).isin(bounds.single)).groupBy(_RANGE).agg((F.min(_VALUE) < F.max(_VALUE)).alias("many"))
+    many = {r[_RANGE] for r in held.filter("many").collect()}
+    return [r for r in bounds.single if r not in many]
 
 
-def _cells(df: DataFrame, group: Sequence[str], key: str | None, ranges: int) -> tuple[DataFrame, Ranges]:
-    """Add the range, the tie range and the cell (group, range, tie range) of every row."""
+def _tie_range(df: DataFrame, single: Sequence[int], key: str, ranges: int) -> Column:
+    """Which part of the keys of the tied rows a key lies in."""
+    tied = df.filter(F.col(_RANGE).isin(list(single))).select(key)
+    every = max(1, tied.count() // (ranges * KEYS_PER_RANGE))
+    some = sorted(r[0] for r in tied.filter((F.pmod(F.xxhash64(key), F.lit(every)) == 0) & F.col(key).isNotNull()).collect())
+    cuts = sorted({some[len(some) * i // ranges] for i in range(1, ranges)}) if some else []
+    kind = df.schema[key].dataType.simpleString()
+    return F.size(F.filter(F.array(*map(F.lit, cuts)).cast(f"array<{kind}>"), lambda c: c <= F.col(key)))
+
+
+def _cells(df: DataFrame, group: Sequence[str], key: str | None, ranges: int) -> tuple[DataFrame, list[int]]:
+    """Add the range, the tie range and the cell (group, range, tie range) of every row; the ranges of one value."""
     bounds = Ranges.of(df, _ORDER, ranges)
     df = bounds.assign(df, _ORDER, _RANGE)
+    single = _only_value(df, bounds)
     tie = F.lit(0)
-    if key is not None and bounds.single:
-        df = df.withColumn("__key", _key_as_number(df, key))
-        df = Ranges.of(df, "__key", ranges).assign(df, "__key", _TIE).drop("__key")
-        tie = F.when(F.col(_RANGE).isin(bounds.single), F.col(_TIE)).otherwise(0)
+    if key is not None and single:
+        tie = F.when(F.col(_RANGE).isin(single), F.coalesce(_tie_range(df, single, key, ranges), F.lit(0))).otherwise(0)
     cell = F.struct(*[F.col(g) for g in group], F.col(_RANGE), tie.alias(_TIE))
-    return df.withColumn(_CELL, cell).drop(_TIE), bounds
+    return df.withColumn(_CELL, cell), single
 
 
 def _in_front(df: DataFrame, group: Sequence[str], measures: Mapping[str, Column]) -> DataFrame:
@@ -145,22 +158,25 @@ def rank_rows(
     value = F.col(value) if isinstance(value, str) else value
     running_sum = dict(running_sum or {})
     # the cell is one struct column, so that groups with a NULL name join like any other
-    rows, bounds = _cells(df.withColumn(_ORDER, _ordering(value, ascending)), group, key, ranges or _ranges_wanted(df))
+    valued = df.withColumn(_VALUE, value)
+    valued = valued.withColumn(_ORDER, _ordering(F.col(_VALUE), valued.schema[_VALUE].dataType, ascending))
+    rows, one_value = _cells(valued, group, key, ranges or _ranges_wanted(df))
     measures = {"n": F.count(F.lit(1)), **{name: F.coalesce(F.sum(c), F.lit(0)) for name, c in running_sum.items()}}
     front = _in_front(rows, group, measures)
 
-    by_key = Window.partitionBy(_CELL).orderBy(_ORDER, key)
-    by_value = Window.partitionBy(_CELL).orderBy(_ORDER)
+    order = F.col(_VALUE).asc_nulls_first() if ascending else F.col(_VALUE).desc_nulls_last()
+    by_key = Window.partitionBy(_CELL).orderBy(order, key)
+    by_value = Window.partitionBy(_CELL).orderBy(order)
     local: dict[str, Column] = {"__rn": F.row_number().over(by_key)}
     if rank or percent_rank:
         local["__rk"] = F.rank().over(by_value)
     if ties:
-        local["__same"] = F.count(F.lit(1)).over(Window.partitionBy(_CELL, _ORDER))
+        local["__same"] = F.count(F.lit(1)).over(Window.partitionBy(_CELL, _VALUE))
     for name, column in running_sum.items():
         local[f"__run_{name}"] = F.coalesce(F.sum(column).over(by_value), F.lit(0))
     joined = rows.withColumns(local).join(front, _CELL)
 
-    single = F.col(f"{_CELL}.{_RANGE}").isin(bounds.single) if bounds.single else F.lit(False)
+    single = F.col(f"{_CELL}.{_RANGE}").isin(one_value) if one_value else F.lit(False)
     number = F.col("__before_n") + F.col("__rn")
     size = F.col("__all_n")
     position = None
@@ -215,15 +231,15 @@ def value_distribution(
     group. Analyses that only need totals per rank
     band read this instead of ranking rows: repeated values collapse before the shuffle.
     """
-    rows = df.withColumn(_ORDER, _ordering(F.col(value), True))
+    rows = df.withColumn(_ORDER, _ordering(F.col(value), df.schema[value].dataType, True))
     bounds = Ranges.of(rows, _ORDER, ranges or _ranges_wanted(df))
     rows = bounds.assign(rows, _ORDER, _RANGE)
     cell = F.struct(*[F.col(g) for g in group], F.col(_RANGE), F.lit(0).alias(_TIE)).alias(_CELL)
     totals = {"n": F.count(F.lit(1))} | ({"sum": F.sum(value)} if center else {})
     front = _in_front(rows.select(cell, value), group, totals)
     extra = [c.alias(n) for n, c in (aggs or {}).items()]
-    values = rows.groupBy(cell, _ORDER, value).agg(F.count(F.lit(1)).alias("n"), *extra)
-    earlier = Window.partitionBy(_CELL).orderBy(_ORDER).rowsBetween(Window.unboundedPreceding, -1)
+    values = rows.groupBy(cell, value).agg(F.count(F.lit(1)).alias("n"), *extra)
+    earlier = Window.partitionBy(_CELL).orderBy(F.col(value).asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
     return (
         values.withColumn("__earlier", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
         .join(front, _CELL)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyforge.functions import presets as P
-from tallyforge.functions.expr import band, bin_floor, pct, safe_corr, settled_round
+from tallyforge.functions.expr import band, bin_floor, pct, safe_corr, settled_round, split_list
 from tallyforge.operators.aggregates import box_plot, grid_counts, share_of_total, share_within
 from tallyforge.operators.joins import with_total_stats
 
@@ -66,7 +66,7 @@ def usage_bands(df: DataFrame) -> DataFrame:
 
 def tool_share(df: DataFrame, tools: str = "ai_tools_used", sep: str = ",") -> DataFrame:
     """Mentions of each tool in a delimited list and their share of all mentions."""
-    mentions = df.select(F.explode(F.split(tools, sep)).alias("tool")).select(F.trim("tool").alias("tool"))
+    mentions = df.select(F.explode(split_list(tools, sep)).alias("tool")).select(F.trim("tool").alias("tool"))
     return share_of_total(mentions, ["tool"], 2, "mentions").orderBy(F.desc("mentions"))
 
 

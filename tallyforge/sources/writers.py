@@ -8,7 +8,6 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.operators.joins import measured
 
 MB = 1024 * 1024
 
@@ -63,20 +62,19 @@ def write_by_date(df: DataFrame, date: str, path: str) -> DataFrame:
 
 
 def cap_categories(df: DataFrame, category: str, max_partitions: int = 50, other: str = "others") -> DataFrame:
-    """Add ``<category>_partition``: the category, or ``other`` beyond the ``max_partitions - 1`` largest.
+    """Add ``<category>_partition``, a string: the category, or ``other`` beyond the ``max_partitions - 1`` largest.
 
-    All categories are kept if there are at most ``max_partitions``. Equally large ones are taken
-    in name order.
+    All categories are kept if there are at most ``max_partitions``; NULL is a category like any other and stays
+    NULL where it is kept. Equally large ones are taken in name order. A category that is itself
+    called ``other`` shares its partition with those beyond the cap.
     """
-    output = f"{category}_partition"
-    counts = measured(df.groupBy(category).agg(F.count(F.lit(1)).alias("__n")))
-    if counts.limit(max_partitions + 1).count() <= max_partitions:
-        return df.withColumn(output, F.col(category))
-    largest = counts.orderBy(F.desc("__n"), F.asc_nulls_last(category)).limit(max_partitions - 1)
-    # at most max_partitions - 1 rows
-    kept = largest.filter(F.col(category).isNotNull()).select(category, F.col(category).alias(output))
-    named = df.join(F.broadcast(kept), category, "left")
-    return named.withColumn(output, F.coalesce(F.col(output).cast("string"), F.lit(other)))
+    text = F.col(category).cast("string")
+    counts = df.groupBy(text.alias("__c")).agg(F.count(F.lit(1)).alias("__n"))
+    largest = [r["__c"] for r in counts.orderBy(F.desc("__n"), F.asc_nulls_last("__c")).limit(max_partitions + 1).collect()]
+    kept = largest if len(largest) <= max_partitions else largest[: max_partitions - 1]
+    named = text.isin([c for c in kept if c is not None])
+    known = F.coalesce(named, F.lit(None in kept))
+    return df.withColumn(f"{category}_partition", F.when(known, text).otherwise(F.lit(other)))
 
 
 def write_by_category(df: DataFrame, category: str, path: str, max_partitions: int = 50) -> None:
@@ -145,29 +143,35 @@ def staged_write(
     write_parquet(df, staging, partition_by)
     written = spark.read.parquet(staging)
     rows = written.count()
-    same_columns = set(written.columns) == set(df.columns)
+    same_columns = {(f.name, f.dataType.simpleString()) for f in written.schema if f.name not in partition_by} == {(f.name, f.dataType.simpleString()) for f in df.schema if f.name not in partition_by}
+    same_columns = same_columns and set(written.columns) == set(df.columns)
     fs, staged = _fs(spark, staging)
     _, target = _fs(spark, final)
     if rows == 0 or not same_columns or (validate is not None and not validate(written)):
         _, away = _fs(spark, f"{rejected.rstrip('/')}/{spark.sparkContext.applicationId}-{_stamp(spark)}")
         fs.mkdirs(away.getParent())
-        fs.rename(staged, away)
+        _rename(fs, staged, away)
         raise StagedWriteError(f"output for {final} failed validation; kept at {away}")
     _, old = _fs(spark, final.rstrip("/") + f".old-{_stamp(spark)}")
     replaced = fs.exists(target)
     if replaced:
-        fs.rename(target, old)
+        _rename(fs, target, old)  # else the staged folder would be moved into the old output
     else:
         fs.mkdirs(target.getParent())
     if not fs.rename(staged, target):
         if replaced:
-            fs.rename(old, target)
+            _rename(fs, old, target)
         raise StagedWriteError(f"could not publish {final}")
     if replaced:
         fs.delete(old, True)
     return rows
 
 
+def _rename(fs, source, target) -> None:
+    if not fs.rename(source, target):
+        raise StagedWriteError(f"could not move {source} to {target}")
+
+
 def _stamp(spark: SparkSession) -> str:
     return str(spark._jvm.java.util.UUID.randomUUID())
 

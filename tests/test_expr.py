@@ -144,3 +144,14 @@ def test_settled_round_values(spark, value, digits, want):
 def test_settled_round_keeps_null_and_nan(spark):
     assert one(spark, expr.settled_round(F.col("x"), 2), x=None) is None
     assert one(spark, expr.settled_round(F.col("x"), 2), x=float("nan")) != one(spark, expr.settled_round(F.col("x"), 2), x=0.0)
+
+
+@pytest.mark.parametrize(("x", "digits", "want"), [(999999999999.0, 8, 999999999999.0), (123456789012.5, 9, 123456789012.5), (-0.5, 0, -1.0), (2.0**52 + 0.5, 0, 2.0**52 + 1), (1e300, 2, 1e300)])
+def test_settled_round_beyond_exact_doubles(spark, x, digits, want):
+    assert spark.range(1).select(expr.settled_round(F.lit(x), digits)).first()[0] == want
+
+
+def test_separators_are_literal(spark):
+    df = spark.createDataFrame([("a|b|c",), ("",), (None,)], "v string")
+    assert [r[0] for r in df.select(expr.list_count("v", "|")).collect()] == [3, 1, 0]
+    assert [r[0] for r in df.select(expr.list_count("v", ".")).collect()] == [1, 1, 0]

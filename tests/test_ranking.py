@@ -69,7 +69,7 @@ def test_no_cell_holds_a_hot_group_or_value(spark):
     df = spark.range(n).select(
         F.lit("only").alias("g"), F.when(F.col("id") % 3 == 0, 2.0).otherwise(F.rand(1) * 4).alias("v"), F.col("id").alias("k")
     )
-    cells, _ = ranking._cells(df.withColumn("__order", ranking._ordering(F.col("v"), True)), ["g"], "k", 20)
+    cells, _ = ranking._cells(df.withColumns({"__value": F.col("v"), "__order": ranking._ordering(F.col("v"), df.schema["v"].dataType, True)}), ["g"], "k", 20)
     largest = cells.groupBy("__cell").count().agg(F.max("count")).first()[0]
     assert largest < n / 20 * 3
 
@@ -170,3 +170,27 @@ def test_time_keys_break_ties_of_a_hot_value(spark, kind):
     df = spark.range(400).select(F.lit(1.0).alias("v"), day.cast(kind).alias("k"), "id")
     out = rank_rows(df, [], "v", "k", row_number="rn", ranges=8)
     assert out.filter(F.col("rn") != F.col("id") + 1).count() == 0
+
+
+def plain(df, ascending=True):
+    order = F.col("v").asc_nulls_first() if ascending else F.col("v").desc_nulls_last()
+    by = Window.partitionBy("g").orderBy(order)
+    return df.withColumns({"rn": F.row_number().over(Window.partitionBy("g").orderBy(order, "k")), "rk": F.rank().over(by), "t": F.count(F.lit(1)).over(Window.partitionBy("g", "v"))})
+
+
+@pytest.mark.parametrize("ascending", [True, False])
+@pytest.mark.parametrize(("kind", "make"), [("bigint", lambda i: 2**53 + i % 3), ("decimal(30,2)", lambda i: f"{10**20 + i % 2}.5{i % 7}"), ("string", lambda i: ["abcdefg", "abcdefh", "b", "", None][i % 5])])
+def test_values_that_share_a_double(spark, kind, make, ascending):
+    df = spark.createDataFrame([("g", str(make(i)) if make(i) is not None else None, i) for i in range(600)], "g string, v string, k int").withColumn("v", F.col("v").cast(kind))
+    got = rank_rows(df, ["g"], "v", "k", ascending, row_number="rn", rank="rk", ties="t", ranges=8)
+    assert rows_of(got) == rows_of(plain(df, ascending))
+
+
+def test_one_odd_key_does_not_undo_the_split(spark):
+    from tallyforge.operators import ranking
+
+    df = spark.createDataFrame([("g", 1.0, f"STU_{i:020d}") for i in range(4000)] + [("g", 1.0, "A1")], "g string, v double, k string")
+    valued = df.withColumns({"__value": F.col("v"), "__order": F.col("v")})
+    cells, _ = ranking._cells(valued, ["g"], "k", 8)
+    assert cells.groupBy("__cell").count().agg(F.max("count")).first()[0] < 1200
+    assert rows_of(rank_rows(df, ["g"], "v", "k", row_number="rn", rank="rk", ties="t", ranges=8)) == rows_of(plain(df))

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import rows_of
-from tallyforge import fixtures
+import tables
 from tallyforge.plans import integration
 from tallyforge.sources import incremental, readers, writers
 from tallyforge.streaming import activity
@@ -113,6 +113,15 @@ def test_incremental_load_reads_each_file_once(spark, folder):
     assert sorted(r.id for r in spark.read.parquet(f"{folder}/out").collect()) == [*range(10), 12, 13, 14]
 
 
+@pytest.mark.parametrize("cap", [2, 4])
+def test_cap_keeps_type_and_nulls_alike(spark, cap):
+    df = spark.createDataFrame([(1,), (1,), (1,), (None,), (None,), (2,), (3,)], "c int")
+    out = writers.cap_categories(df, "c", cap)
+    assert dict(out.dtypes)["c_partition"] == "string"
+    found = {r.c_partition: r["count"] for r in out.groupBy("c_partition").count().collect()}
+    assert found == ({"1": 3, "others": 4} if cap == 2 else {"1": 3, None: 2, "2": 1, "3": 1})
+
+
 def test_rows_after(spark):
     df = spark.range(10)
     assert incremental.rows_after(df, df.filter("id < 6"), "id").count() == 4
@@ -125,7 +134,7 @@ def run_stream(stream, spark, folder, name):
 
 
 def test_stream_equals_batch_on_closed_windows(spark, folder):
-    logs = fixtures.activity_logs(spark, 3000)
+    logs = tables.visits(spark, 3000)
     logs.write.json(f"{folder}/in")
     timed = activity.with_event_time(activity.read_json_stream(spark, f"{folder}/in"), delay="30 minutes")
     got = run_stream(activity.window_summary(timed), spark, folder, "out").drop("window_date")
@@ -179,7 +188,7 @@ def test_stream_dedup_within_watermark(spark, folder):
 
 
 def test_sketch_variant_runs(spark, folder):
-    fixtures.activity_logs(spark, 500).write.json(f"{folder}/in")
+    tables.visits(spark, 500).write.json(f"{folder}/in")
     timed = activity.with_event_time(activity.read_json_stream(spark, f"{folder}/in"))
     assert run_stream(activity.window_summary(timed, rsd=0.02), spark, folder, "out").count() > 0
 
@@ -192,9 +201,9 @@ def test_payload_parsing(spark):
 
 
 def test_integration_run_writes_all_outputs(spark, folder):
-    fixtures.ai_tool_usage(spark).createOrReplaceTempView("ai_tool_usage")
-    fixtures.academic_performance(spark).createOrReplaceTempView("academic_performance")
-    fixtures.course_enrollment(spark).createOrReplaceTempView("course_enrollment")
+    tables.tool_survey(spark).createOrReplaceTempView("ai_tool_usage")
+    tables.marks(spark).createOrReplaceTempView("academic_performance")
+    tables.enrolments(spark).createOrReplaceTempView("course_enrollment")
     paths = integration.run(spark, folder)
     integrated = spark.read.parquet(paths["integrated"])
     assert integrated.count() == 500
@@ -206,21 +215,10 @@ def test_integration_run_writes_all_outputs(spark, folder):
 def test_school_run(spark, folder):
     from tallyforge.operators.joins import assign_weighted
 
-    schools = fixtures.school_info(spark)
-    assigned = assign_weighted(fixtures.exam_scores(spark), "student_id", schools, "school_id", "student_count")
-    paths = integration.run_schools(assigned, schools, fixtures.regional_economics(spark), folder)
+    schools = tables.school_list(spark)
+    assigned = assign_weighted(tables.exams(spark), "student_id", schools, "school_id", "student_count")
+    paths = integration.run_schools(assigned, schools, tables.regions(spark), folder)
     detailed = spark.read.parquet(paths["detailed-school-analysis"])
     assert detailed.agg(F.sum("total_students")).first()[0] == 1000
     best = detailed.filter("regional_rank = 1").collect()
     assert {r.regional_percentile for r in best} == {1.0} and len(best) == 3
-
-
-def test_fixture_tables_are_deterministic_and_in_range(spark):
-    a = fixtures.academic_performance(spark)
-    assert rows_of(a) == rows_of(fixtures.academic_performance(spark).repartition(3))
-    assert a.filter((F.col("gpa") < 0) | (F.col("gpa") > 4) | (F.abs(F.col("gpa") - F.col("major_gpa")) > 1.5)).count() == 0
-    e = fixtures.course_enrollment(spark)
-    per = e.groupBy("student_id").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("course_code").alias("d"))
-    assert per.filter("n < 3 or n > 6 or n <> d").count() == 0
-    assert fixtures.school_info(spark).filter("student_count < 200 or student_count >= 3000").count() == 0
-    assert fixtures.exam_scores(spark).filter("math_score not between 0 and 100").count() == 0
