@@ -22,9 +22,12 @@ TIER = (
 )
 
 
-def written_students(spark, sf_dir):
-    """The wide table, written once in the shared checkpoint folder, for analyses that read it several times."""
-    return cut_lineage(roles.students(spark, sf_dir))
+def written_students(spark, sf_dir, keep="true", columns=("*",)):
+    """What an analysis needs of the wide table, written once, for analyses that read it several times."""
+    return cut_lineage(roles.students(spark, sf_dir).filter(keep).select(*columns))
+
+
+GRADED = ("student_id", "semester", "field_of_study", "gpa", "usage_frequency_score", "satisfaction_level", "attendance_rate")
 
 
 @query(
@@ -37,7 +40,7 @@ def written_students(spark, sf_dir):
     FROM t GROUP BY field_of_study, performance_tier""",
 )
 def rank_tiers(spark, sf_dir):
-    return ranking.rank_tiers(written_students(spark, sf_dir))
+    return ranking.rank_tiers(written_students(spark, sf_dir, columns=GRADED))
 
 
 @query(
@@ -375,7 +378,7 @@ def sampled_estimates(spark, sf_dir):
       {TIER} AS performance_tier FROM w WHERE gpa_rank <= 20""",
 )
 def window_bundle(spark, sf_dir):
-    return scaling.window_bundle(written_students(spark, sf_dir), {"field_of_study": SOME_FIELDS, **TOP_TERMS})
+    return scaling.window_bundle(written_students(spark, sf_dir, f"{IN_FIELDS} AND {IN_TERMS}", GRADED), {"field_of_study": SOME_FIELDS, **TOP_TERMS})
 
 
 @query(
@@ -389,7 +392,7 @@ def window_bundle(spark, sf_dir):
       ELSE 'Well Below Average' END AS performance_grade FROM f JOIN s USING (field_of_study)""",
 )
 def benchmark_grades(spark, sf_dir):
-    return scaling.benchmark_grades(written_students(spark, sf_dir), {"semester": ["1999"]})
+    return scaling.benchmark_grades(written_students(spark, sf_dir, "semester = '1999'", GRADED), {"semester": ["1999"]})
 
 
 @query(
@@ -401,7 +404,7 @@ def benchmark_grades(spark, sf_dir):
       FROM students GROUP BY field_of_study HAVING COUNT(*) >= 20""",
 )
 def approximate_summary(spark, sf_dir):
-    students = written_students(spark, sf_dir)
+    students = roles.students(spark, sf_dir)
     rough = scaling.approximate_summary(students)
     exact = students.groupBy("field_of_study").agg(F.count_distinct("student_id").alias("exact"))
     error = F.abs(F.col("approx_unique_students") / F.col("exact") - 1)
@@ -466,6 +469,19 @@ def enrollment_summary(spark, sf_dir):
     )
 
 
+@query(
+    "enrollment_with_repeats",
+    f"""WITH {roles.ENROLLMENT_SQL} SELECT student_id, semester, COUNT(course_code) AS total_courses, CAST(SUM(credit_hours) AS BIGINT) AS total_credits,
+      {R(f'SUM({POINTS}) / 10e0 / COUNT(*)', 6)} AS calculated_gpa, array_to_string(list_sort(list(course_name)), '|') AS courses_taken,
+      array_to_string(list_sort(list(department)), '|') AS departments, CAST(COUNT(DISTINCT department) AS INT) AS academic_diversity
+      FROM enrollment GROUP BY student_id, semester""",
+)
+def enrollment_with_repeats(spark, sf_dir):
+    out = aggregates.enrollment_summary(roles.enrollment(spark, sf_dir))
+    joined = {c: F.array_join(c, "|") for c in ("courses_taken", "departments")}
+    return out.withColumns({"calculated_gpa": settled_round(F.col("calculated_gpa"), 6), **joined})
+
+
 @query(
     "integrated_analysis",
     f"""WITH {INTEGRATED} SELECT student_id, semester, field_of_study, year_of_study, CAST(num_ai_tools AS INT) AS num_ai_tools,

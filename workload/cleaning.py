@@ -520,6 +520,79 @@ def quality_recommendations(spark, sf_dir):
     return quality.recommendations(report(spark, sf_dir)).select("check", "column_name", "percentage", "recommendation")
 
 
+BROKEN = "SELECT 'lines', 'no_such_column', 'warehouse', CAST(NULL AS BIGINT), CAST(NULL AS BIGINT), CAST(NULL AS DOUBLE), 'ERROR', 'ERROR'"
+FAR = [
+    _check_sql("zscore_outliers", c, f"abs(({c} - (SELECT AVG({c}) FROM flawed)) / (SELECT STDDEV({c}) FROM flawed)) > 3", "values should lie within three standard deviations", False)
+    for c in ("l_orderkey", "l_suppkey", "quantity", "discount_rate", "tax_rate", "l_linenumber")
+]
+PARENTS = f"""SELECT 'lines' AS table_name, 'reference' AS "check", 'l_suppkey' AS column_name, COUNT(*) FILTER (WHERE bad) AS invalid, COUNT(*) AS total,
+  {R('100.0 * CAST(COUNT(*) FILTER (WHERE bad) AS DOUBLE) / COUNT(*)', 2)} AS percentage, 'l_suppkey must exist in some.s_suppkey' AS rule,
+  CASE WHEN COUNT(*) FILTER (WHERE bad) = 0 THEN 'PASS' ELSE 'FAIL' END AS status
+  FROM (SELECT l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_nationkey > 2) AS bad FROM flawed)"""
+WHOLE_REPORT = "report AS (" + " UNION ALL ".join([*PROFILE, *RULES, RULES[0], *CONSISTENCY, DUPLICATES, *FAR, PARENTS, BROKEN]) + ")"
+
+
+def whole_report(spark, sf_dir):
+    """Every leg: outliers, references, a rule named twice and one that cannot run."""
+    extra = [rules()[0], quality.range_rule("no_such_column", "warehouse", 0, 1)]
+    some = roles.table(spark, sf_dir, "supplier").filter("s_nationkey > 2")
+    return quality.full_report(flawed(spark, sf_dir), "lines", [*rules(), *extra], [("l_suppkey", some, "s_suppkey", "some")])
+
+
+@query("quality_full_report", f"""WITH {FLAWED_TWICE}, {WHOLE_REPORT} SELECT table_name, "check", column_name, invalid, total, percentage, status FROM report""")
+def quality_full_report(spark, sf_dir):
+    return whole_report(spark, sf_dir).drop("rule")
+
+
+@query(
+    "quality_full_verdict",
+    f"""WITH {FLAWED_TWICE}, {WHOLE_REPORT}, s AS (SELECT *, {SEVERITY.replace("status = 'FAIL' THEN", "status IN ('FAIL', 'ERROR') THEN")} AS severity FROM report)
+    SELECT COUNT(DISTINCT table_name) AS total_tables_checked, COUNT(*) FILTER (WHERE severity = 'critical') AS critical_issues_count,
+      COUNT(*) FILTER (WHERE severity = 'warning') AS warnings_count,
+      CASE WHEN COUNT(*) FILTER (WHERE severity = 'critical') > 0 THEN 'FAIL' ELSE 'PASS' END AS overall_status FROM s""",
+)
+def quality_full_verdict(spark, sf_dir):
+    return quality.verdict(whole_report(spark, sf_dir), null_limits=(50.0, 5.0))
+
+
+@query(
+    "quality_strict_verdict",
+    f"""WITH {FLAWED_TWICE}, {WHOLE_REPORT} SELECT CASE WHEN COUNT(*) FILTER (WHERE ("check" = 'null_values' AND percentage > 20)
+      OR ("check" = 'duplicates' AND percentage > 10)) > 0 THEN 'FAIL' ELSE 'PASS' END AS overall_status FROM report""",
+)
+def quality_strict_verdict(spark, sf_dir):
+    return quality.strict_verdict(whole_report(spark, sf_dir))
+
+
+@query(
+    "quality_outlier_advice",
+    f"""WITH {FLAWED_TWICE}, {WHOLE_REPORT} SELECT column_name, invalid, 'examine outliers and tighten validation' AS recommendation
+      FROM report WHERE "check" = 'zscore_outliers' AND invalid > 0""",
+)
+def quality_outlier_advice(spark, sf_dir):
+    advice = quality.recommendations(whole_report(spark, sf_dir)).filter(F.col("check") == "zscore_outliers")
+    return advice.select("column_name", "invalid", "recommendation")
+
+
+@query(
+    "quality_gate",
+    f"""WITH {FLAWED_TWICE}, d AS (SELECT 'flawed' AS source, (SELECT COUNT(*) FROM flawed) AS n, (SELECT COUNT(*) FROM (SELECT DISTINCT * FROM flawed)) AS u
+      UNION ALL SELECT 'supplier', (SELECT COUNT(*) FROM supplier), (SELECT COUNT(*) FROM (SELECT DISTINCT * FROM supplier)))
+    SELECT source, 100.0 * CAST(n - u AS DOUBLE) / n > 5 AS refused FROM d""",
+)
+def quality_gate(spark, sf_dir):
+    """Which of two sources the gate refuses for its duplicates."""
+    sources = {"flawed": flawed(spark, sf_dir), "supplier": roles.table(spark, sf_dir, "supplier")}
+    rows = []
+    for name, df in sources.items():
+        try:
+            quality.assert_quality(df, name, max_duplicate_pct=5.0)
+            rows.append((name, False))
+        except quality.QualityError:
+            rows.append((name, True))
+    return spark.createDataFrame(rows, "source string, refused boolean")
+
+
 @query(
     "quality_declared_rules",
     f"""WITH {FLAWED_TWICE} SELECT 'required_column' AS "check", 'warehouse' AS column_name, CAST(NULL AS BIGINT) AS invalid

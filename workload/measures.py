@@ -298,6 +298,28 @@ def school_adjusted_effect(spark, sf_dir):
     return out.select(*names)
 
 
+def _noise_sql(subject, sd=2):
+    """The normal variate that a row key and a salt give: two md5 numbers, Box-Muller."""
+    u, v = (f"(CAST('0x' || substr(md5(concat_ws('|', CAST(student_id AS VARCHAR), '{subject}_score/{x}')), 1, 12) AS BIGINT) / 281474976710656e0)" for x in "uv")
+    return f"(0e0 + {sd}e0 * sqrt(-2e0 * ln(1e0 - {u})) * cos(2e0 * pi() * {v}))"
+
+
+@query(
+    "school_noisy_effect",
+    f"""WITH {SC}, {roles.SCHOOLS_SQL}, e AS (SELECT s.*, (CASE school_type WHEN 'private' THEN 5 WHEN 'charter' THEN 2 ELSE 0 END)
+      + (CASE WHEN student_teacher_ratio < 15 THEN 3 WHEN student_teacher_ratio > 20 THEN -2 ELSE 0 END)
+      + (CASE WHEN budget_per_student > 12000 THEN 3 WHEN budget_per_student < 8000 THEN -2 ELSE 0 END)
+      + (technology_score - 5) * 0.5e0 + (facility_score - 5) * 0.3e0 AS eff FROM scores s JOIN schools USING (school_id))
+    SELECT student_id, school_id, {', '.join(f'CAST(greatest(0, least(100, trunc({c}_score + eff + {_noise_sql(c)}))) AS INT) AS {c}_score' for c in ('math', 'reading', 'writing'))} FROM e""",
+)
+def school_noisy_effect(spark, sf_dir):
+    from tallyforge.operators.scoring import adjust_for_school
+
+    joined = roles.scores(spark, sf_dir).join(roles.schools(spark, sf_dir), "school_id")
+    out = adjust_for_school(joined, "student_id", ["math_score", "reading_score", "writing_score"])
+    return out.select("student_id", "school_id", "math_score", "reading_score", "writing_score")
+
+
 # --- survey --------------------------------------------------------------------------------------
 
 SV = roles.SURVEY_SQL
