@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from tallyforge.functions.expr import hash_uniform
+from tallyforge.session import written
 
 BROADCAST_ROWS = 10_000
 
@@ -18,28 +19,14 @@ def at_most(df: DataFrame, rows: int) -> bool:
 
 
 def measured(df: DataFrame) -> DataFrame:
-    """Compute a summary once and keep it.
+    """Compute a summary once and write it down.
 
-    Spark knows the exact size of a cached result, so a join with it is broadcast if, and only
-    if, it is below ``spark.sql.autoBroadcastJoinThreshold``; beyond that the join is a shuffle
-    join whose hot keys AQE splits. Without this, a summary of a huge table is taken for huge and
-    the huge table is shuffled by its group. A lost cache block is computed again.
+    Spark knows the size of a written table, so a join with it is broadcast if, and only if, it is below
+    ``spark.sql.autoBroadcastJoinThreshold``; beyond that the join is a shuffle join whose hot keys AQE splits.
+    Without this, a summary of a huge table is taken for huge and the huge table is shuffled by its group. Nothing
+    is kept in memory.
     """
-    kept = df.persist()
-    kept.count()
-    _measured.append(kept)
-    return kept
-
-
-_measured: list[DataFrame] = []
-
-
-def release_measured() -> int:
-    """Drop all summaries kept by ``measured``; call it once the results that use them are written."""
-    n = len(_measured)
-    while _measured:
-        _measured.pop().unpersist()
-    return n
+    return written(df)
 
 
 def join_small(

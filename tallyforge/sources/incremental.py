@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
+PROGRESS = "spark.sql.streaming.numRecentProgressUpdates"
+MAX_BATCHES = 2**31 - 1
+
+
 def load_new_files(
     spark: SparkSession,
     source: str,
@@ -17,14 +21,17 @@ def load_new_files(
     checkpoint: str,
     transform: Callable[[DataFrame], DataFrame] | None = None,
     file_format: str = "parquet",
+    files_per_batch: int = 1000,
 ) -> int:
     """Append the rows of files not seen before to ``target``; return the number of rows read.
 
     The streaming checkpoint is the bookmark: it moves only when the sink has committed, so a
-    failed run is repeated and a finished one is not.
+    failed run is repeated and a finished one is not. A backlog is taken in batches of ``files_per_batch`` files.
     """
-    rows = spark.readStream.schema(schema).format(file_format).load(source)
+    rows = spark.readStream.schema(schema).format(file_format).option("maxFilesPerTrigger", files_per_batch).load(source)
     rows = transform(rows) if transform else rows
+    kept = spark.conf.get(PROGRESS)
+    spark.conf.set(PROGRESS, str(MAX_BATCHES))  # else only the last hundred batches are counted
     query = (
         rows.writeStream.format("parquet")
         .option("path", target)
@@ -33,14 +40,22 @@ def load_new_files(
         .trigger(availableNow=True)
         .start()
     )
+    spark.conf.set(PROGRESS, kept)
     query.awaitTermination()
     return sum(p["numInputRows"] for p in query.recentProgress)
 
 
-def rows_after(df: DataFrame, done: DataFrame, column: str) -> DataFrame:
+def rows_after(df: DataFrame, done: DataFrame, column: str, keys: Sequence[str] = ()) -> DataFrame:
     """Rows of ``df`` beyond the largest ``column`` in ``done``; all rows if ``done`` is empty.
 
-    The bookmark is one value, read first, so that it reaches the scan as a literal filter.
+    The bookmark is one value, read first, so that it reaches the scan as a literal filter. With ``keys``, rows at the
+    bookmark itself and rows without a value count too, unless ``done`` has their keys; without, both are taken as done.
     """
     last = done.agg(F.max(column)).first()[0]
-    return df if last is None else df.filter(F.col(column) > F.lit(last))
+    if last is None:
+        return df
+    if not keys:
+        return df.filter(F.col(column) > F.lit(last))
+    edge = (F.col(column) == F.lit(last)) | F.col(column).isNull()
+    open_rows = df.filter((F.col(column) >= F.lit(last)) | F.col(column).isNull())
+    return open_rows.join(done.filter(edge).select(*keys).distinct(), list(keys), "left_anti").select(df.columns)

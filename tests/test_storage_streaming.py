@@ -128,6 +128,20 @@ def test_rows_after(spark):
     assert incremental.rows_after(df, df.filter("id < 0"), "id").count() == 10
 
 
+def test_rows_after_at_the_bookmark(spark):
+    done = spark.createDataFrame([(1, 5), (2, 7), (3, None)], "k int, v int")
+    df = spark.createDataFrame([(1, 5), (2, 7), (4, 7), (3, None), (5, None), (6, 8), (7, 6)], "k int, v int")
+    assert sorted(r.k for r in incremental.rows_after(df, done, "v", ["k"]).collect()) == [4, 5, 6]
+    assert incremental.rows_after(df, done, "v").count() == 1
+
+
+def test_backlog_in_many_batches(spark, folder):
+    rows = spark.range(130)
+    rows.repartition(130).write.parquet(f"{folder}/in")
+    assert incremental.load_new_files(spark, f"{folder}/in", rows.schema, f"{folder}/out", f"{folder}/state", files_per_batch=1) == 130
+    assert spark.read.parquet(f"{folder}/out").count() == 130
+
+
 def run_stream(stream, spark, folder, name):
     activity.write_windows(stream, f"{folder}/{name}", f"{folder}/{name}-state").awaitTermination()
     return spark.read.parquet(f"{folder}/{name}")

@@ -242,17 +242,20 @@ EVENT = T.StructType(
         T.StructField("props", T.StringType()),
     ]
 )
-ALL_FILES = 1_000_000
+ARRIVALS, FILES = 3, 4
 
 
 def replay(spark, sf_dir, copies=1):
-    """Events as JSON files, ready to be read as a stream; ``copies`` repeats every event."""
+    """Events as JSON files that arrive in event-time order, a batch for each; ``copies`` repeats every arrival."""
     path = scratch(spark, "events")
-    events = roles.table(spark, sf_dir, "events").withColumn("timestamp", F.col("ts").cast("string")).drop("ts")
-    for _ in range(copies):
-        events.write.mode("append").json(path)
-    # one trigger takes all files, so that no event is late whatever the order of the files
-    return activity.read_json_stream(spark, path, EVENT, files_per_trigger=ALL_FILES)
+    events = roles.table(spark, sf_dir, "events").withColumn("timestamp", F.col("ts").cast("string"))
+    first, last = events.agg(F.min("ts"), F.max("ts")).first()
+    cuts = [first + (last - first) * i / ARRIVALS for i in range(1, ARRIVALS)]
+    arrival = F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c <= F.col("ts")))
+    for i in range(ARRIVALS):
+        for _ in range(copies):
+            events.filter(arrival == i).drop("ts").repartition(FILES).write.mode("append").json(path)
+    return activity.read_json_stream(spark, path, EVENT, files_per_trigger=FILES)
 
 
 def finish(stream, spark, name, partition=None):
