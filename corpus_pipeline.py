@@ -13,14 +13,14 @@ from pyspark.sql import functions as F
 
 from tallyforge.llm import bpe, decontaminate, jaccard, rules, substring
 from tallyforge.llm.queries import PATTERN, RANKS
-from tallyforge.llm.tables import save
+from tallyforge.llm.tables import read_table, save
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that no rule rejects."""
-    return rules.kept(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return rules.kept(docs, read_table(spark, sf_dir, "labels"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,7 +40,7 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no passage of the benchmark."""
-    return decontaminate.without_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return decontaminate.without_leaks(docs, read_table(spark, sf_dir, "benchmark"))
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -62,7 +62,7 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = read_table(spark, sf_dir, "documents")
     for _, stage in STAGES[:-1]:
         docs = save(stage(spark, docs, sf_dir))
     return STAGES[-1][1](spark, docs, sf_dir)

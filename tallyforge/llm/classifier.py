@@ -2,8 +2,8 @@
 
 Every word has two units, its whole form and its last three bytes, each hashed to a row of a table of fixed size. A
 unit's vector sums the sparse random index vectors of the words around it over the whole corpus: exact integer
-sums, one aggregate. A document is the mean and the spread of its units' vectors, rare units weighing more. The
-network is trained on a bounded sample of labelled documents, and its temperature is set on a part of them
+sums, one aggregate. A document is the mean and the spread of its units' vectors, rare units weighing more, how often
+neighbours share a unit, and how many units differ. The network is trained on a bounded sample of labelled documents, and its temperature is set on a part of them
 that the training did not see.
 """
 
@@ -85,11 +85,15 @@ def word_vectors(docs: DataFrame, s: Settings, text_col: str = "text") -> tuple[
     return vectors.astype(np.float32), (s.rare / (s.rare + share)).astype(np.float32)
 
 
+def _inputs(s: Settings) -> int:
+    return 4 * s.dims + 5
+
+
 def _pooled(texts: pa.Array, vectors: np.ndarray, weights: np.ndarray, s: Settings) -> np.ndarray:
-    """Weighted mean and spread of each document's unit vectors, of both kinds, and the log of its words."""
+    """Of both kinds of units: weighted mean and spread of vectors, equal neighbours, different units; and the log of the words."""
     words = W.split_words(texts)
     units, first = _units(words, s), words.first
-    out = np.zeros((len(first) - 1, 4 * s.dims + 1), np.float32)
+    out = np.zeros((len(first) - 1, _inputs(s)), np.float32)
     for i in range(len(first) - 1):
         own = units[first[i] : first[i + 1]]
         if len(own):
@@ -100,6 +104,7 @@ def _pooled(texts: pa.Array, vectors: np.ndarray, weights: np.ndarray, s: Settin
                 mean = weight @ v / weight.sum()
                 at = 2 * kind * s.dims
                 out[i, at : at + s.dims] = mean
+                out[i, 4 * s.dims + 2 * kind : 4 * s.dims + 2 * kind + 2] = (own[1:, kind] == own[:-1, kind]).mean() if len(own) > 1 else 0.0, len(row) / len(own)
                 out[i, at + s.dims : at + 2 * s.dims] = np.sqrt(np.maximum(weight @ (v * v) / weight.sum() - mean * mean, 0))
             out[i, -1] = np.log1p(len(own))
     return out
@@ -188,7 +193,7 @@ def scored(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             yield pa.RecordBatch.from_pydict({"doc_id": part["doc_id"], "y": part["y"], "x": pa.array([r.tobytes() for r in x], pa.binary())})
 
     rows = join_texts(docs, known, "doc_id").select("doc_id", "text", "y").mapInArrow(pooled, "doc_id bigint, y int, x binary").toArrow().sort_by("doc_id")
-    x = np.frombuffer(b"".join(rows["x"].to_pylist()), np.float32).reshape(len(rows), 4 * s.dims + 1)
+    x = np.frombuffer(b"".join(rows["x"].to_pylist()), np.float32).reshape(len(rows), _inputs(s))
     ids = rows["doc_id"].to_numpy()
     net = fit(x, rows["y"].to_numpy().astype(float), W.mix(ids.astype(np.uint64), 17) % np.uint64(5) == 0, s)
     network = spark.sparkContext.broadcast(net)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyforge.llm import bpe, chat, classifier, decontaminate, jaccard, licenses, rules, substring, tokencount, urls
+from tallyforge.llm.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,12 +17,8 @@ RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
 def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chat.rendered(_table(spark, sf_dir, "conversations"))
+    return chat.rendered(read_table(spark, sf_dir, "conversations"))
 
 
 def made_edits() -> F.Column:
@@ -38,46 +35,46 @@ def made_edits() -> F.Column:
 
 
 def op2_edit_aware_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    built = tokencount.build(_table(spark, sf_dir, "documents").select("doc_id", "text"), RANKS, PATTERN)
+    built = tokencount.build(read_table(spark, sf_dir, "documents").select("doc_id", "text"), RANKS, PATTERN)
     rows = built.withColumn("n_before", F.col("n_tokens")).withColumn("edits", made_edits())
     after = tokencount.apply_edits(rows, RANKS, PATTERN)
     return after.select("doc_id", "n_before", F.col("n_tokens").alias("n_after"), "n_recounted", F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
 
 
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encoded = bpe.encode(_table(spark, sf_dir, "documents").select("doc_id", "text"), RANKS, PATTERN)
+    encoded = bpe.encode(read_table(spark, sf_dir, "documents").select("doc_id", "text"), RANKS, PATTERN)
     decoded = bpe.decode(encoded.drop("text"), RANKS)
     return decoded.select("doc_id", "n_tokens", F.sha2("tokens", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = rules.judged(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    out = rules.judged(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rejected_by")
 
 
 def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return urls.judged(_table(spark, sf_dir, "pages").select("page_id", "url")).select("page_id", "host", "path", "rule", "verdict", "score")
+    return urls.judged(read_table(spark, sf_dir, "pages").select("page_id", "url")).select("page_id", "host", "path", "rule", "verdict", "score")
 
 
 def op6_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licenses.scan(_table(spark, sf_dir, "documents")).drop("blocks")
+    return licenses.scan(read_table(spark, sf_dir, "documents")).drop("blocks")
 
 
 def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.near_duplicates(_table(spark, sf_dir, "documents"))
+    return jaccard.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cut = substring.cut_passages(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    cut = substring.cut_passages(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return cut.select("doc_id", F.col("_n_words").alias("n_words"), F.col("_n_removed").alias("n_removed"), F.sha2(F.col("_kept").cast("binary"), 256).alias("kept_sha256"))
 
 
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return classifier.scored(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return classifier.scored(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontaminate.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return decontaminate.leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
 QUERIES: dict[str, Query] = {

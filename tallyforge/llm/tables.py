@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from pathlib import Path
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyforge.session import ensure_checkpoint_dir
@@ -13,6 +14,14 @@ from tallyforge.session import ensure_checkpoint_dir
 BROADCAST_BYTES = 16_000_000
 
 
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of ``sf_dir``; from here on Python workers find this package where it lies, if they see that folder."""
+    root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(":"):
+        env["PYTHONPATH"] = ":".join(filter(None, (root, env.get("PYTHONPATH"))))
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
 def save(df: DataFrame) -> DataFrame:
     """Write ``df`` as Parquet into the shared checkpoint folder and read it back: lineage ends here."""
     path = f"{ensure_checkpoint_dir(df.sparkSession)}/table-{uuid.uuid4()}"
