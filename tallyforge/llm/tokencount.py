@@ -78,7 +78,12 @@ class Tree:
 
 
 def _leaves(pieces: list[str], codec: Codec) -> list[tuple[int, int]]:
-    return [(sum(map(len, p)), sum(len(codec[x]) // 4 for x in p)) for p in (pieces[i : i + LEAF] for i in range(0, len(pieces), LEAF))]
+    if not pieces:
+        return []
+    begin = range(0, len(pieces), LEAF)
+    chars = np.fromiter(map(len, pieces), np.int64, len(pieces))
+    tokens = np.fromiter(map(len, map(codec.__getitem__, pieces)), np.int64, len(pieces)) // 4
+    return list(zip(np.add.reduceat(chars, begin).tolist(), np.add.reduceat(tokens, begin).tolist(), strict=True))
 
 
 def build_tree(text: str, codec: Codec) -> Tree:
