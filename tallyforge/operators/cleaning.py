@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -61,7 +61,13 @@ def fill_constants(df: DataFrame, values: Mapping[str, float] | None = None) ->
 
 def _fill(df: DataFrame, columns: Sequence[str], stats: Mapping[str, Column]) -> DataFrame:
     filled = with_total_stats(df, {f"__fill_{c}": e for c, e in stats.items()})
-    replaced = {c: F.coalesce(F.col(c), F.col(f"__fill_{c}").cast(df.schema[c].dataType)) for c in columns}
+
+    def fitted(c: str) -> Column:
+        """The statistic in the column's own type; rounded, not cut, where that is a whole number."""
+        kind, value = df.schema[c].dataType, F.col(f"__fill_{c}")
+        return (F.round(value) if isinstance(kind, T.IntegralType) else value).cast(kind)
+
+    replaced = {c: F.coalesce(F.col(c), fitted(c)) for c in columns}
     return filled.withColumns(replaced).drop(*[f"__fill_{c}" for c in columns])
 
 
@@ -176,16 +182,16 @@ def normalise_courses(df: DataFrame, name: str = "course_name", code: str = "cou
 def drop_duplicates(df: DataFrame, keys: Sequence[str] | None = None, order: Sequence[Column] | None = None) -> DataFrame:
     """Whole-row duplicates, or one row per key.
 
-    With ``order`` the first row in that order survives, found by a partial aggregate
-    (``min_by``), so a key with very many copies is reduced before the shuffle. NULL sorts first.
+    With ``order`` the first row in that order survives; Spark keeps one row per key and task before the
+    shuffle (``WindowGroupLimit``), so a key with very many copies is no larger than the tasks are many. Without
+    it, any of a key's rows survives. NULL sorts first.
     """
     if keys is None:
         return df.dropDuplicates()
     if order is None:
         return df.dropDuplicates(list(keys))
-    row = F.struct(*[F.col(c) for c in df.columns])
-    kept = df.groupBy(*keys).agg(F.min_by(row, F.struct(*order)).alias("__row"))
-    return kept.select("__row.*")
+    first = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    return df.withColumn("__first", first).filter("__first = 1").drop("__first")
 
 
 def reconcile(

@@ -30,21 +30,23 @@ def drift(
     """Population stability of ``value`` over quantile bins of ``base``, and the shift of its mean.
 
     One row per bin with both shares and its contribution ``psi``; sum it for the index. ``floor``
-    replaces an empty share.
+    replaces an empty share. NULL and NaN fill a bin of their own, -1, if there are any; the shift is that of the
+    other values' mean.
     """
     probabilities = [i / bins for i in range(1, bins)]
     edges = base.agg(F.percentile_approx(F.col(value).cast("double"), probabilities, accuracy)).first()[0] or []
     splits = [float("-inf"), *sorted(set(edges)), float("inf")]
-    cut = Bucketizer(splits=splits, inputCol="__v", outputCol="bin", handleInvalid="skip")
+    cut = Bucketizer(splits=splits, inputCol="__v", outputCol="bin", handleInvalid="keep")
 
     def shares(df: DataFrame, name: str) -> DataFrame:
-        binned = cut.transform(df.select(F.col(value).cast("double").alias("__v")))
-        return binned.groupBy(F.col("bin").cast("int").alias("bin")).agg(
-            F.count(F.lit(1)).alias(f"{name}_n"), F.sum("__v").alias(f"{name}_sum")
+        binned = cut.transform(df.select(F.coalesce(F.col(value).cast("double"), F.lit(float("nan"))).alias("__v")))
+        known = F.when(~F.isnan("__v"), F.col("__v"))
+        return binned.groupBy(F.when(known.isNull(), -1).otherwise(F.col("bin").cast("int")).alias("bin")).agg(
+            F.count(F.lit(1)).alias(f"{name}_n"), F.count(known).alias(f"{name}_known"), F.sum(known).alias(f"{name}_sum")
         )
 
     both = shares(base, "base").join(shares(current, "current"), "bin", "full").fillna(0)
-    totals = {f"__{n}_{m}": F.sum(f"{n}_{m}") for n in ("base", "current") for m in ("n", "sum")}
+    totals = {f"__{n}_{m}": F.sum(f"{n}_{m}") for n in ("base", "current") for m in ("n", "known", "sum")}
     p = F.greatest(F.try_divide("base_n", "__base_n"), F.lit(floor))
     q = F.greatest(F.try_divide("current_n", "__current_n"), F.lit(floor))
     return with_total_stats(both, totals).select(
@@ -54,7 +56,7 @@ def drift(
         p.alias("base_share"),
         q.alias("current_share"),
         ((q - p) * F.ln(q / p)).alias("psi"),
-        (F.try_divide("__current_sum", "__current_n") - F.try_divide("__base_sum", "__base_n")).alias("mean_shift"),
+        (F.try_divide("__current_sum", "__current_known") - F.try_divide("__base_sum", "__base_known")).alias("mean_shift"),
     )
 
 

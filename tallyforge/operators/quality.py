@@ -153,10 +153,11 @@ def type_profile(df: DataFrame) -> DataFrame:
 def duplicate_profile(df: DataFrame, table: str = "table", keys: Sequence[str] | None = None) -> DataFrame:
     """Rows beyond the first of each whole-row (or key) group.
 
-    Identical rows collapse in a partial count before the shuffle. ``groupBy`` treats NULLs as equal.
+    Identical rows collapse in a partial count before the shuffle; NULLs are equal. What is shuffled is a pair of
+    64-bit hashes, not the row: among 10^12 distinct rows, two share both with a chance of about 10^-15.
     """
-    columns = list(keys or df.columns)
-    groups = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("__n"))
+    columns = [x for c in (keys or df.columns) for x in (F.col(c), F.col(c).isNull())]
+    groups = df.groupBy(F.xxhash64(*columns).alias("__h1"), F.xxhash64(F.lit(1), *reversed(columns)).alias("__h2")).agg(F.count(F.lit(1)).alias("__n"))
     extra, rows = F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)), F.coalesce(F.sum("__n"), F.lit(0))
     return groups.agg(
         F.lit(table).alias("table_name"),
@@ -170,10 +171,13 @@ def duplicate_profile(df: DataFrame, table: str = "table", keys: Sequence[str] |
     )
 
 
-def outlier_profile(df: DataFrame, columns: Sequence[str] | None = None, z_limit: float = 3.0, accuracy: int = 10_000) -> DataFrame:
+def outlier_profile(
+    df: DataFrame, columns: Sequence[str] | None = None, z_limit: float = 3.0, accuracy: int = 10_000, total: str | None = None
+) -> DataFrame:
     """Per numeric column: mean, deviation, quartiles, and how many values are far out by z-score and by IQR.
 
-    One pass for all statistics, one for all counts. Columns without spread are left out.
+    One pass for all statistics, one for all counts. Columns without spread are left out. ``total`` names a column
+    for the number of rows.
     """
     columns = list(columns or numeric_columns(df))
     stats: dict[str, Column] = {}
@@ -204,8 +208,9 @@ def outlier_profile(df: DataFrame, columns: Sequence[str] | None = None, z_limit
         )
         for i, c in enumerate(columns)
     ]
-    wide = rows.agg(*counts)
-    return wide.select(F.explode(F.array(*lines)).alias("r")).select("r.*").filter("__varies").drop("__varies")
+    wide = rows.agg(*counts, F.count(F.lit(1)).alias("__total"))
+    long = wide.select(F.explode(F.array(*lines)).alias("r"), *([F.col("__total").alias(total)] if total else []))
+    return long.select("r.*", *([total] if total else [])).filter("__varies").drop("__varies")
 
 
 def reference_check(
@@ -247,10 +252,8 @@ def full_report(
     checks = [*null_checks(df), *blank_checks(df), *rules, *consistency_checks(df)]
     report = run_checks(df, table, checks).unionByName(duplicate_profile(df, table))
     if outliers and numeric_columns(df):
-        far = outlier_profile(df)
-        rows = df.agg(F.count(F.lit(1))).scalar()
         report = report.unionByName(
-            far.withColumn("total", rows).select(
+            outlier_profile(df, total="total").select(
                 F.lit(table).alias("table_name"),
                 F.lit("zscore_outliers").alias("check"),
                 "column_name",

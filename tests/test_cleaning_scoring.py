@@ -228,3 +228,8 @@ def test_adjust_for_school(spark):
     r = scoring.adjust_for_school(df, "k", ["math_score", "reading_score", "writing_score"], noise_sd=0).first()
     assert r.school_effect == 14.2
     assert (r.math_score, r.reading_score, r.writing_score, r.total_score) == (64, 100, 14, 178)
+
+
+def test_mean_of_whole_numbers_is_rounded(spark):
+    df = spark.createDataFrame([(1,), (4,), (None,), (3,)], "v int")
+    assert [r.v for r in cleaning.fill_mean(df, ["v"]).collect()] == [1, 4, 3, 3]

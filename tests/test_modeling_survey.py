@@ -90,3 +90,13 @@ def test_lean_input_and_plan_text(spark):
     assert values(tuning.lean_input(df, ["g"], ["x"])) == [("a", 3)]
     assert tuning.drop_temporary(df, level=None).columns == ["g", "x"]
     assert "== Physical Plan ==" in tuning.plan_text(df)
+
+
+def test_drift_sees_a_rising_null_share(spark):
+    from tallyforge.operators import modeling
+
+    base = spark.createDataFrame([(float(i),) for i in range(100)], "v double")
+    current = spark.createDataFrame([(float(i) if i % 2 else None,) for i in range(100)], "v double")
+    rows = {r.bin: r for r in modeling.drift(base, current, "v", bins=4).collect()}
+    assert rows[-1].current_n == 50 and rows[-1].base_n == 0 and rows[-1].psi > 1
+    assert rows[0].mean_shift == pytest.approx(0.5)

@@ -178,3 +178,9 @@ def test_rules_of_one_name_count_once_each(spark):
 def test_outliers_of_a_narrow_column(spark):
     df = spark.range(1000).select((F.col("id") / 1e8).alias("a"), F.lit(1.0).alias("b"))
     assert [r.column_name for r in q.outlier_profile(df).collect()] == ["a"]
+
+
+def test_duplicates_by_hash_tell_nulls_apart(spark):
+    df = spark.createDataFrame([(None, "a"), ("a", None), (None, None), (None, None), ("a", "a")], "x string, y string")
+    assert q.duplicate_profile(df).first().invalid == 1
+    assert q.duplicate_profile(df, keys=["x"]).first().invalid == 3
