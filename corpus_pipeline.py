@@ -45,8 +45,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of every document, packed, with digests of the ids and of the bytes they decode to."""
-    decoded = bpe.decode(bpe.encode(docs.select("doc_id", "text"), RANKS, PATTERN), RANKS)
-    return decoded.select("doc_id", "n_tokens", "tokens", F.sha2("tokens", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    encoded = bpe.encode(docs.select("doc_id", "text"), RANKS, PATTERN, decoded=True)
+    return encoded.select("doc_id", "n_tokens", "tokens", F.sha2("tokens", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 STAGES: list[tuple[str, Stage]] = [

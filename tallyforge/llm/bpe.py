@@ -22,8 +22,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallyforge.llm.words import chunks
 
-KEPT_PIECES = 400_000
-KEPT_PAIRS = 1_000_000
+KEPT_PIECES = 120_000
+KEPT_PAIRS = 200_000
 
 
 class Codec(dict):
@@ -42,7 +42,7 @@ class Codec(dict):
             self.trie.add_word(text, i)
         self.longest = max(map(len, self.tokens), default=0)
         self.above = max(self.bytes, default=0) + 1
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, bool] = {}  # by left * 2^32 + right
 
     def merged(self, raw: bytes) -> list[int]:
         """The merges by definition: lowest rank first, leftmost first. For the few bytes of two tokens."""
@@ -55,11 +55,12 @@ class Codec(dict):
         return [self.ranks[p] for p in parts]
 
     def fits(self, left: int, right: int) -> bool:
-        known = self.pairs.get((left, right))
+        pair = left << 32 | right
+        known = self.pairs.get(pair)
         if known is None:
             if len(self.pairs) >= KEPT_PAIRS:
                 self.pairs.clear()
-            known = self.pairs[left, right] = self.merged(self.bytes[left] + self.bytes[right]) == [left, right]
+            known = self.pairs[pair] = self.merged(self.bytes[left] + self.bytes[right]) == [left, right]
         return known
 
     def ids(self, piece: bytes) -> list[int]:
@@ -76,7 +77,7 @@ class Codec(dict):
             while size > 0:
                 token = known(text[place : place + size])
                 if token is not None and not failed[place + size]:
-                    fits = left is None or pairs.get((left, token))
+                    fits = left is None or pairs.get(left << 32 | token)
                     if fits or (fits is None and self.fits(left, token)):
                         break
                 size -= 1
@@ -102,8 +103,9 @@ class Codec(dict):
     def encode(self, text: str) -> bytes:
         return b"".join(map(self.__getitem__, self.pattern.findall(text)))
 
-    def decode(self, ids: bytes) -> bytes:
-        return b"".join(map(self.bytes.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+
+def decode_ids(ids: bytes, tokens: dict[int, bytes]) -> bytes:
+    return b"".join(map(tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
 def read_ranks(raw: bytes) -> dict[bytes, int]:
@@ -116,30 +118,40 @@ def codec_of(raw: bytes, pattern: str) -> Codec:
     return Codec(read_ranks(raw), pattern)
 
 
+@lru_cache(maxsize=2)
+def tokens_of(raw: bytes) -> dict[int, bytes]:
+    return {i: b for b, i in read_ranks(raw).items()}
+
+
 def vocabulary(spark: SparkSession, path: str) -> Broadcast[bytes]:
     """The vocabulary file (about 1 MB), read where the query is built."""
     with open(path, "rb") as f:
         return spark.sparkContext.broadcast(f.read())
 
 
-def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text") -> DataFrame:
+def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", decoded: bool = False) -> DataFrame:
     """``docs`` with tokens (binary: ids as little-endian unsigned 32-bit integers) and n_tokens.
 
     Each match of ``pattern`` is encoded by itself, without special tokens. Null and empty texts have no
     tokens. Every row is encoded by itself, so repeated rows and null ids need no rule; columns named tokens or n_tokens
-    are replaced.
+    are replaced. With ``decoded`` the ids are decoded in the same pass, as ``decode`` does, into a column of that name.
     """
     shared = vocabulary(docs.sparkSession, path)
-    columns = [c for c in docs.columns if c not in ("tokens", "n_tokens")]
+    made = {"tokens": "binary", "n_tokens": "bigint"} | ({"decoded": "binary"} if decoded else {})
+    columns = [c for c in docs.columns if c not in made]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = codec_of(shared.value, pattern)
         for part in chunks(batches, text_col):
             packed = [codec.encode(text) if text else b"" for text in part[text_col].to_pylist()]
-            yield pa.RecordBatch.from_pydict({c: part[c] for c in columns} | {"tokens": pa.array(packed, pa.binary()), "n_tokens": pa.array([len(p) // 4 for p in packed], pa.int64())})
+            out = {"tokens": pa.array(packed, pa.binary()), "n_tokens": pa.array([len(p) // 4 for p in packed], pa.int64())}
+            if decoded:
+                out["decoded"] = pa.array([decode_ids(ids, codec.bytes) for ids in packed], pa.binary())
+            yield pa.RecordBatch.from_pydict({c: part[c] for c in columns} | out)
 
-    kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in columns)
-    return docs.select(columns).mapInArrow(run, f"{kinds}, tokens binary, n_tokens bigint")
+    kinds = ", ".join([f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in columns] + [f"{c} {kind}" for c, kind in made.items()])
+    wanted = columns if text_col in columns else [*columns, text_col]
+    return docs.select(wanted).mapInArrow(run, kinds)
 
 
 def decode(rows: DataFrame, path: str, tokens_col: str = "tokens") -> DataFrame:
@@ -148,9 +160,9 @@ def decode(rows: DataFrame, path: str, tokens_col: str = "tokens") -> DataFrame:
     columns = [c for c in rows.columns if c != "decoded"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = codec_of(shared.value, "x")
+        tokens = tokens_of(shared.value)
         for part in chunks(batches, tokens_col):
-            raw = [codec.decode(ids) if ids else b"" for ids in part[tokens_col].to_pylist()]
+            raw = [decode_ids(ids, tokens) if ids else b"" for ids in part[tokens_col].to_pylist()]
             yield pa.RecordBatch.from_pydict({c: part[c] for c in columns} | {"decoded": pa.array(raw, pa.binary())})
 
     kinds = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in columns)

@@ -42,9 +42,8 @@ def op2_edit_aware_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encoded = bpe.encode(read_table(spark, sf_dir, "documents").select("doc_id", "text"), RANKS, PATTERN)
-    decoded = bpe.decode(encoded.drop("text"), RANKS)
-    return decoded.select("doc_id", "n_tokens", F.sha2("tokens", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    encoded = bpe.encode(read_table(spark, sf_dir, "documents").select("doc_id", "text"), RANKS, PATTERN, decoded=True)
+    return encoded.select("doc_id", "n_tokens", F.sha2("tokens", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
