@@ -12,6 +12,7 @@ from __future__ import annotations
 import base64
 from collections.abc import Iterator
 from functools import lru_cache
+from struct import pack
 
 import ahocorasick
 import numpy as np
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallyforge.llm.words import chunks
 
-KEPT_PIECES = 120_000
+KEPT_PIECES = 250_000
 KEPT_PAIRS = 200_000
 
 
@@ -95,7 +96,8 @@ class Codec(dict):
     def __missing__(self, piece: str) -> bytes:
         if len(self) >= KEPT_PIECES:
             self.clear()
-        packed = np.array(self.ids(piece.encode()), "<u4").tobytes()
+        ids = self.ids(piece.encode())
+        packed = pack(f"<{len(ids)}I", *ids)
         if len(piece) <= 64:
             self[piece] = packed
         return packed

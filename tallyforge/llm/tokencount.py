@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from tallyforge.llm.bpe import Codec, codec_of, vocabulary
 from tallyforge.llm.words import chunks
 
-LEAF = 32
+LEAF = 16
 REACH = 3
 
 
@@ -27,40 +27,42 @@ class Tree:
 
     def __init__(self, leaves: list[tuple[int, int]]):
         self.size = 1 << max(len(leaves) - 1, 0).bit_length()
-        self.nodes = np.zeros((2 * self.size, 2), np.int64)
+        nodes = np.zeros((2 * self.size, 2), np.int64)
         if leaves:
-            self.nodes[self.size : self.size + len(leaves)] = leaves
+            nodes[self.size : self.size + len(leaves)] = leaves
         at = self.size
         while at > 1:
-            self.nodes[at // 2 : at] = self.nodes[at : 2 * at : 2] + self.nodes[at + 1 : 2 * at : 2]
+            nodes[at // 2 : at] = nodes[at : 2 * at : 2] + nodes[at + 1 : 2 * at : 2]
             at //= 2
+        self.chars, self.counts = nodes[:, 0].tolist(), nodes[:, 1].tolist()
 
     @classmethod
     def unpack(cls, raw: bytes) -> Tree:
-        tree = cls([])
-        tree.nodes = np.frombuffer(raw, "<i4").reshape(-1, 2).astype(np.int64)
-        tree.size = len(tree.nodes) // 2
+        tree = cls.__new__(cls)
+        nodes = np.frombuffer(raw, "<i4").reshape(2, -1)
+        tree.chars, tree.counts = nodes.tolist()
+        tree.size = len(tree.chars) // 2
         return tree
 
     def pack(self) -> bytes:
-        return self.nodes.astype("<i4").tobytes()
+        return np.array([self.chars, self.counts], "<i4").tobytes()
 
     @property
     def tokens(self) -> int:
-        return int(self.nodes[1, 1])
+        return self.counts[1]
 
     def find(self, place: int) -> tuple[int, int]:
         """The leaf that holds a character (the last one for a place at the end), and the leaf's first character."""
-        node, begin = 1, 0
+        node, begin, chars = 1, 0, self.chars
         while node < self.size:
             node *= 2
-            if place >= begin + self.nodes[node, 0] and self.nodes[node + 1, 0]:
-                begin += int(self.nodes[node, 0])
+            if place >= begin + chars[node] and chars[node + 1]:
+                begin += chars[node]
                 node += 1
         return node - self.size, begin
 
     def leaf(self, i: int) -> tuple[int, int]:
-        return tuple(map(int, self.nodes[self.size + i]))
+        return self.chars[self.size + i], self.counts[self.size + i]
 
     def replace(self, first: int, last: int, leaves: list[tuple[int, int]]) -> None:
         """New leaves for those from first to last; grows the tree if they need more room."""
@@ -69,11 +71,13 @@ class Tree:
             own = [self.leaf(i) for i in range(self.size)]
             self.__init__([x for x in own[:first] + leaves + own[last + 1 :] if x[0]])
             return
-        self.nodes[self.size + first : self.size + last + 1] = leaves + [(0, 0)] * (room - len(leaves))
+        for i, (chars, counts) in enumerate([*leaves, *[(0, 0)] * (room - len(leaves))], self.size + first):
+            self.chars[i], self.counts[i] = chars, counts
         low, high = (self.size + first) // 2, (self.size + last) // 2
         while low:
-            for node in range(low, high + 1):
-                self.nodes[node] = self.nodes[2 * node] + self.nodes[2 * node + 1]
+            for sums in (self.chars, self.counts):
+                for node in range(low, high + 1):
+                    sums[node] = sums[2 * node] + sums[2 * node + 1]
             low, high = low // 2, high // 2
 
 

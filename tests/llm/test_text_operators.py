@@ -197,7 +197,7 @@ def test_edits_keep_the_counts(codec, text, edits):
     for at, cut, put in edits:
         text, _ = tokencount.edit(text, tree, at, cut, put, codec)
         assert tree.tokens == len(ids(codec, text))
-        assert tree.nodes[1, 0] == len(text)
+        assert tree.chars[1] == len(text)
         tree = tokencount.Tree.unpack(tree.pack())
 
 
