@@ -1,4 +1,6 @@
 import random
+import re
+import textwrap
 
 import brute
 import duckdb
@@ -84,6 +86,10 @@ LICENSED = [
 ]
 
 
+def fill(text, width, mark=""):
+    return textwrap.fill(text, width, initial_indent=mark, subsequent_indent=mark)
+
+
 def license_sql(rows):
     con = duckdb.connect()
     con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
@@ -108,6 +114,41 @@ def test_license_edges(spark):
     assert len(out) == 3 and {r["base_labels"] for r in out if r["doc_id"] is None} == {"mit"}
 
 
+def plain_licenses(text):
+    """Method labels and best share by sets: every line, and every window of a template's width over all words."""
+    split = lambda t: [x for x in re.split(licenses.BETWEEN, t.translate(brute.LOWER)) if x]
+    words, labels, best = split(text), set(), 0.0
+    for label, body in licenses.TEMPLATES:
+        want = split(body)
+        own, width = set(want), len(want)
+        blocks = [split(x) for x in text.split("\n")] + [words[i : i + width] for i in range(max(1, len(words) - width + 1))]
+        share = max(len(own & set(b)) / len(own) for b in blocks)
+        if share >= licenses.THRESHOLD - 1e-9:
+            labels.add(label)
+            best = max(best, share)
+    return labels, best
+
+
+def test_licenses_over_lines(spark):
+    rng = random.Random(4)
+    bodies = [body for _, body in licenses.TEMPLATES]
+    vocabulary = " ".join(bodies).replace(",", "").split()
+    texts = [fill(body, 72, mark) for body in bodies for mark in ("", " * ", "REM ")] + [fill(body, 20) for body in bodies]
+    texts = [f"some prose before\n\n{t}\nprose after it" for t in texts]
+    texts += [" ".join(f"p{i}" for i in range(n)) + "\n" + "\r\n".join(body.split()) + "\n" + "word " * n for n in (0, 3, 50, 2000) for body in bodies]
+    texts += [fill(" ".join(b for i in rng.sample(range(len(bodies)), 3) for b in bodies[i].split() if rng.random() > 0.15), 40) for _ in range(60)]
+    texts += [fill(" ".join(rng.choice(vocabulary) for _ in range(400)), 60) for _ in range(10)]
+    scattered = " filler\n" * 50
+    texts += [scattered.join(bodies[8].split()), scattered.join(bodies[4].split())]
+    got = {r["doc_id"]: r for r in licenses.scan(docs_of(spark, list(enumerate(texts))), phrases={"no such phrase": "none"}).collect()}
+    for i, text in enumerate(texts):
+        labels, best = plain_licenses(text)
+        assert set(filter(None, got[i]["labels"].split(","))) == labels and got[i]["score"] == pytest.approx(best), (i, text)
+    for i in range(27):
+        assert licenses.TEMPLATES[i // 3][0] in got[i]["labels"].split(",")
+    assert not got[len(texts) - 1]["labels"] and not got[len(texts) - 2]["labels"]
+
+
 URLS = [
     None, "", "no scheme", "http://", "://", "http://a.com", "http://a.com/", "HTTP://WWW.Example.COM/en/x", "https://example.com/en", "https://example.com/en/", "https://sub.example.com/en/1?x=/en/",
     "https://notexample.com/en/1", "ftp://a.net/es/1", "ftp://a.net/fr/1#f", "ftp://anet/es/1", "http://net/es/", "http://a.org/p?q=http://b.com/", "http://a.com:80/x", "http://É.com/é", "a://b://c.com/d",
