@@ -141,6 +141,17 @@ def test_leaks_in_blocks_of_items(spark, monkeypatch):
     assert {(r["doc_id"], r["item_id"]) for r in decontaminate.leaks(frame(spark, rows), table).collect()} == {(i, i % 6) for i in range(12)}
 
 
+def test_leaks_with_a_run_of_one_word(spark):
+    rng = random.Random(5)
+    sides = [(prose(rng, 108, 10**6), prose(rng, 108, 10**6)) for _ in range(12)]
+    items = [(i, f"{a} {'la ' * 30}{b}") for i, (a, b) in enumerate(sides)]
+    rows = [(i, f"{prose(rng, 9)} {a} {'mi ' * 30}{b} {prose(rng, 9)}") for i, (a, b) in enumerate(sides)]
+    got = decontaminate.leaks(frame(spark, rows), spark.createDataFrame(items, "item_id bigint, text string")).collect()
+    want = brute.leaks(rows, items)
+    assert {(d, i) for d, i, *_ in want} == {(i, i) for i in range(12)}
+    assert {(r["doc_id"], r["item_id"], r["n_windows"], round(r["similarity"], 9)) for r in got} == want
+
+
 @pytest.fixture(scope="module")
 def codec():
     with open(queries.RANKS, "rb") as f:
