@@ -2,7 +2,8 @@
 
 The URLs that a rule allows and those that one blocks train a Markov model each. A character's probability
 mixes all orders up to ORDER, weighting each by how often its context was seen against how many different
-characters followed it (Witten-Bell), down to a uniform one. All counts are aggregates over all URLs, and every model
+characters followed it (Witten-Bell), down to a uniform one. Counts are aggregates over the ruled URLs that are not
+held out (one in HELD_OUT is, by hash), and every model
 step is a join of count tables. A URL's score is the mean over its characters of the log ratio of the two models; the cut
 is the score that separates held-out URLs of both kinds best.
 """
@@ -80,7 +81,8 @@ def judged(pages: DataFrame, rules=RULES, url_col: str = "url", order: int = ORD
 
     The longest fitting rule decides; else the models do: allow from the calibrated cut on. A null url or one
     without :// has empty host and path, no score, and is blocked. Without URLs of both kinds the cut is 0. The
-    models count every distinct host and path once, so repeated rows change nothing.
+    models count every distinct ruled host and path that is not held out once, so repeated rows change nothing;
+    held-out ones are not counted after the calibration either.
     """
     made = ("host", "path", "rule", "verdict", "score")
     host, path = _parts(F.coalesce(F.col(url_col), F.lit("")))
