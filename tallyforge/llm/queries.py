@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.llm import bpe, chat, classifier, decontaminate, jaccard, licenses, rules, substring, tokencount, urls
+from tallyforge.llm import bpe, chat, classifier, decontaminate, jaccard, licenses, repair, rules, substring, tokencount, urls
 from tallyforge.llm.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -76,6 +76,29 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def damaged(chats: DataFrame) -> DataFrame:
+    """Conversations with faults that a checksum of ``conv_id:turn`` chooses: lost, emptied, open-ended, repeated or renamed rows."""
+    key = F.concat(F.coalesce(F.col("conv_id").cast("string"), F.lit(" ")), F.lit(":"), F.coalesce(F.col("turn").cast("string"), F.lit(" ")))
+    fate = F.crc32(key.cast("binary")) % 20
+    text, role = F.coalesce("text", F.lit(" ")), F.coalesce("role", F.lit(" "))
+    rows = chats.select(
+        "conv_id",
+        "turn",
+        F.when(fate == 4, "user").otherwise(role).alias("role"),
+        F.when(fate == 1, "").when(fate == 2, F.translate(text, ".!?", "")).otherwise(text).alias("text"),
+        F.when(fate == 0, 0).when(fate == 3, 2).otherwise(1).alias("times"),
+    )
+    return rows.withColumn("time", F.explode(F.expr("filter(array(1, 2), x -> x <= times)"))).drop("times", "time")
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chats = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    found = repair.report(damaged(chats)).withColumnRenamed("conv_id", "c")
+    rows = chats.select("conv_id").distinct().join(found, F.col("conv_id").eqNullSafe(F.col("c")), "left")
+    counts = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return rows.select("conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -89,6 +112,7 @@ QUERIES: dict[str, Query] = {
         op8_substring_dedup,
         op9_quality_classifier,
         op10_decontamination,
+        op13_conversation_repair,
     )
 }
 

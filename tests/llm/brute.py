@@ -127,3 +127,76 @@ def url_parts(url, rules):
     fits = [(len(r), r, v) for v, r in rules if (host == r.split("/", 1)[0] or host.endswith("." + r.split("/", 1)[0])) and path.startswith("/" + r.split("/", 1)[1])]
     best = max(fits, default=(0, None, None))
     return host, path, best[1], best[2]
+
+
+def damaged(rows):
+    """(conv_id, turn, role, text) rows after the faults that crc32 chooses."""
+    import zlib
+
+    out = []
+    for conv, turn, role, text in rows:
+        fate = zlib.crc32(f"{' ' if conv is None else conv}:{' ' if turn is None else turn}".encode()) % 20
+        role, text = " " if role is None else role, " " if text is None else text
+        text = "" if fate == 1 else re.sub("[.!?]", "", text) if fate == 2 else text
+        role = "user" if fate == 4 else role
+        out += [(conv, turn, role, text)] * (0 if fate == 0 else 2 if fate == 3 else 1)
+    return out
+
+
+def _edits(rows):
+    """(cost, audit, result) of rows (role, text, must go, open end): all ways, from the last row back, least cost and then least audit."""
+    after = {"": (0, "", []), "s": None, "u": None, "a": (0, "", [])}
+
+    def better(x, y):
+        return y if x is None or (y is not None and y[:2] < x[:2]) else x
+
+    def insertions(best):
+        for _ in range(4):
+            for state in best:
+                to, role = ("a", "assistant") if state == "u" else ("u", "user")
+                if best[to] is not None:
+                    best[state] = better(best[state], (best[to][0] + 3, "I" + best[to][1], [(role, ""), *best[to][2]]))
+        return best
+
+    after = insertions(after)
+    for role, text, must_go, open_end in reversed(rows):
+        now = {}
+        for state in after:
+            best, extra = None, 3 if open_end else 0
+            if after[state] is not None:
+                best = better(best, (after[state][0] + 4, "D" + after[state][1], after[state][2]))
+            if not must_go:
+                fits = {"": "su", "s": "u", "u": "a", "a": "u"}[state]
+                if role[:1] and role[:1] in fits and after[role[0]] is not None:
+                    rest = after[role[0]]
+                    best = better(best, (rest[0] + extra, "K" + rest[1], [(role, text), *rest[2]]))
+                for to, name in (("u", "user"), ("a", "assistant")):
+                    if to in fits:
+                        rest = after[to]
+                        best = better(best, (rest[0] + 3 + extra, "R" + rest[1], [(name, text), *rest[2]]))
+            now[state] = best
+        after = insertions(now)
+    return after[""]
+
+
+def repairs(rows):
+    """conv_id -> (gaps, blank, duplicate, truncated, illegal, cost, audit, repaired turns)"""
+    chats = defaultdict(list)
+    for conv, turn, role, text in rows:
+        chats[conv].append((turn is not None, turn or 0, " " if role is None else role, " " if text is None else text))
+    out = {}
+    for conv, turns in chats.items():
+        turns.sort()
+        seen, judged, count = set(), [], Counter()
+        for _, _, role, text in turns:
+            core = text.rstrip(" \t\n\v\f\r")
+            fault = "blank" if not core else "duplicate" if (role, text) in seen else "truncated" if core[-1] not in ".!?" else None
+            seen.add((role, text))
+            count[fault] += 1
+            judged.append((role, text, fault in ("blank", "duplicate"), fault == "truncated"))
+        illegal = sum(a[0][:1] + b[0][:1] not in ("su", "ua", "au") for a, b in zip(judged, judged[1:]))
+        places = {t[1] for t in turns if t[0]}
+        gaps = max(places) - min(places) + 1 - len(places) if places else 0
+        cost, audit, result = _edits(judged)
+        out[conv] = (gaps, count["blank"], count["duplicate"], count["truncated"], illegal, cost, audit, result)
+    return out
