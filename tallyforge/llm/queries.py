@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.llm import bpe, chat, classifier, decontaminate, jaccard, licenses, repair, rules, substring, tokencount, urls
+from tallyforge.llm import bpe, chat, classifier, decontaminate, jaccard, licenses, repair, rules, sketches, substring, tokencount, urls
 from tallyforge.llm.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -76,6 +76,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op12_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sketches.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def damaged(chats: DataFrame) -> DataFrame:
     """Conversations with faults that a checksum of ``conv_id:turn`` chooses: lost, emptied, open-ended, repeated or renamed rows."""
     key = F.concat(F.coalesce(F.col("conv_id").cast("string"), F.lit(" ")), F.lit(":"), F.coalesce(F.col("turn").cast("string"), F.lit(" ")))
@@ -112,6 +116,7 @@ QUERIES: dict[str, Query] = {
         op8_substring_dedup,
         op9_quality_classifier,
         op10_decontamination,
+        op12_minhash_near_dedup,
         op13_conversation_repair,
     )
 }
