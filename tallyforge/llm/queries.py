@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.llm import bpe, chat, classifier, decontaminate, jaccard, licenses, repair, rules, sketches, substring, tokencount, urls
+from tallyforge.llm import bpe, chat, classifier, decontaminate, jaccard, licenses, phrases, repair, rules, sketches, substring, tokencount, urls
 from tallyforge.llm.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -76,6 +76,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(read_table(spark, sf_dir, "documents"))
+
+
 def op12_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sketches.near_duplicates(read_table(spark, sf_dir, "documents"))
 
@@ -116,6 +120,7 @@ QUERIES: dict[str, Query] = {
         op8_substring_dedup,
         op9_quality_classifier,
         op10_decontamination,
+        op11_phrase_collocations,
         op12_minhash_near_dedup,
         op13_conversation_repair,
     )
@@ -124,4 +129,5 @@ QUERIES: dict[str, Query] = {
 ORACLES: dict[str, str] = {
     "op1_chat_formatting": " ".join(chat.ORACLE.split()),
     "op6_license_scans": licenses.oracle(),
+    "op11_phrase_collocations": phrases.oracle(),
 }
