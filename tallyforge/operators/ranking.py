@@ -1,136 +1,83 @@
 """Ranks over groups of any size.
 
 ``rank() over (partition by field order by score)`` sends a whole field to one task. With a few
-fields and billions of rows that task never finishes, so the operators here split each group
-into value ranges first:
-
-1. ``approxQuantile`` of the ordering value gives range bounds (one small list on the driver).
-2. Rows are counted per (group, range) with map-side partial counts, and a running total over the
-   few ranges of a group says how many rows lie in front of each range.
-3. Rows are shuffled once, by (group, range), and ranked inside that cell; the position in the
-   group is the local position plus the number of rows in front.
-
-A value so common that it fills whole ranges by itself gets a range of its own, which is split further by the key
-that breaks ties, at quantiles of the keys of the rows that tie. Ranges are cut by a double that grows with the value;
-rows are ordered and compared by the value itself.
-
-Groups that are bounded by nature (the periods of one entity) do not need this; see ``windows``.
+fields and billions of rows that task never finishes, so the operators here let Spark's range
+exchange sort all rows at once:
+
+1. Rows are exchanged by ranges of (group, value, key), sorted, numbered and written. The exchange
+   compares the columns themselves, whatever their type, and a group, a value or a common beginning of
+   strings that holds much of the data spreads over as many partitions as it fills.
+2. Rows are counted per (partition, group); running totals over a group's partitions, one row each,
+   say how many rows lie in front. A row number is that plus the row's place in its partition.
+3. Rows of one value form a run in their partition. Ranks, ties and running sums are worked out once per
+   run; only a partition's first and last value can go on in another one, and these few are put together.
+
+The driver sees the exchange's sample and nothing else. Groups that are bounded by nature (the periods of one
+entity) do not need this; see ``windows``.
 """
 
 from __future__ import annotations
 
-import math
-from collections import Counter
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_ORDER, _VALUE, _RANGE, _TIE, _CELL = "__order", "__value", "__range", "__tie", "__cell"
+from tallyforge.session import written
 
+_VALUE, _AT, _PART, _CELL, _RUN = "__value", "__at", "__part", "__cell", "__run"
 
-ROWS_PER_CELL = 2_000_000
-KEYS_PER_RANGE = 50
 
+def _comparable(value: Column, kind: T.DataType) -> Column:
+    """Both zeros are one value, as in grouping and in comparisons."""
+    return value + F.lit(0.0).cast(kind) if isinstance(kind, (T.DoubleType, T.FloatType)) else value
 
-def _ranges_wanted(df: DataFrame) -> int:
-    """Enough ranges for ROWS_PER_CELL rows in each, and no fewer than shuffle partitions."""
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(8, partitions, -(-df.count() // ROWS_PER_CELL))
 
+def _laid_out(df: DataFrame, group: Sequence[str], order: Sequence[Column], ranges: int | None) -> DataFrame:
+    """``df`` sorted over all partitions and written, with the partition and a place that grows along it.
 
-@dataclass(frozen=True)
-class Ranges:
-    """Split points of an ordering value, and the ranges that hold one very common value."""
+    Without ``ranges`` there are as many partitions as Spark's shuffles have.
+    """
+    by = [*[F.col(g).asc_nulls_first() for g in group], *order]
+    if not by:
+        by = [F.lit(0)]
+    spread = df.repartitionByRange(ranges, *by) if ranges else df.repartitionByRange(*by)
+    placed = spread.sortWithinPartitions(*by).withColumn(_AT, F.monotonically_increasing_id())
+    return written(placed.withColumn(_PART, F.shiftright(_AT, 33)))
 
-    splits: list[float]
-    single: list[int]
 
-    @classmethod
-    def of(cls, df: DataFrame, column: str, ranges: int) -> "Ranges":
-        probabilities = [i / ranges for i in range(1, ranges)]
-        found = df.approxQuantile(column, probabilities, 1.0 / (4 * ranges))
-        edges = Counter(e for e in found if math.isfinite(e))
-        splits, single = [-math.inf], []
-        for edge, times in sorted(edges.items()):
-            if splits[-1] != edge:
-                splits.append(edge)
-            if times > 1:
-                single.append(len(splits) - 1)
-                splits.append(math.nextafter(edge, math.inf))
-        return cls([*splits, math.inf] if len(splits) > 1 else [-math.inf, 0.0, math.inf], single)
+def _cell(group: Sequence[str]) -> Column:
+    # one struct column, so that groups with a NULL name join like any other
+    return F.struct(F.col(_PART), *[F.col(g).alias(f"g{i}") for i, g in enumerate(group)])
 
-    def assign(self, df: DataFrame, column: str, output: str) -> DataFrame:
-        bucketizer = Bucketizer(splits=self.splits, inputCol=column, outputCol=output, handleInvalid="keep")
-        return bucketizer.transform(df).withColumn(output, F.col(output).cast("int"))
 
+def _with_front(cells: DataFrame, group: Sequence[str], totals: Sequence[str]) -> DataFrame:
+    """Cells (partition, group) with ``__before_x`` and ``__all_x`` of their group for each total x."""
+    own = [F.col(f"{_CELL}.g{i}") for i in range(len(group))]
+    whole = Window.partitionBy(*own)
+    before = whole.orderBy(F.col(f"{_CELL}.{_PART}")).rowsBetween(Window.unboundedPreceding, -1)
+    sums = {f"__before_{x}": F.coalesce(F.sum(x).over(before), F.lit(0)) for x in totals}
+    return cells.withColumns(sums | {f"__all_{x}": F.sum(x).over(whole) for x in totals})
 
-def _ordering(value: Column, kind: T.DataType, ascending: bool) -> Column:
-    """A double that never falls as the value comes later in the order; NULL goes where Spark's default puts it."""
-    if isinstance(kind, T.StringType):
-        # six bytes; 48 bits are exact in a double
-        number = F.conv(F.rpad(F.substring(F.hex(F.substring(value, 1, 6)), 1, 12), 12, "0"), 16, 10).cast("double")
-    elif isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
-        number = value.cast("timestamp").cast("double")
-    else:
-        number = value.cast("double")
-    sign = 1.0 if ascending else -1.0
-    signed = F.nanvl(number, F.lit(1.1e308)) * F.lit(sign) + F.lit(0.0)
-    return F.coalesce(signed, F.lit(-1.2e308 * sign))
-
-
-def _only_value(df: DataFrame, bounds: Ranges) -> list[int]:
-    """Those of the single-double ranges that hold one value; a double may stand for several."""
-    kind = df.schema[_VALUE].dataType
-    if not bounds.single or isinstance(kind, (T.DoubleType, T.FloatType, T.IntegerType, T.ShortType, T.ByteType, T.DateType)):
-        return bounds.single
-    held = df.filter(F.col(_RANGE).isin(bounds.single)).groupBy(_RANGE).agg((F.min(_VALUE) < F.max(_VALUE)).alias("many"))
-    many = {r[_RANGE] for r in held.filter("many").collect()}
-    return [r for r in bounds.single if r not in many]
-
-
-def _tie_range(df: DataFrame, single: Sequence[int], key: str, ranges: int) -> Column:
-    """Which part of the keys of the tied rows a key lies in."""
-    tied = df.filter(F.col(_RANGE).isin(list(single))).select(key)
-    every = max(1, tied.count() // (ranges * KEYS_PER_RANGE))
-    some = sorted(r[0] for r in tied.filter((F.pmod(F.xxhash64(key), F.lit(every)) == 0) & F.col(key).isNotNull()).collect())
-    cuts = sorted({some[len(some) * i // ranges] for i in range(1, ranges)}) if some else []
-    kind = df.schema[key].dataType.simpleString()
-    return F.size(F.filter(F.array(*map(F.lit, cuts)).cast(f"array<{kind}>"), lambda c: c <= F.col(key)))
-
-
-def _cells(df: DataFrame, group: Sequence[str], key: str | None, ranges: int) -> tuple[DataFrame, list[int]]:
-    """Add the range, the tie range and the cell (group, range, tie range) of every row; the ranges of one value."""
-    bounds = Ranges.of(df, _ORDER, ranges)
-    df = bounds.assign(df, _ORDER, _RANGE)
-    single = _only_value(df, bounds)
-    tie = F.lit(0)
-    if key is not None and single:
-        tie = F.when(F.col(_RANGE).isin(single), F.coalesce(_tie_range(df, single, key, ranges), F.lit(0))).otherwise(0)
-    cell = F.struct(*[F.col(g) for g in group], F.col(_RANGE), tie.alias(_TIE))
-    return df.withColumn(_CELL, cell), single
-
-
-def _in_front(df: DataFrame, group: Sequence[str], measures: Mapping[str, Column]) -> DataFrame:
-    """Per cell: totals of the cells in front of it in its group, and of the whole group."""
-    totals = df.groupBy(_CELL).agg(*[m.alias(f"__in_{name}") for name, m in measures.items()])
-    names = [f"__g{i}" for i in range(len(group))]
-    flat = totals.select("*", *[F.col(f"{_CELL}.{g}").alias(n) for g, n in zip(group, names)], f"{_CELL}.{_RANGE}", f"{_CELL}.{_TIE}")
-    whole = Window.partitionBy(*names)
-    before = whole.orderBy(_RANGE, _TIE).rowsBetween(Window.unboundedPreceding, -1)
-    by_range = Window.partitionBy(*names, _RANGE)
-    sums = {}
-    for name in measures:
-        sums[f"__before_{name}"] = F.coalesce(F.sum(f"__in_{name}").over(before), F.lit(0))
-        sums[f"__all_{name}"] = F.sum(f"__in_{name}").over(whole)
-    starts = {}
-    for name in measures:
-        starts[f"__start_{name}"] = F.min_by(f"__before_{name}", F.col(_TIE)).over(by_range)
-        starts[f"__range_{name}"] = F.sum(f"__in_{name}").over(by_range)
-    return flat.withColumns(sums).withColumns(starts).drop(*names, _RANGE, _TIE)
+
+def _runs(placed: DataFrame, group: Sequence[str], sums: Mapping[str, str]) -> DataFrame:
+    """One row per (partition, group, value): how many rows, their sums, and the first one's place."""
+    rows = placed.select(_cell(group).alias(_CELL), F.col(_VALUE), _AT, *[F.col(c).alias(f"of_{n}") for n, c in sums.items()])
+    totals = [F.coalesce(F.sum(f"of_{n}"), F.lit(0)).alias(f"sum_{n}") for n in sums]
+    return rows.groupBy(_CELL, _VALUE).agg(F.count(F.lit(1)).alias("n"), F.min(_AT).alias("first"), *totals)
+
+
+def _spanning(cells: DataFrame, group: Sequence[str], totals: Sequence[str]) -> DataFrame:
+    """The runs that go on over partitions, by (group, value): where they start, how many rows, sums up to their end."""
+    ends = F.explode(F.array_distinct(F.array("head", "tail"))).alias("e")
+    own = F.struct(*[F.col(f"{_CELL}.g{i}").alias(f"g{i}") for i in range(len(group))], F.col(f"e.{_VALUE}").alias(_VALUE))
+    start = F.col("__before_n") + F.col("e.first") - F.col("__begin")
+    # the sums up to the end of the part of the run that lies in this partition
+    upto = [(F.col(f"__before_{x}") + F.when(F.col("e.first") == F.col("__begin"), F.col(f"e.{x}")).otherwise(F.col(x))).alias(x) for x in totals]
+    parts = cells.select("*", ends).select(own.alias(_RUN), start.alias("start"), F.col("e.n").alias("own_n"), F.col(f"{_CELL}.{_PART}").alias("p"), *upto)
+    sums = [F.max_by(x, "p").alias(f"span_{x}") for x in totals]
+    return parts.groupBy(_RUN).agg(F.min("start").alias("span_start"), F.sum("own_n").alias("span_rows"), F.count("*").alias("c"), *sums).filter("c > 1").drop("c")
 
 
 def rank_rows(
@@ -153,44 +100,50 @@ def rank_rows(
 
     Each output is produced only if named. ``ties`` is the number of rows that share the value. ``ntile`` maps output name to number of tiles,
     ``running_sum`` maps output name to the summed column (NULL counts as 0); like Spark's default
-    frame, rows with equal ``value`` share the running sum.
+    frame, rows with equal ``value`` share the running sum. ``df`` is written once, so give it the columns that are needed.
     """
     value = F.col(value) if isinstance(value, str) else value
     running_sum = dict(running_sum or {})
-    # the cell is one struct column, so that groups with a NULL name join like any other
     valued = df.withColumn(_VALUE, value)
-    valued = valued.withColumn(_ORDER, _ordering(F.col(_VALUE), valued.schema[_VALUE].dataType, ascending))
-    rows, one_value = _cells(valued, group, key, ranges or _ranges_wanted(df))
-    measures = {"n": F.count(F.lit(1)), **{name: F.coalesce(F.sum(c), F.lit(0)) for name, c in running_sum.items()}}
-    front = _in_front(rows, group, measures)
-
+    valued = valued.withColumn(_VALUE, _comparable(F.col(_VALUE), valued.schema[_VALUE].dataType))
     order = F.col(_VALUE).asc_nulls_first() if ascending else F.col(_VALUE).desc_nulls_last()
-    by_key = Window.partitionBy(_CELL).orderBy(order, key)
-    by_value = Window.partitionBy(_CELL).orderBy(order)
-    local: dict[str, Column] = {"__rn": F.row_number().over(by_key)}
-    if rank or percent_rank:
-        local["__rk"] = F.rank().over(by_value)
-    if ties:
-        local["__same"] = F.count(F.lit(1)).over(Window.partitionBy(_CELL, _VALUE))
-    for name, column in running_sum.items():
-        local[f"__run_{name}"] = F.coalesce(F.sum(column).over(by_value), F.lit(0))
-    joined = rows.withColumns(local).join(front, _CELL)
+    placed = _laid_out(valued, group, [order, F.col(key).asc_nulls_first()], ranges)
+
+    totals = ["n", *[f"sum_{name}" for name in running_sum]]
+    runs = _runs(placed, group, running_sum)
+    run = F.struct(_VALUE, "n", "first", *totals[1:])
+    cells = runs.groupBy(_CELL).agg(*[F.sum(x).alias(x) for x in totals], F.min("first").alias("__begin"), F.min_by(run, "first").alias("head"), F.max_by(run, "first").alias("tail"))
+    cells = written(_with_front(cells, group, totals))
+
+    rows = placed.withColumn(_CELL, _cell(group))
+    front = cells.select(_CELL, "__begin", "__all_n", *[f"__before_{x}" for x in totals])
+    by_value = rank or percent_rank or ties or running_sum
+    if by_value:
+        upto = Window.partitionBy(_CELL).orderBy("first").rowsBetween(Window.unboundedPreceding, 0)
+        local = runs.withColumns({f"upto_{x}": F.sum(x).over(upto) for x in totals[1:]}).join(front, _CELL)
+        own = F.struct(*[F.col(f"{_CELL}.g{i}").alias(f"g{i}") for i in range(len(group))], F.col(_VALUE).alias(_VALUE))
+        local = local.withColumn(_RUN, own).join(written(_spanning(cells, group, totals)), _RUN, "left")
+        shared = {
+            "__start": F.coalesce("span_start", F.col("__before_n") + F.col("first") - F.col("__begin")),
+            "__ties": F.coalesce("span_rows", "n"),
+            **{f"__{x}": F.coalesce(f"span_{x}", F.col(f"__before_{x}") + F.col(f"upto_{x}")) for x in totals[1:]},
+        }
+        local = local.select(F.struct(_CELL, _VALUE).alias(_RUN), "__begin", "__all_n", "__before_n", *[c.alias(n) for n, c in shared.items()])
+        joined = rows.withColumn(_RUN, F.struct(_CELL, _VALUE)).join(local, _RUN)
+    else:
+        joined = rows.join(front, _CELL)
 
-    single = F.col(f"{_CELL}.{_RANGE}").isin(one_value) if one_value else F.lit(False)
-    number = F.col("__before_n") + F.col("__rn")
+    number = F.col("__before_n") + F.col(_AT) - F.col("__begin") + 1
     size = F.col("__all_n")
-    position = None
-    if rank or percent_rank:
-        position = F.when(single, F.col("__start_n") + 1).otherwise(F.col("__before_n") + F.col("__rk"))
     out: dict[str, Column] = {}
     if row_number:
         out[row_number] = number
     if rank:
-        out[rank] = position
+        out[rank] = F.col("__start") + 1
     if percent_rank:
-        out[percent_rank] = F.when(size > 1, (position - 1) / (size - 1)).otherwise(0.0)
+        out[percent_rank] = F.when(size > 1, F.col("__start") / (size - 1)).otherwise(0.0)
     if ties:
-        out[ties] = F.when(single, F.col("__range_n")).otherwise(F.col("__same"))
+        out[ties] = F.col("__ties")
     if group_size:
         out[group_size] = size
     if relative_position:
@@ -198,10 +151,8 @@ def rank_rows(
     for name, tiles in (ntile or {}).items():
         out[name] = tile_of(number, size, tiles)
     for name in running_sum:
-        out[name] = F.when(single, F.col(f"__start_{name}") + F.col(f"__range_{name}")).otherwise(
-            F.col(f"__before_{name}") + F.col(f"__run_{name}")
-        )
-    return joined.select(*[F.col(c) for c in df.columns if c not in out], *[c.alias(n) for n, c in out.items()])
+        out[name] = F.col(f"__sum_{name}")
+    return joined.select(*[rows[c] for c in df.columns if c not in out], *[c.alias(n) for n, c in out.items()])
 
 
 def tile_of(number: Column, size: Column, tiles: int) -> Column:
@@ -229,27 +180,25 @@ def value_distribution(
 
     Further per-value aggregates come from ``aggs``; ``center`` names an output for the mean of the
     group. Analyses that only need totals per rank
-    band read this instead of ranking rows: repeated values collapse before the shuffle.
+    band read this instead of ranking rows: repeated values collapse before the shuffle, and only distinct ones are sorted.
     """
-    rows = df.withColumn(_ORDER, _ordering(F.col(value), df.schema[value].dataType, True))
-    bounds = Ranges.of(rows, _ORDER, ranges or _ranges_wanted(df))
-    rows = bounds.assign(rows, _ORDER, _RANGE)
-    cell = F.struct(*[F.col(g) for g in group], F.col(_RANGE), F.lit(0).alias(_TIE)).alias(_CELL)
-    totals = {"n": F.count(F.lit(1))} | ({"sum": F.sum(value)} if center else {})
-    front = _in_front(rows.select(cell, value), group, totals)
     extra = [c.alias(n) for n, c in (aggs or {}).items()]
-    values = rows.groupBy(cell, value).agg(F.count(F.lit(1)).alias("n"), *extra)
-    earlier = Window.partitionBy(_CELL).orderBy(F.col(value).asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    held = df.groupBy(*group, value).agg(F.count(F.lit(1)).alias("n"), *([F.sum(value).alias("__sum")] if center else []), *extra)
+    placed = _laid_out(held, group, [F.col(value).asc_nulls_first()], ranges).withColumn(_CELL, _cell(group))
+    totals = ["n", *(["__sum"] if center else [])]
+    cells = placed.groupBy(_CELL).agg(*[F.sum(x).alias(x) for x in totals])
+    front = _with_front(cells, group, totals).select(_CELL, "__before_n", *[f"__all_{x}" for x in totals])
+    earlier = Window.partitionBy(_CELL).orderBy(_AT).rowsBetween(Window.unboundedPreceding, -1)
     return (
-        values.withColumn("__earlier", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+        placed.withColumn("__earlier", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
         .join(front, _CELL)
         .select(
-            *[F.col(f"{_CELL}.{g}").alias(g) for g in group],
+            *group,
             value,
             "n",
             (F.col("__before_n") + F.col("__earlier")).alias("below"),
             F.col("__all_n").alias("total"),
-            *([(F.col("__all_sum") / F.col("__all_n")).alias(center)] if center else []),
+            *([(F.col("__all___sum") / F.col("__all_n")).alias(center)] if center else []),
             *list(aggs or {}),
         )
     )

@@ -61,17 +61,53 @@ def test_rank_rows_equals_plain_windows(spark, key_type, ascending):
     assert rows_of(got) == rows_of(want)
 
 
-def test_no_cell_holds_a_hot_group_or_value(spark):
-    """The largest window partition stays near 1/ranges of the rows, however skewed group and value are."""
+def largest_share(df, group, order, ranges):
+    """The largest partition of the sorted rows, as a share of all rows."""
     from tallyforge.operators import ranking
 
-    n = 20000
-    df = spark.range(n).select(
-        F.lit("only").alias("g"), F.when(F.col("id") % 3 == 0, 2.0).otherwise(F.rand(1) * 4).alias("v"), F.col("id").alias("k")
-    )
-    cells, _ = ranking._cells(df.withColumns({"__value": F.col("v"), "__order": ranking._ordering(F.col("v"), df.schema["v"].dataType, True)}), ["g"], "k", 20)
-    largest = cells.groupBy("__cell").count().agg(F.max("count")).first()[0]
-    assert largest < n / 20 * 3
+    placed = ranking._laid_out(df, group, order, ranges)
+    return placed.groupBy("__part").count().agg(F.max("count") / F.sum("count")).first()[0]
+
+
+def test_a_hot_group_and_value_spread(spark):
+    """The largest partition stays near 1/ranges of the rows, however skewed group and value are."""
+    value = F.when(F.col("id") % 3 == 0, 2.0).otherwise(F.rand(1) * 4)
+    df = spark.range(20000).select(F.lit("only").alias("g"), value.alias("v"), F.col("id").alias("k"))
+    assert largest_share(df, ["g"], [F.asc("v"), F.asc("k")], 20) < 0.15
+
+
+def test_strings_with_a_common_beginning_spread(spark):
+    df = spark.range(40000).select(F.lit("only").alias("g"), F.format_string("STU_%020d", F.col("id") * 7 % 40009).alias("v"), F.col("id").alias("k"))
+    assert largest_share(df, ["g"], [F.asc("v"), F.asc("k")], 20) < 0.15
+    got = rank_rows(df, ["g"], "v", "k", row_number="rn", rank="rk", ties="t", ranges=20)
+    assert got.filter("rn <> rk OR t <> 1").count() == 0
+    assert rows_of(got.select("g", "v", "k", "rn", "rk", "t")) == rows_of(plain(df))
+
+
+def test_the_plan_holds_no_list_of_bounds(spark):
+    sizes = []
+    for n in (2000, 40000):
+        df = spark.range(n).select(F.lit("g").alias("g"), (F.col("id") % 97).cast("string").alias("v"), F.col("id").alias("k"))
+        plan = rank_rows(df, ["g"], "v", "k", row_number="rn", percent_rank="pr", ranges=16)._jdf.queryExecution().optimizedPlan().toString()
+        sizes.append(len(plan))
+    assert abs(sizes[0] - sizes[1]) < 200
+
+
+def test_runs_over_several_partitions(spark):
+    """One value fills many partitions, its neighbours share partitions with it; groups begin and end anywhere."""
+    rows = [(g, v, i, i % 5) for g, n in (("a", 900), (None, 700), ("c", 3), ("d", 1)) for i, v in ((i, None if i < n // 9 else "m" if i < n * 8 // 9 else f"x{i % 4}") for i in range(n))]
+    df = spark.createDataFrame(rows, "g string, v string, k long, w long").repartition(4)
+    for ascending in (True, False):
+        order = F.asc_nulls_first("v") if ascending else F.desc_nulls_last("v")
+        want = plain(df, ascending).withColumn("s", F.sum("w").over(Window.partitionBy("g").orderBy(order)))
+        got = rank_rows(df, ["g"], "v", "k", ascending, row_number="rn", rank="rk", ties="t", running_sum={"s": "w"}, ranges=13)
+        assert rows_of(got) == rows_of(want)
+
+
+def test_columns_with_inner_names(spark):
+    df = spark.createDataFrame([("a", 1.0, i, 5, 6) for i in range(4)], "g string, v double, n long, begin int, first int")
+    got = rank_rows(df, ["g"], "v", "n", row_number="rn", rank="rk", running_sum={"s": "begin"})
+    assert rows_of(got.select("n", "rn", "rk", "s", "first")) == [(6, i, 1, i + 1, 20) for i in range(4)]
 
 
 def test_global_rank(spark):
@@ -187,10 +223,6 @@ def test_values_that_share_a_double(spark, kind, make, ascending):
 
 
 def test_one_odd_key_does_not_undo_the_split(spark):
-    from tallyforge.operators import ranking
-
     df = spark.createDataFrame([("g", 1.0, f"STU_{i:020d}") for i in range(4000)] + [("g", 1.0, "A1")], "g string, v double, k string")
-    valued = df.withColumns({"__value": F.col("v"), "__order": F.col("v")})
-    cells, _ = ranking._cells(valued, ["g"], "k", 8)
-    assert cells.groupBy("__cell").count().agg(F.max("count")).first()[0] < 1200
+    assert largest_share(df, ["g"], [F.asc("v"), F.asc("k")], 8) < 0.3
     assert rows_of(rank_rows(df, ["g"], "v", "k", row_number="rn", rank="rk", ties="t", ranges=8)) == rows_of(plain(df))
