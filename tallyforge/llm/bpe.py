@@ -30,75 +30,143 @@ KEPT_PAIRS = 200_000
 class Codec(dict):
     """Piece -> its ids as little-endian unsigned 32-bit integers, worked out on first use.
 
-    What is kept is dropped when it reaches KEPT_PIECES or KEPT_PAIRS; that costs time, not correctness.
+    Pieces and pairs are kept for two generations: when the young one has grown to its share, it becomes the old one, and what was
+    the old one and has not been asked for since is dropped. That costs time, not correctness.
     """
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         super().__init__()
         self.ranks, self.pattern = ranks, regex.compile(pattern)
         self.bytes = {i: b for b, i in ranks.items()}
-        self.tokens = {b.decode("latin-1"): i for b, i in ranks.items()}
         self.trie = ahocorasick.Automaton()
-        for text, i in self.tokens.items():
-            self.trie.add_word(text, i)
-        self.longest = max(map(len, self.tokens), default=0)
+        self.longest = max(map(len, ranks), default=0)
         self.above = max(self.bytes, default=0) + 1
+        # of every beginning of a token, the longest token it begins with; of every token, the next shorter one (-1: none)
+        self.best: dict[str, int] = {}
+        self.size, self.shorter = [0] * self.above, [-1] * self.above
+        for raw in sorted(ranks):
+            text, token = raw.decode("latin-1"), ranks[raw]
+            self.trie.add_word(text, token)
+            self.size[token] = len(text)
+            known = len(text) - 1
+            while known > 0 and text[:known] not in self.best:
+                known -= 1
+            shorter = self.best[text[:known]] if known > 0 else -1
+            self.shorter[token] = shorter
+            for k in range(known + 1, len(text)):
+                self.best[text[:k]] = shorter
+            self.best[text] = token
+        self.halves: dict[int, tuple[int, int] | None] = {}
+        self.unordered: set[int] = set()
+        self.old: dict[str, bytes] = {}
         self.pairs: dict[int, bool] = {}  # by left * 2^32 + right
+        self.old_pairs: dict[int, bool] = {}
 
-    def merged(self, raw: bytes) -> list[int]:
-        """The merges by definition: lowest rank first, leftmost first. For the few bytes of two tokens."""
+    def merged(self, raw: bytes, but: int = -1) -> list[int]:
+        """The merges by definition: lowest rank first, leftmost first, never to the token ``but``. For the few bytes of a token."""
         parts = [raw[i : i + 1] for i in range(len(raw))]
         while len(parts) > 1:
-            rank, i = min((self.ranks.get(parts[i] + parts[i + 1], self.above), i) for i in range(len(parts) - 1))
+            made = [self.ranks.get(parts[i] + parts[i + 1], self.above) for i in range(len(parts) - 1)]
+            rank = min(self.above if r == but else r for r in made)
             if rank == self.above:
                 break
+            i = made.index(rank)
             parts[i : i + 2] = [parts[i] + parts[i + 1]]
         return [self.ranks[p] for p in parts]
 
+    def split(self, token: int) -> tuple[int, int] | None:
+        """The two tokens that the last merge of ``token`` joins; itself twice where no merges make it, None for a single byte."""
+        if token not in self.halves:
+            raw = self.bytes[token]
+            parts = self.merged(raw, token) if len(raw) > 1 else None
+            two = None if parts is None else (parts[0], parts[1]) if len(parts) == 2 else (token, token)
+            self.halves[token] = two
+            if two and two[0] != token:
+                for part in two:
+                    self.split(part)
+                if max(two) > token or not self.unordered.isdisjoint(two):
+                    self.unordered.add(token)
+        return self.halves[token]
+
+    def apart(self, left: int, right: int) -> bool:
+        """Whether the merges leave these two neighbours as they are.
+
+        Merges are undone from the last one backwards. Each time the tokens now at the border must not have a merge of their own that
+        would have come before the one just undone; of equal ranks the left one comes first. Tokens made by merges of falling ranks,
+        which a trained vocabulary has none of, are decided by the merges themselves.
+        """
+        self.split(left), self.split(right)
+        if self.unordered and not self.unordered.isdisjoint((left, right)):
+            return self.merged(self.bytes[left] + self.bytes[right]) == [left, right]
+        ranks, text, before = self.ranks, self.bytes, self.above
+        while True:
+            if ranks.get(text[left] + text[right], self.above) < before:
+                return False
+            one, two = self.split(left), self.split(right)
+            if one is None and two is None:
+                return True
+            if one is not None and (two is None or left > right):
+                if one[0] == left:
+                    return False
+                before, left = left, one[1]
+            else:
+                if two[0] == right:
+                    return False
+                before, right = right + 1, two[0]
+
     def fits(self, left: int, right: int) -> bool:
         pair = left << 32 | right
         known = self.pairs.get(pair)
         if known is None:
-            if len(self.pairs) >= KEPT_PAIRS:
+            known = self.old_pairs.get(pair)
+            if known is None:
+                known = self.apart(left, right)
+            if len(self.pairs) >= KEPT_PAIRS // 2:
+                self.old_pairs = self.pairs.copy()
                 self.pairs.clear()
-            known = self.pairs[pair] = self.merged(self.bytes[left] + self.bytes[right]) == [left, right]
+            self.pairs[pair] = known
         return known
 
     def ids(self, piece: bytes) -> list[int]:
         if piece in self.ranks:
             return [self.ranks[piece]]
         text, n = piece.decode("latin-1"), len(piece)
-        reach, known, pairs = self.trie.longest_prefix, self.tokens.get, self.pairs
+        reach, longest, best, size, shorter, pairs = self.trie.longest_prefix, self.longest, self.best, self.size, self.shorter, self.pairs
         failed = bytearray(n + 1)
         out: list[int] = []
-        place, size, left = 0, -1, None  # size: the next length to try; below 0 none was tried
+        place, left, fresh, token = 0, -1, True, -1
         while place < n:
-            if size < 0:
-                size = reach(text[place : place + self.longest])
-            while size > 0:
-                token = known(text[place : place + size])
-                if token is not None and not failed[place + size]:
-                    fits = left is None or pairs.get(left << 32 | token)
+            if fresh:
+                ahead = text[place : place + longest]
+                token = best.get(ahead[: reach(ahead)], -1)
+            while token >= 0:
+                if not failed[place + size[token]]:
+                    if left < 0:
+                        break
+                    fits = pairs.get(left << 32 | token)
                     if fits or (fits is None and self.fits(left, token)):
                         break
-                size -= 1
-            if size > 0:
+                token = shorter[token]
+            if token >= 0:
                 out.append(token)
-                place, size, left = place + size, -1, token
+                place, left, fresh = place + size[token], token, True
             else:
                 failed[place] = 1
                 if not out:
                     raise ValueError(f"the vocabulary has no tokens for {piece[:80]!r}")
-                size = len(self.bytes[out.pop()])
-                place, size, left = place - size, size - 1, out[-1] if out else None
+                token = out.pop()
+                place, left, token, fresh = place - size[token], out[-1] if out else -1, shorter[token], False
         return out
 
     def __missing__(self, piece: str) -> bytes:
-        if len(self) >= KEPT_PIECES:
-            self.clear()
-        ids = self.ids(piece.encode())
-        packed = pack(f"<{len(ids)}I", *ids)
+        packed = self.old.get(piece)
+        if packed is None:
+            ids = self.ids(piece.encode())
+            packed = pack(f"<{len(ids)}I", *ids)
         if len(piece) <= 64:
+            if len(self) >= KEPT_PIECES // 2:
+                self.old = self.copy()
+                self.clear()
             self[piece] = packed
         return packed
 

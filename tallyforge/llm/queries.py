@@ -35,8 +35,7 @@ def made_edits() -> F.Column:
 
 
 def op2_edit_aware_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    built = tokencount.build(read_table(spark, sf_dir, "documents").select("doc_id", "text"), RANKS, PATTERN)
-    rows = built.withColumn("n_before", F.col("n_tokens")).withColumn("edits", made_edits())
+    rows = read_table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("edits", made_edits())
     after = tokencount.apply_edits(rows, RANKS, PATTERN)
     return after.select("doc_id", "n_before", F.col("n_tokens").alias("n_after"), "n_recounted", F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
 

@@ -9,7 +9,7 @@ there on nothing changes. Only pre-tokens in between are encoded again, and only
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -25,16 +25,18 @@ REACH = 3
 class Tree:
     """Characters and tokens of leaves; node i has children 2i and 2i + 1, leaves follow the inner nodes."""
 
-    def __init__(self, leaves: list[tuple[int, int]]):
-        self.size = 1 << max(len(leaves) - 1, 0).bit_length()
-        nodes = np.zeros((2 * self.size, 2), np.int64)
-        if leaves:
-            nodes[self.size : self.size + len(leaves)] = leaves
+    def __init__(self, chars: Sequence[int], counts: Sequence[int]):
+        self.size = 1 << max(len(chars) - 1, 0).bit_length()
+        self.chars, self.counts = self._summed(chars), self._summed(counts)
+
+    def _summed(self, leaves: Sequence[int]) -> list[int]:
+        nodes = np.zeros(2 * self.size, np.int64)
+        nodes[self.size : self.size + len(leaves)] = leaves
         at = self.size
         while at > 1:
             nodes[at // 2 : at] = nodes[at : 2 * at : 2] + nodes[at + 1 : 2 * at : 2]
             at //= 2
-        self.chars, self.counts = nodes[:, 0].tolist(), nodes[:, 1].tolist()
+        return nodes.tolist()
 
     @classmethod
     def unpack(cls, raw: bytes) -> Tree:
@@ -64,16 +66,19 @@ class Tree:
     def leaf(self, i: int) -> tuple[int, int]:
         return self.chars[self.size + i], self.counts[self.size + i]
 
-    def replace(self, first: int, last: int, leaves: list[tuple[int, int]]) -> None:
+    def replace(self, first: int, last: int, chars: list[int], counts: list[int]) -> None:
         """New leaves for those from first to last; grows the tree if they need more room."""
         room = last - first + 1
-        if len(leaves) > room:
-            own = [self.leaf(i) for i in range(self.size)]
-            self.__init__([x for x in own[:first] + leaves + own[last + 1 :] if x[0]])
+        if len(chars) > room:
+            own = [self.size + i for i in (*range(first), *range(last + 1, self.size)) if self.chars[self.size + i]]
+            before = sum(1 for i in own if i < self.size + first)
+            kept = [([x[i] for i in own[:before]], [x[i] for i in own[before:]]) for x in (self.chars, self.counts)]
+            self.__init__(kept[0][0] + chars + kept[0][1], kept[1][0] + counts + kept[1][1])
             return
-        for i, (chars, counts) in enumerate([*leaves, *[(0, 0)] * (room - len(leaves))], self.size + first):
-            self.chars[i], self.counts[i] = chars, counts
-        low, high = (self.size + first) // 2, (self.size + last) // 2
+        low, high = self.size + first, self.size + last
+        none = [0] * (room - len(chars))
+        self.chars[low : high + 1], self.counts[low : high + 1] = chars + none, counts + none
+        low, high = low // 2, high // 2
         while low:
             for sums in (self.chars, self.counts):
                 for node in range(low, high + 1):
@@ -81,17 +86,19 @@ class Tree:
             low, high = low // 2, high // 2
 
 
-def _leaves(pieces: list[str], codec: Codec) -> list[tuple[int, int]]:
+def _leaves(pieces: list[str], codec: Codec, room: int = 0) -> tuple[list[int], list[int]]:
+    """Characters and tokens of leaves of LEAF pieces; of up to 2 * LEAF, where that makes do with ``room`` leaves."""
     if not pieces:
-        return []
-    begin = range(0, len(pieces), LEAF)
+        return [], []
+    wide = -(-len(pieces) // room) if room else LEAF
+    begin = range(0, len(pieces), max(wide, LEAF) if wide <= 2 * LEAF else LEAF)
     chars = np.fromiter(map(len, pieces), np.int64, len(pieces))
     tokens = np.fromiter(map(len, map(codec.__getitem__, pieces)), np.int64, len(pieces)) // 4
-    return list(zip(np.add.reduceat(chars, begin).tolist(), np.add.reduceat(tokens, begin).tolist(), strict=True))
+    return np.add.reduceat(chars, begin).tolist(), np.add.reduceat(tokens, begin).tolist()
 
 
 def build_tree(text: str, codec: Codec) -> Tree:
-    return Tree(_leaves(codec.pattern.findall(text), codec))
+    return Tree(*_leaves(codec.pattern.findall(text), codec))
 
 
 def edit(text: str, tree: Tree, at: int, cut: int, put: str, codec: Codec) -> tuple[str, int]:
@@ -117,7 +124,7 @@ def edit(text: str, tree: Tree, at: int, cut: int, put: str, codec: Codec) -> tu
             break
         pieces.append(match[0])
         place = match.end()
-    tree.replace(first, last, _leaves(pieces, codec))
+    tree.replace(first, last, *_leaves(pieces, codec, last - first + 1))
     return new, len(pieces)
 
 
@@ -137,29 +144,35 @@ def build(docs: DataFrame, path: str, pattern: str, text_col: str = "text") -> D
 
 
 def apply_edits(rows: DataFrame, path: str, pattern: str, text_col: str = "text", edits_col: str = "edits") -> DataFrame:
-    """``rows`` with text, tree and n_tokens after their edits, and n_recounted (pre-tokens encoded again).
+    """``rows`` with text, tree and n_tokens after their edits, n_before them, and n_recounted (pre-tokens encoded again).
+
+    Rows that bring no ``tree`` column get theirs from their text in the same pass.
 
     ``edits`` is an array of (at, cut, put): from character ``at``, ``cut`` characters give way to ``put``; in order,
     each on what the one before left. Places beyond the text are moved to its end; a null put is empty, null
     at or cut is 0, a null edit or list changes nothing. Rows are edited each by itself, so repeated ones need no rule.
     """
     shared = vocabulary(rows.sparkSession, path)
-    columns = [c for c in rows.columns if c not in (text_col, "tree", "n_tokens", "n_recounted")]
+    made = {"text": pa.string(), "tree": pa.binary(), "n_tokens": pa.int64(), "n_before": pa.int64(), "n_recounted": pa.int64()}
+    columns = [c for c in rows.columns if c not in (text_col, *list(made)[1:])]
+    built = "tree" in rows.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = codec_of(shared.value, pattern)
         for part in chunks(batches, text_col):
-            out = {"text": [], "tree": [], "n_tokens": [], "n_recounted": []}
-            for text, raw, edits in zip(part[text_col].to_pylist(), part["tree"].to_pylist(), part[edits_col].to_pylist(), strict=True):
-                tree, done = Tree.unpack(raw), 0
+            out = {k: [] for k in made}
+            trees = part["tree"].to_pylist() if built else [None] * part.num_rows
+            for text, raw, edits in zip(part[text_col].to_pylist(), trees, part[edits_col].to_pylist(), strict=True):
+                tree, done = build_tree(text or "", codec) if raw is None else Tree.unpack(raw), 0
+                before = tree.tokens
                 for e in edits or []:
                     if e is not None:
                         text, n = edit(text or "", tree, e["at"] or 0, e["cut"] or 0, e["put"] or "", codec)
                         done += n
-                for k, v in (("text", text), ("tree", tree.pack()), ("n_tokens", tree.tokens), ("n_recounted", done)):
+                for k, v in (("text", text), ("tree", tree.pack()), ("n_tokens", tree.tokens), ("n_before", before), ("n_recounted", done)):
                     out[k].append(v)
-            kinds = {"text": pa.string(), "tree": pa.binary(), "n_tokens": pa.int64(), "n_recounted": pa.int64()}
-            yield pa.RecordBatch.from_pydict({c: part[c] for c in columns} | {(text_col if k == "text" else k): pa.array(v, kinds[k]) for k, v in out.items()})
+            yield pa.RecordBatch.from_pydict({c: part[c] for c in columns} | {(text_col if k == "text" else k): pa.array(v, made[k]) for k, v in out.items()})
 
     kinds = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in columns)
-    return rows.mapInArrow(run, f"{kinds}, `{text_col}` string, tree binary, n_tokens bigint, n_recounted bigint")
+    kinds += (", " if kinds else "") + f"`{text_col}` string, tree binary, n_tokens bigint, n_before bigint, n_recounted bigint"
+    return rows.mapInArrow(run, kinds)
