@@ -8,8 +8,11 @@ one round or two, so a sketch takes time in proportion to the set plus COORDS *
 
 Equal sets form a class. Classes meet where a band of ROWS coordinates is equal: at a similarity of 0.8 a pair is missed with
 probability 3e-7. Pairs whose one-bit sketches differ by more than MOST_BITS are dropped (a pair at 0.8 with probability below
-1e-10), all others are compared by their whole sets. Of the pairs inside one component only as many are compared as connect it: in
-some rounds every class meets one hub per band, and then all classes of a band that are in different components meet.
+1e-7), all others are compared by their whole sets. Of the pairs inside one component only as many are compared as connect it: in
+some rounds every class meets the hub of each of its bands, a class that is hub wherever it can be, so these are few pairs. Classes
+that still share a band with another component are mostly copies with too many edits. Bands can't tell them from near ones, but
+their rarest shingles can: among these classes alone, pairs of different components are found by prefixes of their sets in the
+order of document frequency, with size and place filters, and compared whole.
 """
 
 from __future__ import annotations
@@ -18,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyforge.llm import words as W
@@ -27,7 +30,7 @@ from tallyforge.llm.tables import components, save
 ROWS, BANDS = 7, 64
 COORDS = ROWS * BANDS
 #: Of COORDS bits; a pair at 0.8 differs in 45 on average with a deviation of 6.
-MOST_BITS = 96
+MOST_BITS = 82
 #: At most so many rounds of hubs before all remaining pairs are compared; any number gives the same result.
 HUB_ROUNDS = 6
 #: Hashes worked out at once.
@@ -125,8 +128,8 @@ def _placed(rows: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def _hub_pairs(placed: DataFrame, percent: int, turn: int) -> DataFrame:
-    """Each class with one hub of its band that is in another component."""
-    lead = F.struct(F.xxhash64("node", "key", F.lit(turn)).alias("h"), F.col("node").alias("hub"), F.col("n").alias("hub_n"), F.col("comp").alias("hub_comp"))
+    """Each class with the hub of each of its bands that is in another component."""
+    lead = F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), F.col("node").alias("hub"), F.col("n").alias("hub_n"), F.col("comp").alias("hub_comp"))
     hubs = save(placed.groupBy("key").agg(F.min(lead).alias("lead")).select("key", "lead.hub", "lead.hub_n", "lead.hub_comp"))
     met = placed.join(hubs, "key").where((F.col("comp") != F.col("hub_comp")) & _sizes_fit(percent, "n", "hub_n"))
     return met.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
@@ -139,18 +142,34 @@ def _pairs_left(placed: DataFrame) -> int:
     return int(keys.agg(F.sum("p")).first()[0] or 0) // 2
 
 
+def _prefixes(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(key, node, n, comp, place): of each set its rarest shingles, as far as one of them must be common with any similar set.
+
+    Frequencies are those within ``nodes``. Shingles of one set only count as places, but need no row; neither do those of one component.
+    """
+    rows = nodes.join(sets.select("node", F.explode("keys").alias("key")), "node")
+    seen = save(rows.groupBy("key").agg(F.count("*").alias("df"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("df > 1"))
+    own = Window.partitionBy("node")
+    shared = rows.join(seen, "key").withColumns({"i": F.row_number().over(own.orderBy("df", "key")), "shared": F.count("*").over(own)})
+    shared = shared.withColumn("place", F.col("i") + F.col("n") - F.col("shared"))
+    return shared.where((F.col("place") <= F.col("n") - F.ceil(percent * F.col("n") / 100) + 1) & (F.col("lo") < F.col("hi"))).select("key", "node", "n", "comp", "place")
+
+
 def _other_pairs(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """All pairs of classes that share a band and are in different components; a band's largest component is not paired with itself."""
-    size = placed.groupBy("key", "comp").agg(F.count("*").alias("c"))
+    """All pairs of classes in different components that a common prefix shingle and the filters allow; a key's largest component is not paired with itself."""
+    index = save(_prefixes(placed.select("node", "n", "comp").distinct(), sets, percent))
+    size = index.groupBy("key", "comp").agg(F.count("*").alias("c"))
     top = save(size.groupBy("key").agg(F.max(F.struct("c", "comp")).alias("top")).select("key", F.col("top.comp").alias("top")))
-    placed = save(placed.join(top, "key").join(sets.select("node", "bits"), "node").withColumn("large", F.col("comp") == F.col("top")).drop("top"))
-    names = [["key", *(f"{c}{i}" for c in ("node", "n", "comp", "bits"))] for i in (1, 2)]
-    rest, large = (placed.where(x).select("key", "node", "n", "comp", "bits") for x in ("NOT large", "large"))
-    fits = _sizes_fit(percent, "n1", "n2") & _alike("bits1", "bits2")
-    on = F.col("key") == F.col("k2")
-    one, other, top_side = rest.toDF(*names[0]), rest.toDF(*names[1]).withColumnRenamed("key", "k2"), large.toDF(*names[1]).withColumnRenamed("key", "k2")
-    pairs = one.join(other, on & (F.col("comp1") < F.col("comp2")) & fits).select("node1", "node2")
-    pairs = pairs.union(one.join(top_side, on & fits).select("node1", "node2"))
+    index = save(index.join(top, "key").join(sets.select("node", "bits"), "node").withColumn("large", F.col("comp") == F.col("top")).drop("top"))
+    columns = ["key", "node", "n", "comp", "place", "bits"]
+    rest, large = (index.where(x).select(columns) for x in ("NOT large", "large"))
+    # the first common shingle leaves each set enough shingles for the overlap that both sizes demand
+    after = F.least(F.col("n1") - F.col("place1"), F.col("n2") - F.col("place2")) + 1
+    fits = _sizes_fit(percent, "n1", "n2") & ((100 + percent) * after >= percent * (F.col("n1") + F.col("n2"))) & _alike("bits1", "bits2")
+    one, other, top_side = (x.toDF(*(f"{c}{i}" for c in columns)) for x, i in ((rest, 1), (rest, 2), (large, 2)))
+    same = F.col("key1") == F.col("key2")
+    pairs = one.join(other, same & (F.col("comp1") < F.col("comp2")) & fits).select("node1", "node2")
+    pairs = pairs.union(one.join(top_side, same & fits).select("node1", "node2"))
     return pairs.select(F.least("node1", "node2").alias("a"), F.greatest("node1", "node2").alias("b")).distinct()
 
 
@@ -177,13 +196,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sets = save(whole.join(save(met), SET).groupBy("node").agg(F.any_value("bits").alias("bits"), F.any_value("keys").alias("keys")))
 
     found = save(rows.where("false").select("node", F.col("node").alias("comp")))
-    placed, many, before = _placed(rows, found), rows.count(), None
+    placed = _placed(rows, found)
+    before = _pairs_left(placed)
     for turn in range(HUB_ROUNDS):
         links = _verified(_hub_pairs(placed, percent, turn), sets, percent)
         found = components(links.union(found.toDF("a", "b")))
         placed = _placed(rows, found)
         left = _pairs_left(placed)
-        if left <= many or (before is not None and 2 * left > before):
+        if 2 * left > before:
             break
         before = left
     links = _verified(_other_pairs(placed, sets, percent), sets, percent)

@@ -84,6 +84,26 @@ def test_all_pairs_stage_and_hot_groups(spark, monkeypatch):
         assert got(sketches.near_duplicates(docs_of(spark, rows))) == want
 
 
+def test_copies_with_too_many_edits_meet_few(spark):
+    """Near copies and far copies of one text: far ones share bands with all, but hardly a rare shingle with any."""
+    pick = random.Random(8)
+    base, rows = [f"b{i}" for i in range(150)], []
+    for i in range(400):
+        copy = list(base)
+        for at in pick.sample(range(150), 3 if i % 4 else 12):
+            copy[at] = f"w{pick.randrange(300)}"
+        rows.append((i, " ".join(copy)))
+    made = []
+    real = sketches._other_pairs
+    sketches._other_pairs = lambda *a: made.append(real(*a)) or made[-1]
+    try:
+        out = got(sketches.near_duplicates(docs_of(spark, rows)))
+    finally:
+        sketches._other_pairs = real
+    assert out == plain(rows)
+    assert made[0].count() < 4 * len(rows)
+
+
 def test_null_and_repeated_ids(spark):
     x, y = " ".join(f"x{i}" for i in range(30)), " ".join(f"y{i}" for i in range(30))
     rows = [(1, "other"), (1, x), (2, x + " end"), (None, x), (None, y), (None, y), (3, None), (4, ""), (5, " \n"), (6, "one"), (7, "ONE"), (8, "One"), (8, "one"), (9, "two"), (1, x)]
