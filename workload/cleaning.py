@@ -11,7 +11,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from tallyforge.functions.expr import list_count, settled_round, title_text
-from tallyforge.operators import cleaning, modeling, quality, scoring
+from tallyforge.operators import cleaning, modeling, quality, regression, scoring
 from tallyforge.operators.joins import orphans, semi_join, star_join
 from tallyforge.session import cut_lineage, ensure_checkpoint_dir
 from tallyforge.sources import readers, writers
@@ -698,3 +698,38 @@ def regression_grid(spark, sf_dir):
     lines = roles.table(spark, sf_dir, "lineitem")
     model = modeling.fit_regression(lines, ["l_quantity", "l_discount"], "l_extendedprice", {"regParam": [0.0, 1.0]}, folds=2)
     return modeling.grid_scores(model, lines)
+
+
+# every 13th line has no quantity; folds go by order, the ridge is that of standardised features
+_MOMENTS = ", ".join(
+    ["COUNT(*) AS n"] + [f"AVG({v}) AS m{v}, stddev_pop({v}) AS s{v}" for v in "xzy"] + [f"covar_pop({a}, {b}) AS c{a}{b}" for a, b in ("xz", "xy", "zy")]
+)
+_PARTS = "cxz / (sx * sz) AS rxz, cxy / (sx * sy) AS rxy, czy / (sz * sy) AS rzy, 1 + reg_param / sy AS d"
+_BETAS = "(d * rxy - rxz * rzy) / (d * d - rxz * rxz) * sy / sx AS bx, (d * rzy - rxz * rxy) / (d * d - rxz * rxz) * sy / sz AS bz"
+
+
+@query(
+    "regression_folds",
+    f"""WITH r AS (SELECT l_orderkey % 3 AS fold, CASE WHEN l_orderkey % 13 = 0 THEN NULL ELSE l_quantity END AS x, l_discount AS z, l_extendedprice AS y FROM lineitem),
+    k AS (SELECT * FROM r WHERE x IS NOT NULL), g AS (SELECT unnest([0.0, 1000.0, 50000.0]) AS reg_param),
+    t AS (SELECT f.fold, (SELECT COUNT(*) FROM k) AS whole, m.* FROM (SELECT DISTINCT fold FROM k) f, LATERAL (SELECT {_MOMENTS} FROM k WHERE k.fold <> f.fold) m),
+    b AS (SELECT fold, reg_param, mx, mz, my, {_BETAS} FROM (SELECT *, {_PARTS} FROM t, g)),
+    e AS (SELECT b.reg_param, b.fold, sqrt(AVG(power(k.y - b.my - b.bx * (k.x - b.mx) - b.bz * (k.z - b.mz), 2))) AS rmse FROM b JOIN k ON k.fold = b.fold GROUP BY 1, 2),
+    a AS (SELECT reg_param, mx, mz, my, {_BETAS} FROM (SELECT *, {_PARTS} FROM (SELECT {_MOMENTS} FROM k), g))
+    SELECT CAST(a.reg_param AS DOUBLE) AS reg_param, {R('AVG(e.rmse)', 4)} AS rmse, {R('ANY_VALUE(a.my - a.bx * a.mx - a.bz * a.mz)', 4)} AS intercept, {R('ANY_VALUE(a.bx)', 5)} AS quantity, {R('ANY_VALUE(a.bz)', 3)} AS discount,
+      (SELECT COUNT(*) FROM k) AS rows_used, (SELECT COUNT(*) FROM r WHERE x IS NULL) AS rows_left_out
+    FROM a JOIN e ON e.reg_param = a.reg_param GROUP BY a.reg_param""",
+)
+def regression_folds(spark, sf_dir):
+    quantity = F.when(F.col("l_orderkey") % 13 != 0, F.col("l_quantity"))
+    lines = roles.table(spark, sf_dir, "lineitem").select("l_orderkey", quantity.alias("quantity"), F.col("l_discount").alias("discount"), "l_extendedprice")
+    out = regression.cross_validated(lines, ["quantity", "discount"], "l_extendedprice", F.col("l_orderkey") % 3, [0.0, 1000.0, 50000.0])
+    return out.select(
+        "reg_param",
+        settled_round(F.col("rmse"), 4).alias("rmse"),
+        settled_round(F.col("intercept"), 4).alias("intercept"),
+        settled_round(F.col("coefficients")["quantity"], 5).alias("quantity"),
+        settled_round(F.col("coefficients")["discount"], 3).alias("discount"),
+        "rows_used",
+        "rows_left_out",
+    )
