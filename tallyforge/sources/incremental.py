@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tallyforge.streaming import ledger
 
-PROGRESS = "spark.sql.streaming.numRecentProgressUpdates"
-MAX_BATCHES = 2**31 - 1
+
+COUNTS = "rows bigint"
 
 
 def load_new_files(
@@ -23,39 +24,48 @@ def load_new_files(
     file_format: str = "parquet",
     files_per_batch: int = 1000,
 ) -> int:
-    """Append the rows of files not seen before to ``target``; return the number of rows read.
+    """Add the rows of files not seen before to ``target``; return how many were added.
 
-    The streaming checkpoint is the bookmark: it moves only when the sink has committed, so a
-    failed run is repeated and a finished one is not. A backlog is taken in batches of ``files_per_batch`` files.
+    The streaming checkpoint is the bookmark. Every batch writes its own folder of ``target`` and then a ledger row beside the
+    checkpoint, and replaces both if it runs again, so a run that dies at any point is repeated without loss or repetition. The count
+    comes from the ledger. A backlog is taken in batches of ``files_per_batch`` files; ``loaded`` reads the result.
     """
+    facts = f"{checkpoint.rstrip('/')}-ledger"
+
+    def step(batch: DataFrame, number: int) -> None:
+        seen = Observation(f"batch-{number}")
+        rows = transform(batch) if transform else batch
+        ledger.replace_batch(rows.observe(seen, F.count(F.lit(1)).alias("rows")), target, number)
+        ledger.enter(batch.sparkSession, facts, number, {"rows": seen.get["rows"]}, COUNTS)
+
+    before = ledger.last_batch(spark, facts, COUNTS)
     rows = spark.readStream.schema(schema).format(file_format).option("maxFilesPerTrigger", files_per_batch).load(source)
-    rows = transform(rows) if transform else rows
-    kept = spark.conf.get(PROGRESS)
-    spark.conf.set(PROGRESS, str(MAX_BATCHES))  # else only the last hundred batches are counted
-    query = (
-        rows.writeStream.format("parquet")
-        .option("path", target)
-        .option("checkpointLocation", checkpoint)
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start()
-    )
-    spark.conf.set(PROGRESS, kept)
-    query.awaitTermination()
-    return sum(p["numInputRows"] for p in query.recentProgress)
-
-
-def rows_after(df: DataFrame, done: DataFrame, column: str, keys: Sequence[str] = ()) -> DataFrame:
+    rows.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    added = ledger.entries(spark, facts, COUNTS).filter(F.col("batch") > (-1 if before is None else before))
+    return added.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
+
+
+def loaded(spark: SparkSession, target: str) -> DataFrame:
+    """All rows that loads have added to ``target``."""
+    return spark.read.parquet(target).drop("batch")
+
+
+def rows_after(df: DataFrame, done: DataFrame, column: str, keys: Sequence[str] | None = None) -> DataFrame:
     """Rows of ``df`` beyond the largest ``column`` in ``done``; all rows if ``done`` is empty.
 
-    The bookmark is one value, read first, so that it reaches the scan as a literal filter. With ``keys``, rows at the
-    bookmark itself and rows without a value count too, unless ``done`` has their keys; without, both are taken as done.
+    The bookmark is one value, read first, so that it reaches the scan as a literal filter. Rows at the
+    bookmark itself and rows without a value count too, unless ``done`` has them: the same ``keys``, or without keys the same
+    values in all columns that both have (NULLs are equal). With an empty list of keys all of them are taken as done.
     """
     last = done.agg(F.max(column)).first()[0]
-    if last is None:
+    if last is None and keys is not None and not keys:
         return df
-    if not keys:
+    if keys is not None and not keys:
         return df.filter(F.col(column) > F.lit(last))
-    edge = (F.col(column) == F.lit(last)) | F.col(column).isNull()
-    open_rows = df.filter((F.col(column) >= F.lit(last)) | F.col(column).isNull())
-    return open_rows.join(done.filter(edge).select(*keys).distinct(), list(keys), "left_anti").select(df.columns)
+    at_edge = F.col(column).isNull() if last is None else (F.col(column) == F.lit(last)) | F.col(column).isNull()
+    open_rows = df if last is None else df.filter((F.col(column) >= F.lit(last)) | F.col(column).isNull())
+    same = [c for c in df.columns if c in done.columns] if keys is None else list(keys)
+    # one struct column, in which NULLs are equal
+    key = F.struct(*same)
+    known = done.filter(at_edge).select(key.alias("__key")).distinct()
+    return open_rows.withColumn("__key", key).join(known, "__key", "left_anti").select(df.columns)

@@ -110,7 +110,30 @@ def test_incremental_load_reads_each_file_once(spark, folder):
     assert incremental.load_new_files(*args) == 0
     spark.range(10, 15).write.mode("append").parquet(f"{folder}/in")
     assert incremental.load_new_files(*args, transform=lambda d: d.filter("id > 11")) >= 3
-    assert sorted(r.id for r in spark.read.parquet(f"{folder}/out").collect()) == [*range(10), 12, 13, 14]
+    assert sorted(r.id for r in incremental.loaded(spark, f"{folder}/out").collect()) == [*range(10), 12, 13, 14]
+
+
+def test_load_that_dies_before_its_commit_is_repeated_once(spark, folder, monkeypatch):
+    from tallyforge.streaming import ledger
+
+    df = spark.range(10)
+    df.write.parquet(f"{folder}/in")
+    args = (spark, f"{folder}/in", df.schema, f"{folder}/out", f"{folder}/mark")
+    enter, died = ledger.enter, []
+
+    def die_once(*a, **k):
+        if not died:
+            died.append(1)
+            raise RuntimeError("killed between write and commit")
+        enter(*a, **k)
+
+    monkeypatch.setattr(ledger, "enter", die_once)
+    with pytest.raises(Exception, match="killed"):
+        incremental.load_new_files(*args)
+    assert incremental.loaded(spark, f"{folder}/out").count() == 10  # written, not committed
+    assert incremental.load_new_files(*args) == 10
+    assert incremental.loaded(spark, f"{folder}/out").count() == 10
+    assert incremental.load_new_files(*args) == 0
 
 
 @pytest.mark.parametrize("cap", [2, 4])
@@ -132,14 +155,18 @@ def test_rows_after_at_the_bookmark(spark):
     done = spark.createDataFrame([(1, 5), (2, 7), (3, None)], "k int, v int")
     df = spark.createDataFrame([(1, 5), (2, 7), (4, 7), (3, None), (5, None), (6, 8), (7, 6)], "k int, v int")
     assert sorted(r.k for r in incremental.rows_after(df, done, "v", ["k"]).collect()) == [4, 5, 6]
-    assert incremental.rows_after(df, done, "v").count() == 1
+    assert incremental.rows_after(df, done, "v", []).count() == 1
+    assert sorted(r.k for r in incremental.rows_after(df, done, "v").collect()) == [4, 5, 6]
+    nulls = spark.createDataFrame([(None, 7), (None, None)], "k int, v int")
+    assert incremental.rows_after(nulls, nulls, "v").count() == incremental.rows_after(nulls, nulls, "v", ["k"]).count() == 0
+    assert incremental.rows_after(df, done.limit(0), "v").count() == incremental.rows_after(df, done.limit(0), "v", []).count() == 7
 
 
 def test_backlog_in_many_batches(spark, folder):
     rows = spark.range(130)
     rows.repartition(130).write.parquet(f"{folder}/in")
     assert incremental.load_new_files(spark, f"{folder}/in", rows.schema, f"{folder}/out", f"{folder}/state", files_per_batch=1) == 130
-    assert spark.read.parquet(f"{folder}/out").count() == 130
+    assert incremental.loaded(spark, f"{folder}/out").count() == 130
 
 
 def run_stream(stream, spark, folder, name):
@@ -190,6 +217,49 @@ def test_late_rows_are_dropped_and_restart_adds_nothing(spark, folder):
     assert run().count() == 2
 
 
+def late_windows(folder):
+    from tallyforge.streaming.late import LateAwareWindows
+
+    return LateAwareWindows(f"{folder}/out", 600, 1800, actor="student_id")
+
+
+def take(windows, spark, folder):
+    rows = activity.read_json_stream(spark, f"{folder}/in").withColumn("event_time", F.col("timestamp").cast("timestamp"))
+    windows.start(rows, f"{folder}/mark").awaitTermination()
+
+
+def test_no_event_is_lost(spark, folder):
+    import os
+
+    os.mkdir(f"{folder}/in")
+    windows = late_windows(folder)
+    put(f"{folder}/in", "a", event(5), event(5, "s2"), event(125), json.dumps({"student_id": "s9"}))
+    take(windows, spark, folder)
+    put(f"{folder}/in", "b", event(6), event(96), event(94), event(300))  # 6 and 84 are behind 95 minutes; the window of 94 is still open
+    take(windows, spark, folder)
+    take(windows, spark, folder)
+    closed = windows.windows(spark)
+    assert sorted((r.window_start.hour * 60 + r.window_start.minute, r.activity_count, r.unique_actors) for r in closed.collect()) == [(0, 2, 2), (90, 2, 1), (120, 1, 1)]
+    windows.close(spark)
+    assert windows.windows(spark).agg(F.sum("activity_count")).first()[0] == 6
+    assert windows.late(spark).count() == 2
+    assert sorted(map(tuple, windows.batches(spark).select("batch", "rows", "late", "untimed").collect())) == [(0, 4, 1, 1), (1, 4, 1, 0)]
+
+
+def test_a_repeated_batch_changes_nothing(spark, folder):
+    windows = late_windows(folder)
+    kinds = "student_id string, ai_tool_used string, session_duration int, event_time timestamp"
+    first = spark.createDataFrame([("s1", "A", 10)], "student_id string, ai_tool_used string, session_duration int").withColumn("event_time", F.lit("2024-01-01 00:05:00").cast("timestamp"))
+    second = first.withColumn("event_time", F.lit("2024-01-01 05:00:00").cast("timestamp")).unionByName(first)
+    for number, rows in ((0, first), (1, second), (1, second), (0, first), (1, second)):
+        windows.step(rows, number)
+    windows.step(spark.createDataFrame([], kinds), 2)
+    windows.close(spark)
+    windows.close(spark)
+    assert sorted(r.activity_count for r in windows.windows(spark).collect()) == [1, 2]  # the watermark moves after the batch
+    assert windows.late(spark).count() == 0 and windows.batches(spark).agg(F.sum("rows")).first()[0] == 3
+
+
 def test_stream_dedup_within_watermark(spark, folder):
     import os
 

@@ -16,6 +16,7 @@ from tallyforge.operators.tuning import drop_temporary, lean_input
 from tallyforge.plans import integration
 from tallyforge.sources import incremental, readers, writers
 from tallyforge.streaming import activity
+from tallyforge.streaming.late import LateAwareWindows
 from tallyforge.session import ensure_checkpoint_dir
 from workload import roles
 from workload.analyses import INSIGHT, INTEGRATED, integrated_frame
@@ -176,12 +177,13 @@ def incremental_load(spark, sf_dir):
     for condition in (early, late):
         rows.filter(condition).write.mode("append").parquet(f"{root}/in")
         incremental.load_new_files(spark, f"{root}/in", schema, f"{root}/out", f"{root}/bookmark")
-    return spark.read.parquet(f"{root}/out")
+    return incremental.loaded(spark, f"{root}/out")
 
 
 @query(
     "rows_after_bookmark",
-    "SELECT o_orderkey, o_orderdate FROM orders WHERE o_orderdate > (SELECT MAX(o_orderdate) FROM orders WHERE o_orderstatus = 'F' AND o_orderdate < TIMESTAMP '1998-01-01')",
+    """WITH b AS (SELECT MAX(o_orderdate) AS last FROM orders WHERE o_orderstatus = 'F' AND o_orderdate < TIMESTAMP '1998-01-01')
+    SELECT o_orderkey, o_orderdate FROM orders, b WHERE o_orderdate > last OR (o_orderdate = last AND o_orderstatus <> 'F')""",
 )
 def rows_after_bookmark(spark, sf_dir):
     rows = roles.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_orderstatus")
@@ -286,6 +288,57 @@ def stream_windows(spark, sf_dir):
     )
 
 
+# every 17th event comes one arrival late: behind the watermark, or within it near the border of two arrivals
+_LATE = f"""WITH c AS (SELECT MIN(ts) AS a, MAX(ts) AS z FROM events),
+    e AS (SELECT event_type, user_id, value, time_bucket(INTERVAL '10 minutes', ts) AS window_start, ts,
+      least(list_count(list_filter([a + (z - a) * i / {ARRIVALS} for i in range(1, {ARRIVALS})], lambda x: x <= ts)) + CASE WHEN event_id % 17 = 0 THEN 1 ELSE 0 END, {ARRIVALS} - 1) AS arrival FROM events, c),
+    m AS (SELECT k, (SELECT MAX(ts) FROM e WHERE arrival < k) - INTERVAL '30 minutes' AS mark FROM (SELECT unnest(range({ARRIVALS})) AS k)),
+    f AS (SELECT e.*, coalesce(window_start + INTERVAL '10 minutes' <= mark, FALSE) AS late FROM e JOIN m ON k = arrival)"""
+
+
+def replay_with_late(spark, sf_dir):
+    path = scratch(spark, "events")
+    events = roles.table(spark, sf_dir, "events").withColumn("timestamp", F.col("ts").cast("string"))
+    first, last = events.agg(F.min("ts"), F.max("ts")).first()
+    cuts = [first + (last - first) * i / ARRIVALS for i in range(1, ARRIVALS)]
+    own = F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c <= F.col("ts")))
+    arrival = F.least(own + F.when(F.col("event_id") % 17 == 0, 1).otherwise(0), F.lit(ARRIVALS - 1))
+    for i in range(ARRIVALS):
+        events.filter(arrival == i).drop("ts").repartition(FILES).write.mode("append").json(path)
+    return activity.read_json_stream(spark, path, EVENT, files_per_trigger=FILES).withColumn("event_time", F.col("timestamp").cast("timestamp"))
+
+
+@query(
+    "stream_late",
+    f"""{_LATE} SELECT window_start, event_type, COUNT(*) FILTER (WHERE NOT late) AS activity_count, {R('AVG(value) FILTER (WHERE NOT late)', 4)} AS avg_value,
+      COUNT(DISTINCT user_id) FILTER (WHERE NOT late) AS unique_actors, COUNT(*) FILTER (WHERE late) AS late FROM f GROUP BY 1, 2""",
+)
+def stream_late(spark, sf_dir):
+    """Every event is in a window or, behind the watermark, in the side output; the end of the replay closes all windows."""
+    root, checkpoint = scratch(spark, "late"), scratch(spark, "late-state")
+    windows = LateAwareWindows(root, 600, 1800, "event_time", "event_type", "value", "user_id")
+    windows.start(replay_with_late(spark, sf_dir), checkpoint).awaitTermination()
+    windows.close(spark)
+    start = (F.col("window_end") - F.expr("INTERVAL 10 MINUTES")).alias("window_start")
+    late = windows.late(spark).groupBy(start, "event_type").agg(F.count(F.lit(1)).alias("late"))
+    both = windows.windows(spark).drop("window_end").join(late, ["window_start", "event_type"], "full")
+    counts = {c: F.coalesce(c, F.lit(0)) for c in ("activity_count", "unique_actors", "late")}
+    both = both.withColumns(counts | {"avg_value": settled_round(F.col("avg_value"), 4), "window_start": F.col("window_start").cast("timestamp_ntz")})
+    return both.select("window_start", "event_type", "activity_count", "avg_value", "unique_actors", "late")
+
+
+@query(
+    "stream_batches",
+    f"{_LATE} SELECT arrival AS batch, COUNT(*) AS n_rows, COUNT(*) FILTER (WHERE late) AS n_late FROM f GROUP BY 1",
+)
+def stream_batches(spark, sf_dir):
+    """The ledger of the same replay: rows and late rows of every batch."""
+    root, checkpoint = scratch(spark, "late"), scratch(spark, "late-state")
+    windows = LateAwareWindows(root, 600, 1800, "event_time", "event_type", "value", "user_id")
+    windows.start(replay_with_late(spark, sf_dir), checkpoint).awaitTermination()
+    return windows.batches(spark).select("batch", F.col("rows").alias("n_rows"), F.col("late").alias("n_late"))
+
+
 @query("stream_dedup", f"SELECT event_type, COUNT(*) AS n, {R('SUM(value)', 2)} AS total FROM events GROUP BY event_type")
 def stream_dedup(spark, sf_dir):
     """Every event arrives twice and is kept once."""
