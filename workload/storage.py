@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from tallyforge.functions.expr import settled_round
 from tallyforge.operators.aggregates import insight_summary
+from tallyforge.operators.rollups import Rollup
 from tallyforge.operators.tuning import drop_temporary, lean_input
 from tallyforge.plans import integration
 from tallyforge.sources import incremental, readers, writers
@@ -232,6 +233,42 @@ def lean_aggregation(spark, sf_dir):
     return lean.groupBy("segment").agg(settled_round(F.sum("c_acctbal"), 2).alias("total"))
 
 
+_ROLLED = f"""COUNT(*) AS n, {R('AVG(value)', 4)} AS mean, {R('MIN(value)', 4)} AS low, {R('MAX(value)', 4)} AS high,
+  {R('quantile_disc(value, 0.25)', 4)} AS p25, {R('quantile_disc(value, 0.5)', 4)} AS p50, {R('quantile_disc(value, 0.99)', 4)} AS p99, COUNT(DISTINCT user_id) AS distinct_actors"""
+
+
+def event_rollup(spark, sf_dir):
+    """Events in three loads, of which one is repeated, kept by day and type."""
+    rollup = Rollup(scratch(spark, "rollup"), ["event_type"], "value", "user_id", k=8192, lg_k=16)
+    events = roles.table(spark, sf_dir, "events")
+    for batch in (0, 1, 2, 1):
+        rollup.load(events.filter(F.col("event_id") % 3 == batch), F.to_date("ts"), batch)
+    return rollup
+
+
+def rolled(out, *keys):
+    names = [c for c in out.columns if c not in (*keys, "n", "n_values", "distinct_actors")]
+    return out.withColumns({c: settled_round(F.col(c), 4) for c in names}).drop("n_values")
+
+
+@query(
+    "rollup_range",
+    f"SELECT event_type, {_ROLLED} FROM events WHERE ts >= TIMESTAMP '2024-01-05' AND ts < TIMESTAMP '2024-01-19' GROUP BY 1",
+)
+def rollup_range(spark, sf_dir):
+    """Any range of days from stored sketches; up to 8,192 values of a range are exact."""
+    rollup = event_rollup(spark, sf_dir)
+    lines = rollup.stored(spark).filter(F.col("period").between("2024-01-05", "2024-01-18"))
+    return rolled(rollup.merged(lines, ["event_type"], (0.25, 0.5, 0.99)), "event_type")
+
+
+@query("rollup_weeks", f"SELECT CAST(date_trunc('week', ts) AS DATE) AS week, event_type, {_ROLLED} FROM events GROUP BY 1, 2")
+def rollup_weeks(spark, sf_dir):
+    rollup = event_rollup(spark, sf_dir)
+    week = F.date_trunc("week", "period").cast("date").alias("week")
+    return rolled(rollup.merged(rollup.stored(spark), [week, "event_type"], (0.25, 0.5, 0.99)), "week", "event_type")
+
+
 # --- streams -------------------------------------------------------------------------------------
 
 EVENT = T.StructType(
