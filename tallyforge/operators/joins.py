@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from tallyforge.functions.expr import hash_uniform
+from tallyforge.operators.ranking import rank_rows
 from tallyforge.session import written
 
 BROADCAST_ROWS = 10_000
@@ -77,43 +78,56 @@ def star_join(fact: DataFrame, dimensions: Sequence[tuple[DataFrame, Sequence[st
     return fact
 
 
+def alias_table(targets: DataFrame, target_key: str, weight: str) -> tuple[DataFrame, int, Decimal]:
+    """(slot, own, upto, other), the number of slots, and the whole weight: a table to draw targets from by their weights.
+
+    There are as many slots as targets of positive weight, all equally likely. Slot i belongs to one target for the part ``upto`` of the
+    whole weight and to another for the rest. Light targets (below the average) and heavy ones are laid out on one axis, light ones
+    by what they lack and heavy ones by what they have too much; a light slot is filled by the heavy target at whose place it begins, and
+    a heavy target gives away what the last light slot it reaches takes beyond its end, to be filled by the next heavy one. Both places
+    are found by running counts over the sorted axis, so the table is built in parallel, in exact decimals.
+    """
+    rows = targets.select(F.col(target_key).alias("own"), F.col(weight).cast("decimal(20,6)").alias("w")).filter("w > 0")
+    slots, whole = rows.agg(F.count(F.lit(1)), F.sum("w")).first()
+    if not slots:
+        return rows.select(F.lit(0).cast("long").alias("slot"), "own", F.col("w").alias("upto"), F.col("own").alias("other")), 0, Decimal(0)
+    scaled = (F.col("w") * slots).cast("decimal(38,6)")
+    rows = rows.select("own", scaled.alias("p")).withColumns({"heavy": F.col("p") >= F.lit(whole), "gap": F.abs(F.col("p") - F.lit(whole))})
+    rows = written(rank_rows(rows, ["heavy"], "own", "own", row_number="i", running_sum={"end": "gap"}))
+    light, heavy = rows.filter("NOT heavy"), rows.filter("heavy")
+    points = light.select("own", (F.col("end") - F.col("gap")).alias("at"), F.lit(1).alias("kind"))
+    points = points.unionByName(heavy.select("own", F.col("end").cast(points.schema["at"].dataType).alias("at"), F.lit(0).alias("kind")))
+    points = points.withColumns({"is_light": F.col("kind"), "is_heavy": 1 - F.col("kind")})
+    placed = rank_rows(points, [], F.struct("at", "kind"), "own", running_sum={"lights": "is_light", "heavies": "is_heavy"})
+    rows = written(rows.join(placed.select("own", "lights", "heavies"), "own"))
+    light, heavy = rows.filter("NOT heavy"), rows.filter("heavy")
+    by_number = heavy.select(F.col("i").alias("j"), F.col("own").alias("other"))
+    n_light = rows.filter("NOT heavy").agg(F.count(F.lit(1))).first()[0]
+    light = light.withColumn("j", F.col("heavies") + 1).join(by_number, "j", "left")
+    light = light.select((F.col("i") - 1).alias("slot"), "own", F.col("p").alias("upto"), "other")
+    reached = rows.filter("NOT heavy").select(F.col("i").alias("lights"), F.col("end").alias("reach"))
+    heavy = heavy.withColumn("j", F.col("i") + 1).join(reached, "lights", "left").join(by_number, "j", "left")
+    given = F.greatest(F.coalesce(F.col("reach"), F.lit(0)) - F.col("end"), F.lit(0).cast("decimal(38,6)"))
+    heavy = heavy.select((F.col("i") - 1 + n_light).alias("slot"), "own", (F.lit(whole) - given).cast("decimal(38,6)").alias("upto"), "other")
+    return written(light.unionByName(heavy)), slots, whole
+
+
 def assign_weighted(
     rows: DataFrame, row_key: str, targets: DataFrame, target_key: str, weight: str, salt: str = "assign"
 ) -> DataFrame:
     """Give every row one target with probability proportional to the target's weight.
 
-    A uniform number made from the row key picks a point on the cumulated weights. Both sides are
-    cut into equal slots of that axis, about one per target, so the range condition becomes an
-    equi-join on the slot; small targets share a slot, large ones span several. Weights are
-    cumulated as decimals, so neighbouring targets meet exactly.
+    A hash of the row key and the salt chooses a slot of the alias table and a point in it; every row reads exactly one slot. Weights
+    count to six decimals; without a positive weight no row gets a target and none is returned. Target keys are unique and
+    not NULL; a NULL row key is a key like any other.
     """
-    slots = max(1024, targets.count())
-    # targets are cumulated in blocks of a stable hash, so that no task sees all of them
-    exact = F.col(weight).cast("decimal(28,6)")
-    t = targets.filter(F.col(weight) > 0).select(
-        target_key, exact.alias("__w"), F.pmod(F.xxhash64(target_key), F.lit(1024)).alias("__block")
-    )
-    before = Window.orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
-    zero = F.lit(0).cast("decimal(38,6)")
-    blocks = (
-        t.groupBy("__block")
-        .agg(F.sum("__w").alias("__bw"))
-        .withColumn("__base", F.coalesce(F.sum("__bw").over(before), zero))
-        .withColumn("__sum", F.sum("__bw").over(Window.partitionBy()))
-        .drop("__bw")
-    )
-    upto = Window.partitionBy("__block").orderBy(target_key).rowsBetween(Window.unboundedPreceding, 0)
-    t = t.withColumn("__upto", F.sum("__w").over(upto)).join(blocks, "__block")
-    total = F.col("__sum").cast("double")
-    low = (F.col("__base") + F.col("__upto") - F.col("__w")).cast("double") / total
-    high = (F.col("__base") + F.col("__upto")).cast("double") / total
-    first_slot, last_slot = [F.least(F.floor(x * slots), F.lit(slots - 1)) for x in (low, high)]
-    t = t.select(
-        target_key, low.alias("__lo"), high.alias("__hi"), F.explode(F.sequence(first_slot, last_slot)).alias("__slot")
-    )
-    u = rows.withColumn("__u", hash_uniform(F.col(row_key), salt)).withColumn("__slot", F.floor(F.col("__u") * slots))
-    hit = (F.col("__u") >= F.col("__lo")) & (F.col("__u") < F.col("__hi"))
-    return u.join(t, "__slot").filter(hit).drop("__u", "__slot", "__lo", "__hi")
+    table, slots, whole = alias_table(targets, target_key, weight)
+    digest = F.md5(F.concat_ws("|", F.coalesce(F.col(row_key).cast("string"), F.lit("")), F.lit(salt)))
+    number = [F.conv(F.substring(digest, a, n), 16, 10).cast("long") for a, n in ((1, 12), (13, 8))]
+    drawn = rows.withColumns({"__slot": F.pmod(number[0], F.lit(max(slots, 1))), "__point": number[1]})
+    hit = drawn.join(table.withColumnRenamed("slot", "__slot").select("__slot", *[F.col(c).alias(f"__{c}") for c in ("own", "upto", "other")]), "__slot")
+    own = F.col("__point").cast("decimal(10,0)") * F.lit(whole).cast("decimal(27,6)") < F.col("__upto").cast("decimal(27,6)") * F.lit(2**32).cast("decimal(10,0)")
+    return hit.select(*rows.columns, F.when(own, F.col("__own")).otherwise(F.col("__other")).alias(target_key))
 
 
 def counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:

@@ -59,15 +59,31 @@ def test_weighted_assignment_equals_brute_force(spark):
     for s, w in weights.items():
         p = w / total
         assert abs(share[s] - 4000 * p) <= 6 * (4000 * p * (1 - p)) ** 0.5 + 1
-    # neighbours in u get neighbouring intervals: every target owns one interval of its weight
-    u = {r.k: r.u for r in rows.select("k", hash_uniform(F.col("k"), "assign").alias("u")).collect()}
-    by_target = {}
-    for r in got:
-        by_target.setdefault(r.s, []).append(u[r.k])
-    spans = sorted((min(v), max(v)) for v in by_target.values())
-    assert all(a[1] < b[0] for a, b in zip(spans, spans[1:]))
-    for s, points in by_target.items():
-        assert max(points) - min(points) <= weights[s] / total + 1e-9
+    again = joins.assign_weighted(rows.repartition(7), "k", targets.repartition(3), "s", "w").collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, again))
+
+
+@pytest.mark.parametrize("weights", [[1] * 9, [10**9, 1], [0.5, 0.25, 0.25], [3, 1, 1, 1], [0, 0, 5], [1, 2, 4, 8, 16, 32, 64], [7], [5, 5, 5, 1, 1, 1, 2, 2, 2, 11], [0.000001] * 5 + [10.5]])
+def test_alias_table_holds_the_weights_exactly(spark, weights):
+    """Every target's parts of all slots add up to its weight; no slot holds more than one weight's average."""
+    from decimal import Decimal
+
+    targets = spark.createDataFrame([(i, float(w)) for i, w in enumerate(weights)], "s int, w double")
+    table, slots, whole = joins.alias_table(targets, "s", "w")
+    parts, found = {}, table.collect()
+    for r in found:
+        assert 0 <= r["upto"] <= whole
+        parts[r["own"]] = parts.get(r["own"], 0) + r["upto"]
+        if r["upto"] < whole:
+            parts[r["other"]] = parts.get(r["other"], 0) + whole - r["upto"]
+    exact = {i: Decimal(str(w)).quantize(Decimal("0.000001")) for i, w in enumerate(weights) if w}
+    assert sorted(r["slot"] for r in found) == list(range(slots)) == list(range(len(exact)))
+    assert parts == {i: w * slots for i, w in exact.items()}
+
+
+def test_assignment_without_weights(spark):
+    rows = spark.range(5).withColumnRenamed("id", "k")
+    assert joins.assign_weighted(rows, "k", spark.createDataFrame([(1, 0.0), (2, None)], "s int, w double"), "s", "w").count() == 0
 
 
 def test_counted_observes_rows(spark):

@@ -260,23 +260,23 @@ def school_factor_correlations(spark, sf_dir):
 
 @query(
     "weighted_assignment",
-    "SELECT COUNT(*) AS n, COUNT(DISTINCT c_custkey) AS assigned, TRUE AS within_bounds FROM customer",
+    f"""WITH {roles.SCHOOLS_SQL}, t AS (SELECT school_id AS own, CAST(student_count AS DECIMAL(20, 6)) AS w FROM schools WHERE student_count > 0),
+    n AS (SELECT COUNT(*) AS slots, SUM(w) AS whole FROM t),
+    r AS (SELECT own, w * slots AS p, w * slots >= whole AS heavy, abs(w * slots - whole) AS gap FROM t, n),
+    x AS (SELECT *, row_number() OVER (PARTITION BY heavy ORDER BY own) AS i, SUM(gap) OVER (PARTITION BY heavy ORDER BY own) AS upto FROM r),
+    l AS (SELECT *, (SELECT COUNT(*) FROM x h WHERE h.heavy AND h.upto <= x.upto - x.gap) + 1 AS j FROM x WHERE NOT heavy),
+    h AS (SELECT x.own, x.i, greatest(coalesce((SELECT MAX(y.upto) FROM x y WHERE NOT y.heavy AND y.upto - y.gap < x.upto), 0) - x.upto, 0) AS given FROM x WHERE heavy),
+    s AS (SELECT l.i - 1 AS slot, l.own, l.p AS part, h.own AS other FROM l JOIN h ON h.i = l.j
+      UNION ALL SELECT h.i - 1 + (SELECT COUNT(*) FROM l), h.own, whole - h.given, g.own FROM n, h LEFT JOIN h g ON g.i = h.i + 1),
+    c AS (SELECT c_custkey, md5(c_custkey || '|assign') AS d FROM customer)
+    SELECT c_custkey, CASE WHEN CAST(('0x' || substr(d, 13, 8)) AS HUGEINT) / 4294967296e0 < CAST(part AS DOUBLE) / CAST(whole AS DOUBLE) THEN own ELSE other END AS school_id
+    FROM c, n JOIN s ON s.slot = CAST(('0x' || substr(d, 1, 12)) AS BIGINT) % slots""",
 )
 def weighted_assignment(spark, sf_dir):
-    """Every customer gets exactly one supplier, and big suppliers get their share within six deviations."""
+    """Every customer gets exactly one supplier, by the supplier's weight."""
     supplier = roles.schools(spark, sf_dir).select("school_id", "student_count")
     customer = roles.table(spark, sf_dir, "customer").select("c_custkey")
-    assigned = assign_weighted(customer, "c_custkey", supplier, "school_id", "student_count")
-    big = F.col("student_count") >= 1500
-    share = supplier.agg(F.try_divide(F.sum(F.when(big, F.col("student_count"))), F.sum("student_count"))).scalar()
-    counts = assigned.join(supplier, "school_id").agg(
-        F.count(F.lit(1)).alias("n"), F.count_distinct("c_custkey").alias("assigned"), F.count_if(big).alias("got")
-    )
-    p, n = F.col("p"), F.col("n")
-    bound = F.abs(F.col("got") - n * p) <= 6 * F.sqrt(n * p * (1 - p)) + 1
-    # without a big supplier there is nothing to bound
-    fair = F.coalesce(bound, F.lit(True)).alias("within_bounds")
-    return counts.withColumn("p", share).select("n", "assigned", fair)
+    return assign_weighted(customer, "c_custkey", supplier, "school_id", "student_count")
 
 
 @query(
