@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tallyforge.functions import presets as P
 from tallyforge.functions.expr import pct, safe_corr, score_map
 from tallyforge.operators.joins import with_total_stats
+from tallyforge.operators.ranking import rank_rows
 
 
 def share_of_total(df: DataFrame, group: Sequence[str], digits: int = 2, n: str = "n", share: str = "percentage") -> DataFrame:
@@ -121,3 +122,26 @@ def activity_rollup(df: DataFrame, time: str, unit: str, group: Sequence[str], v
     return df.groupBy(F.date_trunc(unit, time).alias("period"), *group).agg(
         F.count(F.lit(1)).alias("n_events"), F.avg(value).alias("avg_value")
     )
+
+
+def list_segments(df: DataFrame, keys: Sequence[str], order: str, item: str, unique: str, size: int = 1000) -> DataFrame:
+    """(keys, part, first, items): each key's items in order, in parts of ``size``.
+
+    A plain list of a key that holds much of the data is one huge row in one task. Here rows get their number within the key from
+    the rank engine, which spreads a hot key over tasks, and every part is a row of bounded length; ``first`` is the number of its first
+    item. ``unique`` breaks ties and is unique in its key; NULL items stay in the list.
+    """
+    rows = df.select(*keys, order, *[c for c in dict.fromkeys((item, unique)) if c not in (*keys, order)])
+    numbered = rank_rows(rows, list(keys), order, unique, row_number="__rn")
+    part = F.floor((F.col("__rn") - 1) / size)
+    lists = numbered.groupBy(*keys, part.alias("part")).agg(F.array_sort(F.collect_list(F.struct("__rn", F.col(item).alias("item")))).alias("__items"))
+    return lists.select(*keys, "part", (F.col("part") * size + 1).alias("first"), F.transform("__items", lambda x: x["item"]).alias("items"))
+
+
+def set_segments(df: DataFrame, keys: Sequence[str], item: str, size: int = 1000) -> DataFrame:
+    """(keys, part, first, items): each key's distinct items in their own order, NULL left out, in parts of ``size``.
+
+    Repetitions collapse in a hash aggregate before anything is put into a list.
+    """
+    once = df.filter(F.col(item).isNotNull()).select(*keys, item).distinct()
+    return list_segments(once, keys, item, item, item, size)

@@ -219,8 +219,62 @@ def hash_sample(df: DataFrame, key: str, percent: int) -> DataFrame:
     return df.filter(hash_percent(key) < percent)
 
 
-def fraction_sample(df: DataFrame, fraction: float, seed: int = 42) -> DataFrame:
-    return df.sample(withReplacement=False, fraction=fraction, seed=seed)
+def fraction_sample(df: DataFrame, fraction: float, seed: int = 42, keys: Sequence[str] = ()) -> DataFrame:
+    """A share of the rows: each by chance, or with ``keys`` exactly the nearest whole number of rows, the same ones on every run."""
+    if not keys:
+        return df.sample(withReplacement=False, fraction=fraction, seed=seed)
+    return bottom_sample(df, keys, fraction=fraction, salt=str(seed))
+
+
+_DIGITS = 15  # of a hash in base 16: 60 bits
+
+
+def key_hash(keys: Sequence[str], salt: str) -> Column:
+    """60 bits of the MD5 of the keys' texts and the salt."""
+    texts = [F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys]
+    return F.conv(F.substring(F.md5(F.concat_ws("|", *texts, F.lit(salt))), 1, _DIGITS), 16, 10).cast("long")
+
+
+def bottom_sample(df: DataFrame, keys: Sequence[str], size: int | None = None, fraction: float | None = None, salt: str = "sample", at_once: int = 10_000) -> DataFrame:
+    """The ``size`` rows (or the share of all) whose keys hash lowest; ``keys`` are unique together.
+
+    The size is exact and the rows depend on keys and salt only. The lowest rows of two samples of a size are those of both inputs
+    together, so samples merge. The cut is found by counting rows per range of hashes, each time inside the one range that holds
+    it, until at most ``at_once`` hashes are left to look at; the rows themselves are never sorted or moved.
+    """
+    rows = df.withColumn("__hash", key_hash(keys, salt))
+    low, width, want = 0, 4 * _DIGITS, size
+    taken = 0
+    while True:
+        step = max(width - 12, 0)
+        inside = rows.filter((F.col("__hash") >= low) & (F.col("__hash") < low + (1 << width)))
+        counts = {r["part"]: r["n"] for r in inside.groupBy(F.shiftright("__hash", step).alias("part")).agg(F.count(F.lit(1)).alias("n")).collect()}
+        if want is None:
+            # the nearest whole number, halves up
+            want = int(sum(counts.values()) * fraction + 0.5)
+        if taken + sum(counts.values()) <= want:
+            return df
+        for part in sorted(counts):
+            if taken + counts[part] > want:
+                break
+            taken += counts[part]
+        low, width = part << step, step
+        if counts[part] <= at_once or width == 0:
+            break
+    last = rows.filter((F.col("__hash") >= low) & (F.col("__hash") < low + (1 << width)))
+    edge = last.select("__hash", *keys).orderBy("__hash", *keys).limit(want - taken + 1).collect()
+    cut = edge[want - taken]
+    below = F.lit(False)
+    for i in reversed(range(len(keys))):
+        below = _before(F.col(keys[i]), cut[keys[i]], rows.schema[keys[i]].dataType) | (F.col(keys[i]).eqNullSafe(F.lit(cut[keys[i]])) & below)
+    return rows.filter((F.col("__hash") < cut["__hash"]) | ((F.col("__hash") == cut["__hash"]) & below)).drop("__hash")
+
+
+def _before(key: Column, value: object, kind: T.DataType) -> Column:
+    """Whether a key comes before a value in Spark's order, where NULL is first."""
+    if value is None:
+        return F.lit(False)
+    return key.isNull() | F.coalesce(key < F.lit(value).cast(kind), F.lit(False))
 
 
 def train_test_split(df: DataFrame, key: str, train_tenths: int = 8, output: str = "dataset_split") -> DataFrame:

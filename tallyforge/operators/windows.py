@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tallyforge.functions.expr import classify, outside, spread, z_score
 from tallyforge.operators.joins import with_group_stats
+from tallyforge.operators.moments import deviation_of, mean_of, with_grain_stats
 
 
 def one_row_per_period(df: DataFrame, entity: Sequence[str], period: str, aggs: Mapping[str, Column]) -> DataFrame:
@@ -80,12 +81,11 @@ def typed_outliers(
     usage_limit: float = 2.0,
 ) -> DataFrame:
     """Rows that stand out by measure within the field, by usage within (field, level), or by both."""
-    stats = {
-        "field_avg_gpa": F.avg(measure),
-        "field_stddev_gpa": spread(measure),
+    grains = {
+        (field, level): {"avg_usage_frequency": mean_of(usage), "__sd": deviation_of(usage)},
+        (field,): {"field_avg_gpa": mean_of(measure), "field_stddev_gpa": deviation_of(measure)},
     }
-    out = with_group_stats(df, [field], stats)
-    out = with_group_stats(out, [field, level], {"avg_usage_frequency": F.avg(usage), "__sd": spread(usage)})
+    out = with_grain_stats(df, grains, [measure, usage])
     out = out.withColumns(
         {
             "gpa_z_score": z_score(measure, "field_avg_gpa", "field_stddev_gpa"),

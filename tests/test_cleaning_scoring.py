@@ -233,3 +233,38 @@ def test_adjust_for_school(spark):
 def test_mean_of_whole_numbers_is_rounded(spark):
     df = spark.createDataFrame([(1,), (4,), (None,), (3,)], "v int")
     assert [r.v for r in cleaning.fill_mean(df, ["v"]).collect()] == [1, 4, 3, 3]
+
+
+@pytest.mark.parametrize("at_once", [1, 7, 10_000])
+def test_bottom_sample_is_exact_stable_and_merges(spark, at_once):
+    rows = [(i if i % 9 else None, f"k{i}", i) for i in range(700)]
+    df = spark.createDataFrame(rows, "a int, b string, c int")
+    ordered = [r.b for r in df.orderBy(cleaning.key_hash(["a", "b"], "s"), "a", "b").collect()]
+    for size in (0, 1, 50, 699, 700, 900):
+        got = cleaning.bottom_sample(df.repartition(5), ["a", "b"], size, salt="s", at_once=at_once)
+        assert got.columns == df.columns and sorted(r.b for r in got.collect()) == sorted(ordered[:size])
+    half, rest = df.filter("c < 300"), df.filter("c >= 300")
+    both = cleaning.bottom_sample(half, ["a", "b"], 40, salt="s").unionByName(cleaning.bottom_sample(rest, ["a", "b"], 40, salt="s"))
+    assert {r.b for r in cleaning.bottom_sample(both, ["a", "b"], 40, salt="s").collect()} == set(ordered[:40])
+    assert cleaning.fraction_sample(df, 0.25, keys=["a", "b"]).count() == 175
+    assert cleaning.bottom_sample(df.limit(0), ["a", "b"], fraction=0.5).count() == 0
+
+
+def test_equal_hashes_are_cut_by_the_keys(spark, monkeypatch):
+    monkeypatch.setattr(cleaning, "key_hash", lambda keys, salt: F.lit(5).cast("long"))
+    df = spark.createDataFrame([(None, "x"), (None, None), (1, "b"), (1, "a"), (2, "a")], "a int, b string")
+    for size in range(6):
+        want = df.orderBy("a", "b").limit(size)
+        got = cleaning.bottom_sample(df, ["a", "b"], size, at_once=2)
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_hot_keys_become_lists_of_bounded_length(spark):
+    rows = [("hot", i % 50, i, f"i{i % 7}" if i % 11 else None) for i in range(3000)] + [("cold", 1, 9000, "z"), (None, 1, 9001, "y")]
+    df = spark.createDataFrame(rows, "k string, o int, u int, item string").repartition(6)
+    out = aggregates.list_segments(df, ["k"], "o", "item", "u", 100).collect()
+    assert max(len(r["items"]) for r in out) == 100 and len(out) == 32
+    hot = [x for r in sorted((r for r in out if r.k == "hot"), key=lambda r: r.part) for x in r["items"]]
+    assert hot == [x[3] for x in sorted((r for r in rows if r[0] == "hot"), key=lambda r: (r[1], r[2]))]
+    sets = {(r.k, r.part): r["items"] for r in aggregates.set_segments(df, ["k"], "item", 4).collect()}
+    assert sets == {("hot", 0): ["i0", "i1", "i2", "i3"], ("hot", 1): ["i4", "i5", "i6"], ("cold", 0): ["z"], (None, 0): ["y"]}

@@ -175,3 +175,32 @@ def test_measured_summaries_stay_out_of_memory(spark):
     out = joins.with_group_stats(spark.range(9).selectExpr("id % 3 AS g", "id AS v"), ["g"], {"n": F.count("v")})
     assert {r["n"] for r in out.collect()} == {3}
     assert len(spark.sparkContext._jsc.getPersistentRDDs()) == before
+
+
+def test_moments_roll_up_like_fresh_ones(spark):
+    from tallyforge.operators import moments
+
+    rng = random.Random(6)
+    rows = [(rng.choice(["a", "b", None]), rng.randrange(5), rng.choice([1e9 + rng.random(), None, float("nan")]), 3.0) for _ in range(3000)]
+    rows += [("lonely", 1, 5.0, 3.0), ("empty", 1, None, None)]
+    df = spark.createDataFrame(rows, "g string, h int, x double, c double").repartition(7)
+    fine = moments.moments(df, ["g", "h"], ["x", "c"])
+    for got, own in ((moments.rolled_up(fine, ["g"], ["x", "c"]), df.groupBy("g")), (moments.rolled_up(fine, [], ["x", "c"]), df.groupBy())):
+        x = F.when(~F.isnan("x"), F.col("x"))
+        want = {r.asDict().get("g"): r for r in own.agg(F.count(x).alias("n"), F.avg(x).alias("m"), F.stddev(x).alias("s"), F.count(F.lit(1)).alias("rows")).collect()}
+        for r in got.withColumns({"m": moments.mean_of("x"), "s": moments.deviation_of("x"), "flat": moments.deviation_of("c")}).collect():
+            w = want[r.asDict().get("g")]
+            assert (r["x__n"], r["rows"]) == (w["n"], w["rows"])
+            assert r["m"] == pytest.approx(w["m"], rel=1e-12) if w["n"] else r["m"] is None
+            assert r["s"] == pytest.approx(w["s"], rel=1e-6) if w["n"] > 1 else r["s"] is None
+            assert r["flat"] in (0.0, None)
+
+
+def test_two_grains_take_one_aggregate_of_the_rows(spark, folder):
+    rows = [("f" if i % 3 else None, i % 2, float(i % 11), i % 7) for i in range(200)]
+    spark.createDataFrame(rows, "field_of_study string, year_of_study int, gpa double, usage_frequency_score int").write.parquet(f"{folder}/r")
+    df = spark.read.parquet(f"{folder}/r")
+    out = windows.typed_outliers(df, measure_limit=1.2, usage_limit=1.2)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Aggregate") == 0 and plan.count("Join") == 1
+    assert 0 < out.count() < 200

@@ -306,3 +306,34 @@ def test_school_run(spark, folder):
     assert detailed.agg(F.sum("total_students")).first()[0] == 1000
     best = detailed.filter("regional_rank = 1").collect()
     assert {r.regional_percentile for r in best} == {1.0} and len(best) == 3
+
+
+def test_publication_survives_a_crash_at_every_step(spark, folder, monkeypatch):
+    from tallyforge.sources import published
+
+    root = f"{folder}/out"
+    with pytest.raises(FileNotFoundError):
+        published.current(spark, root)
+    assert published.publish(spark.range(10), root) == 1
+
+    def dies(*a, **k):
+        raise RuntimeError("killed")
+
+    put = published._put_manifest
+    for step in ("before the manifest", "within the manifest"):
+        torn = dies if step.startswith("before") else lambda s, r, n, text: put(s, r, n, text[: len(text) // 2]) or dies()
+        monkeypatch.setattr(published, "_put_manifest", torn)
+        with pytest.raises(RuntimeError):
+            published.publish(spark.range(20), root)
+        monkeypatch.setattr(published, "_put_manifest", put)
+        assert published.current(spark, root).count() == 10
+    with pytest.raises(writers.StagedWriteError):
+        published.publish(spark.range(0), root)
+    with pytest.raises(writers.StagedWriteError):
+        published.publish(spark.range(5), root, validate=lambda d: d.count() > 9)
+    assert published.current(spark, root).count() == 10
+    assert published.publish(spark.range(30), root) == 3  # the torn one keeps its number
+    assert published.current(spark, root).count() == 30 and published.current(spark, root, 1).count() == 10
+    with pytest.raises(Exception, match="exist"):
+        published._put_manifest(spark, root, 3, "another writer")
+    assert published.retire(spark, root, 1) == [1] and published.current(spark, root).count() == 30

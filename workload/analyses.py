@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallyforge.functions.expr import settled_round
-from tallyforge.operators import aggregates, scoring, windows
+from tallyforge.operators import aggregates, moments, scoring, windows
 from tallyforge.operators.joins import join_reconciliation
 from tallyforge.plans import cohorts, integration, ranking, scaling, survey
 from tallyforge.session import cut_lineage
@@ -532,7 +532,8 @@ OUTLIER_TYPE = "CASE WHEN is_gpa_outlier AND is_usage_outlier THEN 'Both' WHEN i
 
 def typed_outliers(spark, sf_dir):
     # the driver measures are uniform, so the default limits of 2.5 and 2.0 would find nothing
-    return windows.typed_outliers(written_students(spark, sf_dir), measure_limit=1.8, usage_limit=1.45)
+    rows = roles.students(spark, sf_dir).select("student_id", "semester", "field_of_study", "year_of_study", "gpa", "usage_frequency_score")
+    return windows.typed_outliers(rows, measure_limit=1.8, usage_limit=1.45)
 
 
 @query(
@@ -556,6 +557,67 @@ def outliers(spark, sf_dir):
     )
 
 
+@query(
+    "part_lists",
+    """WITH n AS (SELECT l_suppkey, l_partkey, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_shipdate, l_orderkey * 10 + l_linenumber) - 1 AS i FROM lineitem)
+    SELECT l_suppkey, CAST(i // 50 AS BIGINT) AS part, CAST(MIN(i) + 1 AS BIGINT) AS first, string_agg(CAST(l_partkey AS VARCHAR), ',' ORDER BY i) AS items FROM n GROUP BY 1, 2""",
+)
+def part_lists(spark, sf_dir):
+    """Parts that a supplier delivered, in order, repeats included, in lists of fifty."""
+    lines = roles.table(spark, sf_dir, "lineitem").withColumn("line", F.col("l_orderkey") * 10 + F.col("l_linenumber"))
+    out = aggregates.list_segments(lines, ["l_suppkey"], "l_shipdate", "l_partkey", "line", 50)
+    return out.withColumn("items", F.array_join(F.transform("items", lambda x: x.cast("string")), ","))
+
+
+@query(
+    "part_sets",
+    """WITH d AS (SELECT DISTINCT l_linestatus, l_returnflag, l_partkey FROM lineitem), n AS (SELECT *, row_number() OVER (PARTITION BY l_linestatus, l_returnflag ORDER BY l_partkey) - 1 AS i FROM d)
+    SELECT l_linestatus, l_returnflag, CAST(i // 300 AS BIGINT) AS part, CAST(MIN(i) + 1 AS BIGINT) AS first, string_agg(CAST(l_partkey AS VARCHAR), ',' ORDER BY i) AS items FROM n GROUP BY 1, 2, 3""",
+)
+def part_sets(spark, sf_dir):
+    """Distinct parts of a few hot keys, in lists of three hundred."""
+    out = aggregates.set_segments(roles.table(spark, sf_dir, "lineitem"), ["l_linestatus", "l_returnflag"], "l_partkey", 300)
+    return out.withColumn("items", F.array_join(F.transform("items", lambda x: x.cast("string")), ","))
+
+
+@query(
+    "group_outliers",
+    f"""WITH g AS (SELECT *, AVG(l_quantity) OVER w AS m, STDDEV(l_quantity) OVER w AS sd FROM lineitem WINDOW w AS (PARTITION BY l_linestatus, l_returnflag)),
+      z AS (SELECT *, (l_quantity - m) / NULLIF(sd, 0) AS z FROM g)
+    SELECT l_orderkey, l_linenumber, {R('z', 6)} AS z, coalesce(abs(z) > 1.6, FALSE) AS far FROM z""",
+)
+def group_outliers(spark, sf_dir):
+    lines = roles.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_linestatus", "l_returnflag", "l_quantity")
+    out = windows.group_outliers(lines, ["l_linestatus", "l_returnflag"], "l_quantity", 1.6, "z", "far")
+    return out.select("l_orderkey", "l_linenumber", settled_round(F.col("z"), 6).alias("z"), "far")
+
+
+@query(
+    "grain_statistics",
+    " UNION ALL ".join(
+        f"""SELECT {flag} AS l_returnflag, {mode} AS l_linestatus, COUNT(*) AS n, {R('AVG(l_extendedprice)', 4)} AS mean, {R('STDDEV(l_extendedprice)', 4)} AS sd,
+          MIN(l_extendedprice) AS low, MAX(l_extendedprice) AS high FROM lineitem GROUP BY ALL"""
+        for flag, mode in (("l_returnflag", "l_linestatus"), ("l_returnflag", "NULL"), ("NULL", "NULL"))
+    ),
+)
+def grain_statistics(spark, sf_dir):
+    """Flag and mode, flag alone, and everything: one scan, two roll-ups."""
+    names = ["l_extendedprice"]
+    fine = moments.moments(roles.table(spark, sf_dir, "lineitem"), ["l_returnflag", "l_linestatus"], names)
+    flags = moments.rolled_up(fine, ["l_returnflag"], names)
+    none = F.lit(None).cast("string")
+    both = fine.unionByName(flags.withColumn("l_linestatus", none)).unionByName(moments.rolled_up(flags, [], names).withColumns({"l_returnflag": none, "l_linestatus": none}))
+    return both.select(
+        "l_returnflag",
+        "l_linestatus",
+        F.col("rows").alias("n"),
+        settled_round(moments.mean_of("l_extendedprice"), 4).alias("mean"),
+        settled_round(moments.deviation_of("l_extendedprice"), 4).alias("sd"),
+        F.col("l_extendedprice__low").alias("low"),
+        F.col("l_extendedprice__high").alias("high"),
+    )
+
+
 @query(
     "outlier_share",
     f"""WITH {S}, {OUTLIERS} SELECT {OUTLIER_TYPE} AS outlier_type, COUNT(*) AS n, {R('100.0 * CAST(COUNT(*) AS DOUBLE) / (SELECT COUNT(*) FROM students)', 2)} AS pct

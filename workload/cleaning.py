@@ -202,9 +202,14 @@ def train_test_split(spark, sf_dir):
     return cleaning.train_test_split(roles.table(spark, sf_dir, "customer").select("c_custkey"), "c_custkey")
 
 
-@query("fraction_sample")
+@query(
+    "fraction_sample",
+    """SELECT l_orderkey, l_linenumber FROM lineitem QUALIFY row_number() OVER (ORDER BY substr(md5(concat_ws('|', l_orderkey, l_linenumber, '42')), 1, 15), l_orderkey, l_linenumber)
+      <= (SELECT floor(COUNT(*) * 0.1 + 0.5) FROM lineitem)""",
+)
 def fraction_sample(spark, sf_dir):
-    return cleaning.fraction_sample(roles.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber"), 0.1)
+    lines = roles.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
+    return cleaning.fraction_sample(lines, 0.1, keys=["l_orderkey", "l_linenumber"])
 
 
 @query(

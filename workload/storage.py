@@ -15,7 +15,7 @@ from tallyforge.operators.aggregates import insight_summary
 from tallyforge.operators.rollups import Rollup
 from tallyforge.operators.tuning import drop_temporary, lean_input
 from tallyforge.plans import integration
-from tallyforge.sources import incremental, readers, writers
+from tallyforge.sources import incremental, published, readers, writers
 from tallyforge.streaming import activity
 from tallyforge.streaming.late import LateAwareWindows
 from tallyforge.session import ensure_checkpoint_dir
@@ -127,6 +127,16 @@ def staged_write(spark, sf_dir):
     return spark.read.parquet(f"{root}/final")
 
 
+@query("published_write", ORDERS)
+def published_write(spark, sf_dir):
+    """Two versions, and a torn manifest after them: readers get the second."""
+    root, rows = scratch(spark, "published"), orders(spark, sf_dir)
+    published.publish(rows.filter("o_orderstatus = 'F'"), root)
+    published.publish(rows, root)
+    published._put_manifest(spark, root, 3, '{"facts": {"path": "data/')
+    return published.current(spark, root)
+
+
 @query("step_checkpoint", "SELECT o_custkey, COUNT(*) AS n FROM orders GROUP BY o_custkey")
 def step_checkpoint(spark, sf_dir):
     root = scratch(spark, "steps")
