@@ -1,6 +1,6 @@
 """Phrase collocation mining, level by level, with double-array tries over word numbers.
 
-Every text becomes a row of 64-bit word keys once (a key holds the language), and words are counted. Words with fewer than
+Texts are read once, into rows of distinct 64-bit word keys (a key holds the language) and the places of words among them, and words are counted. Words with fewer than
 ``least`` occurrences can be in no candidate: the others get numbers, and only neighbouring numbers are kept. Then, for phrases of
 2, 3 and 4 words, numpy moves the states of all places of a text through a broadcast double-array trie of the frequent shorter
 phrases, one word for all places at a time. A place where both the first and the last words but one give a state (the Apriori
@@ -49,8 +49,9 @@ class Counter:
     def __init__(self):
         self.values, self.counts, self.parts, self.waiting = np.zeros(0, np.uint64), np.zeros(0, np.int64), [], 0
 
-    def add(self, values: np.ndarray) -> None:
-        self.parts.append(np.unique(values, return_counts=True))
+    def add(self, values: np.ndarray, counts: np.ndarray | None = None) -> None:
+        """Values as they come, or distinct ones with their counts."""
+        self.parts.append(np.unique(values, return_counts=True) if counts is None else (values, counts))
         self.waiting += len(self.parts[-1][0])
         if self.waiting > KEPT // 2:
             self.merge()
@@ -107,18 +108,21 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met = [new[k] for k in keys.tolist()]
         new.clear()
         columns = {"lang": pa.array([m[0] for m in met], pa.string()), "key": W.signed(keys), "word": pa.array([m[1] for m in met], pa.string())}
-        return pa.RecordBatch.from_pydict(columns | {"n": pa.array(counts, pa.int64()), "seq": pa.nulls(len(keys), pa.binary())})
+        none = pa.nulls(len(keys), pa.binary())
+        return pa.RecordBatch.from_pydict(columns | {"n": pa.array(counts, pa.int64()), "keys": none, "seq": none})
 
     for part in W.chunks(batches, "text"):
         words, keys, begins, small = _words(part)
-        some, first = np.unique(keys, return_index=True)
+        some, first, place, counts = np.unique(keys, return_index=True, return_inverse=True, return_counts=True)
         langs, owner = part["lang"].to_pylist(), words.owner()
         for key, i in zip(some.tolist(), first.tolist(), strict=True):
             if key not in new:
                 new[key] = (langs[owner[i]], small[words.start[i] : words.end[i]].decode())
-        counted.add(keys)
+        counted.add(some, counts)
         none = [pa.nulls(1, t) for t in (pa.string(), pa.int64(), pa.string(), pa.int64())]
-        yield pa.RecordBatch.from_arrays([*none, pa.array([_with_breaks(keys, begins).tobytes()], pa.binary())], names=["lang", "key", "word", "n", "seq"])
+        places = _with_breaks((place + 1).astype(np.uint16 if len(some) < 65_535 else np.uint32), begins)
+        own = [pa.array([x.tobytes()], pa.binary()) for x in (some, places)]
+        yield pa.RecordBatch.from_arrays([*none, *own], names=["lang", "key", "word", "n", "keys", "seq"])
         if len(new) > KEPT // 2:
             yield vocabulary()
     if new:
@@ -134,28 +138,40 @@ def _kept_runs(numbers: np.ndarray) -> np.ndarray:
 
 
 def _numbers(shared: Broadcast, low: int, high: int, last: bool):
-    """Replace the keys from low to high by numbers; the last turn leaves 32-bit numbers in runs."""
+    """Replace a text's keys from low to high by numbers; the last turn leaves the texts as 32-bit numbers in runs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, numbers = shared.value
+        known, numbers = shared.value
         for batch in batches:
-            out = []
-            for raw in batch["seq"].to_pylist():
-                seq = np.frombuffer(raw, np.uint64).copy()
-                at = np.flatnonzero((seq >= U(low)) & (seq < U(high)) & (seq > 0))
-                asked = seq[at]
-                place = np.minimum(np.searchsorted(keys, asked), max(len(keys) - 1, 0))
-                hit = keys[place] == asked if len(keys) else np.zeros(len(at), bool)
-                seq[at] = _DONE
-                seq[at[hit]] |= numbers[place[hit]].astype(np.uint64)
+            out = {"keys": [], "seq": []}
+            for raw, seq in zip(batch["keys"].to_pylist(), batch["seq"].to_pylist(), strict=True):
+                keys = np.frombuffer(raw, np.uint64).copy()
+                at = np.flatnonzero((keys >= U(low)) & (keys < U(high)))
+                asked = keys[at]
+                place = np.minimum(np.searchsorted(known, asked), max(len(known) - 1, 0))
+                hit = known[place] == asked if len(known) else np.zeros(len(at), bool)
+                keys[at] = _DONE
+                keys[at[hit]] |= numbers[place[hit]].astype(np.uint64)
                 if last:
-                    seq = _kept_runs((seq & ~_DONE).astype(np.int32))
-                out.append(seq.tobytes())
-            yield pa.RecordBatch.from_pydict({"seq": pa.array(out, pa.binary())})
+                    own = np.concatenate([[0], keys & ~_DONE]).astype(np.int32)
+                    seq = _kept_runs(own[np.frombuffer(seq, np.uint16 if len(keys) < 65_535 else np.uint32)]).tobytes()
+                    keys = keys[:0]
+                out["keys"].append(keys.tobytes())
+                out["seq"].append(seq)
+            yield pa.RecordBatch.from_pydict({k: pa.array(v, pa.binary()) for k, v in out.items()})
 
     return run
 
 
+def _forget(table: DataFrame) -> None:
+    """Delete a written table that nothing reads any more, to keep the shared folder small."""
+    files = table.inputFiles()
+    if files:
+        jvm, context = table.sparkSession._jvm, table.sparkSession.sparkContext
+        folder = jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+        folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def numbered(df: DataFrame, name: str) -> DataFrame:
     """``df``, written, with numbers from 1 in no given order; the driver sees one count per partition."""
     df = save(df.withColumn("_at", F.monotonically_increasing_id()))
@@ -309,24 +325,26 @@ def _trie(levels: list[DataFrame], low: int, high: int, most: int) -> Trie:
 def _levels(docs: DataFrame, least: int) -> tuple[list[DataFrame], DataFrame, DataFrame]:
     """Frequent phrases of 1 to LONGEST words (number, prefix, words, a), the numbers' words, and all words per language."""
     session, context = docs.sparkSession, docs.sparkSession.sparkContext
-    read = save(docs.mapInArrow(_read, "lang string, key bigint, word string, n bigint, seq binary"))
+    read = save(docs.mapInArrow(_read, "lang string, key bigint, word string, n bigint, keys binary, seq binary"))
     words = save(read.where("seq IS NULL").groupBy("lang", "word").agg(F.sum("n").alias("a"), F.first("key").alias("key")))
     totals = words.groupBy("lang").agg(F.sum("a").alias("n"))
     frequent = numbered(words.where(F.col("a") >= least), "number")
     most = frequent.count()
-    seq, turns = read.where("seq IS NOT NULL").select("seq"), most // NODES + 1
+    seq, turns, before = read.where("seq IS NOT NULL").select("keys", "seq"), most // NODES + 1, read
     for i in range(turns):
         low, high = (1 << 63) * i // turns, (1 << 63) * (i + 1) // turns
         rows = frequent.where(F.col("key").between(low, high - 1)).select("key", "number").orderBy("key").toArrow()
         shared = context.broadcast((rows["key"].to_numpy().astype(np.uint64), rows["number"].to_numpy().astype(np.int32)))
-        seq = save(seq.mapInArrow(_numbers(shared, low, high, i == turns - 1), "seq binary"))
+        seq = save(seq.mapInArrow(_numbers(shared, low, high, i == turns - 1), "keys binary, seq binary"))
+        _forget(before)
+        before = seq
     levels = [frequent.select("number", F.lit(0).cast("long").alias("prefix"), F.array(F.col("number").cast("int")).alias("words"), "a")]
     for size in range(2, LONGEST + 1):
         shards = _shards(levels, most)
         counts = None
         for low, high in shards:
             shared = context.broadcast(_trie(levels, low, high, most))
-            part = seq.mapInArrow(_counted(shared, size, len(shards) == 1), "code bigint, n bigint")
+            part = seq.select("seq").mapInArrow(_counted(shared, size, len(shards) == 1), "code bigint, n bigint")
             part = save(part.groupBy("code").agg(F.sum("n").alias("a")).where(F.col("a") >= least))
             counts = part if counts is None else counts.union(part)
         counts = numbered(counts.select(F.shiftright("code", 32).alias("prefix"), F.col("code").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int").alias("last"), "a"), "number")
