@@ -43,10 +43,11 @@ def rendered(chats: DataFrame) -> DataFrame:
 
     Turns go by turn, role and text; exactly repeated ones count once, a null turn comes first, a null role is
     "unknown", a null text empty; rows without conv_id are left out and other columns ignored. Marks within a
-    turn's text are broken by a space, so a text cannot pose as a turn. A conversation that equals the beginning of
+    turn's role and text are broken by a space, and a role's line breaks become spaces, so neither can pose as a turn. A conversation that equals the beginning of
     another, or another with a smaller conv_id, is not rendered.
     """
-    turn = F.concat(F.lit("<|im_start|>"), "role", F.lit("\n"), F.replace("text", F.lit("<|"), F.lit("< |")), F.lit("<|im_end|>\n"))
+    role = F.translate(F.replace("role", F.lit("<|"), F.lit("< |")), "\r\n", "  ")
+    turn = F.concat(F.lit("<|im_start|>"), role, F.lit("\n"), F.replace("text", F.lit("<|"), F.lit("< |")), F.lit("<|im_end|>\n"))
     rows = maximal(chats).select("conv_id", "n", F.struct("i", turn.alias("shown")).alias("turn"))
     parts = F.transform(F.array_sort(F.collect_list("turn")), lambda t: t["shown"])
     return rows.groupBy("conv_id").agg(F.first("n").alias("n_turns"), F.array_join(parts, "").alias("text"))
@@ -59,6 +60,6 @@ chats AS (SELECT conv_id, list({'role': role, 'text': text} ORDER BY turn, role,
 inner_parts AS (SELECT DISTINCT l[1:k] AS l FROM (SELECT l, unnest(range(1, len(l))) AS k FROM chats)),
 kept AS (SELECT min(conv_id) AS conv_id, l FROM chats WHERE NOT EXISTS (SELECT 1 FROM inner_parts p WHERE p.l = chats.l) GROUP BY l)
 SELECT conv_id, CAST(len(l) AS BIGINT) AS n_turns,
-    array_to_string(list_transform(l, lambda t: '<|im_start|>' || t.role || chr(10) || replace(t.text, '<|', '< |') || '<|im_end|>' || chr(10)), '') AS text
+    array_to_string(list_transform(l, lambda t: '<|im_start|>' || translate(replace(t.role, '<|', '< |'), chr(13) || chr(10), '  ') || chr(10) || replace(t.text, '<|', '< |') || '<|im_end|>' || chr(10)), '') AS text
 FROM kept
 """

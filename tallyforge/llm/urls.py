@@ -100,5 +100,7 @@ def judged(pages: DataFrame, rules=RULES, url_col: str = "url", order: int = ORD
     mean = F.sum(F.round(F.col("ratio") * SCALE).cast("long")) / F.count("*") / SCALE
     scored = save(points.groupBy("k1", "k2").agg(F.first("allowed").alias("allowed"), F.first("held").alias("held"), mean.alias("score")))
     cut = _cut(scored.where("held AND allowed IS NOT NULL"))
-    out = parsed.withColumns({"k1": F.xxhash64("host", "path"), "k2": F.hash("path", "host")}).join(scored.select("k1", "k2", "score"), ["k1", "k2"], "left").drop("k1", "k2")
+    marks = [f"k{i}" + "_" * max(map(len, pages.columns)) for i in (1, 2)]  # longer than any name in pages
+    out = parsed.withColumns({marks[0]: F.xxhash64("host", "path"), marks[1]: F.hash("path", "host")})
+    out = out.join(scored.select("k1", "k2", "score").toDF(*marks, "score"), marks, "left").drop(*marks)
     return out.withColumn("verdict", F.coalesce("verdict", F.when(F.col("score") >= cut, "allow").otherwise("block")))

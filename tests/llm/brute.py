@@ -114,7 +114,8 @@ def chats(rows):
     for c in sorted(whole):
         if whole[c] not in parts:
             first.setdefault(whole[c], c)
-    return {(c, len(t), "".join(f"<|im_start|>{r}\n{x.replace('<|', '< |')}<|im_end|>\n" for r, x in t)) for t, c in first.items()}
+    shown = lambda r: r.replace("<|", "< |").translate({10: " ", 13: " "})
+    return {(c, len(t), "".join(f"<|im_start|>{shown(r)}\n{x.replace('<|', '< |')}<|im_end|>\n" for r, x in t)) for t, c in first.items()}
 
 
 def url_parts(url, rules):
