@@ -81,7 +81,7 @@ def moving_average(spark, sf_dir):
     {R('MIN(pr)', 3)} AS min_percentile, {R('MAX(pr)', 3)} AS max_percentile FROM d GROUP BY field_of_study, q""",
 )
 def quartile_distribution(spark, sf_dir):
-    return ranking.tile_distribution(written_students(spark, sf_dir))
+    return ranking.tile_distribution(written_students(spark, sf_dir, columns=("field_of_study", "gpa")))
 
 
 @query(

@@ -17,7 +17,7 @@ from tallyforge.session import cut_lineage, ensure_checkpoint_dir
 from tallyforge.sources import readers, writers
 from workload import roles
 from workload.analyses import INTEGRATED, integrated_frame, written_students
-from workload.registry import CORR, PCT, R, query
+from workload.registry import CORR, ORACLES, PCT, R, query
 
 S = roles.STUDENTS_SQL
 
@@ -291,8 +291,13 @@ SCORED = f"""s AS (SELECT *, {PROFICIENCY} AS ai_proficiency_score, {STYLE} AS l
   WHEN academic_risk_score >= 1.5 THEN 'Low' ELSE 'None' END AS risk_level FROM s)"""
 
 
+SCORE_OUTPUTS = """student_id semester ai_proficiency_score proficiency_level learning_style learning_preference academic_risk_score at_risk_flag
+  risk_level intervention_needed usage_consistency adoption_stage performance_percentile success_category improvement_potential""".split()
+SCORE_INPUTS = ["student_id", "semester", "field_of_study", "gpa", "usage_frequency_score", "satisfaction_level", "num_ai_tools", "primary_use_case", "attendance_rate", "assignment_submission_rate"]
+
+
 def scored(spark, sf_dir):
-    return scoring.apply_all(written_students(spark, sf_dir), quality_fixes=False)
+    return scoring.apply_all(written_students(spark, sf_dir, columns=SCORE_INPUTS), quality_fixes=False)
 
 
 @query(
@@ -312,9 +317,34 @@ def scored(spark, sf_dir):
       THEN 'Medium' ELSE 'Low' END AS improvement_potential FROM t""",
 )
 def student_scores(spark, sf_dir):
-    names = """student_id semester ai_proficiency_score proficiency_level learning_style learning_preference academic_risk_score at_risk_flag
-      risk_level intervention_needed usage_consistency adoption_stage performance_percentile success_category improvement_potential"""
-    return scored(spark, sf_dir).select(*names.split())
+    return scored(spark, sf_dir).select(SCORE_OUTPUTS)
+
+
+# students with gaps and wild values, so that the quality steps of the transforms have something to do
+FLAWED_STUDENTS = """f0 AS (SELECT * REPLACE (CASE WHEN student_id % 7 = 0 THEN 2.5e0 WHEN student_id % 41 = 0 THEN gpa + 90 ELSE gpa END AS gpa,
+  CASE WHEN student_id % 5 = 0 THEN 3 ELSE satisfaction_level END AS satisfaction_level,
+  CASE WHEN student_id % 31 = 0 THEN usage_frequency_score + 40 ELSE usage_frequency_score END AS usage_frequency_score) FROM students)"""
+
+
+def _cleaned_scores():
+    fences = [_fence(f"f{i}", c, f"f{i + 1}") for i, c in enumerate(("gpa", "satisfaction_level", "usage_frequency_score"))]
+    plain = ORACLES["student_scores"]
+    columns = plain[plain.index("SELECT student_id, semester, ai_proficiency_score") :]
+    return f"WITH {S}, {FLAWED_STUDENTS}, {', '.join(fences)}, {SCORED.replace('FROM students', 'FROM f3')} {columns}"
+
+
+@query("student_scores_cleaned", _cleaned_scores())
+def student_scores_cleaned(spark, sf_dir):
+    """All transforms, the quality steps included."""
+    key = F.col("student_id")
+    rows = roles.students(spark, sf_dir).select(SCORE_INPUTS).withColumns(
+        {
+            "gpa": F.when(key % 7 == 0, None).when(key % 41 == 0, F.col("gpa") + 90).otherwise(F.col("gpa")),
+            "satisfaction_level": F.when(key % 5 != 0, F.col("satisfaction_level")),
+            "usage_frequency_score": F.when(key % 31 == 0, F.col("usage_frequency_score") + 40).otherwise(F.col("usage_frequency_score")),
+        }
+    )
+    return scoring.apply_all(cut_lineage(rows)).select(SCORE_OUTPUTS)
 
 
 @query(
@@ -423,6 +453,14 @@ def rules():
     )
 
 
+@query(
+    "type_profile",
+    "SELECT column_name, CASE column_type WHEN 'VARCHAR' THEN 'string' WHEN 'INTEGER' THEN 'int' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE lower(column_type) END AS data_type FROM (DESCRIBE events)",
+)
+def type_profile(spark, sf_dir):
+    return quality.type_profile(roles.table(spark, sf_dir, "events"))
+
+
 @query("quality_profile", f"WITH {FLAWED_TWICE} " + " UNION ALL ".join([*PROFILE, DUPLICATES]))
 def quality_profile(spark, sf_dir):
     df = flawed(spark, sf_dir)

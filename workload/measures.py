@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tallyforge.functions.expr import band, settled_round
 from tallyforge.operators import aggregates
 from tallyforge.operators.joins import assign_weighted
-from tallyforge.plans import schools, scores, survey
-from tallyforge.session import cut_lineage
+from tallyforge.plans import integration, schools, scores, survey
+from tallyforge.session import cut_lineage, ensure_checkpoint_dir
 from workload import roles
 from workload.registry import CORR, PCT, R, query
 
@@ -157,17 +159,25 @@ def school_ranking(spark, sf_dir):
     )
 
 
-@query(
-    "region_summary",
-    f"""WITH {DETAILED} SELECT region, school_type, COUNT(school_id) AS school_count, {R('AVG(avg_school_score)', 6)} AS regional_avg_score,
+REGION_SUMMARY = f"""WITH {DETAILED} SELECT region, school_type, COUNT(school_id) AS school_count, {R('AVG(avg_school_score)', 6)} AS regional_avg_score,
       {R('AVG(efficiency_score)', 6)} AS avg_efficiency, {R('AVG(equity_score)', 6)} AS avg_equity,
       {R(CORR('budget_per_student', 'avg_school_score'), 6)} AS budget_performance_corr,
-      {R(CORR('student_teacher_ratio', 'avg_school_score'), 6)} AS ratio_performance_corr FROM d GROUP BY region, school_type""",
-)
+      {R(CORR('student_teacher_ratio', 'avg_school_score'), 6)} AS ratio_performance_corr FROM d GROUP BY region, school_type"""
+
+
+@query("region_summary", REGION_SUMMARY)
 def region_summary(spark, sf_dir):
     return schools.region_summary(detailed(spark, sf_dir))
 
 
+@query("school_run", REGION_SUMMARY)
+def school_run(spark, sf_dir):
+    """The whole school pipeline; its summary is read back from what it wrote."""
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/schools-{uuid.uuid4().hex}"
+    paths = integration.run_schools(roles.scores(spark, sf_dir), roles.schools(spark, sf_dir), roles.economics(spark, sf_dir), root)
+    return spark.read.parquet(paths["summary-statistics"])
+
+
 @query(
     "school_effectiveness",
     f"""WITH {DETAILED}, e AS (SELECT *, {R('avg_school_score * 0.4e0 + efficiency_score * 0.3e0 + equity_score * 0.3e0', 2)} AS overall FROM d)
