@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from datetime import datetime
+from functools import reduce
 from typing import Any
 
 from pyspark.errors import AnalysisException
@@ -327,22 +329,34 @@ def recommendations(report: DataFrame) -> DataFrame:
     return report.withColumn("recommendation", advice).filter(F.col("recommendation").isNotNull())
 
 
-def report_document(report: DataFrame, **limits: Any) -> DataFrame:
+def table_totals(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """(table_name, total_rows, total_columns) of the tables that a report is about."""
+    parts = [df.agg(F.count(F.lit(1)).alias("total_rows")).select(F.lit(name).alias("table_name"), "total_rows", F.lit(len(df.columns)).alias("total_columns")) for name, df in tables.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def report_document(report: DataFrame, totals: DataFrame | None = None, started: datetime | None = None, **limits: Any) -> DataFrame:
     """One nested row per table, ready for JSON: counts by severity, status, and all its checks.
 
-    A report has a row per check and column, so a table's checks are few.
+    With ``totals`` the summary has the tables' rows and columns (tables without a check included), with ``started`` also the time of
+    the run and its seconds. A report has a row per check and column, so a table's checks are few.
     """
     marked = report.withColumn("severity", severity_of(**limits))
     detail = F.struct("check", "column_name", "invalid", "total", "percentage", "rule", "status", "severity")
     critical = F.count_if(F.col("severity") == "critical")
-    return marked.groupBy("table_name").agg(
-        F.struct(
-            F.when(critical > 0, "FAIL").otherwise("PASS").alias("overall_status"),
-            critical.alias("critical_issues_count"),
-            F.count_if(F.col("severity") == "warning").alias("warnings_count"),
-        ).alias("summary"),
-        F.sort_array(F.collect_list(detail)).alias("checks"),
-    )
+    checks = marked.groupBy("table_name").agg(critical.alias("__critical"), F.count_if(F.col("severity") == "warning").alias("__warnings"), F.sort_array(F.collect_list(detail)).alias("checks"))
+    summary = [
+        F.when(F.coalesce("__critical", F.lit(0)) > 0, "FAIL").otherwise("PASS").alias("overall_status"),
+        F.coalesce("__critical", F.lit(0)).alias("critical_issues_count"),
+        F.coalesce("__warnings", F.lit(0)).alias("warnings_count"),
+    ]
+    if totals is not None:
+        checks = totals.join(checks, "table_name", "full")
+        summary += [F.col("total_rows"), F.col("total_columns")]
+    if started is not None:
+        begun = F.lit(started).cast("timestamp")
+        summary += [begun.alias("started"), (F.current_timestamp().cast("double") - begun.cast("double")).alias("run_seconds")]
+    return checks.select("table_name", F.struct(*summary).alias("summary"), F.coalesce("checks", F.array().cast(checks.schema["checks"].dataType)).alias("checks"))
 
 
 class QualityError(ValueError):

@@ -98,6 +98,42 @@ def size_files(df: DataFrame, target_mb: float = 128, fraction: float = 0.01) ->
     return df.repartition(target_partitions(rows, bytes_per_row(df, sample), target_mb))
 
 
+ADVISORY = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+
+
+def written_row_bytes(spark: SparkSession, path: str) -> float | None:
+    """Bytes per row that earlier files of an output take, compression included; None where there are no rows yet."""
+    if not exists(spark, path):
+        return None
+    files = spark.read.parquet(path).groupBy("_metadata.file_path", "_metadata.file_size").agg(F.count(F.lit(1)).alias("n"))
+    seen = files.agg(F.sum("file_size"), F.sum("n")).first()
+    return seen[0] / seen[1] if seen[1] else None
+
+
+def write_sized(df: DataFrame, path: str, target_mb: float = 128, like: str | None = None, mode: str = "overwrite", compression: str = "snappy") -> None:
+    """Parquet files of about ``target_mb``, from one pass over ``df``.
+
+    A rebalancing exchange with the target as its advisory size joins small partitions and splits large ones by what the exchange
+    itself measures, so nothing is counted or sampled first. Where an earlier output ``like`` this one exists, its bytes per row also
+    bound the rows of a file, which corrects for the ratio between exchanged and compressed bytes. The advisory size holds for the
+    session until the write is done.
+    """
+    spark = df.sparkSession
+    row_bytes = written_row_bytes(spark, like) if like else None
+    before = spark.conf.get(ADVISORY, None)
+    spark.conf.set(ADVISORY, f"{max(int(target_mb * MB), 1)}b")
+    try:
+        writer = df.hint("rebalance").write.mode(mode).option("compression", compression)
+        if row_bytes:
+            writer = writer.option("maxRecordsPerFile", max(1, int(target_mb * MB / row_bytes)))
+        writer.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(ADVISORY)
+        else:
+            spark.conf.set(ADVISORY, before)
+
+
 def create_partitioned_table(spark: SparkSession, table: str, columns: str, partition: str, location: str) -> DataFrame:
     """External Parquet table over existing partition folders.
 

@@ -85,6 +85,21 @@ def test_size_files(spark):
     assert writers.size_files(df, target_mb=5).rdd.getNumPartitions() in (3, 4)
 
 
+def test_sized_files_come_from_one_pass(spark, folder):
+    rows = spark.range(200_000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("h"))
+    seen = spark.sparkContext.accumulator(0)
+    counted = rows.mapInPandas(lambda it: (seen.add(len(b)) or b for b in it), rows.schema)
+    writers.write_sized(counted, f"{folder}/a", target_mb=2)
+    assert seen.value == 200_000
+    report = readers.file_report(spark.read.parquet(f"{folder}/a")).collect()
+    assert sum(r.record_count for r in report) == 200_000 and len(report) > 3
+    assert max(r.file_size_mb for r in report) < 5
+    assert abs(writers.written_row_bytes(spark, f"{folder}/a") - sum(r.file_size_bytes for r in report) / 200_000) < 1e-6
+    writers.write_sized(rows, f"{folder}/b", target_mb=1, like=f"{folder}/a")
+    assert max(r.file_size_mb for r in readers.file_report(spark.read.parquet(f"{folder}/b")).collect()) < 1.3
+    assert writers.written_row_bytes(spark, f"{folder}/none") is None
+
+
 def test_partition_pruning_and_pushdown(spark, folder):
     path = f"{folder}/p"
     df = spark.range(1000).select(F.col("id"), (F.col("id") % 4).alias("part"), F.col("id").cast("string").alias("wide"))

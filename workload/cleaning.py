@@ -7,6 +7,7 @@ see the same ones.
 from __future__ import annotations
 
 import uuid
+from datetime import datetime, timezone
 
 from pyspark.sql import functions as F
 
@@ -661,12 +662,14 @@ def quality_declared_rules(spark, sf_dir):
     "quality_json_report",
     f"""WITH {FLAWED_TWICE}, {REPORT}, s AS (SELECT *, {SEVERITY.replace('> 5 THEN', '> 20 THEN', 1)} AS severity FROM report)
     SELECT table_name, CASE WHEN COUNT(*) FILTER (WHERE severity = 'critical') > 0 THEN 'FAIL' ELSE 'PASS' END AS overall_status,
-      COUNT(*) FILTER (WHERE severity = 'warning') AS warnings_count, CAST(SUM(invalid) AS BIGINT) AS invalid, COUNT(*) AS checks FROM s GROUP BY 1""",
+      COUNT(*) FILTER (WHERE severity = 'warning') AS warnings_count, CAST(SUM(invalid) AS BIGINT) AS invalid, COUNT(*) AS checks,
+      (SELECT COUNT(*) FROM flawed) AS total_rows, (SELECT CAST(len(json_keys(to_json(f))) AS BIGINT) FROM flawed f LIMIT 1) AS total_columns, TRUE AS timed FROM s GROUP BY 1""",
 )
 def quality_json_report(spark, sf_dir):
     """The nested report is written as JSON and read back."""
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/report-{uuid.uuid4().hex}"
-    document = quality.report_document(cut_lineage(report(spark, sf_dir)))
+    totals = quality.table_totals({"lines": flawed(spark, sf_dir)})
+    document = quality.report_document(report(spark, sf_dir), totals, datetime.now(timezone.utc))
     writers.write_json(document, path)
     return readers.read_json(spark, path, document.schema).select(
         "table_name",
@@ -674,6 +677,9 @@ def quality_json_report(spark, sf_dir):
         "summary.warnings_count",
         F.aggregate("checks", F.lit(0).cast("long"), lambda total, c: total + c["invalid"]).alias("invalid"),
         F.size("checks").cast("long").alias("checks"),
+        "summary.total_rows",
+        F.col("summary.total_columns").cast("long").alias("total_columns"),
+        (F.col("summary.run_seconds") >= 0).alias("timed"),
     )
 
 

@@ -114,10 +114,31 @@ def category_partitions(spark, sf_dir):
 @query("sized_files", ORDERS)
 def sized_files(spark, sf_dir):
     path = scratch(spark, "sized")
-    writers.write_parquet(writers.size_files(orders(spark, sf_dir)), path)
+    writers.write_sized(orders(spark, sf_dir), path)
     return readers.read_parquet(spark, path)
 
 
+@query(
+    "sized_file_layout",
+    "SELECT COUNT(*) AS n_rows, COUNT(DISTINCT o_orderkey) AS n_orders, CAST(ceil(COUNT(*) / 500e0) AS BIGINT) AS least_files, 0 AS too_long, 0 AS too_large FROM orders",
+)
+def sized_file_layout(spark, sf_dir):
+    """A second write sized by the first: no file holds more rows than the target allows, none is much larger than it."""
+    first, path, rows = scratch(spark, "sized"), scratch(spark, "sized"), orders(spark, sf_dir)
+    writers.write_parquet(rows.coalesce(1), first)
+    target = writers.written_row_bytes(spark, first) * 500 / writers.MB  # five hundred rows a file
+    writers.write_sized(rows, path, target, like=first)
+    per_file = spark.read.parquet(path).groupBy("_metadata.file_path", "_metadata.file_size").agg(F.count(F.lit(1)).alias("n"))
+    files = per_file.agg(
+        F.sum("n").alias("n_rows"),
+        F.least(F.count(F.lit(1)), F.ceil(F.sum("n") / 500)).alias("least_files"),
+        F.count_if(F.col("n") > 500).cast("int").alias("too_long"),
+        F.count_if(F.col("file_size") > 4 * target * writers.MB + 8192).cast("int").alias("too_large"),
+    )
+    orders_seen = spark.read.parquet(path).agg(F.count_distinct("o_orderkey").alias("n_orders")).scalar()
+    return files.withColumn("n_orders", orders_seen)
+
+
 @query("staged_write", ORDERS)
 def staged_write(spark, sf_dir):
     root = scratch(spark, "staged")
