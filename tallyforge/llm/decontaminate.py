@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyforge.llm import words as W
-from tallyforge.llm.tables import join_texts, save, unique_ids
+from tallyforge.llm.tables import join_texts, plain_ids, row_keyed, save, unique_ids
 
 ITEM_WORDS = 1_000_000
 RADIUS = 27
@@ -165,10 +165,20 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     A-Z count as a-z. A passage is a window of as many words as the item (the whole text where that is
     shorter) whose weighted shingle similarity is at least ``percent`` / 100; the best one's similarity and
     first place (words from 0) are given, and how many windows pass. Items of fewer than ``size`` words are one shingle.
-    Null and word-free texts or items have no windows; rows without id are left out, and of several with one
-    id the smallest text counts. At 75 percent two fingerprints differ in about 11 bits on average, with a deviation of
+    Null and word-free texts or items have no windows. Every row and item is judged by its own text, also where ids are null or
+    repeated, so one pair of ids may then come more than once. At 75 percent two fingerprints differ in about 11 bits on average, with a deviation of
 about 3, repeated shingles or not: the places of a shingle are members of their own.
     """
+    if not plain_ids(docs, id_col):
+        rows, once = row_keyed(docs, id_col, text_col)
+        found = save(leaks(once, benchmark, item_col=item_col, size=size, percent=percent).withColumnRenamed("doc_id", "_row"))
+        ids = rows.select("_row", F.col(id_col).cast("long").alias("doc_id")).distinct()
+        return ids.join(found, "_row").select("doc_id", *[c for c in found.columns if c != "_row"])
+    if not plain_ids(benchmark, item_col):
+        rows, once = row_keyed(benchmark, item_col, "text")
+        found = save(leaks(docs, once, id_col, text_col, "doc_id", size, percent).withColumnRenamed("item_id", "_row"))
+        ids = rows.select("_row", F.col(item_col).cast("long").alias("item_id")).distinct()
+        return ids.join(found, "_row").select("doc_id", "item_id", "similarity", "start", "n_windows")
     docs = unique_ids(docs, id_col, text_col)
     items = save(unique_ids(benchmark, item_col, "text").mapInArrow(_items(size), "item_id bigint, size bigint, fp bigint, grams array<bigint>").where("size > 0"))
     blocks = max(1, -(-(items.agg(F.sum("size")).first()[0] or 0) // ITEM_WORDS))
@@ -195,6 +205,13 @@ about 3, repeated shingles or not: the places of a shingle are members of their
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents that hold no passage of the benchmark; columns as they came."""
+    """The documents that hold no passage of the benchmark; columns as they came.
+
+    Every row is judged by its own text, also where ids are null or repeated; empty tables lose nothing.
+    """
+    if not plain_ids(docs, id_col):
+        rows, once = row_keyed(docs, id_col, text_col)
+        bad = save(leaks(once, benchmark).select(F.col("doc_id").alias("_row")).distinct())
+        return rows.join(bad, "_row", "left_anti").select(docs.columns)
     bad = save(leaks(docs, benchmark, id_col, text_col).select(F.col("doc_id").alias(id_col)).distinct())
     return join_texts(docs, bad, id_col, "left_anti").select(docs.columns)

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyforge.llm import words as W
-from tallyforge.llm.tables import components, join_texts, save, unique_ids
+from tallyforge.llm.tables import components, join_texts, plain_ids, row_keyed, save, unique_ids
 
 #: Share of the hash range whose shingles take part in the first count; any share gives the same result.
 FIRST_COUNT = 0.4
@@ -163,9 +163,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     A-Z count as a-z; a document's set is its distinct shingles of ``size`` words, or its whole word
     sequence where it has fewer. Two documents link when 100 * |both| >= percent * |either|; component_id is
     the smallest doc_id reachable by links, the document's own included. Null and word-free texts have no
-    shingles and no links. Rows without id are left out; of several rows with one id the smallest text
-    counts; other columns are ignored. Sets are compared by 64-bit shingle hashes.
+    shingles and no links. Every row is judged by its own text, also where ids are null or repeated; a null id is no
+    component_id unless no other is in reach. Other columns are ignored. Sets are compared by 64-bit shingle hashes.
     """
+    if not plain_ids(docs, id_col):
+        rows, found = _by_rows(docs, id_col, text_col, size, percent)
+        return rows.select(F.col(id_col).cast("long").alias("doc_id"), "_row").join(found.select("_row", "n_shingles", "component_id"), "_row").drop("_row")
     docs = unique_ids(docs, id_col, text_col)
     counts = save(shingle_counts(docs, size))
     classes = counts.where("n > 0").groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("class_id"))
@@ -205,7 +208,27 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return joined.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "class_id").alias("component_id"))
 
 
+def _by_rows(docs: DataFrame, id_col: str, text_col: str, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """For null and repeated ids: the rows with _row, and (_row, n_shingles, component_id, first) of each distinct one.
+
+    ``first`` marks the one of each component with the smallest id (nulls last).
+    """
+    rows, once = row_keyed(docs, id_col, text_col)
+    found = near_duplicates(once, size=size, percent=percent).withColumnRenamed("doc_id", "_row").withColumnRenamed("component_id", "_comp")
+    found = save(found.join(rows.select("_row", F.col(id_col).cast("long").alias("id")).distinct(), "_row"))
+    lead = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "_row")).alias("lead")
+    leads = save(found.groupBy("_comp").agg(lead).select("_comp", F.col("lead.id").alias("component_id"), F.col("lead._row").alias("lead")))
+    return rows, save(found.join(leads, "_comp").withColumn("first", F.col("_row") == F.col("lead")))
+
+
 def first_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 75) -> DataFrame:
-    """The documents without those that have a smaller doc_id in their component; columns as they came."""
+    """The documents without those that have a smaller doc_id in their component; columns as they came.
+
+    Where ids are null or repeated, one row of each component stays, the one with the smallest id (nulls last); texts without words stay.
+    """
+    if not plain_ids(docs, id_col):
+        rows, found = _by_rows(docs, id_col, text_col, size, percent)
+        rows = rows.join(found.where("first OR n_shingles = 0").select("_row", "n_shingles"), "_row")
+        return rows.where("n_shingles > 0").dropDuplicates(["_row"]).union(rows.where("n_shingles = 0")).select(docs.columns)
     later = save(near_duplicates(docs, id_col, text_col, size, percent).where("doc_id <> component_id").select(F.col("doc_id").alias(id_col)))
     return join_texts(docs, later, id_col, "left_anti").select(docs.columns)

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyforge.llm.tables import save
+from tallyforge.llm.tables import plain_ids, row_keyed, save
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -88,8 +88,12 @@ def scan(docs: DataFrame, phrases: dict[str, str] | None = None, templates=TEMPL
     start. labels joins the phrases' and the met templates' labels; score is the largest share of a
     template's words in one block that meets it, else 0. blocks holds the lines that were compared, then the runs of words
 (as a-z, joined by one space) whose windows were. Null texts are empty.
-    Rows without id are judged each by itself with phrases only; the rows of a repeated id share their method's labels.
+    Every row is judged by its own text, also where ids are null or repeated.
     """
+    if not plain_ids(docs, id_col):
+        rows, once = row_keyed(docs, id_col, text_col)
+        found = save(scan(once, phrases, templates, threshold).withColumnRenamed("doc_id", "_row"))
+        return rows.select(F.col(id_col).cast("long").alias("doc_id"), "_row").join(found, "_row").drop("_row")
     phrases = PHRASES if phrases is None else phrases
     ordered = save(_template_words(docs, templates, threshold, text_col))
     rare = [r[0] for r in ordered.where("i <= size - need + 1").select("token").distinct().orderBy("token").collect()]

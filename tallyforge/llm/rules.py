@@ -16,7 +16,7 @@ from itertools import pairwise
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyforge.llm.tables import join_texts, save
+from tallyforge.llm.tables import join_texts, plain_ids, row_keyed, save
 
 BLANK = r"[\x20\x09-\x0D]+"
 SYMBOLS = r"[^#*$%&|<>]+"
@@ -229,8 +229,15 @@ def judged(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     Rules are learned from labelled rows that pass the base rules. An empty table gives an empty result.
     """
     stats = save(statistics(docs, id_col, text_col))
+    return _with_verdicts(stats, _learned(stats, labels, learner))
+
+
+def _learned(stats: DataFrame, labels: DataFrame, learner: Learner | None) -> list[Rule]:
     known = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg((F.min("quality") == 0).alias("bad"))
-    rules = learn(stats.join(known, "doc_id").where(~base_failed()), learner)
+    return learn(stats.join(known, "doc_id").where(~base_failed()), learner)
+
+
+def _with_verdicts(stats: DataFrame, rules: list[Rule]) -> DataFrame:
     out = stats.withColumn("base_failed", base_failed()).withColumn("rejected_by", verdict(rules))
     return out.withColumn("kept", F.col("rejected_by").isNull())
 
@@ -238,7 +245,12 @@ def judged(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 def kept(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", learner: Learner | None = None) -> DataFrame:
     """The rows of ``docs`` that are kept; columns as they came.
 
-    Rows without id cannot be judged and go; an id goes with all its rows if one of them is rejected.
+    Every row is judged by its own text, also where ids are null or repeated.
     """
+    if not plain_ids(docs, id_col):
+        rules = _learned(save(statistics(docs, id_col, text_col)), labels, learner)
+        rows, once = row_keyed(docs, id_col, text_col)
+        bad = save(_with_verdicts(statistics(once), rules).where("NOT kept").select(F.col("doc_id").alias("_row")))
+        return rows.join(bad, "_row", "left_anti").select(docs.columns)
     bad = save(judged(docs, labels, id_col, text_col, learner).where("NOT kept").select(F.col("doc_id").alias(id_col)).distinct())
-    return join_texts(docs.where(F.col(id_col).isNotNull()), bad, id_col, "left_anti").select(docs.columns)
+    return join_texts(docs, bad, id_col, "left_anti").select(docs.columns)

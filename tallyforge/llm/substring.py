@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyforge.llm import words as W
-from tallyforge.llm.tables import join_texts, save, unique_ids
+from tallyforge.llm.tables import join_texts, plain_ids, row_keyed, save, unique_ids
 
 KMER = 12
 LENGTH = 35
@@ -187,10 +187,14 @@ def cut_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """``docs`` with _n_words, _n_removed and _kept: the words outside repeated passages, joined by one space.
 
     A word goes if a window of ``length`` words over it also starts anywhere else, in the same document
-    or another; windows are judged on the input. Null texts have no words. Rows without id keep all their words and
-    do not count as occurrences; of several rows with one id the smallest text counts, and only rows with
-    its words are cut. Windows are compared by 64-bit hashes. Names in ``docs`` must not begin with an underscore.
+    or another; windows are judged on the input. Null texts have no words. Every row is judged by its own text, also where
+    ids are null or repeated; rows with the same id and text are one document. Windows are compared by 64-bit hashes. Names in
+    ``docs`` must not begin with an underscore.
     """
+    if not plain_ids(docs, id_col):
+        rows, once = row_keyed(docs, id_col, text_col)
+        cut = save(cut_passages(once, length=length).drop("text").withColumnRenamed("doc_id", "_row"))
+        return rows.join(cut, "_row").select(*docs.columns, "_n_words", "_n_removed", "_kept")
     spans = repeated_spans(unique_ids(docs, id_col, text_col), length)
     spans = save(spans.groupBy(F.col("doc_id").alias("_id"), F.col("d1").alias("_d1")).agg(F.collect_list(F.struct("from", "to")).alias("_spans")))
     marked = join_texts(docs.withColumn("_id", F.col(id_col).cast("long")), spans, "_id", "left", row_bytes="56 + 32 * size(_spans)")

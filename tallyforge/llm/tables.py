@@ -48,6 +48,25 @@ def unique_ids(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs
 
 
+def plain_ids(docs: DataFrame, id_col: str) -> bool:
+    """Whether every row has an id of its own."""
+    ids = docs.groupBy(F.col(id_col).cast("long").alias("id")).count()
+    return not ids.where("count > 1 OR id IS NULL").limit(1).count()
+
+
+def row_keyed(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """For ids that are null or repeated: ``docs`` with _row, a number of each distinct (id, text), and (doc_id, text) with _row for doc_id.
+
+    So every text is judged by itself, whatever its id; rows with the same id and text are one. Null texts count as empty.
+    """
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    key = F.struct(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("h1"), F.xxhash64(text, F.lit(1)).alias("h2"))
+    rows = docs.withColumn("_key", key)
+    numbers = save(rows.select("_key").distinct().withColumn("_row", F.monotonically_increasing_id()))
+    rows = save(rows.join(numbers, "_key").drop("_key"))
+    return rows, save(rows.select(F.col("_row").alias("doc_id"), F.col(text_col).alias("text")).dropDuplicates(["doc_id"]))
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.union(edges.select("b", "a")).toDF("a", "b")
     least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
