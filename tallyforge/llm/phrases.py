@@ -28,7 +28,7 @@ from tallyforge.llm import words as W
 from tallyforge.llm.tables import save
 
 #: Entries of one broadcast word table or trie; any number gives the same result.
-NODES = 4_000_000
+NODES = 1_000_000
 #: Ranges of first words that a shard is made of.
 RANGES = 1024
 #: Candidates and words are sent on when a task has met so many.
@@ -204,7 +204,6 @@ class Trie:
     def _room(self, size: int) -> None:
         more = size - len(self.check)
         if more > 0:
-            more = max(more, len(self.check) // 2)
             self.base, self.label = (np.concatenate([x, np.zeros(more, np.int32)]) for x in (self.base, self.label))
             self.check = np.concatenate([self.check, np.full(more, -1, np.int32)])
 
@@ -214,10 +213,10 @@ class Trie:
         slots = np.zeros(len(parents), np.int64)
         floor, width = self.high - self.low + 1, 1 << self.bits
         self._room(max(len(self.check) + 2 * len(parents), floor + 2 * width))
-        order = np.argsort(-sizes, kind="stable")
-        tries = 0
+        order, poor = np.argsort(-sizes, kind="stable"), 0
         while len(order):
-            some = order[: max(64, len(order) // 8)]
+            # so few at once that they hardly meet each other
+            some = order[: max(1, int(np.searchsorted(np.cumsum(sizes[order]), len(self.check) // 16)))]
             n = sizes[some]
             begin = np.concatenate([[0], np.cumsum(n)[:-1]])
             member = np.repeat(at[some] - begin, n) + np.arange(n.sum())
@@ -236,9 +235,10 @@ class Trie:
             slots[member[won]] = where[won]
             self.base[own[some[first]]] = base[first]
             order = np.concatenate([some[~first], order[len(some) :]])
-            tries += 1
-            if tries % 16 == 0:
+            poor = poor + 1 if 8 * first.sum() < len(some) else 0
+            if poor == 16:  # too full for families of this size
                 self._room(len(self.check) + max(width, len(self.check) // 8))
+                poor = 0
         return slots
 
     def add(self, parents: np.ndarray, words: np.ndarray, numbers: np.ndarray) -> np.ndarray:
@@ -336,6 +336,7 @@ def _levels(docs: DataFrame, least: int) -> tuple[list[DataFrame], DataFrame, Da
         rows = frequent.where(F.col("key").between(low, high - 1)).select("key", "number").orderBy("key").toArrow()
         shared = context.broadcast((rows["key"].to_numpy().astype(np.uint64), rows["number"].to_numpy().astype(np.int32)))
         seq = save(seq.mapInArrow(_numbers(shared, low, high, i == turns - 1), "keys binary, seq binary"))
+        shared.destroy()
         _forget(before)
         before = seq
     levels = [frequent.select("number", F.lit(0).cast("long").alias("prefix"), F.array(F.col("number").cast("int")).alias("words"), "a")]
@@ -346,6 +347,7 @@ def _levels(docs: DataFrame, least: int) -> tuple[list[DataFrame], DataFrame, Da
             shared = context.broadcast(_trie(levels, low, high, most))
             part = seq.select("seq").mapInArrow(_counted(shared, size, len(shards) == 1), "code bigint, n bigint")
             part = save(part.groupBy("code").agg(F.sum("n").alias("a")).where(F.col("a") >= least))
+            shared.destroy()
             counts = part if counts is None else counts.union(part)
         counts = numbered(counts.select(F.shiftright("code", 32).alias("prefix"), F.col("code").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int").alias("last"), "a"), "number")
         begin = levels[-1].select(F.col("number").alias("prefix"), F.col("words").alias("begin"))

@@ -97,6 +97,7 @@ def test_double_array(most):
     assert len(set(slots.tolist())) == len(pairs)
     assert (trie.next(trie.first(pairs[:, 0]), pairs[:, 1].astype(np.int32)) == slots).all()
     assert (trie.label[slots] == np.arange(len(pairs))).all()
+    assert len(trie.check) < trie.high + 8 * len(pairs) + (4 << trie.bits)
     known = set(map(tuple, pairs.tolist()))
     asked = np.stack([pick.integers(1, 160, 20_000), pick.integers(1, most + 1, 20_000)], axis=1)
     hit = trie.next(trie.first(asked[:, 0]), asked[:, 1].astype(np.int32)) > 0
