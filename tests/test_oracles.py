@@ -1,9 +1,12 @@
 """Every registered query that has a SQL oracle, against DuckDB on the small tables."""
 
+import re
+
 import duckdb
 import pytest
 
 import __spark_entry__ as contract
+import workload
 from helpers import canonical
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
@@ -21,6 +24,10 @@ def duck(sf_dir):
 def test_query(spark, duck, sf_dir, key):
     df = contract.queries()[key](spark, sf_dir)
     rows = df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan
+    if key in workload.QUERIES:
+        assert not re.search("Python|MapInArrow|MapInPandas", plan)
     sql = contract.oracle_sql().get(key)
     if sql is None:
         assert df.columns
