@@ -91,6 +91,35 @@ SCORE_TIER_NAMES = [*(name for _, name in SCORE_TIERS), SCORE_TIER_DEFAULT]
 GRADE_RANGES = [(90, "A (90-100)"), (80, "B (80-89)"), (70, "C (70-79)"), (60, "D (60-69)")]
 GRADE_RANGE_DEFAULT = "F (Below 60)"
 
+# label, use case (None: any), and the least value of each measure
+LEARNING_STYLES = [
+    ("Research_Intensive", "Research", {"usage_frequency_score": 4}),
+    ("Assignment_Focused", "Assignment_Help", {"satisfaction_level": 4}),
+    ("Multi_Tool_User", None, {"num_ai_tools": 3}),
+]
+FREQUENT_STYLE = ("High_Frequency_User", None, {"usage_frequency_score": 4})
+LEARNING_STYLE_DEFAULT = "Basic_User"
+LEARNING_PREFERENCES = {"Exploratory": ["Research_Intensive", "Multi_Tool_User"], "Task_Oriented": ["Assignment_Focused"]}
+LEARNING_PREFERENCE_DEFAULT = "Casual"
+# at risk only where all three are below
+RULE_RISK = {"gpa": 2.5, "attendance_rate": 0.7, "assignment_submission_rate": 0.8}
+RULE_RISK_LEVELS = [(2.0, "High"), (2.5, "Medium")]
+RULE_RISK_DEFAULT = "Low"
+USAGE_CONSISTENCY = [
+    ("High_Consistent", {"usage_frequency_score": 4, "satisfaction_level": 4}),
+    ("Medium_Consistent", {"usage_frequency_score": 3, "satisfaction_level": 3}),
+]
+CONSISTENT, CONSISTENT_APART, INCONSISTENT = "Consistent", 1, "Inconsistent"
+ADOPTION_STAGES = [
+    ("Advanced_Adopter", {"usage_frequency_score": 4, "num_ai_tools": 3}),
+    ("Regular_User", {"usage_frequency_score": 3, "num_ai_tools": 2}),
+    ("Occasional_User", {"usage_frequency_score": 2}),
+]
+ADOPTION_DEFAULT = "Beginner"
+# proficiency at least, percentile below
+IMPROVEMENT_POTENTIAL = [(3.0, 50, "High"), (2.0, 75, "Medium")]
+IMPROVEMENT_DEFAULT = "Low"
+
 # --- fixed values: analyses ------------------------------------------------------------------
 RANK_TIERS = [(0.9, "Top 10%"), (0.75, "Top 25%"), (0.5, "Top 50%")]
 RANK_TIER_DEFAULT = "Bottom 50%"
@@ -159,11 +188,11 @@ STUDENT_INSIGHT = Insight(
     entity="student_id",
     count="student_count",
     means={
-        "avg_gpa": "gpa",
-        "avg_major_gpa": "major_gpa",
         "avg_ai_tools_used": "num_ai_tools",
         "avg_usage_frequency": "usage_frequency_score",
         "avg_satisfaction": "satisfaction_level",
+        "avg_gpa": "gpa",
+        "avg_major_gpa": "major_gpa",
         "avg_engagement": "engagement_score",
         "avg_academic_diversity": "academic_diversity",
     },

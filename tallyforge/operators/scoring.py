@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -71,21 +73,19 @@ def proficiency(df: DataFrame, plain: bool = False) -> DataFrame:
 
 def learning_style(df: DataFrame, plain: bool = False) -> DataFrame:
     """``plain`` knows no high-frequency style and adds no preference."""
-    frequent = F.col("usage_frequency_score") >= 4
-    rules = [
-        ((F.col("primary_use_case") == "Research") & frequent, "Research_Intensive"),
-        ((F.col("primary_use_case") == "Assignment_Help") & (F.col("satisfaction_level") >= 4), "Assignment_Focused"),
-        (F.col("num_ai_tools") >= 3, "Multi_Tool_User"),
-    ]
     if plain:
-        return df.withColumn("learning_style", classify(rules, "Basic_User"))
-    styled = df.withColumn("learning_style", classify([*rules, (frequent, "High_Frequency_User")], "Basic_User"))
-    preference = member_label(
-        "learning_style",
-        {"Exploratory": ["Research_Intensive", "Multi_Tool_User"], "Task_Oriented": ["Assignment_Focused"]},
-        "Casual",
-    )
-    return styled.withColumn("learning_preference", preference)
+        return df.withColumn("learning_style", classify(_styles(P.LEARNING_STYLES), P.LEARNING_STYLE_DEFAULT))
+    styled = df.withColumn("learning_style", classify(_styles([*P.LEARNING_STYLES, P.FREQUENT_STYLE]), P.LEARNING_STYLE_DEFAULT))
+    return styled.withColumn("learning_preference", member_label("learning_style", P.LEARNING_PREFERENCES, P.LEARNING_PREFERENCE_DEFAULT))
+
+
+def _at_least(values: Mapping[str, float]) -> Column:
+    return reduce(and_, [F.col(c) >= v for c, v in values.items()])
+
+
+def _styles(styles: Sequence[tuple[str, str | None, Mapping[str, float]]]) -> list[tuple[Column, str]]:
+    use = F.col("primary_use_case")
+    return [(_at_least(values) if case is None else (use == case) & _at_least(values), label) for label, case, values in styles]
 
 
 def risk(df: DataFrame) -> DataFrame:
@@ -106,9 +106,9 @@ def risk(df: DataFrame) -> DataFrame:
 
 def risk_by_rule(df: DataFrame) -> DataFrame:
     """At risk only if all three measures are low; the level follows from the grade average."""
-    low = (F.col("gpa") < 2.5) & (F.col("attendance_rate") < 0.7) & (F.col("assignment_submission_rate") < 0.8)
+    low = reduce(and_, [F.col(c) < v for c, v in P.RULE_RISK.items()])
     flag = F.coalesce(low, F.lit(False))
-    level = F.when(flag, band("gpa", [(2.0, "High"), (2.5, "Medium")], "Low", below=True)).otherwise("None")
+    level = F.when(flag, band("gpa", P.RULE_RISK_LEVELS, P.RULE_RISK_DEFAULT, below=True)).otherwise("None")
     return df.withColumns({"at_risk_flag": flag, "risk_level": level})
 
 
@@ -127,42 +127,23 @@ def workload(df: DataFrame, plain: bool = False) -> DataFrame:
 
 
 def usage_patterns(df: DataFrame) -> DataFrame:
-    usage, satisfied, tools = F.col("usage_frequency_score"), F.col("satisfaction_level"), F.col("num_ai_tools")
+    near = F.abs(F.col("usage_frequency_score") - F.col("satisfaction_level")) <= P.CONSISTENT_APART
+    steady = [(_at_least(values), label) for label, values in P.USAGE_CONSISTENCY]
+    stages = [(_at_least(values), label) for label, values in P.ADOPTION_STAGES]
     return df.withColumns(
-        {
-            "usage_consistency": classify(
-                [
-                    ((usage >= 4) & (satisfied >= 4), "High_Consistent"),
-                    ((usage >= 3) & (satisfied >= 3), "Medium_Consistent"),
-                    (F.abs(usage - satisfied) <= 1, "Consistent"),
-                ],
-                "Inconsistent",
-            ),
-            "adoption_stage": classify(
-                [
-                    ((usage >= 4) & (tools >= 3), "Advanced_Adopter"),
-                    ((usage >= 3) & (tools >= 2), "Regular_User"),
-                    (usage >= 2, "Occasional_User"),
-                ],
-                "Beginner",
-            ),
-        }
+        {"usage_consistency": classify([*steady, (near, P.CONSISTENT)], P.INCONSISTENT), "adoption_stage": classify(stages, P.ADOPTION_DEFAULT)}
     )
 
 
 def success_indicators(df: DataFrame, key: Sequence[str] = ("student_id",), field: str = "field_of_study") -> DataFrame:
     """Percent rank of the grade average within the field, its band, and the potential to improve."""
     percentile, skill = F.col("performance_percentile"), F.col("ai_proficiency_score")
+    room = [((skill >= least) & (percentile < below), label) for least, below, label in P.IMPROVEMENT_POTENTIAL]
     ranked = rank_rows(df, [field], "gpa", key[0], percent_rank="relative_performance")
     return (
         ranked.withColumn("performance_percentile", F.round(F.col("relative_performance") * 100, 1))
         .withColumn("success_category", band(percentile, P.SUCCESS_BANDS, P.SUCCESS_DEFAULT))
-        .withColumn(
-            "improvement_potential",
-            classify(
-                [((skill >= 3.0) & (percentile < 50), "High"), ((skill >= 2.0) & (percentile < 75), "Medium")], "Low"
-            ),
-        )
+        .withColumn("improvement_potential", classify(room, P.IMPROVEMENT_DEFAULT))
     )
 
 
