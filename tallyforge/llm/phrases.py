@@ -33,6 +33,8 @@ NODES = 1_000_000
 RANGES = 1024
 #: Candidates and words are sent on when a task has met so many.
 KEPT = 1_000_000
+#: Words with their texts are sent on earlier, since a text takes more room than a number.
+TEXTS_KEPT = 120_000
 LONGEST = 4
 U = np.uint64
 _BREAK = np.arange(256, dtype=np.uint8)
@@ -123,7 +125,7 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         places = _with_breaks((place + 1).astype(np.uint16 if len(some) < 65_535 else np.uint32), begins)
         own = [pa.array([x.tobytes()], pa.binary()) for x in (some, places)]
         yield pa.RecordBatch.from_arrays([*none, *own], names=["lang", "key", "word", "n", "keys", "seq"])
-        if len(new) > KEPT // 2:
+        if len(new) > TEXTS_KEPT:
             yield vocabulary()
     if new:
         yield vocabulary()

@@ -71,6 +71,7 @@ def test_shards_and_cut_lists_change_nothing(spark, monkeypatch):
     monkeypatch.setattr(phrases, "NODES", 7)
     monkeypatch.setattr(phrases, "RANGES", 8)
     monkeypatch.setattr(phrases, "KEPT", 50)
+    monkeypatch.setattr(phrases, "TEXTS_KEPT", 20)
     assert got(phrases.collocations(docs_of(spark, rows), 3, 60, 9)) == plain(rows, 3, 60, 9)
 
 
