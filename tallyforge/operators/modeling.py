@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tallyforge.functions.expr import safe_corr, spread
 from tallyforge.operators.joins import with_total_stats
+from tallyforge.operators.ranking import quantiles
 
 
 def rank_features(df: DataFrame, target: str, features: Sequence[str]) -> DataFrame:
@@ -25,16 +26,17 @@ def rank_features(df: DataFrame, target: str, features: Sequence[str]) -> DataFr
 
 
 def drift(
-    base: DataFrame, current: DataFrame, value: str, bins: int = 10, accuracy: int = 10_000, floor: float = 1e-6
+    base: DataFrame, current: DataFrame, value: str, bins: int = 10, floor: float = 1e-6
 ) -> DataFrame:
-    """Population stability of ``value`` over quantile bins of ``base``, and the shift of its mean.
+    """Population stability of ``value`` over exact quantile bins of ``base``, and the shift of its mean.
 
     One row per bin with both shares and its contribution ``psi``; sum it for the index. ``floor``
     replaces an empty share. NULL and NaN fill a bin of their own, -1, if there are any; the shift is that of the
     other values' mean.
     """
     probabilities = [i / bins for i in range(1, bins)]
-    edges = base.agg(F.percentile_approx(F.col(value).cast("double"), probabilities, accuracy)).first()[0] or []
+    row = quantiles(base, [], F.col(value).cast("double"), probabilities).first() if probabilities else None
+    edges = row[0] if row else []
     splits = [float("-inf"), *sorted(set(edges)), float("inf")]
     cut = Bucketizer(splits=splits, inputCol="__v", outputCol="bin", handleInvalid="keep")
 

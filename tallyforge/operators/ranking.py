@@ -19,6 +19,7 @@ entity) do not need this; see ``windows``.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -175,15 +176,17 @@ def value_distribution(
     aggs: Mapping[str, Column] | None = None,
     ranges: int | None = None,
     center: str | None = None,
+    weight: str | None = None,
 ) -> DataFrame:
     """One row per distinct (group, value): ``n`` rows hold it, ``below`` rows are smaller, ``total`` in the group.
 
     Further per-value aggregates come from ``aggs``; ``center`` names an output for the mean of the
-    group. Analyses that only need totals per rank
+    group. A row stands for as many as ``weight`` says. Analyses that only need totals per rank
     band read this instead of ranking rows: repeated values collapse before the shuffle, and only distinct ones are sorted.
     """
     extra = [c.alias(n) for n, c in (aggs or {}).items()]
-    held = df.groupBy(*group, value).agg(F.count(F.lit(1)).alias("n"), *([F.sum(value).alias("__sum")] if center else []), *extra)
+    counted = F.sum(weight) if weight else F.count(F.lit(1))
+    held = df.groupBy(*group, value).agg(counted.alias("n"), *([F.sum(value).alias("__sum")] if center else []), *extra)
     placed = _laid_out(held, group, [F.col(value).asc_nulls_first()], ranges).withColumn(_CELL, _cell(group))
     totals = ["n", *(["__sum"] if center else [])]
     cells = placed.groupBy(_CELL).agg(*[F.sum(x).alias(x) for x in totals])
@@ -204,6 +207,36 @@ def value_distribution(
     )
 
 
+def quantiles(
+    df: DataFrame,
+    group: Sequence[str],
+    value: str | Column,
+    probabilities: Sequence[float],
+    output: str = "quantiles",
+    weight: str | None = None,
+    ranges: int | None = None,
+) -> DataFrame:
+    """One row per group that has values: an array of the values at the given probabilities, exact at any size.
+
+    The value at p of n is the one at place ceil(p * n), 1 at least, as in SQL's ``percentile_disc``; NULL is no value. Values
+    are counted first and their counts summed up over the ranges of ``value_distribution``, so no group is sorted in one task.
+    """
+    value = F.col(value) if isinstance(value, str) else value
+    rows = df.select(*group, *([weight] if weight else []), value.alias(_VALUE)).filter(F.col(_VALUE).isNotNull())
+    held = value_distribution(rows, group, _VALUE, ranges=ranges, weight=weight)
+    places = [F.greatest(F.ceil(F.col("total") * F.lit(Decimal(str(p)))), F.lit(1)) for p in probabilities]
+    asked = [F.min(F.when(F.col("below") + F.col("n") >= place, F.col(_VALUE))) for place in places]
+    found = held.groupBy(*group).agg(F.array(*asked).alias(output))
+    return found if group else found.filter(F.col(output)[0].isNotNull())
+
+
+def column_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]) -> DataFrame:
+    """One row: per column its exact quantiles as numbers, NULL without values; all columns in one pass."""
+    cells = F.array(*[F.struct(F.lit(i).alias("i"), F.col(c).cast("double").alias("v")) for i, c in enumerate(columns)])
+    found = quantiles(df.select(F.explode(cells).alias("e")).select("e.*"), ["i"], "v", probabilities)
+    return found.agg(*[F.max(F.when(F.col("i") == i, F.col("quantiles"))).alias(c) for i, c in enumerate(columns)])
+
+
 def percent_rank_of(below: Column, total: Column) -> Column:
     return F.when(total > 1, below / (total - 1)).otherwise(0.0)
 

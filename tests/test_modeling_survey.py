@@ -100,3 +100,10 @@ def test_drift_sees_a_rising_null_share(spark):
     rows = {r.bin: r for r in modeling.drift(base, current, "v", bins=4).collect()}
     assert rows[-1].current_n == 50 and rows[-1].base_n == 0 and rows[-1].psi > 1
     assert rows[0].mean_shift == pytest.approx(0.5)
+
+
+def test_drift_cuts_at_exact_quantiles(spark):
+    base = spark.range(40_000).select((F.hash("id") * 40_000.0 + F.col("id")).alias("v"))
+    rows = modeling.drift(base, base, "v", bins=8).orderBy("bin").collect()
+    # a bin starts at its edge, so the edge at place 5,000 belongs to the second
+    assert [r.base_n for r in rows] == [4_999, *[5_000] * 6, 5_001]

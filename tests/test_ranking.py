@@ -7,7 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from helpers import rows_of, values
-from tallyforge.operators.ranking import percent_rank_of, rank_rows, tile_of, top_per_group, value_distribution
+from tallyforge.operators.ranking import percent_rank_of, quantiles, rank_rows, tile_of, top_per_group, value_distribution
 from tallyforge.plans.ranking import multi_criteria_rank, rank_tiers, tile_distribution
 
 
@@ -226,3 +226,16 @@ def test_one_odd_key_does_not_undo_the_split(spark):
     df = spark.createDataFrame([("g", 1.0, f"STU_{i:020d}") for i in range(4000)] + [("g", 1.0, "A1")], "g string, v double, k string")
     assert largest_share(df, ["g"], [F.asc("v"), F.asc("k")], 8) < 0.3
     assert rows_of(rank_rows(df, ["g"], "v", "k", row_number="rn", rank="rk", ties="t", ranges=8)) == rows_of(plain(df))
+
+
+def test_quantiles_are_the_values_at_their_places(spark):
+    rng = random.Random(3)
+    rows = [(rng.choice(["a", None]), rng.choice([round(rng.random(), 4), None, 0.5]), rng.randint(1, 3)) for _ in range(30_000)]
+    df = spark.createDataFrame([*rows, ("none", None, 1)], "g string, v double, w int")
+    asked = [0.0, 0.07, 0.5, 0.999, 1.0]
+    for weight in (None, "w"):
+        got = {r.g: r["quantiles"] for r in quantiles(df, ["g"], "v", asked, weight=weight, ranges=5).collect()}
+        assert set(got) == {"a", None}
+        for group, found in got.items():
+            held = sorted(v for g, v, w in rows if g == group and v is not None for _ in range(w if weight else 1))
+            assert found == [held[max(-(-len(held) * round(p * 1000) // 1000), 1) - 1] for p in asked]
