@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from tallyforge.functions import presets
 from tallyforge.functions.expr import classify, clip, hash_percent, hash_uniform, title_text
 from tallyforge.operators.joins import with_total_stats
+from tallyforge.operators.ranking import column_quantiles, quantiles
 
 
 def drop_null_rows(df: DataFrame, columns: Sequence[str] | None = None, how: str = "any") -> DataFrame:
@@ -59,8 +60,8 @@ def fill_constants(df: DataFrame, values: Mapping[str, float] | None = None) ->
     return df.fillna({c: v for c, v in values.items() if c in df.columns})
 
 
-def _fill(df: DataFrame, columns: Sequence[str], stats: Mapping[str, Column]) -> DataFrame:
-    filled = with_total_stats(df, {f"__fill_{c}": e for c, e in stats.items()})
+def _fill(df: DataFrame, columns: Sequence[str], filled: DataFrame) -> DataFrame:
+    """``filled`` is ``df`` with a column ``__fill_c`` for each column c."""
 
     def fitted(c: str) -> Column:
         """The statistic in the column's own type; rounded, not cut, where that is a whole number."""
@@ -71,13 +72,14 @@ def _fill(df: DataFrame, columns: Sequence[str], stats: Mapping[str, Column]) ->
     return filled.withColumns(replaced).drop(*[f"__fill_{c}" for c in columns])
 
 
-def fill_median(df: DataFrame, columns: Sequence[str] | None = None, accuracy: int = 10_000) -> DataFrame:
+def fill_median(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     columns = list(columns or presets.CLEANED_NUMERIC)
-    return _fill(df, columns, {c: F.percentile_approx(c, 0.5, accuracy) for c in columns})
+    medians = {f"__fill_{c}": quantiles(df, [], c, [0.5]).select(F.col("quantiles")[0]).scalar() for c in columns}
+    return _fill(df, columns, df.withColumns(medians))
 
 
 def fill_mean(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return _fill(df, columns, {c: F.avg(c) for c in columns})
+    return _fill(df, columns, with_total_stats(df, {f"__fill_{c}": F.avg(c) for c in columns}))
 
 
 def most_common(df: DataFrame, column: str) -> DataFrame:
@@ -105,13 +107,13 @@ def handle_missing(df: DataFrame, strategy: str = "default") -> DataFrame:
     return df
 
 
-def iqr_bounds(df: DataFrame, columns: Sequence[str], factor: float = 1.5, accuracy: int = 10_000) -> dict[str, tuple[float, float]]:
-    """Per column (q1 - factor*iqr, q3 + factor*iqr); all columns in one pass."""
-    row = df.agg(*[F.percentile_approx(c, [0.25, 0.75], accuracy).alias(c) for c in columns]).first()
+def iqr_bounds(df: DataFrame, columns: Sequence[str], factor: float = 1.5) -> dict[str, tuple[float, float]]:
+    """Per column (q1 - factor*iqr, q3 + factor*iqr) of exact quartiles; all columns in one pass, those without values are left out."""
+    row = column_quantiles(df, columns, [0.25, 0.75]).first()
     bounds = {}
     for c in columns:
         if row[c] is not None:
-            q1, q3 = map(float, row[c])
+            q1, q3 = row[c]
             bounds[c] = (q1 - factor * (q3 - q1), q3 + factor * (q3 - q1))
     return bounds
 
@@ -122,12 +124,11 @@ def remove_outliers(
     factor: float = 1.5,
     sequential: bool = True,
     keep_nulls: bool = False,
-    accuracy: int = 10_000,
 ) -> DataFrame:
     """Keep rows inside the IQR fences of every column.
 
     ``sequential`` computes the fences of each column on the rows that survived the columns before
-    it; otherwise all fences come from the input, in one pass.
+    it; otherwise all fences come from the input.
     """
     columns = list(columns or presets.CLEANED_NUMERIC)
 
@@ -138,9 +139,9 @@ def remove_outliers(
         return frame
 
     if not sequential:
-        return fence(df, iqr_bounds(df, columns, factor, accuracy))
+        return fence(df, iqr_bounds(df, columns, factor))
     for c in columns:
-        df = fence(df, iqr_bounds(df, [c], factor, accuracy))
+        df = fence(df, iqr_bounds(df, [c], factor))
     return df
 
 

@@ -268,3 +268,14 @@ def test_hot_keys_become_lists_of_bounded_length(spark):
     assert hot == [x[3] for x in sorted((r for r in rows if r[0] == "hot"), key=lambda r: (r[1], r[2]))]
     sets = {(r.k, r.part): r["items"] for r in aggregates.set_segments(df, ["k"], "item", 4).collect()}
     assert sets == {("hot", 0): ["i0", "i1", "i2", "i3"], ("hot", 1): ["i4", "i5", "i6"], ("cold", 0): ["z"], (None, 0): ["y"]}
+
+
+def test_fences_and_medians_are_exact(spark):
+    df = spark.range(40_000).select((F.hash("id") * 40_000.0 + F.col("id")).alias("x"))
+    df = df.withColumn("y", F.when(F.col("x") > 0, F.col("x")))
+    held = sorted(r.x for r in df.select("x").collect())
+    q1, q3 = held[9_999], held[29_999]
+    assert cleaning.iqr_bounds(df, ["x"], 0.0) == {"x": (q1, q3)}
+    assert cleaning.remove_outliers(df, ["x"], 0.0).count() == 20_001
+    positive = [x for x in held if x > 0]
+    assert cleaning.fill_median(df, ["y"]).filter(F.col("x") <= 0).select("y").distinct().collect()[0].y == positive[-(-len(positive) // 2) - 1]
