@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 from tallyforge.functions.expr import outside, pct, spread, z_score
 from tallyforge.operators.cleaning import numeric_columns
 from tallyforge.operators.joins import with_total_stats
+from tallyforge.operators.ranking import column_quantiles
 
 REPORT = "table_name string, check string, column_name string, invalid long, total long, percentage double, rule string, status string"
 
@@ -174,11 +175,11 @@ def duplicate_profile(df: DataFrame, table: str = "table", keys: Sequence[str] |
 
 
 def outlier_profile(
-    df: DataFrame, columns: Sequence[str] | None = None, z_limit: float = 3.0, accuracy: int = 10_000, total: str | None = None
+    df: DataFrame, columns: Sequence[str] | None = None, z_limit: float = 3.0, total: str | None = None
 ) -> DataFrame:
     """Per numeric column: mean, deviation, quartiles, and how many values are far out by z-score and by IQR.
 
-    One pass for all statistics, one for all counts. Columns without spread are left out. ``total`` names a column
+    One pass for the moments, one for exact quartiles, one for all counts. Columns without spread are left out. ``total`` names a column
     for the number of rows.
     """
     columns = list(columns or numeric_columns(df))
@@ -186,8 +187,9 @@ def outlier_profile(
     for i, c in enumerate(columns):
         stats[f"__mean_{i}"] = F.avg(c)
         stats[f"__sd_{i}"] = spread(c)
-        stats[f"__q_{i}"] = F.percentile_approx(F.col(c).cast("double"), [0.25, 0.75], accuracy)
     rows = with_total_stats(df.select(*columns), stats)
+    quartiles = column_quantiles(df, columns, [0.25, 0.75]).select(F.array(*[F.col(c) for c in columns])).scalar()
+    rows = rows.withColumn("__quartiles", quartiles).withColumns({f"__q_{i}": F.col("__quartiles")[i] for i in range(len(columns))})
     counts = []
     for i, c in enumerate(columns):
         q1, q3 = F.col(f"__q_{i}")[0], F.col(f"__q_{i}")[1]

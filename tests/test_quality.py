@@ -184,3 +184,10 @@ def test_duplicates_by_hash_tell_nulls_apart(spark):
     df = spark.createDataFrame([(None, "a"), ("a", None), (None, None), (None, None), ("a", "a")], "x string, y string")
     assert q.duplicate_profile(df).first().invalid == 1
     assert q.duplicate_profile(df, keys=["x"]).first().invalid == 3
+
+
+def test_outlier_profile_has_exact_quartiles(spark):
+    df = spark.range(40_000).select((F.hash("id") + F.col("id") / 40_000).alias("x"))
+    held = sorted(r.x for r in df.collect())
+    row = q.outlier_profile(df).first()
+    assert (row.q1, row.q3) == (round(held[9_999], 4), round(held[29_999], 4))
