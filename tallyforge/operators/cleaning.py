@@ -237,11 +237,12 @@ def key_hash(keys: Sequence[str], salt: str) -> Column:
 
 
 def bottom_sample(df: DataFrame, keys: Sequence[str], size: int | None = None, fraction: float | None = None, salt: str = "sample", at_once: int = 10_000) -> DataFrame:
-    """The ``size`` rows (or the share of all) whose keys hash lowest; ``keys`` are unique together.
+    """The ``size`` rows (or the share of all) whose keys hash lowest; of rows that share all keys, the first by all their columns.
 
-    The size is exact and the rows depend on keys and salt only. The lowest rows of two samples of a size are those of both inputs
+    The size is exact and the rows depend on rows and salt only. The lowest rows of two samples of a size are those of both inputs
     together, so samples merge. The cut is found by counting rows per range of hashes, each time inside the one range that holds
-    it, until at most ``at_once`` hashes are left to look at; the rows themselves are never sorted or moved.
+    it, until at most ``at_once`` hashes are left to look at; the rows themselves are never sorted or moved, but for those that share
+    the keys of the cut.
     """
     rows = df.withColumn("__hash", key_hash(keys, salt))
     low, width, want = 0, 4 * _DIGITS, size
@@ -263,12 +264,21 @@ def bottom_sample(df: DataFrame, keys: Sequence[str], size: int | None = None, f
         if counts[part] <= at_once or width == 0:
             break
     last = rows.filter((F.col("__hash") >= low) & (F.col("__hash") < low + (1 << width)))
-    edge = last.select("__hash", *keys).orderBy("__hash", *keys).limit(want - taken + 1).collect()
-    cut = edge[want - taken]
-    below = F.lit(False)
+    # copies of a key are one line, so many of them are no more to look at
+    edge = last.groupBy("__hash", *keys).agg(F.count(F.lit(1)).alias("__n")).orderBy("__hash", *keys)
+    for cut in edge.toLocalIterator():
+        if taken + cut["__n"] > want:
+            break
+        taken += cut["__n"]
+    below, same = F.lit(False), F.col("__hash") == cut["__hash"]
     for i in reversed(range(len(keys))):
-        below = _before(F.col(keys[i]), cut[keys[i]], rows.schema[keys[i]].dataType) | (F.col(keys[i]).eqNullSafe(F.lit(cut[keys[i]])) & below)
-    return rows.filter((F.col("__hash") < cut["__hash"]) | ((F.col("__hash") == cut["__hash"]) & below)).drop("__hash")
+        equal = F.col(keys[i]).eqNullSafe(F.lit(cut[keys[i]]))
+        below = _before(F.col(keys[i]), cut[keys[i]], rows.schema[keys[i]].dataType) | (equal & below)
+        same = same & equal
+    lowest = rows.filter((F.col("__hash") < cut["__hash"]) | ((F.col("__hash") == cut["__hash"]) & below)).drop("__hash")
+    if taken == want:
+        return lowest
+    return lowest.union(rows.filter(same).drop("__hash").orderBy(*df.columns).limit(want - taken))
 
 
 def _before(key: Column, value: object, kind: T.DataType) -> Column:

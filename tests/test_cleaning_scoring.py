@@ -279,3 +279,13 @@ def test_fences_and_medians_are_exact(spark):
     assert cleaning.remove_outliers(df, ["x"], 0.0).count() == 20_001
     positive = [x for x in held if x > 0]
     assert cleaning.fill_median(df, ["y"]).filter(F.col("x") <= 0).select("y").distinct().collect()[0].y == positive[-(-len(positive) // 2) - 1]
+
+
+def test_bottom_sample_is_exact_where_keys_repeat(spark):
+    df = spark.range(60).select((F.col("id") % 4).alias("a"), F.when(F.col("id") % 8 > 3, 1).alias("b"), (F.col("id") % 3).alias("v"))
+    for at_once in (1, 10_000):
+        before = []
+        for size in (1, 9, 22, 60):
+            rows = sorted(map(str, cleaning.bottom_sample(df, ["a", "b"], size, at_once=at_once).collect()))
+            assert len(rows) == size and all(rows.count(r) >= before.count(r) for r in before)
+            before = rows
