@@ -289,3 +289,10 @@ def test_bottom_sample_is_exact_where_keys_repeat(spark):
             rows = sorted(map(str, cleaning.bottom_sample(df, ["a", "b"], size, at_once=at_once).collect()))
             assert len(rows) == size and all(rows.count(r) >= before.count(r) for r in before)
             before = rows
+
+
+def test_schools_with_the_same_scores_tie_in_any_order(spark):
+    marks = [0.1, 0.2, 0.3]
+    rows = [(school, i, x, 1, 1, 1, "Poor") for school, scores in ((1, marks), (2, marks[::-1])) for i, x in enumerate(scores)]
+    df = spark.createDataFrame(rows, "school_id int, student_id int, average_score double, math_score int, reading_score int, writing_score int, performance_tier string")
+    assert aggregates.school_summary(df.coalesce(1)).select("avg_school_score").distinct().count() == 1
