@@ -44,3 +44,18 @@ def test_groups_without_values(spark, folder):
     rollup = Rollup(f"{folder}/r", ["g"], "v", "who")
     row = rollup.merged(rollup.summary(df, F.col("day")), ["g"]).first()
     assert (row["n"], row["n_values"], row["mean"], row["p50"], row["distinct_actors"]) == (2, 0, None, None, 1)
+
+
+def test_exact_ranges_beyond_the_sketch(spark, folder):
+    df = visits(spark, 30_000).persist()
+    rollup = Rollup(f"{folder}/r", ["g"], "v", "who", k=64, lg_k=4, exact=True)
+    for batch in (0, 1, 0):
+        rollup.load(df.filter(F.col("day") % 2 == batch), F.col("day"), batch)
+    rows = [r for r in df.collect() if r.day >= 3]
+    got = rollup.exactly(spark, {"half": F.col("period") < 15, "g": F.col("g")}, (0.07, 0.5, 0.999), F.col("period") >= 3).collect()
+    assert len(got) == 6
+    for r in got:
+        own = [x for x in rows if (x.day < 15) == r.half and x.g == r.g]
+        held = sorted(x.v for x in own if x.v is not None and x.v == x.v)
+        assert (r.n, r.n_values, r.distinct_actors) == (len(own), len(held), len({x.who for x in own}))
+        assert [r.p7, r.p50, r.p99_9] == [held[-(-len(held) * p // 1000) - 1] for p in (70, 500, 999)]
