@@ -111,14 +111,18 @@ def rank_rows(
     placed = _laid_out(valued, group, [order, F.col(key).asc_nulls_first()], ranges)
 
     totals = ["n", *[f"sum_{name}" for name in running_sum]]
-    runs = _runs(placed, group, running_sum)
-    run = F.struct(_VALUE, "n", "first", *totals[1:])
-    cells = runs.groupBy(_CELL).agg(*[F.sum(x).alias(x) for x in totals], F.min("first").alias("__begin"), F.min_by(run, "first").alias("head"), F.max_by(run, "first").alias("tail"))
+    by_value = rank or percent_rank or ties or running_sum
+    if by_value:
+        runs = _runs(placed, group, running_sum)
+        run = F.struct(_VALUE, "n", "first", *totals[1:])
+        cells = runs.groupBy(_CELL).agg(*[F.sum(x).alias(x) for x in totals], F.min("first").alias("__begin"), F.min_by(run, "first").alias("head"), F.max_by(run, "first").alias("tail"))
+    else:
+        # numbers need no runs: a table of values with their places would be as large as the rows
+        cells = placed.groupBy(_cell(group).alias(_CELL)).agg(F.count(F.lit(1)).alias("n"), F.min(_AT).alias("__begin"))
     cells = written(_with_front(cells, group, totals))
 
     rows = placed.withColumn(_CELL, _cell(group))
     front = cells.select(_CELL, "__begin", "__all_n", *[f"__before_{x}" for x in totals])
-    by_value = rank or percent_rank or ties or running_sum
     if by_value:
         upto = Window.partitionBy(_CELL).orderBy("first").rowsBetween(Window.unboundedPreceding, 0)
         local = runs.withColumns({f"upto_{x}": F.sum(x).over(upto) for x in totals[1:]}).join(front, _CELL)

@@ -239,3 +239,10 @@ def test_quantiles_are_the_values_at_their_places(spark):
         for group, found in got.items():
             held = sorted(v for g, v, w in rows if g == group and v is not None for _ in range(w if weight else 1))
             assert found == [held[max(-(-len(held) * round(p * 1000) // 1000), 1) - 1] for p in asked]
+
+
+def test_plain_numbers_count_no_runs(spark, monkeypatch):
+    df = skewed(spark, n=300)
+    want = sorted(map(str, rank_rows(df, ["g"], "v", "k", row_number="rn", rank="rk").drop("rk").collect()))
+    monkeypatch.setattr("tallyforge.operators.ranking._runs", None)
+    assert sorted(map(str, rank_rows(df, ["g"], "v", "k", row_number="rn").collect())) == want
