@@ -48,8 +48,9 @@ def enrollment_summary(df: DataFrame, key: Sequence[str] = ("student_id", "semes
             F.sort_array(F.collect_set("department")).alias("departments"),
             F.size(F.collect_set("department")).alias("academic_diversity"),
         )
-    # counted per course first: the rows of a key meet only as its distinct courses
-    courses = df.groupBy(*key, "course_name", "department").agg(
+    # counted per course first: a key's lists are made of its distinct courses. Rows are dealt by the key before they are counted:
+    # a course seldom repeats, so counts before the shuffle would hold nearly all rows beside the sorts of the joins in front
+    courses = df.repartition(*key).groupBy(*key, "course_name", "department").agg(
         F.count(F.lit(1)).alias("__rows"),
         F.count("course_code").alias("__courses"),
         F.sum("credit_hours").alias("__credits"),

@@ -296,3 +296,11 @@ def test_schools_with_the_same_scores_tie_in_any_order(spark):
     rows = [(school, i, x, 1, 1, 1, "Poor") for school, scores in ((1, marks), (2, marks[::-1])) for i, x in enumerate(scores)]
     df = spark.createDataFrame(rows, "school_id int, student_id int, average_score double, math_score int, reading_score int, writing_score int, performance_tier string")
     assert aggregates.school_summary(df.coalesce(1)).select("avg_school_score").distinct().count() == 1
+
+
+def test_repeated_courses_are_shuffled_once(spark):
+    rows = [("s", 1, "c1", "a", "x", "A", 3), ("s", 1, "c1", "a", "x", "B", 3), ("s", 1, None, "b", "x", "A", 2)]
+    df = spark.createDataFrame(rows, "student_id string, semester int, course_code string, course_name string, department string, grade string, credit_hours int")
+    out = aggregates.enrollment_summary(df)
+    assert out._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    assert out.select("total_courses", "total_credits", "courses_taken", "departments").collect() == [(2, 8, ["a", "a", "b"], ["x"] * 3)]
