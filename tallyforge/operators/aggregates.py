@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tallyforge.functions import presets as P
 from tallyforge.functions.expr import pct, safe_corr, score_map
 from tallyforge.operators.joins import with_total_stats
-from tallyforge.operators.ranking import rank_rows
+from tallyforge.operators.ranking import rank_rows, with_quantiles
 
 
 def share_of_total(df: DataFrame, group: Sequence[str], digits: int = 2, n: str = "n", share: str = "percentage") -> DataFrame:
@@ -102,11 +102,10 @@ def school_summary(df: DataFrame, school: str = "school_id", entity: str = "stud
     )
 
 
-def box_plot(df: DataFrame, group: str, value: str, accuracy: int = 10_000) -> DataFrame:
-    """Five-number summary per group from one percentile sketch."""
-    five = df.groupBy(group).agg(
-        F.count(value).alias("n"), F.percentile_approx(value, [0.0, 0.25, 0.5, 0.75, 1.0], accuracy).alias("q")
-    )
+def box_plot(df: DataFrame, group: str, value: str) -> DataFrame:
+    """Exact five-number summary per group."""
+    counts = df.groupBy(group).agg(F.count(value).alias("n"))
+    five = with_quantiles(counts, df, [group], value, [0.0, 0.25, 0.5, 0.75, 1.0], "q")
     names = ["min_value", "q1", "median", "q3", "max_value"]
     return five.select(group, "n", *[F.col("q")[i].alias(name) for i, name in enumerate(names)])
 

@@ -234,6 +234,14 @@ def quantiles(
     return found if group else found.filter(F.col(output)[0].isNotNull())
 
 
+def with_quantiles(summary: DataFrame, df: DataFrame, group: Sequence[str], value: str, probabilities: Sequence[float], output: str) -> DataFrame:
+    """``summary``, one row per group of ``df``, with the exact quantiles of the group's values; NULL where it has none."""
+    # one struct column, so that groups with a NULL name join like any other
+    key = F.struct(*[F.col(g).alias(f"g{i}") for i, g in enumerate(group)])
+    found = quantiles(df, group, value, probabilities).select(key.alias("__group"), F.col("quantiles").alias(output))
+    return summary.withColumn("__group", key).join(found, "__group", "left").drop("__group")
+
+
 def column_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]) -> DataFrame:
     """One row: per column its exact quantiles as numbers, NULL without values; all columns in one pass."""
     cells = F.array(*[F.struct(F.lit(i).alias("i"), F.col(c).cast("double").alias("v")) for i, c in enumerate(columns)])

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tallyforge.functions import presets as P
 from tallyforge.functions.expr import band, classify, pct, safe_corr, settled_round, share_where, spread, weighted_score
 from tallyforge.operators.joins import with_group_stats
+from tallyforge.operators.ranking import with_quantiles
 from tallyforge.operators.scoring import engagement
 from tallyforge.operators.windows import neighbours
 
@@ -19,7 +20,7 @@ def _rows() -> Column:
     return F.count(F.lit(1))
 
 
-def effectiveness(df: DataFrame, field: str = "field_of_study", minimum: int = 3, accuracy: int = 10_000) -> DataFrame:
+def effectiveness(df: DataFrame, field: str = "field_of_study", minimum: int = 3) -> DataFrame:
     """Learner types by z-scores against the field, summarised per field, type and potential."""
     known = F.col("gpa").isNotNull() & F.col("usage_frequency_score").isNotNull() & F.col("attendance_rate").isNotNull()
     base = df.filter(known).select(
@@ -81,11 +82,12 @@ def effectiveness(df: DataFrame, field: str = "field_of_study", minimum: int = 3
             settled_round(F.avg("gpa_vs_field_avg"), 3).alias("avg_gpa_vs_field"),
             settled_round(F.avg("engagement_vs_field_avg"), 3).alias("avg_engagement_vs_field"),
             settled_round(F.avg("ai_utilization_vs_field_avg"), 2).alias("avg_ai_utilization_vs_field"),
-            F.percentile_approx("effectiveness_score", 0.5, accuracy).alias("median_effectiveness"),
             settled_round(F.stddev("effectiveness_score"), 2).alias("effectiveness_stddev"),
         )
         .filter(F.col("student_count") >= minimum)
     )
+    summary = with_quantiles(summary, rows, [field, "learner_type", "improvement_potential"], "effectiveness_score", [0.5], "median_effectiveness")
+    summary = summary.withColumn("median_effectiveness", F.col("median_effectiveness")[0])
     # from here on one row per (field, type, potential)
     within = Window.partitionBy(field)
     return summary.withColumns(
@@ -117,7 +119,7 @@ def with_cohorts(df: DataFrame, levels: bool = True) -> DataFrame:
     return df.withColumns(out)
 
 
-def _cohort_stats(df: DataFrame, keys: Sequence[str], minimum: int, accuracy: int) -> DataFrame:
+def _cohort_stats(df: DataFrame, keys: Sequence[str], minimum: int) -> DataFrame:
     stats = df.groupBy(*keys).agg(
         _rows().alias("cohort_size"),
         settled_round(F.avg("gpa"), 3).alias("avg_gpa"),
@@ -125,18 +127,18 @@ def _cohort_stats(df: DataFrame, keys: Sequence[str], minimum: int, accuracy: in
         settled_round(F.avg("usage_frequency_score"), 2).alias("avg_usage_frequency"),
         settled_round(F.avg("satisfaction_level"), 2).alias("avg_satisfaction"),
         settled_round(F.avg("num_ai_tools"), 1).alias("avg_tools_used"),
-        F.percentile_approx("gpa", 0.5, accuracy).alias("gpa_median"),
     )
-    return stats.filter(F.col("cohort_size") >= minimum)
+    kept = with_quantiles(stats.filter(F.col("cohort_size") >= minimum), df, keys, "gpa", [0.5], "gpa_median")
+    return kept.withColumn("gpa_median", F.col("gpa_median")[0])
 
 
-def cohort_success(df: DataFrame, field: str = "field_of_study", minimum: int = 5, accuracy: int = 10_000) -> DataFrame:
+def cohort_success(df: DataFrame, field: str = "field_of_study", minimum: int = 5) -> DataFrame:
     """Which (usage, satisfaction) cohorts succeed: share of their sub-cohorts in the field's top quarter."""
     known = df.filter(
         F.col("usage_frequency_score").isNotNull() & F.col("satisfaction_level").isNotNull() & F.col("gpa").isNotNull()
     )
     keys = ["usage_cohort", "satisfaction_segment", "academic_level", field]
-    stats = _cohort_stats(with_cohorts(known), keys, minimum, accuracy)
+    stats = _cohort_stats(with_cohorts(known), keys, minimum)
     # one row per cohort: at most 4 x 4 x 4 rows per field
     within = Window.partitionBy(field)
     compared = stats.withColumns(
@@ -179,11 +181,11 @@ def cohort_success(df: DataFrame, field: str = "field_of_study", minimum: int =
     ).orderBy(F.desc("overall_balance_score"))
 
 
-def cohort_index(df: DataFrame, field: str = "field_of_study", minimum: int = 5, accuracy: int = 10_000) -> DataFrame:
+def cohort_index(df: DataFrame, field: str = "field_of_study", minimum: int = 5) -> DataFrame:
     """Performance index and rank of (usage, satisfaction) cohorts within their field."""
     known = df.filter(F.col("usage_frequency_score").isNotNull() & F.col("satisfaction_level").isNotNull())
     keys = [field, "usage_cohort", "satisfaction_segment"]
-    stats = _cohort_stats(with_cohorts(known, levels=False), keys, minimum, accuracy)
+    stats = _cohort_stats(with_cohorts(known, levels=False), keys, minimum)
     index = F.col("avg_gpa") * 0.7 + F.col("avg_attendance") * 4 * 0.3
     return stats.withColumns(
         {

@@ -12,7 +12,7 @@ from tallyforge.functions import presets as P
 from tallyforge.functions.expr import band, margin_of_error, safe_corr, settled_round, share_where, spread, weighted_score, z_score
 from tallyforge.operators.cleaning import hash_sample
 from tallyforge.operators.joins import measured, with_group_stats
-from tallyforge.operators.ranking import top_per_group
+from tallyforge.operators.ranking import top_per_group, with_quantiles
 from tallyforge.operators.windows import moving_average
 
 
@@ -130,25 +130,24 @@ def sampled_estimates(
     field: str = "field_of_study",
     percent: int = 10,
     minimum: int = 20,
-    accuracy: int = 10_000,
 ) -> DataFrame:
     """Estimates with a 95 per cent interval from a stable sample of the keys."""
     known = df.filter(F.col("gpa").isNotNull() & F.col("usage_frequency_score").isNotNull())
     n = F.col("sample_size")
+    sample = hash_sample(known, key, percent)
     stats = (
-        hash_sample(known, key, percent)
-        .groupBy(field)
+        sample.groupBy(field)
         .agg(
             _rows().alias("sample_size"),
             F.avg("gpa").alias("mean"),
             F.stddev("gpa").alias("sd"),
             F.avg("usage_frequency_score").alias("usage_mean"),
             F.stddev("usage_frequency_score").alias("usage_sd"),
-            F.percentile_approx("gpa", 0.5, accuracy).alias("median"),
             safe_corr("gpa", "usage_frequency_score").alias("r"),
         )
         .filter(n >= minimum)
     )
+    stats = with_quantiles(stats, sample, [field], "gpa", [0.5], "median").withColumn("median", F.col("median")[0])
     mean, error = F.col("mean"), margin_of_error(F.col("sd"), n)
     return stats.select(
         field,
@@ -261,12 +260,10 @@ def approximate_summary(
     field: str = "field_of_study",
     minimum: int = 20,
     rsd: float = 0.02,
-    accuracy: int = 10_000,
 ) -> DataFrame:
-    """Summary per field from fixed-size sketches; one aggregate."""
+    """Summary per field: distinct counts from fixed-size sketches in one aggregate, exact quartiles beside it."""
     gpa, usage = F.col("gpa"), F.col("usage_frequency_score")
     rows = only(df, wanted).filter(gpa.isNotNull() & usage.isNotNull())
-    quartiles = F.percentile_approx("gpa", [0.25, 0.5, 0.75], accuracy)
     stats = (
         rows.groupBy(field)
         .agg(
@@ -274,7 +271,6 @@ def approximate_summary(
             F.count("gpa").alias("valid_gpa_count"),
             settled_round(F.avg("gpa"), 3).alias("approx_avg_gpa"),
             settled_round(F.stddev("gpa"), 3).alias("approx_stddev_gpa"),
-            quartiles.alias("__q"),
             F.approx_count_distinct(key, rsd).alias("approx_unique_students"),
             F.approx_count_distinct("usage_frequency_score", rsd).alias("approx_unique_usage_scores"),
             share_where(gpa >= 3.5, 1).alias("high_performer_pct"),
@@ -283,6 +279,7 @@ def approximate_summary(
         )
         .filter(F.col("total_students") >= minimum)
     )
+    stats = with_quantiles(stats, rows, [field], "gpa", [0.25, 0.5, 0.75], "__q")
     names = ["approx_gpa_q1", "approx_gpa_median", "approx_gpa_q3"]
     return (
         stats.withColumns({n: F.col("__q")[i] for i, n in enumerate(names)}).drop("__q").orderBy(F.desc("total_students"))

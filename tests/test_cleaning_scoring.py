@@ -304,3 +304,11 @@ def test_repeated_courses_are_shuffled_once(spark):
     out = aggregates.enrollment_summary(df)
     assert out._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
     assert out.select("total_courses", "total_credits", "courses_taken", "departments").collect() == [(2, 8, ["a", "a", "b"], ["x"] * 3)]
+
+
+def test_box_plot_is_exact_in_large_groups(spark):
+    df = spark.range(80_000).select(F.when(F.col("id") % 2 == 0, "a").alias("g"), (F.hash("id") * 40_000.0 + F.col("id")).alias("x"))
+    rows = df.collect()
+    for r in aggregates.box_plot(df, "g", "x").collect():
+        held = sorted(x.x for x in rows if x.g == r.g)
+        assert (r.n, r.min_value, r.q1, r.median, r.q3, r.max_value) == (40_000, *[held[i] for i in (0, 9_999, 19_999, 29_999, 39_999)])
