@@ -33,6 +33,8 @@ NODES = 1_000_000
 RANGES = 1024
 #: Candidates and words are sent on when a task has met so many.
 KEPT = 1_000_000
+#: Rows of a batch of counted candidates.
+SENT = 65_536
 #: Words with their texts are sent on earlier, since a text takes more room than a number.
 TEXTS_KEPT = 120_000
 LONGEST = 4
@@ -60,10 +62,13 @@ class Counter:
 
     def merge(self) -> None:
         every = [(self.values, self.counts), *self.parts]
-        self.values, place = np.unique(np.concatenate([v for v, _ in every]), return_inverse=True)
-        self.counts = np.zeros(len(self.values), np.int64)
-        np.add.at(self.counts, place, np.concatenate([c for _, c in every]))
         self.parts, self.waiting = [], 0
+        values, counts = (np.concatenate(x) for x in zip(*every, strict=True))
+        order = np.argsort(values, kind="stable")  # merges parts, which are sorted
+        values = values[order]
+        first = np.flatnonzero(np.concatenate([np.ones(min(len(values), 1), bool), values[1:] != values[:-1]]))
+        self.values = values[first]
+        self.counts = np.add.reduceat(counts[order], first) if len(first) else counts
 
     def taken(self) -> tuple[np.ndarray, np.ndarray]:
         self.merge()
@@ -271,9 +276,10 @@ def _counted(shared: Broadcast, size: int, whole: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie, counted = shared.value, Counter()
 
-        def found() -> pa.RecordBatch:
+        def found() -> Iterator[pa.RecordBatch]:
             codes, counts = counted.taken()
-            return pa.RecordBatch.from_pydict({"code": W.signed(codes), "n": pa.array(counts, pa.int64())})
+            for i in range(0, len(codes), SENT):
+                yield pa.RecordBatch.from_pydict({"code": W.signed(codes[i : i + SENT]), "n": pa.array(counts[i : i + SENT], pa.int64())})
 
         for batch in batches:
             for raw in batch["seq"].to_pylist():
@@ -289,12 +295,21 @@ def _counted(shared: Broadcast, size: int, whole: bool):
                     met[-1:] = False
                 counted.add(trie.label[states[met]].astype(np.uint64) << U(32) | ahead[met].astype(np.uint64))
                 if len(counted.values) > KEPT:
-                    yield found()
-        yield found()
+                    yield from found()
+        yield from found()
 
     return run
 
 
+def _summed(counts: DataFrame, least: int) -> DataFrame:
+    """(code, a) of the codes with ``least`` or more.
+
+    Tasks have counted already and hardly repeat a code, so rows are shuffled as they are: a second count before the shuffle
+    would hold a task's codes on the heap and merge next to none.
+    """
+    return counts.repartition("code").groupBy("code").agg(F.sum("n").alias("a")).where(F.col("a") >= least)
+
+
 def _shards(levels: list[DataFrame], most: int) -> list[tuple[int, int]]:
     """Ranges of first words with at most NODES phrases each (or one of RANGES parts of all words)."""
     width = most // RANGES + 1
@@ -348,7 +363,7 @@ def _levels(docs: DataFrame, least: int) -> tuple[list[DataFrame], DataFrame, Da
         for low, high in shards:
             shared = context.broadcast(_trie(levels, low, high, most))
             part = seq.select("seq").mapInArrow(_counted(shared, size, len(shards) == 1), "code bigint, n bigint")
-            part = save(part.groupBy("code").agg(F.sum("n").alias("a")).where(F.col("a") >= least))
+            part = save(_summed(part, least))
             shared.destroy()
             counts = part if counts is None else counts.union(part)
         counts = numbered(counts.select(F.shiftright("code", 32).alias("prefix"), F.col("code").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int").alias("last"), "a"), "number")

@@ -1,10 +1,12 @@
 import random
 import re
 from collections import Counter
+from types import SimpleNamespace
 
 import brute
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tallyforge.llm import phrases, queries
@@ -89,6 +91,35 @@ def test_edges(spark):
     assert got(phrases.collocations(docs_of(spark, rows))) == plain(rows, 30)
 
 
+def test_counted_candidates_are_not_hashed_again_before_the_shuffle(spark, monkeypatch):
+    plans, save = [], phrases.save
+
+    def seen(df):
+        if df.columns == ["code", "a"]:
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return save(df)
+
+    monkeypatch.setattr(phrases, "save", seen)
+    rows = made(7, 60, 20)
+    assert got(phrases.collocations(docs_of(spark, rows), 3)) == plain(rows, 3)
+    assert len(plans) == phrases.LONGEST - 1
+    for text in plans:
+        below = text[text.index("Exchange") :]
+        assert "Aggregate" not in below and "MapInArrow" in below
+
+
+def test_candidates_leave_a_task_in_small_batches():
+    pick = np.random.Generator(np.random.PCG64(8))
+    numbers = pick.integers(0, 401, 400_000).astype(np.int32)
+    batch = pa.RecordBatch.from_pydict({"seq": pa.array([numbers.tobytes()], pa.binary())})
+    out = list(phrases._counted(SimpleNamespace(value=phrases.Trie(1, 401, 400)), 2, False)(iter([batch])))
+    assert len(out) > 1 and max(b.num_rows for b in out) < 100_000
+    codes, counts = (np.concatenate([b[c].to_numpy() for b in out]) for c in ("code", "n"))
+    pairs = numbers[:-1].astype(np.int64) << 32 | numbers[1:]
+    want = np.unique(pairs[(numbers[:-1] > 0) & (numbers[1:] > 0)], return_counts=True)
+    assert (codes == want[0]).all() and (counts == want[1]).all()
+
+
 @pytest.mark.parametrize("most", [200, 40_000, 3_000_000])
 def test_double_array(most):
     pick = np.random.Generator(np.random.PCG64(most))
