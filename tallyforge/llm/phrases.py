@@ -32,7 +32,9 @@ NODES = 1_000_000
 #: Ranges of first words that a shard is made of.
 RANGES = 1024
 #: Candidates and words are sent on when a task has met so many.
-KEPT = 1_000_000
+KEPT = 500_000
+#: Bytes of text that are taken apart at once.
+CHUNK_BYTES = 250_000
 #: Rows of a batch of counted candidates.
 SENT = 65_536
 #: Words with their texts are sent on earlier, since a text takes more room than a number.
@@ -107,31 +109,42 @@ def _with_breaks(values: np.ndarray, begins: np.ndarray) -> np.ndarray:
     return out
 
 
+def _texts(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:
+    """The strings that lie from ``start`` to ``end`` in ``data``."""
+    places = np.zeros(len(start) + 1, np.int32)
+    np.cumsum(end - start, out=places[1:])
+    taken = data[np.repeat(start - places[:-1], end - start) + np.arange(places[-1])]
+    return pa.StringArray.from_buffers(len(start), pa.py_buffer(places), pa.py_buffer(taken))
+
+
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counted, new = Counter(), {}
+    counted, known, new = Counter(), np.zeros(0, np.uint64), []  # new: (keys, languages, words), of each key once
 
     def vocabulary() -> pa.RecordBatch:
         keys, counts = counted.taken()
-        met = [new[k] for k in keys.tolist()]
-        new.clear()
-        columns = {"lang": pa.array([m[0] for m in met], pa.string()), "key": W.signed(keys), "word": pa.array([m[1] for m in met], pa.string())}
+        own, langs, texts = zip(*new, strict=True)
+        order = pa.array(np.argsort(np.concatenate(own)))
+        columns = {"lang": pa.concat_arrays(langs).take(order), "key": W.signed(keys), "word": pa.concat_arrays(texts).take(order)}
         none = pa.nulls(len(keys), pa.binary())
         return pa.RecordBatch.from_pydict(columns | {"n": pa.array(counts, pa.int64()), "keys": none, "seq": none})
 
-    for part in W.chunks(batches, "text"):
+    for part in W.chunks(batches, "text", CHUNK_BYTES):
         words, keys, begins, small = _words(part)
         some, first, place, counts = np.unique(keys, return_index=True, return_inverse=True, return_counts=True)
-        langs, owner = part["lang"].to_pylist(), words.owner()
-        for key, i in zip(some.tolist(), first.tolist(), strict=True):
-            if key not in new:
-                new[key] = (langs[owner[i]], small[words.start[i] : words.end[i]].decode())
+        unmet = ~np.isin(some, known, assume_unique=True)
+        at = first[unmet]
+        if len(at):
+            langs = part["lang"].cast(pa.string()).take(pa.array(words.owner()[at]))
+            new.append((some[unmet], langs, _texts(np.frombuffer(small, np.uint8), words.start[at], words.end[at])))
+            known = np.concatenate([known, some[unmet]])
         counted.add(some, counts)
         none = [pa.nulls(1, t) for t in (pa.string(), pa.int64(), pa.string(), pa.int64())]
         places = _with_breaks((place + 1).astype(np.uint16 if len(some) < 65_535 else np.uint32), begins)
         own = [pa.array([x.tobytes()], pa.binary()) for x in (some, places)]
         yield pa.RecordBatch.from_arrays([*none, *own], names=["lang", "key", "word", "n", "keys", "seq"])
-        if len(new) > TEXTS_KEPT:
+        if len(known) > TEXTS_KEPT:
             yield vocabulary()
+            known, new = known[:0], []
     if new:
         yield vocabulary()
 

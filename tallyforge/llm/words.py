@@ -149,13 +149,13 @@ def lists(values: np.ndarray, ends: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), signed(values))
 
 
-def chunks(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBatch]:
-    """The batches again, in slices of about CHUNK_BYTES of text (one document at least)."""
+def chunks(batches: Iterator[pa.RecordBatch], text: str, most: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches again, in slices of about ``most`` bytes of text (one document at least)."""
     for batch in batches:
         if batch.num_rows == 0:
             continue
         size = pc.binary_length(batch[text]).fill_null(0).to_numpy(zero_copy_only=False)
-        group = np.cumsum(size) // CHUNK_BYTES
+        group = np.cumsum(size) // most
         cuts = np.concatenate([[0], np.flatnonzero(np.diff(group)) + 1, [batch.num_rows]])
         for a, b in zip(cuts[:-1], cuts[1:], strict=True):
             yield batch.slice(a, b - a)
