@@ -6,8 +6,8 @@ shingle fills much of a window. The fingerprints are cut into BLOCKS; two within
 RADIUS // BLOCKS bits, so an index of the items' blocks with that many bits flipped finds all of them. What
 is found is held against the item exactly: sum of least weights over sum of largest weights.
 
-Before that, a window is fingerprinted only if it holds as many shingles of the benchmark as the threshold
-demands of any window; that count never rules out a window that the exact check would keep. Items are taken in
+Before that, a window is fingerprinted only if it holds as many shingles of items of its own size as the threshold
+demands of it; that count never rules out a window that the exact check would keep. Items are taken in
 blocks of ITEM_WORDS words, so what tasks hold of the benchmark is bounded whatever its size.
 """
 
@@ -26,6 +26,8 @@ from tallyforge.llm import words as W
 from tallyforge.llm.tables import join_texts, plain_ids, row_keyed, save, unique_ids
 
 ITEM_WORDS = 1_000_000
+#: Shingles of windows that are fingerprinted at a time.
+WINDOW_GRAMS = 200_000
 RADIUS = 27
 WIDTHS = (10, 9, 9, 9, 9, 9, 9)
 BLOCKS = [(sum(WIDTHS[:i]), width) for i, width in enumerate(WIDTHS)]
@@ -39,102 +41,122 @@ def _grams(words: W.Words, size: int) -> np.ndarray:
     return out
 
 
-def _bits(grams: np.ndarray) -> np.ndarray:
-    """Running sums over +1 for each set and -1 for each unset bit of the shingles, a row more than shingles."""
-    total = np.zeros((len(grams) + 1, 64), np.int32)
-    np.cumsum(np.unpackbits(grams.view(np.uint8)).reshape(-1, 64).astype(np.int32) * 2 - 1, axis=0, out=total[1:])
-    return total
+def _members(grams: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Shingles of each window as a sorted set in which the second, third, ... place of one are members of their own.
 
-
-def _fingerprints(total: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    return np.packbits(total[end] - total[start] > 0, axis=1).view(np.uint64).reshape(-1)
-
-
-def _weighted(grams: np.ndarray) -> tuple[np.ndarray, bool]:
-    """The shingles as a set in which the second, third, ... place of one are members of their own; whether there are such."""
-    grams = np.sort(grams)
-    if len(grams) < 2 or not (grams[1:] == grams[:-1]).any():
-        return grams, False
-    new = np.concatenate([[True], grams[1:] != grams[:-1]])
-    place = np.arange(len(grams))
+    The sets lie end to end; the places where each ends and the windows' fingerprints come with them. No window is empty.
+    """
+    width = end - start
+    ends = np.concatenate([[0], np.cumsum(width)])
+    if not len(width):
+        return np.zeros(0, np.uint64), ends, np.zeros(0, np.uint64)
+    owner, place = np.repeat(np.arange(len(width)), width), np.arange(ends[-1])
+    values = grams[np.repeat(start - ends[:-1], width) + place]
+    values = values[np.lexsort((values, owner))]
+    new = np.ones(len(values), bool)
+    new[1:] = (values[1:] != values[:-1]) | (owner[1:] != owner[:-1])
     turn = place - np.maximum.accumulate(np.where(new, place, 0))
-    return np.where(turn > 0, W.mix(grams + turn.astype(np.uint64), 5), grams), True
-
-
-def _fingerprint(members: np.ndarray) -> np.uint64:
-    return _fingerprints(_bits(members), np.array([0]), np.array([len(members)]))[0]
+    values = np.where(turn > 0, W.mix(values + turn.astype(np.uint64), 5), values)
+    ones = np.add.reduceat(np.unpackbits(values.view(np.uint8)).reshape(-1, 64), ends[:-1], axis=0, dtype=np.int64)
+    return values, ends, np.packbits(2 * ones > width[:, None], axis=1).view(np.uint64).reshape(-1)
 
 
 def _items(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in W.chunks(batches, "text"):
             words = W.split_words(part["text"], lower=True)
-            n = words.counts()
-            fps, lists, ends = [], [], [0]
-            for i, count in enumerate(n):
-                a, b = words.first[i : i + 2]
-                k = min(size, count)
-                start = np.arange(a, b - k + 1) if count else np.zeros(0, np.int64)
-                grams = W.spans_hash(words.hash[a:b], start - a, start - a + k) if count else np.zeros(0, np.uint64)
-                members, _ = _weighted(grams)
-                fps.append(_fingerprint(members))
-                lists.append(members)
-                ends.append(ends[-1] + len(grams))
-            yield pa.RecordBatch.from_pydict(
-                {"item_id": part["doc_id"], "size": pa.array(n, pa.int64()), "fp": W.signed(np.array(fps, np.uint64)), "grams": W.lists(np.concatenate(lists), np.array(ends))}
-            )
+            some = np.flatnonzero(words.counts())
+            n = words.counts()[some]
+            length = np.minimum(n, size)
+            width = n - length + 1
+            begin = np.concatenate([[0], np.cumsum(width)])
+            start = np.repeat(words.first[some] - begin[:-1], width) + np.arange(begin[-1])
+            members, ends, fps = _members(W.spans_hash(words.hash, start, start + np.repeat(length, width)), begin[:-1], begin[1:])
+            yield pa.RecordBatch.from_pydict({"item_id": part["doc_id"].take(pa.array(some)), "size": pa.array(n, pa.int64()), "fp": W.signed(fps), "grams": W.lists(members, ends)})
 
     return run
 
 
-def _candidates(known: np.ndarray, sizes: list[int], size: int, percent: int):
-    """Windows with enough known shingles: (doc_id, start, size, window, fp, grams); grams once per chunk."""
-    least = {s: -(-percent * max(s - size + 1, 1) // 100) for s in sizes}
+def _spans(at: np.ndarray, words: W.Words, s: int, k: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end of the windows for items of ``s`` words that hold enough of the shingles at ``at``.
+
+    A full window holds enough if it reaches from one of these places to the one that completes the number; so only
+    the places are looked at, not every word. A document that is shorter than the item is one window.
+    """
+    width, n = s - k + 1, words.counts()
+    doc = np.searchsorted(words.first, at, "right") - 1
+    need = max(1, -(-percent * 2 * width // (100 + percent)))
+    a, b = at[: max(len(at) - need + 1, 0)], at[need - 1 :]
+    near = np.flatnonzero((b - a < width) & (doc[need - 1 :] == doc[: len(a)]) & (n[doc[: len(a)]] >= s))
+    a, b, own = a[near], b[near], doc[near]
+    low, high = np.maximum(b - width + 1, words.first[own]), np.minimum(a, words.first[own + 1] - s)
+    low[1:] = np.maximum(low[1:], high[:-1] + 1)
+    count = np.maximum(high - low + 1, 0)
+    start = np.repeat(low - np.cumsum(count) + count, count) + np.arange(count.sum())
+    short, held = np.unique(doc[n[doc] < s], return_counts=True)
+    short = short[(100 + percent) * held >= percent * (n[short] - k + 1 + width)]
+    return np.concatenate([start, words.first[short]]), np.concatenate([start + width, words.first[short + 1] - k + 1])
+
+
+def _candidates(known: np.ndarray, sizes: np.ndarray, size: int, percent: int):
+    """Windows with enough shingles of items of their size: (doc_id, start, size, window, fp, grams); grams once per chunk.
+
+    ``known`` are the items' shingles, ``sizes`` the sizes of the items that have them.
+    """
+    lengths = []
+    for k in sorted({min(int(s), size) for s in sizes}):
+        own = np.minimum(sizes, size) == k
+        values, index = np.unique(known[own], return_inverse=True)
+        lengths.append((k, values, {int(s): index[sizes[own] == s] for s in np.unique(sizes[own])}))
 
-    def of_length(part: pa.RecordBatch, k: int, own: list[int]) -> Iterator[pa.RecordBatch]:
-        # a document that is shorter than the item is one window
-        lowest = min(least[s] for s in own)
-        words = W.split_words(part["text"], lower=True)
+    def low(grams: np.ndarray, seen: np.ndarray) -> np.ndarray:
+        return (grams & np.uint64(len(seen) - 1)).view(np.int64)
+
+    def of_length(part: pa.RecordBatch, words: W.Words, k: int, values: np.ndarray, own: dict[int, np.ndarray], seen: np.ndarray) -> Iterator[pa.RecordBatch]:
         grams = _grams(words, k)
-        hits = np.isin(grams, known)
-        hit = np.concatenate([[0], np.cumsum(hits)])
-        busy = hit[words.first[1:]] - hit[words.first[:-1]] >= lowest
-        if not busy.any():
-            return
-        if not busy.all():
-            yield from of_length(part.filter(pa.array(busy)), k, own)
+        at = np.flatnonzero(seen[low(grams, seen)])
+        index = np.minimum(np.searchsorted(values, grams[at]), len(values) - 1)
+        hit = values[index] == grams[at]
+        at, index = at[hit], index[hit]
+        if not len(at):
             return
-        counts, total = words.counts(), _bits(grams)
-        for s in own:
-            fits = np.flatnonzero(counts >= k)
-            width = np.minimum(counts[fits], s) - k + 1
-            n = counts[fits] - k + 1 - width + 1
-            start = np.repeat(words.first[:-1][fits] - np.concatenate([[0], np.cumsum(n)[:-1]]).astype(np.int64), n) + np.arange(n.sum())
-            end = start + np.repeat(width, n)
-            need = np.repeat(-(-percent * (width + s - k + 1) // (100 + percent)), n)
-            pick = np.flatnonzero(hit[end] - hit[start] >= need)
-            if not len(pick):
-                continue
-            start, end, doc = start[pick], end[pick], np.repeat(fits, n)[pick]
-            window = W.mix(W.spans_hash(words.hash, start, end + k - 1) + np.uint64(s))
-            first = np.zeros(len(pick), bool)
-            first[np.unique(window, return_index=True)[1]] = True
-            # running sums give the fingerprint where no shingle repeats; only rows with grams are compared
-            fp, shown = _fingerprints(total, start, end), [None] * len(pick)
-            for i in np.flatnonzero(first):
-                members, repeated = _weighted(grams[start[i] : end[i]])
-                shown[i] = W.signed(members).to_pylist()
-                if repeated:
-                    fp[i] = _fingerprint(members)
+        spans, wanted = [], np.zeros(len(values), bool)
+        for s, of_size in own.items():
+            wanted[of_size] = True
+            places = at[wanted[index]]
+            wanted[of_size] = False
+            if len(places):
+                start, end = _spans(places, words, s, k, percent)
+                spans.append((start, end, np.full(len(start), s)))
+        start, end, s = (np.concatenate(x) for x in zip(*spans, strict=True))
+        window = W.mix(W.spans_hash(words.hash, start, end + k - 1) + s.astype(np.uint64))
+        first = np.zeros(len(start), bool)
+        first[np.unique(window, return_index=True)[1]] = True
+        shown = np.concatenate([[0], np.cumsum(np.where(first, end - start, 0))])
+        cuts = np.unique(np.concatenate([[0], np.flatnonzero(np.diff(shown[1:] // WINDOW_GRAMS)) + 1, [len(start)]]))
+        doc = np.searchsorted(words.first, start, "right") - 1
+        for i, j in zip(cuts[:-1], cuts[1:], strict=True):
+            new = first[i:j]
+            members, _, fps = _members(grams, start[i:j][new], end[i:j][new])
+            fp = np.zeros(j - i, np.uint64)
+            fp[new] = fps
+            lists = pa.ListArray.from_arrays(pa.array(shown[i : j + 1] - shown[i], pa.int32()), W.signed(members), mask=pa.array(~new))
             yield pa.RecordBatch.from_pydict(
-                {"doc_id": part["doc_id"].take(pa.array(doc)), "start": pa.array(start - words.first[doc], pa.int64()), "size": pa.array(np.full(len(pick), s), pa.int64())}
-                | {"window": W.signed(window), "fp": W.signed(fp), "grams": pa.array(shown, pa.list_(pa.int64()))}
+                {"doc_id": part["doc_id"].take(pa.array(doc[i:j])), "start": pa.array(start[i:j] - words.first[doc[i:j]], pa.int64()), "size": pa.array(s[i:j], pa.int64())}
+                | {"window": W.signed(window[i:j]), "fp": W.signed(fp), "grams": lists}
             )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables = []
+        for _, values, _ in lengths:
+            # by their low bits most words are ruled out before they are looked up
+            seen = np.zeros(1 << min(24, max(16, (16 * len(values)).bit_length())), bool)
+            seen[low(values, seen)] = True
+            tables.append(seen)
         for part in W.chunks(batches, "text"):
-            for k in sorted({min(s, size) for s in sizes}):
-                yield from of_length(part, k, [s for s in sizes if min(s, size) == k])
+            words = W.split_words(part["text"], lower=True)
+            for (k, values, own), seen in zip(lengths, tables, strict=True):
+                yield from of_length(part, words, k, values, own, seen)
 
     return run
 
@@ -185,12 +207,11 @@ about 3, repeated shingles or not: the places of a shingle are members of their
     found = []
     for block in range(blocks):
         own = items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == block)
-        known = np.unique(np.array([r[0] for r in own.select(F.explode("grams")).distinct().collect()], np.int64).view(np.uint64))
-        sizes = sorted(r[0] for r in own.select("size").distinct().collect())
-        if not sizes:
+        known = np.array(own.select(F.explode("grams"), "size").distinct().collect(), np.int64).reshape(-1, 2)
+        if not len(known):
             continue
         schema = "doc_id bigint, start bigint, size bigint, window bigint, fp bigint, grams array<bigint>"
-        hits = save(docs.mapInArrow(_candidates(known, sizes, size, percent), schema))
+        hits = save(docs.mapInArrow(_candidates(known[:, 0].copy().view(np.uint64), known[:, 1].copy(), size, percent), schema))
         windows = save(hits.where("grams IS NOT NULL").dropDuplicates(["window"]).select("window", "size", "fp", "grams"))
         pairs = _within_radius(windows, own).join(windows.select("window", "grams"), "window")
         pairs = pairs.join(own.select("item_id", F.col("grams").alias("item_grams")), "item_id").withColumn("same", F.size(F.array_intersect("grams", "item_grams")))

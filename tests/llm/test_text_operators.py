@@ -10,6 +10,7 @@ from hypothesis import strategies as st
 
 from tallyforge.llm import bpe, classifier, decontaminate, jaccard, queries, substring, tokencount
 from tallyforge.llm import words as W
+from tallyforge.llm.tables import save
 
 SCHEMA = "doc_id bigint, text string, lang string, n bigint, path string"
 
@@ -152,6 +153,29 @@ def test_leaks_with_a_run_of_one_word(spark):
     assert {(r["doc_id"], r["item_id"], r["n_windows"], round(r["similarity"], 9)) for r in got} == want
 
 
+def test_windows_are_taken_for_items_of_their_own_size_only(spark, monkeypatch):
+    rng = random.Random(2)
+    items = [(n, prose(rng, n, 10**6)) for n in range(14, 54)]
+    rows = [(n, f"{prose(rng, 30)} {body} {prose(rng, 30)}") for n, body in items]
+    saved = []
+    monkeypatch.setattr(decontaminate, "save", lambda df: saved.append(save(df)) or saved[-1])
+    got = decontaminate.leaks(frame(spark, rows), spark.createDataFrame(items, "item_id bigint, text string")).collect()
+    assert {(r["doc_id"], r["item_id"], r["n_windows"], round(r["similarity"], 9)) for r in got} == brute.leaks(rows, items)
+    (hits,) = [df for df in saved if "start" in df.columns]
+    assert hits.where("size <> doc_id").count() == 0
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_leaks_of_small_vocabularies(spark, monkeypatch, seed):
+    monkeypatch.setattr(decontaminate, "WINDOW_GRAMS", 40)
+    rng = random.Random(seed)
+    parts = [prose(rng, rng.randrange(3, 20), 3) for _ in range(8)]
+    items = [(i, " ".join(rng.choice(parts) for _ in range(rng.randrange(1, 4)))) for i in range(25)] + [(30 + n, prose(rng, n, 3)) for n in range(1, 7)]
+    rows = [(i, " ".join(rng.choice(parts) for _ in range(rng.randrange(1, 6)))) for i in range(40)] + [(50 + n, prose(rng, n, 3)) for n in range(12)]
+    got = decontaminate.leaks(frame(spark, rows), spark.createDataFrame(items, "item_id bigint, text string")).collect()
+    assert {(r["doc_id"], r["item_id"], r["n_windows"], round(r["similarity"], 9)) for r in got} == brute.leaks(rows, items)
+
+
 @pytest.fixture(scope="module")
 def codec():
     with open(queries.RANKS, "rb") as f:
